@@ -6,11 +6,15 @@ repeated target is an n-pack (each occurrence receives the full quantity).
 
 Plan shape (A3): facts are pre-aggregated by (source key, grouping columns)
 *before* the mapping join. Quantity and revenue are linear in the sums, so the
-result is the same as expanding each raw row, but the join and the ``explode``
-run on one row per key instead of one per fact row, and the partial aggregate
-collapses hot keys map-side before anything is shuffled. The pre-aggregate is
-hash-partitioned on the key, so a shuffled join against a large mapping reuses
-that partitioning and only the mapping side moves.
+result equals expanding every raw row, but the join and the ``explode`` run on
+one row per key, and the partial aggregate collapses hot keys map-side before
+anything is shuffled. The pre-aggregate is hash-partitioned on the key, so a
+shuffled join against a large mapping only moves the mapping side.
+
+Everything a report needs — per-SKU volume, the original volume of bundle keys
+(reported under the reserved SKU ``Bundles``), the volume of unmapped keys
+(``SKU`` NULL) and the latest fact date — comes out of one explode and one
+aggregate, so the facts are scanned and joined once per report.
 """
 
 from __future__ import annotations
@@ -21,24 +25,34 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BUNDLES_SKU = "Bundles"
 SPLIT = "decimal(18,4)"
+MONEY_SUM = "decimal(38,4)"
 
 
 @dataclass
 class MappedSales:
-    """Result of :func:`map_sales` — three lazy DataFrames."""
+    """Result of :func:`map_sales` — lazy DataFrames over one pre-aggregate."""
 
-    keyed: DataFrame      # source_key, *by, qty, rev, rows[, Date]  (the pre-aggregate)
-    sales: DataFrame      # *by, SKU, Units, Revenue  (one row per SKU and group)
-    bundles: DataFrame    # *by, Units, Revenue       (original volume of bundle keys, M4)
-    unmapped: DataFrame   # *by, source_key, Units, Revenue, rows (non-blank keys absent from the map, M3)
+    keyed: DataFrame   # source_key, *by, qty, rev, rows[, Date]
+    long: DataFrame    # *by, SKU, Units, Revenue, rows[, Date]; SKU 'Bundles' = bundle volume, NULL = unmapped
+
+    @property
+    def sales(self) -> DataFrame:
+        """Per (``by``, SKU) expanded volume (M1 + A2)."""
+        return self.long.where(F.col("SKU").isNotNull() & (F.col("SKU") != BUNDLES_SKU))
+
+    @property
+    def bundles(self) -> DataFrame:
+        """Original (unexpanded) volume of bundle keys (M4/A5)."""
+        return self.long.where(F.col("SKU") == BUNDLES_SKU).drop("SKU")
 
 
 def pre_aggregate(facts: DataFrame, key: str, qty: str, rev: str, by: Sequence[str] = (),
                   date_col: str | None = None) -> DataFrame:
     """A3 step 1: one row per (key, *by) with summed quantity and revenue.
 
-    Blank keys are dropped without alert (P11); NULL group keys are dropped as the
+    Blank keys are dropped without alert (P11); NULL keys are dropped as the
     reference's group-by does (A1).
     """
     k = F.trim(F.col(key).cast("string"))
@@ -54,44 +68,58 @@ def pre_aggregate(facts: DataFrame, key: str, qty: str, rev: str, by: Sequence[s
             .agg(*aggs))
 
 
-def join_mapping(keyed: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Inner join of pre-aggregated facts to the mapping dim, adding ``bundle_size`` (M2)."""
+def join_mapping(keyed: DataFrame, mapping: DataFrame, how: str = "inner") -> DataFrame:
+    """Join pre-aggregated facts to the mapping dim, adding ``bundle_size`` (M2)."""
     m = mapping.select("source_key", "targets", F.size("targets").alias("bundle_size"))
-    return keyed.join(m, "source_key", "inner")
+    return keyed.join(m, "source_key", how)
+
+
+def split_revenue(rev, size) -> F.Column:
+    """revenue / bundle size, fixed to 4 decimals so sums are exact afterwards."""
+    return (F.col(rev).cast("double") / F.col(size)).cast(SPLIT)
 
 
 def expand_bundles(joined: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """M1: one row per target; full quantity each, revenue split evenly.
 
-    Duplicate targets produce duplicate rows (an n-pack counts n units); an empty
-    target list produces no row. The split is computed in double and fixed to
-    decimal(18,4) so that sums are exact and engine-independent afterwards.
+    Duplicate targets give duplicate rows (an n-pack counts n units); an empty
+    target list gives no row.
     """
-    split = (F.col("rev").cast("double") / F.col("bundle_size")).cast(SPLIT)
-    return joined.select(*by, F.explode("targets").alias("SKU"), F.col("qty").alias("Units"), split.alias("Revenue"))
+    return joined.select(*by, F.explode("targets").alias("SKU"), F.col("qty").alias("Units"),
+                         split_revenue("rev", "bundle_size").alias("Revenue"))
 
 
-def bundle_volume(joined: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """M4/A5: original (unexpanded) quantity and revenue of bundle keys (size > 1)."""
-    b = joined.where(F.col("bundle_size") > 1)
-    return b.groupBy(*by).agg(F.sum("qty").alias("Units"), F.sum("rev").alias("Revenue"))
-
-
-def unmapped_keys(keyed: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Non-blank source keys that the mapping does not know."""
-    return (keyed.join(mapping.select("source_key"), "source_key", "left_anti")
-            .withColumnRenamed("qty", "Units").withColumnRenamed("rev", "Revenue"))
+def _items() -> F.Column:
+    """Per pre-aggregated key: its targets with split revenue, plus one ``Bundles``
+    item with the original volume when the key is a bundle, or one NULL-SKU item
+    when the key is unmapped."""
+    split = split_revenue("rev", "bundle_size").cast(MONEY_SUM)
+    per_target = F.transform("targets", lambda t: F.struct(t.alias("SKU"), split.alias("Revenue")))
+    bundle = F.when(F.col("bundle_size") > 1,
+                    F.array(F.struct(F.lit(BUNDLES_SKU).alias("SKU"), F.col("rev").cast(MONEY_SUM).alias("Revenue"))))
+    unmapped = F.array(F.struct(F.lit(None).cast("string").alias("SKU"), F.col("rev").cast(MONEY_SUM).alias("Revenue")))
+    empty = F.array().cast(f"array<struct<SKU:string,Revenue:{MONEY_SUM}>>")
+    return F.when(F.col("targets").isNull(), unmapped).otherwise(F.concat(per_target, F.coalesce(bundle, empty)))
 
 
 def map_sales(facts: DataFrame, mapping: DataFrame, key: str, qty: str, rev: str,
               by: Sequence[str] = (), date_col: str | None = None) -> MappedSales:
-    """A3 end to end: pre-aggregate -> map/expand -> aggregate by SKU (and ``by``)."""
+    """A3 end to end: pre-aggregate -> map/expand -> one aggregate by (``by``, SKU)."""
     keyed = pre_aggregate(facts, key, qty, rev, by, date_col)
-    joined = join_mapping(keyed, mapping)
-    sales = (expand_bundles(joined, by)
-             .groupBy(*by, "SKU")
-             .agg(F.sum("Units").alias("Units"), F.sum("Revenue").alias("Revenue")))
-    return MappedSales(keyed=keyed, sales=sales, bundles=bundle_volume(joined, by), unmapped=unmapped_keys(keyed, mapping))
+    joined = join_mapping(keyed, mapping, "left")
+    dated = ["Date"] if date_col else []
+    items = joined.select(*by, *dated, "qty", "rows", F.explode(_items()).alias("_i"))
+    aggs = [F.sum("qty").alias("Units"), F.sum("_i.Revenue").alias("Revenue"), F.sum("rows").alias("rows")]
+    if date_col:
+        aggs.append(F.max("Date").alias("Date"))
+    long = items.groupBy(*by, F.col("_i.SKU").alias("SKU")).agg(*aggs)
+    return MappedSales(keyed=keyed, long=long)
+
+
+def unmapped_keys(keyed: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Non-blank source keys that the mapping does not know, with their volume."""
+    return (keyed.join(mapping.select("source_key"), "source_key", "left_anti")
+            .withColumnRenamed("qty", "Units").withColumnRenamed("rev", "Revenue"))
 
 
 def normalize_amazon_skus(df: DataFrame, key: str, allowed: DataFrame, metrics: dict) -> DataFrame:
@@ -103,7 +131,7 @@ def normalize_amazon_skus(df: DataFrame, key: str, allowed: DataFrame, metrics:
     """
     from skuflow.functions import row_sum, strip_trailing_s, to_number
 
-    kept = df.join(allowed.select(F.col("SKU").alias("_allowed")).distinct(),
+    kept = df.join(allowed.select(F.col("SKU").alias("_allowed")),
                    F.col(key).cast("string") == F.col("_allowed"), "left_semi")
     cols = []
     for name, src in metrics.items():

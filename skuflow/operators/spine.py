@@ -1,31 +1,21 @@
 """The channel × SKU report grid and what happens on it.
 
 The grid is bounded by configuration: the SKU dimension times the configured
-channel list. It is generated by exploding the (literal, configured) channel list
-over the SKU dimension, so there is no join to build it and its size is exactly
-the report size. Facts reach the grid already aggregated to one row per
-(Channel, SKU), which keeps every join here at report scale.
+channel list. It is generated by exploding the literal channel list over the SKU
+dimension — there is no join to build it and its size is exactly the report
+size. Facts reach the grid already aggregated to one row per (Channel, SKU), so
+the join and the per-channel window below are report-sized, never fact-sized.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.ids import row_id, sku_channel_id
-
-BUNDLES_SKU = "Bundles"
-
-
-def channel_dates(facts: DataFrame, channels: Sequence[str], date_col: str = "Date") -> DataFrame:
-    """One report date per configured channel (max, never order-dependent ``first``).
-
-    The result has at most ``len(channels)`` rows, so broadcasting it is safe.
-    """
-    return (facts.where(F.col("Channel").isin(list(channels)))
-            .groupBy("Channel").agg(F.max(date_col).alias("Date")))
+from skuflow.operators.mapping import BUNDLES_SKU
 
 
 def _channel_array(channels: Sequence[str]) -> Column:
@@ -33,49 +23,51 @@ def _channel_array(channels: Sequence[str]) -> Column:
                      for i, c in enumerate(channels)])
 
 
-def grid(sku_dim: DataFrame, channels: Sequence[str], dates: DataFrame | None, run_date) -> DataFrame:
-    """Every configured channel × every SKU, dated with the channel's own
-    report date, else the run date.
+def grid(sku_dim: DataFrame, channels: Sequence[str], with_bundles: bool = False) -> DataFrame:
+    """J8 (+ R3): every configured channel × every SKU (and one ``Bundles`` row per
+    channel). ``sku_dim`` has ``SKU`` and optionally ``sku_rank``.
+    Output: Channel, channel_rank, SKU, sku_rank."""
+    rank = F.col("sku_rank").cast("int") if "sku_rank" in sku_dim.columns else F.lit(None).cast("int")
+    skus = sku_dim.select(F.col("SKU").cast("string").alias("SKU"), rank.alias("sku_rank"))
+    if with_bundles:
+        bundles = skus.sparkSession.range(1).select(F.lit(BUNDLES_SKU).alias("SKU"), F.lit(-1).alias("sku_rank"))
+        skus = bundles.unionByName(skus)
+    return (skus.select("SKU", "sku_rank", F.explode(_channel_array(channels)).alias("_ch"))
+            .select("_ch.Channel", "_ch.channel_rank", "SKU", "sku_rank"))
 
-    ``sku_dim`` has ``SKU`` and optionally ``sku_rank``. Output columns:
-    Channel, channel_rank, SKU, sku_rank, Date.
-    """
-    rank = F.col("sku_rank") if "sku_rank" in sku_dim.columns else F.lit(None).cast("int")
-    g = (sku_dim.select(F.col("SKU").cast("string").alias("SKU"), rank.alias("sku_rank"),
-                        F.explode(_channel_array(channels)).alias("_ch"))
-         .select("_ch.Channel", "_ch.channel_rank", "SKU", "sku_rank"))
-    return _dated(g, dates, run_date)
 
+def channel_dates(facts: DataFrame, channels: Sequence[str], date_col: str = "Date") -> DataFrame:
+    """One report date per configured channel (max, never the order-dependent
+    ``first``). At most ``len(channels)`` rows."""
+    return (facts.where(F.col("Channel").isin(list(channels)))
+            .groupBy("Channel").agg(F.max(date_col).alias("Date")))
 
-def _dated(g: DataFrame, dates: DataFrame | None, run_date) -> DataFrame:
-    run = F.to_date(F.lit(str(run_date)))
-    if dates is None:
-        return g.withColumn("Date", run)
-    # dates has at most one row per configured channel (see channel_dates)
-    return (g.join(F.broadcast(dates.select("Channel", F.col("Date").alias("_d"))), "Channel", "left")
-            .withColumn("Date", F.coalesce("_d", run)).drop("_d"))
 
+def onto_grid(g: DataFrame, facts: DataFrame, metrics: Sequence[str], run_date,
+              channels: Sequence[str]) -> DataFrame:
+    """J4 + P14 + A7: place aggregated facts on the grid, fill missing metrics with 0,
+    and date every row with its channel's latest fact date (run date if the
+    channel has no facts).
 
-def bundle_grid(channels: Sequence[str], dates: DataFrame | None, run_date, spark) -> DataFrame:
-    """One ``Bundles`` row per configured channel."""
-    g = (spark.range(1)
-         .select(F.explode(_channel_array(channels)).alias("_ch"))
-         .select("_ch.Channel", "_ch.channel_rank", F.lit(BUNDLES_SKU).alias("SKU"),
-                 F.lit(-1).alias("sku_rank")))
-    return _dated(g, dates, run_date)
+    ``facts``: Channel, SKU, Date, *metrics — one row per (Channel, SKU). Facts
+    outside the grid (unknown SKUs, unmapped volume) still date their channel and
+    then drop out (L8). A full join followed by a window over the report-sized
+    result keeps this to one pass over ``facts``.
+    """
+    f = facts.where(F.col("Channel").isin(list(channels))).select("Channel", "SKU", "Date", *metrics)
+    j = g.withColumn("_grid", F.lit(True)).join(f, ["Channel", "SKU"], "full")
+    run = F.to_date(F.lit(str(run_date)))
+    day = F.coalesce(F.max("Date").over(Window.partitionBy("Channel")), run)
+    return (j.withColumn("Date", day)
+            .where(F.col("_grid"))
+            .select(*g.columns, "Date", *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics]))
 
 
 def zero_fill(spine: DataFrame, facts: DataFrame, metrics: Sequence[str],
               keys: Sequence[str] = ("Channel", "SKU", "Date")) -> DataFrame:
-    """J4 + P14: left join aggregated facts onto the grid, missing metrics -> 0.
-
-    ``facts`` must be unique per ``keys``; unknown channels/SKUs drop out here (L8)
-    and are reported separately by the quality operators.
-    """
-    f = facts.select(*keys, *metrics)
-    out = spine.join(f, list(keys), "left")
-    return out.select(*[c for c in spine.columns],
-                      *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics])
+    """J4 + P14 on an already dated spine: left join, missing metrics -> 0."""
+    out = spine.join(facts.select(*keys, *metrics), list(keys), "left")
+    return out.select(*spine.columns, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics])
 
 
 def clip_negatives(df: DataFrame, metrics: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -46,10 +46,11 @@ bgrid AS (SELECT ch.channel, 'Bundles' AS sku, coalesce(cd.d, DATE '{RUN_DATE}')
           FROM ch LEFT JOIN cd ON cd.channel = ch.channel)"""
 
 REPORT = f"""body AS (
-  SELECT g.channel, g.sku, g.d, coalesce(s.units, 0) AS units, coalesce(s.revenue, 0) AS revenue
+  SELECT g.channel, g.sku, g.d, coalesce(s.units, 0) AS units,
+         cast(coalesce(s.revenue, 0) AS DECIMAL(38,4)) AS revenue
   FROM grid g LEFT JOIN sales s ON s.channel = g.channel AND s.sku = g.sku
   UNION ALL
-  SELECT g.channel, g.sku, g.d, coalesce(b.units, 0), coalesce(b.revenue, 0)
+  SELECT g.channel, g.sku, g.d, coalesce(b.units, 0), cast(coalesce(b.revenue, 0) AS DECIMAL(38,4))
   FROM bgrid g LEFT JOIN bund b ON b.channel = g.channel),
 report AS (
   SELECT strftime(DATE '{RUN_DATE}', '%Y%m%d') || '_' || replace(channel, ' ', '_') || '_' || sku AS id,

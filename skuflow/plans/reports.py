@@ -1,8 +1,8 @@
 """Published reports.
 
-Both reports are the configured channel × SKU grid with aggregated facts
-left-joined onto it. Inputs are already one row per (Channel, SKU) per source,
-so every join here is report-sized; the grid itself is a generate, not a join.
+Both reports are the configured channel × SKU grid with aggregated facts placed
+onto it. Inputs are one row per (Channel, SKU) per source, so every join here is
+report-sized; the grid itself is a generate, not a join.
 """
 
 from __future__ import annotations
@@ -12,9 +12,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.operators.spine import (
-    BUNDLES_SKU, bundle_grid, channel_dates, clip_negatives, grid, with_ids, zero_fill,
-)
+from skuflow.operators.mapping import BUNDLES_SKU
+from skuflow.operators.spine import clip_negatives, grid, onto_grid, with_ids
 
 SALES_COLUMNS = ["id", "sku_channel_id", "Date", "SKU", "Channel", "Units", "Revenue"]
 INVENTORY_COLUMNS = ["id", "sku_channel_id", "Date", "SKU", "Channel", "Units", "Inventory", "Inbound"]
@@ -22,32 +21,18 @@ INVENTORY_METRICS = ["Units", "Inventory", "Inbound"]
 RANKS = ["channel_rank", "sku_rank"]
 
 
-def sales_report(sales: DataFrame, bundles: DataFrame | None, sku_dim: DataFrame,
-                 channels: Sequence[str], run_date, dates: DataFrame | None = None,
+def sales_report(long: DataFrame, sku_dim: DataFrame, channels: Sequence[str], run_date,
                  keep_ranks: bool = False) -> DataFrame:
     """R2 + R3 + R4.
 
-    ``sales``: Channel, SKU, Units, Revenue and (unless ``dates`` is given) Date.
-    ``bundles``: Channel, Units, Revenue (+ Date) — original bundle volume per channel.
-    ``dates``: optional (Channel, Date) table; defaults to the max Date per channel
-    of ``sales`` (A7).
-    Units are truncated to long; Revenue is rounded half-even to cents.
+    ``long``: Channel, SKU, Date, Units, Revenue — per-SKU volume plus the
+    reserved ``Bundles`` SKU carrying the original bundle volume (rows with other
+    SKUs, e.g. NULL for unmapped volume, only date their channel). Units are
+    truncated to long; Revenue is rounded half-even to cents.
     """
-    spark = sales.sparkSession
-    if dates is None:
-        dates = channel_dates(sales, channels)
-    keys = ["Channel", "SKU", "Date"] if "Date" in sales.columns else ["Channel", "SKU"]
-    facts = sales.groupBy(*keys).agg(F.sum("Units").alias("Units"), F.sum("Revenue").alias("Revenue"))
-    body = zero_fill(grid(sku_dim, channels, dates, run_date), facts, ["Units", "Revenue"], keys)
-    parts = [body]
-    bgrid = bundle_grid(channels, dates, run_date, spark)
-    if bundles is not None:
-        bkeys = ["Channel", "Date"] if "Date" in bundles.columns else ["Channel"]
-        b = bundles.groupBy(*bkeys).agg(F.sum("Units").alias("Units"), F.sum("Revenue").alias("Revenue"))
-        parts.insert(0, zero_fill(bgrid, b, ["Units", "Revenue"], bkeys))
-    else:
-        parts.insert(0, bgrid.withColumns({"Units": F.lit(0), "Revenue": F.lit(0)}))
-    out = parts[0].unionByName(parts[1])
+    facts = long.groupBy("Channel", "SKU").agg(
+        F.sum("Units").alias("Units"), F.sum("Revenue").alias("Revenue"), F.max("Date").alias("Date"))
+    out = onto_grid(grid(sku_dim, channels, with_bundles=True), facts, ["Units", "Revenue"], run_date, channels)
     out = out.withColumns({
         "Units": F.col("Units").cast("long"),
         "Revenue": F.bround(F.col("Revenue").cast("decimal(38,4)"), 2).cast("double"),
@@ -63,9 +48,9 @@ def inventory_report(facts: DataFrame, sku_dim: DataFrame, channels: Sequence[st
     ``facts``: Channel, SKU, Date, Units, Inventory, Inbound (one row per
     Channel × SKU from the channel builders).
     """
-    dates = channel_dates(facts, channels)
-    agg = facts.groupBy("Channel", "SKU", "Date").agg(*[F.sum(m).alias(m) for m in INVENTORY_METRICS])
-    body = zero_fill(grid(sku_dim, channels, dates, run_date), agg, INVENTORY_METRICS)
+    agg = facts.groupBy("Channel", "SKU").agg(
+        *[F.sum(m).alias(m) for m in INVENTORY_METRICS], F.max("Date").alias("Date"))
+    body = onto_grid(grid(sku_dim, channels), agg, INVENTORY_METRICS, run_date, channels)
     body = body.withColumns({m: F.col(m).cast("long") for m in INVENTORY_METRICS})
     clipped, offenders = clip_negatives(body, INVENTORY_METRICS)
     out = with_ids(clipped, run_date)
@@ -74,8 +59,8 @@ def inventory_report(facts: DataFrame, sku_dim: DataFrame, channels: Sequence[st
 
 def wide_sales(report: DataFrame, channels: Sequence[str]) -> DataFrame:
     """One row per SKU, ``"<channel> (Units)"`` and ``"<channel> (Revenue)"``
-    per configured channel (missing -> 0). Conditional sums instead of ``pivot``
-    so the channel list is fixed and no distinct-values job is needed."""
+    per configured channel (missing -> 0). Conditional sums over the fixed channel
+    list instead of ``pivot``, so no distinct-values job runs first."""
     aggs = []
     for ch in channels:
         hit = F.col("Channel") == F.lit(ch)

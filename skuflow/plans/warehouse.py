@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.functions import not_equal_keep_null
-from skuflow.operators.mapping import map_sales
-from skuflow.operators.spine import BUNDLES_SKU, channel_dates, grid
+from skuflow.operators.mapping import map_sales, unmapped_keys as _unmapped
+from skuflow.operators.spine import grid
 from skuflow.plans.reports import sales_report, wide_sales
 
 # The configured channel list of the warehouse roles (order
@@ -95,10 +95,7 @@ def sales_by_sku_channel(spark, sf_dir) -> DataFrame:
 
 
 def _report(t: Tables, keep_ranks=False) -> DataFrame:
-    m = mapped(t)
-    dates = channel_dates(m.keyed, CHANNELS)
-    return sales_report(m.sales, m.bundles, master_skus(t), CHANNELS, RUN_DATE, dates=dates,
-                        keep_ranks=keep_ranks)
+    return sales_report(mapped(t).long, master_skus(t), CHANNELS, RUN_DATE, keep_ranks=keep_ranks)
 
 
 def sales_report_zero_filled(spark, sf_dir) -> DataFrame:
@@ -119,8 +116,9 @@ def bundle_rows(spark, sf_dir) -> DataFrame:
 
 def unmapped_keys(spark, sf_dir) -> DataFrame:
     """M3 + J7: keys without a mapping, with their volume, per channel."""
-    m = mapped(Tables(spark, sf_dir))
-    return m.unmapped.select("Channel", "source_key", "Units", _money("Revenue").alias("Revenue"),
+    t = Tables(spark, sf_dir)
+    keyed = mapped(t).keyed
+    return _unmapped(keyed, part_mapping(t)).select("Channel", "source_key", "Units", _money("Revenue").alias("Revenue"),
                              F.col("rows").cast("long").alias("rows"))
 
 
@@ -130,7 +128,7 @@ def missing_skus_by_channel(spark, sf_dir) -> DataFrame:
     t = Tables(spark, sf_dir)
     m = mapped(t)
     present = m.sales.select("Channel", "SKU").where(F.col("Channel").isin(CHANNELS))
-    g = grid(master_skus(t), CHANNELS, None, RUN_DATE).select("Channel", "SKU")
+    g = grid(master_skus(t), CHANNELS).select("Channel", "SKU")
     missing = g.join(present, ["Channel", "SKU"], "left_anti").withColumn("issue", F.lit("missing"))
     unknown = present.join(master_skus(t), "SKU", "left_anti").withColumn("issue", F.lit("unknown"))
     return missing.unionByName(unknown).select("Channel", "SKU", "issue")
