@@ -94,3 +94,141 @@ SELECT channel AS "Channel", sku AS "SKU", 'missing' AS issue FROM (SELECT chann
 UNION ALL
 SELECT channel, sku, 'unknown' FROM present p WHERE NOT EXISTS (SELECT 1 FROM skus s WHERE s.sku = p.sku)""",
 }
+
+_CATALOG = f"SELECT cast(p_partkey AS VARCHAR) AS sku FROM part WHERE p_size < {UNMAPPED_MIN_SIZE}"
+
+
+def _violations(table: str, rules: list[tuple[str, str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{col}' AS \"column\", '{rule}' AS rule, "
+        f"cast(sum(CASE WHEN coalesce({valid}, false) THEN 0 ELSE 1 END) AS BIGINT) AS violations FROM {table}"
+        for col, rule, valid in rules)
+
+
+SQL.update({
+    "status_substring_filter":
+        "SELECT o_orderkey, o_orderpriority FROM orders "
+        "WHERE NOT coalesce(contains(lower(trim(o_orderpriority)), 'low'), false)",
+
+    "null_safe_not_equal":
+        "SELECT o_orderkey, nullif(o_orderstatus, 'F') AS status FROM orders "
+        "WHERE nullif(o_orderstatus, 'F') IS DISTINCT FROM 'O'",
+
+    "status_exact_filter":
+        "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'",
+
+    "either_positive_filter":
+        "SELECT l_returnflag, l_linestatus, count(*) AS lines, sum(l_quantity) AS units FROM lineitem "
+        "WHERE l_discount > 0.05 OR l_tax > 0.05 GROUP BY l_returnflag, l_linestatus",
+
+    "membership_semi":
+        "SELECT l_returnflag, count(*) AS lines, sum(l_quantity) AS units FROM lineitem "
+        "WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO') GROUP BY l_returnflag",
+
+    "sku_suffix_normalize": """WITH raw AS (
+  SELECT CASE WHEN p_type = 'PROMO' THEN p_brand || 's' ELSE p_brand END AS raw_key, p_size,
+         cast(floor(p_retailprice) AS BIGINT) AS pf FROM part),
+allowed AS (SELECT p_brand AS k FROM part UNION SELECT p_brand || 's' FROM part WHERE p_type = 'PROMO' AND p_size < 10)
+SELECT regexp_replace(raw_key, 's$', '') AS "SKU", cast(sum(p_size) AS BIGINT) AS "Units",
+       cast(sum(p_size + pf) AS BIGINT) AS "Inventory"
+FROM raw WHERE raw_key IN (SELECT k FROM allowed) GROUP BY 1""",
+
+    "row_wise_sum":
+        "SELECT l_orderkey, l_linenumber, coalesce(l_quantity, 0) + coalesce(l_tax, 0) + coalesce(l_discount, 0) AS total "
+        "FROM lineitem",
+
+    "money_clean": """WITH t AS (SELECT o_orderkey, '$' || format('{:,.2f}', o_totalprice) AS money_text FROM orders)
+SELECT o_orderkey, money_text,
+       cast(cast(nullif(trim(replace(replace(money_text, '$', ''), ',', '')), '') AS DECIMAL(18,4)) AS DOUBLE) AS amount
+FROM t""",
+
+    "coerce_number": """SELECT event_type, count(*) AS events,
+  cast(sum(coalesce(TRY_CAST(nullif(trim(json_extract_string(props, '$.k')), '') AS BIGINT), 0)) AS BIGINT) AS k_total,
+  cast(sum(CASE WHEN trim(event_type) IS NOT NULL AND trim(event_type) <> ''
+                 AND TRY_CAST(trim(event_type) AS DOUBLE) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS text_coerced
+FROM events GROUP BY event_type""",
+
+    "json_field": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
+
+    "json_items_explode": f"""SELECT p.p_brand AS "SKU", cast(sum(cast(l.l_quantity AS BIGINT)) AS BIGINT) AS "Units"
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
+WHERE o.o_orderstatus IS DISTINCT FROM '{EXCLUDED_STATUS}' AND p.p_size < {UNMAPPED_MIN_SIZE}
+GROUP BY p.p_brand""",
+
+    "dict_lookup": "SELECT s_suppkey, n_name AS nation FROM supplier JOIN nation ON n_nationkey = s_nationkey",
+
+    "reserve_clip": f"""SELECT cast(l_partkey AS VARCHAR) AS "SKU",
+  sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0.0 END) AS "DTC",
+  greatest(0, sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0.0 END)
+              - sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END)) AS "Reserve"
+FROM lineitem WHERE cast(l_partkey AS VARCHAR) IN ({_CATALOG}) GROUP BY 1""",
+
+    "outer_merge_measures": f"""WITH s AS (
+  SELECT cast(l_partkey AS VARCHAR) AS sku, sum(l_quantity) AS units FROM lineitem
+  WHERE l_returnflag = 'R' AND l_linestatus = 'F' GROUP BY 1),
+i AS (SELECT cast(l_partkey AS VARCHAR) AS sku, sum(l_quantity) AS inv, count(*) AS inb FROM lineitem
+      WHERE l_returnflag = 'A' AND l_linestatus = 'O' GROUP BY 1),
+m AS (SELECT coalesce(s.sku, i.sku) AS sku, s.units, i.inv, i.inb FROM s FULL JOIN i ON s.sku = i.sku),
+t AS ({_CATALOG})
+SELECT t.sku AS "SKU", cast(trunc(coalesce(m.units, 0)) AS BIGINT) AS "Units",
+       cast(trunc(coalesce(m.inv, 0)) AS BIGINT) AS "Inventory", cast(coalesce(m.inb, 0) AS BIGINT) AS "Inbound"
+FROM t LEFT JOIN m ON m.sku = t.sku""",
+
+    "chained_template": f"""WITH li AS (SELECT cast(l_partkey AS VARCHAR) AS sku, l_returnflag, l_linestatus, l_quantity FROM lineitem),
+t AS ({_CATALOG})
+SELECT t.sku AS "SKU",
+  coalesce(sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END), 0.0) AS "Inventory",
+  coalesce(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END), 0.0) AS "Units",
+  coalesce(sum(CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN l_quantity END), 0.0) AS "Inbound"
+FROM t LEFT JOIN li ON li.sku = t.sku GROUP BY t.sku""",
+
+    "union_channels":
+        "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment, 'customer' AS kind "
+        "FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal, NULL, 'supplier' FROM supplier",
+
+    "channel_bucket": """SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'TikTok Shopify' WHEN 'BUILDING' THEN 'Target'
+  WHEN 'AUTOMOBILE' THEN 'Shopify' WHEN 'FURNITURE' THEN 'Shopify' ELSE 'Others' END AS bucket,
+  count(*) AS customers, cast(sum(cast(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
+FROM customer GROUP BY 1""",
+
+    "channel_dates": f"""WITH d AS (SELECT o_orderpriority AS ch, max(cast(o_orderdate AS DATE)) AS d FROM orders
+           WHERE o_orderstatus IS DISTINCT FROM '{EXCLUDED_STATUS}' GROUP BY 1),
+ch AS (SELECT * FROM (VALUES {_CH_VALUES}) t(channel_rank, channel))
+SELECT ch.channel AS "Channel", ch.channel_rank, d.d AS data_date,
+       coalesce(strftime(d.d, '%Y-%m-%d'), 'No data') AS status
+FROM ch LEFT JOIN d ON d.ch = ch.channel""",
+
+    "surrogate_ids": """SELECT o_orderkey,
+  strftime(cast(o_orderdate AS DATE), '%Y%m%d') || '_' || replace(o_orderpriority, ' ', '_') || '_' || cast(o_custkey AS VARCHAR) AS id,
+  replace(o_orderpriority, ' ', '_') || '_' || cast(o_custkey AS VARCHAR) AS sku_channel_id
+FROM orders""",
+
+    "clip_with_offenders":
+        'SELECT c_mktsegment AS "Channel", cast(c_custkey AS VARCHAR) AS "SKU", greatest(c_acctbal, 0.0) AS c_acctbal '
+        "FROM customer",
+
+    "negative_offenders":
+        'SELECT c_mktsegment AS "Channel", cast(c_custkey AS VARCHAR) AS "SKU", \'c_acctbal\' AS metric, '
+        "c_acctbal AS value FROM customer WHERE c_acctbal < 0",
+
+    "contract_violations": _violations("customer", [
+        ("c_name", "required", "c_name IS NOT NULL"),
+        ("c_mktsegment", "required", "c_mktsegment IS NOT NULL"),
+        ("c_acctbal", "non_negative", "c_acctbal >= 0"),
+        ("c_nationkey", "integral", "cast(c_nationkey AS DOUBLE) = floor(cast(c_nationkey AS DOUBLE))"),
+    ]),
+
+    "report_contract": _with(*MAPPED, SALES, BUNDLES, GRID, REPORT) + _violations("report", [
+        ("id", "required", "id IS NOT NULL"),
+        ("sku_channel_id", "required", "sku_channel_id IS NOT NULL"),
+        ("Date", "required", '"Date" IS NOT NULL'),
+        ("SKU", "required", '"SKU" IS NOT NULL'),
+        ("Channel", "required", '"Channel" IS NOT NULL'),
+        ("Units", "integral", 'cast("Units" AS DOUBLE) = floor(cast("Units" AS DOUBLE))'),
+    ]),
+
+    "price_times_qty": """SELECT p_brand AS "SKU", sum(l_quantity) AS "Units",
+  cast(sum(cast(p_retailprice AS DECIMAL(18,4)) * cast(l_quantity AS DECIMAL(18,4))) AS DOUBLE) AS "Revenue"
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+WHERE o_orderstatus IN ('F', 'O') GROUP BY p_brand""",
+})

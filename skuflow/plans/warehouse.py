@@ -15,9 +15,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.functions import not_equal_keep_null
-from skuflow.operators.mapping import map_sales, unmapped_keys as _unmapped
-from skuflow.operators.spine import grid
+from skuflow.functions import (
+    clean_money, coerced, excludes_ci, json_field, not_equal_keep_null, row_id, row_sum, sku_channel_id, to_number,
+)
+from skuflow.operators.mapping import map_sales, normalize_amazon_skus, unmapped_keys as _unmapped
+from skuflow.operators.measures import assemble, clipped_difference
+from skuflow.operators.quality import Contract, channel_status, violation_counts
+from skuflow.operators.spine import channel_dates, clip_negatives, grid
+from skuflow.plans.channels import bucket_channel, order_item_units, walmart_orders, wfs
 from skuflow.plans.reports import sales_report, wide_sales
 
 # The configured channel list of the warehouse roles (order
@@ -134,6 +139,247 @@ def missing_skus_by_channel(spark, sf_dir) -> DataFrame:
     return missing.unionByName(unknown).select("Channel", "SKU", "issue")
 
 
+# --- predicates and scalar functions ----------------------------------------------------
+
+def status_substring_filter(spark, sf_dir) -> DataFrame:
+    """P6 + F4 + F5: drop rows whose priority contains 'low' in any case; NULL kept."""
+    return (Tables(spark, sf_dir).orders.where(excludes_ci("o_orderpriority", "low"))
+            .select("o_orderkey", "o_orderpriority"))
+
+
+def null_safe_not_equal(spark, sf_dir) -> DataFrame:
+    """``status != 'O'`` keeping NULL statuses (here 'F' is blanked to NULL)."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("status"))
+    return o.where(not_equal_keep_null("status", "O"))
+
+
+def status_exact_filter(spark, sf_dir) -> DataFrame:
+    """P5: two conjunctive equality filters (merged into one scan predicate)."""
+    o = Tables(spark, sf_dir).orders
+    return (o.where(F.col("o_orderstatus") == "F").where(F.col("o_orderpriority") == "1-URGENT")
+            .select("o_orderkey", "o_totalprice"))
+
+
+def either_positive_filter(spark, sf_dir) -> DataFrame:
+    """Disjunctive numeric predicate, then counts per flag."""
+    li = Tables(spark, sf_dir).lineitem
+    kept = li.where((F.col("l_discount") > 0.05) | (F.col("l_tax") > 0.05))
+    return kept.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("units"))
+
+
+def membership_semi(spark, sf_dir) -> DataFrame:
+    """P9 + J6: lines of PROMO parts via a left-semi join."""
+    t = Tables(spark, sf_dir)
+    promo = t.part.where(F.col("p_type") == "PROMO").select(F.col("p_partkey").alias("l_partkey"))
+    kept = t.lineitem.join(promo, "l_partkey", "left_semi")
+    return kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("units"))
+
+
+def sku_suffix_normalize(spark, sf_dir) -> DataFrame:
+    """M5 + F6 + A4: raw keys with a trailing 's' (PROMO parts), allow-list semi
+    join before stripping, collisions summed."""
+    part = Tables(spark, sf_dir).part
+    raw = part.select(F.when(F.col("p_type") == "PROMO", F.concat("p_brand", F.lit("s"))).otherwise(F.col("p_brand"))
+                      .alias("raw_key"), "p_size", F.floor("p_retailprice").alias("price_floor"))
+    allowed = (part.select(F.col("p_brand").alias("SKU"))
+               .unionByName(part.where((F.col("p_type") == "PROMO") & (F.col("p_size") < 10))
+                            .select(F.concat("p_brand", F.lit("s")).alias("SKU"))).distinct())
+    return normalize_amazon_skus(raw, "raw_key", allowed, {"Units": "p_size", "Inventory": ["p_size", "price_floor"]})
+
+
+def row_wise_sum(spark, sf_dir) -> DataFrame:
+    """A4: row-wise sum with missing = 0."""
+    li = Tables(spark, sf_dir).lineitem
+    return li.select("l_orderkey", "l_linenumber", row_sum("l_quantity", "l_tax", "l_discount").alias("total"))
+
+
+def money_clean(spark, sf_dir) -> DataFrame:
+    """F1: currency text ``$1,234.56`` back to an amount."""
+    o = Tables(spark, sf_dir).orders
+    text = F.concat(F.lit("$"), F.format_number("o_totalprice", 2))
+    return o.select("o_orderkey", text.alias("money_text"), clean_money(text).cast("double").alias("amount"))
+
+
+def coerce_number(spark, sf_dir) -> DataFrame:
+    """F2 + Q7: lenient numbers (JSON digits parse, event names do not) and the
+    count of present values that were forced to 0."""
+    e = Tables(spark, sf_dir).events
+    k_raw = json_field("props", "k")
+    return e.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(to_number(k_raw, "long")).cast("long").alias("k_total"),
+        F.sum(coerced("event_type", F.trim("event_type").try_cast("double"))).cast("long").alias("text_coerced"))
+
+
+def json_field_query(spark, sf_dir) -> DataFrame:
+    """one field of a JSON object column."""
+    e = Tables(spark, sf_dir).events
+    return e.select("event_id", json_field("props", "k").alias("k"))
+
+
+def json_items_explode(spark, sf_dir) -> DataFrame:
+    """F15 + F16 + F17 + J5 + C15: per-order items JSON (built from the lines),
+    cancelled orders dropped, items exploded, DSKU looked up, qty summed by SKU."""
+    t = Tables(spark, sf_dir)
+    items = (t.lineitem.groupBy("l_orderkey")
+             .agg(F.to_json(F.collect_list(F.struct(F.col("l_partkey").cast("string").alias("dsku"),
+                                                    F.col("l_quantity").cast("long").alias("qty")))).alias("Items")))
+    orders = (t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") == EXCLUDED_STATUS, "CANCELLED")
+                              .otherwise("FULFILLED").alias("Order Status"))
+              .join(items, F.col("o_orderkey") == F.col("l_orderkey")))
+    return order_item_units(orders, dsku_dim(t), "Order Status", "Items")
+
+
+def dsku_dim(t: Tables) -> DataFrame:
+    return (t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE)
+            .select(F.col("p_partkey").cast("string").alias("dsku"), F.col("p_brand").alias("SKU")))
+
+
+def dict_lookup(spark, sf_dir) -> DataFrame:
+    """Scalar dictionary lookup as an inner join (unknown keys drop)."""
+    t = Tables(spark, sf_dir)
+    n = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nation"))
+    return t.supplier.join(n, "s_nationkey", "inner").select("s_suppkey", "nation")
+
+
+# --- measures on templates (inventory channel shapes) -----------------------------------
+
+def _flag_qty(flag):
+    return F.when(F.col("l_returnflag") == flag, F.col("l_quantity")).otherwise(0.0)
+
+
+def catalog_template(t: Tables) -> DataFrame:
+    return t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE).select(F.col("p_partkey").cast("string").alias("SKU"))
+
+
+def reserve_clip(spark, sf_dir) -> DataFrame:
+    """A6 + F12 + C14: levels per MSKU over facilities (lines): DTC = Σ DTC,
+    Reserve = max(0, Σ RS − Σ Ops WIP); only catalog SKUs (semi join)."""
+    t = Tables(spark, sf_dir)
+    levels = t.lineitem.select(F.col("l_partkey").cast("string").alias("MSKU"),
+                               _flag_qty("A").alias("DTC Total Quantity"), _flag_qty("N").alias("RS Total Quantity"),
+                               _flag_qty("R").alias("Ops WIP Quantity"))
+    agg = (levels.join(catalog_template(t).withColumnRenamed("SKU", "MSKU"), "MSKU", "left_semi")
+           .groupBy(F.col("MSKU").alias("SKU"))
+           .agg(F.sum("DTC Total Quantity").alias("DTC"), F.sum("RS Total Quantity").alias("rs"),
+                F.sum("Ops WIP Quantity").alias("wip")))
+    return agg.select("SKU", "DTC", clipped_difference("rs", "wip").alias("Reserve"))
+
+
+def outer_merge_measures(spark, sf_dir) -> DataFrame:
+    """J2 + C18: sales units ⟗ inventory (both aggregated per SKU), then the
+    catalog template; WFS-shaped raw frames are derived from the lines."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem
+    sales_raw = (li.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
+                 .select(F.col("l_partkey").cast("string").alias("SKU"), F.col("l_quantity").alias("Units_Sold")))
+    inv_raw = (li.where((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"))
+               .select(F.col("l_partkey").cast("string").alias("SKU"), F.col("l_quantity").alias("Available units"),
+                       F.lit(1).alias("Inbound units")))
+    return wfs(sales_raw, inv_raw, catalog_template(t)).drop("Channel")
+
+
+def chained_template(spark, sf_dir) -> DataFrame:
+    """J1 + J3 + C17: three measures onto the catalog template with one
+    union + group-by instead of three chained joins."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select(F.col("l_partkey").cast("string").alias("SKU"), "l_returnflag", "l_linestatus",
+                           "l_quantity")
+    measures = {
+        "Inventory": li.where(F.col("l_returnflag") == "A").select("SKU", F.col("l_quantity").alias("value")),
+        "Units": li.where(F.col("l_returnflag") == "N").select("SKU", F.col("l_quantity").alias("value")),
+        "Inbound": li.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
+        .select("SKU", F.col("l_quantity").alias("value")),
+    }
+    return assemble(catalog_template(t), measures)
+
+
+def union_channels(spark, sf_dir) -> DataFrame:
+    """Union by name with missing columns filled with NULL."""
+    t = Tables(spark, sf_dir)
+    c = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                          F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"),
+                          F.lit("customer").alias("kind"))
+    s = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                          F.col("s_acctbal").alias("balance"), F.lit("supplier").alias("kind"))
+    return c.unionByName(s, allowMissingColumns=True)
+
+
+# Market segment -> reporting channel for the warehouse roles.
+SEGMENT_BUCKETS = {"MACHINERY": "TikTok Shopify", "BUILDING": "Target", "AUTOMOBILE": "Shopify",
+                   "FURNITURE": "Shopify"}
+
+
+def channel_bucket(spark, sf_dir) -> DataFrame:
+    """CASE bucketing with an 'Others' default."""
+    c = Tables(spark, sf_dir).customer
+    return (c.select(bucket_channel("c_mktsegment", SEGMENT_BUCKETS).alias("bucket"),
+                     F.col("c_acctbal").cast("decimal(18,2)").alias("bal"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("customers"), F.sum("bal").cast("double").alias("balance")))
+
+
+def channel_dates_query(spark, sf_dir) -> DataFrame:
+    """A7 + Q6: latest data date per configured channel, or 'No data'."""
+    o = Tables(spark, sf_dir).orders.where(not_equal_keep_null("o_orderstatus", EXCLUDED_STATUS))
+    facts = o.select(F.col("o_orderpriority").alias("Channel"), F.to_date("o_orderdate").alias("Date"))
+    return channel_status(CHANNELS, channel_dates(facts, CHANNELS))
+
+
+def surrogate_ids(spark, sf_dir) -> DataFrame:
+    """R4 + F7–F9: date_channel_key ids (spaces -> underscores)."""
+    o = Tables(spark, sf_dir).orders
+    d = F.to_date("o_orderdate")
+    return o.select("o_orderkey", row_id(d, "o_orderpriority", F.col("o_custkey").cast("string")).alias("id"),
+                    sku_channel_id("o_orderpriority", F.col("o_custkey").cast("string")).alias("sku_channel_id"))
+
+
+def _balances(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_mktsegment").alias("Channel"), F.col("c_custkey").cast("string").alias("SKU"),
+                             "c_acctbal")
+
+
+def clip_with_offenders(spark, sf_dir) -> DataFrame:
+    """Negatives clipped to 0."""
+    clipped, _ = clip_negatives(_balances(Tables(spark, sf_dir)), ["c_acctbal"])
+    return clipped
+
+
+def negative_offenders(spark, sf_dir) -> DataFrame:
+    """The offender table (every metric value below 0)."""
+    _, offenders = clip_negatives(_balances(Tables(spark, sf_dir)), ["c_acctbal"])
+    return offenders
+
+
+CUSTOMER_CONTRACT = dict(required=["c_name", "c_mktsegment"], non_negative=["c_acctbal"], integral=["c_nationkey"])
+
+
+def contract_violations(spark, sf_dir) -> DataFrame:
+    """Q3: per-rule violation counts in one aggregate pass."""
+    return violation_counts(Tables(spark, sf_dir).customer, Contract.of(**CUSTOMER_CONTRACT))
+
+
+def report_contract(spark, sf_dir) -> DataFrame:
+    """Q3/Q4 on the published sales report (what the gate checks before writing)."""
+    rep = _report(Tables(spark, sf_dir))
+    return violation_counts(rep, Contract.of(required=["id", "sku_channel_id", "Date", "SKU", "Channel"],
+                                             integral=["Units"]))
+
+
+def price_times_qty(spark, sf_dir) -> DataFrame:
+    """Status allow-list, Revenue = Quantity × Unit Price, summed by SKU."""
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("Order Line Status"))
+    p = t.part.select("p_partkey", "p_brand", "p_retailprice")
+    raw = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+           .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+           .join(p, F.col("l_partkey") == F.col("p_partkey"))
+           .select(F.col("p_brand").alias("SKU"), F.col("l_quantity").alias("Quantity"),
+                   F.col("p_retailprice").alias("Unit Price"), "Order Line Status"))
+    out = walmart_orders(raw, statuses=("F", "O"))
+    return out.select("SKU", "Units", F.col("Revenue").cast("double").alias("Revenue"))
+
+
 QUERIES = {
     "sales_by_sku_channel": sales_by_sku_channel,
     "sales_report_zero_filled": sales_report_zero_filled,
@@ -141,4 +387,28 @@ QUERIES = {
     "bundle_rows": bundle_rows,
     "unmapped_keys": unmapped_keys,
     "missing_skus_by_channel": missing_skus_by_channel,
+    "status_substring_filter": status_substring_filter,
+    "null_safe_not_equal": null_safe_not_equal,
+    "status_exact_filter": status_exact_filter,
+    "either_positive_filter": either_positive_filter,
+    "membership_semi": membership_semi,
+    "sku_suffix_normalize": sku_suffix_normalize,
+    "row_wise_sum": row_wise_sum,
+    "money_clean": money_clean,
+    "coerce_number": coerce_number,
+    "json_field": json_field_query,
+    "json_items_explode": json_items_explode,
+    "dict_lookup": dict_lookup,
+    "reserve_clip": reserve_clip,
+    "outer_merge_measures": outer_merge_measures,
+    "chained_template": chained_template,
+    "union_channels": union_channels,
+    "channel_bucket": channel_bucket,
+    "channel_dates": channel_dates_query,
+    "surrogate_ids": surrogate_ids,
+    "clip_with_offenders": clip_with_offenders,
+    "negative_offenders": negative_offenders,
+    "contract_violations": contract_violations,
+    "report_contract": report_contract,
+    "price_times_qty": price_times_qty,
 }
