@@ -13,4 +13,4 @@ def date_from_name(name, prefix: str = "", ext: str = "", case_insensitive: bool
     flags = "(?i)" if case_insensitive else ""
     pattern = f"{flags}^{re.escape(prefix)}(\\d{{4}}-\\d{{2}}-\\d{{2}}){re.escape(ext)}$"
     raw = F.regexp_extract(F.col(name) if isinstance(name, str) else name, pattern, 1)
-    return F.try_to_date(F.nullif(raw, F.lit("")), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.nullif(raw, F.lit("")), "yyyy-MM-dd")

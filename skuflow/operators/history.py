@@ -68,7 +68,8 @@ def run_summary(report: DataFrame, pipeline: str, source_files: Sequence[str], t
     r = report.where(F.col("SKU") != "Bundles") if exclude_bundles else report
     revenue = (F.bround(F.sum(F.col("Revenue").cast("decimal(38,2)")), 2).cast("double")
                if pipeline == "sales" and "Revenue" in report.columns else F.lit(None).cast("double"))
-    ts = F.current_timestamp() if timestamp is None else F.to_timestamp(F.lit(str(timestamp)))
+    ts = (F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss") if timestamp is None
+          else F.lit(str(timestamp)))
     return r.agg(
         ts.alias("timestamp"),
         F.lit(pipeline).alias("pipeline"),
@@ -93,13 +94,15 @@ def anomaly_flags(history: DataFrame, value: str = "total_units", by: Sequence[s
                   order: str = "report_date", runs: int = 7, threshold: float = 0.5) -> DataFrame:
     """Compare each run with the mean of the previous ``runs`` runs of the
     same pipeline; flag when it deviates by more than ``threshold`` × baseline.
-    The baseline is a sum/count pair over the frame so it is exact for decimals."""
+    The baseline is summed in the value's own type (exact for decimals) and
+    divided once."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(-runs, -1)
     v = F.col(value)
-    base = F.sum(v.cast("double")).over(w) / F.count(v).over(w)
+    n = F.count(v).over(w)
+    base = F.when(n > 0, F.sum(v).over(w).cast("double") / n)
+    dev = F.abs(v.cast("double") - F.col("baseline"))
     return (history.withColumn("baseline", base)
-            .withColumn("is_anomaly", F.coalesce(F.abs(v - F.col("baseline")) > F.lit(threshold) * F.col("baseline"),
-                                                 F.lit(False))))
+            .withColumn("is_anomaly", F.coalesce(dev > F.lit(threshold) * F.col("baseline"), F.lit(False))))
 
 
 def not_yet_logged(incoming: DataFrame, log: DataFrame, keys: Sequence[str] = ("pipeline", "report_date")) -> DataFrame:

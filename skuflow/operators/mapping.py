@@ -35,7 +35,8 @@ class MappedSales:
     """Result of :func:`map_sales` — lazy DataFrames over one pre-aggregate."""
 
     keyed: DataFrame   # source_key, *by, qty, rev, rows[, Date]
-    long: DataFrame    # *by, SKU, Units, Revenue, rows[, Date]; SKU 'Bundles' = bundle volume, NULL = unmapped
+    long: DataFrame    # *by, SKU, Units, Revenue, rows[, Date]; SKU 'Bundles' = bundle volume, NULL = unmapped;
+                       # ``rows`` sums to the raw fact rows per group
 
     @property
     def sales(self) -> DataFrame:
@@ -108,7 +109,10 @@ def map_sales(facts: DataFrame, mapping: DataFrame, key: str, qty: str, rev: str
     keyed = pre_aggregate(facts, key, qty, rev, by, date_col)
     joined = join_mapping(keyed, mapping, "left")
     dated = ["Date"] if date_col else []
-    items = joined.select(*by, *dated, "qty", "rows", F.explode(_items()).alias("_i"))
+    # raw row counts are attributed to the first item of each key only, so that
+    # summing ``rows`` over a channel gives its analyzed rows (Q5)
+    items = (joined.select(*by, *dated, "qty", "rows", F.posexplode(_items()).alias("_pos", "_i"))
+             .withColumn("rows", F.when(F.col("_pos") == 0, F.col("rows")).otherwise(F.lit(0).cast("long"))))
     aggs = [F.sum("qty").alias("Units"), F.sum("_i.Revenue").alias("Revenue"), F.sum("rows").alias("rows")]
     if date_col:
         aggs.append(F.max("Date").alias("Date"))

@@ -21,7 +21,7 @@ def reconcile(old: DataFrame, new: DataFrame, key: str = "SKU") -> DataFrame:
                                       "in_new": F.coalesce("in_new", F.lit(False))})
     return j.withColumns({
         "Units_Diff": F.round(F.col("New_Units") - F.col("Old_Units"), 0),
-        "Rev_Diff": F.col("New_Rev") - F.col("Old_Rev"),
+        "Rev_Diff": F.bround(F.col("New_Rev") - F.col("Old_Rev"), 2),
     })
 
 
@@ -38,5 +38,5 @@ def reconcile_totals(recon: DataFrame) -> DataFrame:
 
 def parity(recon: DataFrame, rel_tol: float = 0.01, abs_tol: float = 0.0) -> DataFrame:
     """Per SKU, is the new value within tolerance of the old one?"""
-    tol = F.greatest(F.lit(abs_tol), F.lit(rel_tol) * F.abs(F.col("Old_Rev")))
-    return recon.withColumn("within_tolerance", F.abs(F.col("Rev_Diff")) <= tol)
+    tol = F.greatest(F.lit(float(abs_tol)), F.lit(float(rel_tol)) * F.abs(F.col("Old_Rev").cast("double")))
+    return recon.withColumn("within_tolerance", F.abs(F.col("Rev_Diff").cast("double")) <= tol)

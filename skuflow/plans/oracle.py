@@ -232,3 +232,174 @@ FROM orders""",
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
 WHERE o_orderstatus IN ('F', 'O') GROUP BY p_brand""",
 })
+
+from skuflow.plans.warehouse import (  # noqa: E402
+    FBT_PRIORITIES, FLAG_CHANNEL, INVENTORY_CHANNELS, LEGACY_BEFORE, ROLLUP_FROM, ROLLUP_TO, RUN_TIMESTAMP,
+    SOURCE_FILES, SOURCE_NAMES,
+)
+from skuflow.plans.channels import SHOPIFY_BUCKETS  # noqa: E402
+from skuflow.sources.landed import SHOPIFY_SOURCE_TO_CHANNEL  # noqa: E402
+
+_PREFIXES = [f"Orders_{c.replace(' ', '_')}_" for c in CHANNELS]
+
+
+def _keyed_by_key(name: str, lines: str) -> str:
+    return f"{name} AS (SELECT source_key, sum(q) AS qty, sum(r) AS rev FROM {lines} GROUP BY source_key)"
+
+
+def _per_sku(name: str, keyed: str, mapping: str) -> str:
+    return f"""{name}_e AS (SELECT unnest(targets) AS sku, qty, cast(cast(rev AS DOUBLE) / len(targets) AS DECIMAL(18,4)) AS rev
+          FROM {keyed} JOIN {mapping} USING (source_key)),
+{name} AS (SELECT sku, sum(qty) AS units, sum(rev) AS revenue FROM {name}_e GROUP BY sku)"""
+
+
+_ALL_LINES = """lines_all AS (
+  SELECT cast(l.l_partkey AS VARCHAR) AS source_key, l.l_quantity AS q, cast(l.l_extendedprice AS DECIMAL(18,2)) AS r
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+_ONE_TO_ONE = f"m1 AS (SELECT cast(p_partkey AS VARCHAR) AS source_key, [p_brand] AS targets FROM part WHERE p_size < {UNMAPPED_MIN_SIZE})"
+
+_RECON = _with(LINES, _ALL_LINES, MAPPING, _ONE_TO_ONE, _keyed_by_key("ko", "lines_all"), _per_sku("old", "ko", "m1"),
+               _keyed_by_key("kn", "lines"), _per_sku("new", "kn", "m"),
+               """recon AS (SELECT coalesce(o.sku, n.sku) AS sku, coalesce(o.units, 0) AS old_units,
+                 coalesce(n.units, 0) AS new_units, coalesce(o.revenue, 0) AS old_rev, coalesce(n.revenue, 0) AS new_rev,
+                 o.sku IS NOT NULL AS in_old, n.sku IS NOT NULL AS in_new
+          FROM old o FULL JOIN new n ON o.sku = n.sku)""")
+
+_INV = f"""pre AS (
+  SELECT l_partkey, l_returnflag,
+         sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0.0 END) AS u,
+         sum(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0.0 END)
+           - sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0.0 END) AS inv,
+         count(*) AS inb, max(cast(l_shipdate AS DATE)) AS d
+  FROM lineitem GROUP BY l_partkey, l_returnflag),
+f AS (SELECT CASE l_returnflag {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in FLAG_CHANNEL.items())} ELSE 'Others' END AS channel,
+             p_brand AS sku, sum(u) AS u, sum(inv) AS inv, sum(inb) AS inb, max(d) AS d
+      FROM pre JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+ich AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(INVENTORY_CHANNELS))}) t(channel_rank, channel)),
+skus AS (SELECT DISTINCT p_brand AS sku FROM part),
+cd AS (SELECT channel, max(d) AS d FROM f GROUP BY channel),
+body AS (
+  SELECT g.channel, g.sku, coalesce(cd.d, DATE '{RUN_DATE}') AS d,
+         cast(trunc(coalesce(f.u, 0)) AS BIGINT) AS u, cast(trunc(coalesce(f.inv, 0)) AS BIGINT) AS inv,
+         cast(coalesce(f.inb, 0) AS BIGINT) AS inb
+  FROM (SELECT ich.channel, skus.sku FROM ich CROSS JOIN skus) g
+  LEFT JOIN f ON f.channel = g.channel AND f.sku = g.sku LEFT JOIN cd ON cd.channel = g.channel)"""
+
+_SHOP_CHANNEL = " ".join(
+    f"WHEN '{prio}' THEN '{SHOPIFY_BUCKETS.get(SHOPIFY_SOURCE_TO_CHANNEL.get(src, src), 'Others')}'"
+    for prio, src in SOURCE_NAMES.items())
+
+SQL.update({
+    "latest_per_prefix": f"""WITH l AS (
+  SELECT 'Orders_' || replace(o_orderpriority, ' ', '_') || '_' || strftime(cast(o_orderdate AS DATE), '%Y-%m-%d')
+         || CASE WHEN o_orderstatus = 'F' THEN '.txt' ELSE '.csv' END AS name FROM orders),
+p AS (SELECT name, regexp_extract(name, '^(Orders_.*_)(\\d{{4}}-\\d{{2}}-\\d{{2}})(\\.txt|\\.csv)$', 1) AS prefix,
+             try_strptime(regexp_extract(name, '^(Orders_.*_)(\\d{{4}}-\\d{{2}}-\\d{{2}})(\\.txt|\\.csv)$', 2), '%Y-%m-%d')::DATE AS d,
+             CASE regexp_extract(name, '^(Orders_.*_)(\\d{{4}}-\\d{{2}}-\\d{{2}})(\\.txt|\\.csv)$', 3) WHEN '.txt' THEN 0 ELSE 1 END AS er
+      FROM l),
+r AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY (d = DATE '{RUN_DATE}') DESC, d DESC, er ASC, name DESC) AS rn
+      FROM p WHERE d IS NOT NULL AND prefix IN ({", ".join(f"'{x}'" for x in _PREFIXES)}))
+SELECT prefix, name, d AS report_date FROM r WHERE rn = 1""",
+
+    "combine_history": """WITH s AS (
+  SELECT cast(date_trunc('month', l_shipdate) AS DATE) AS d, l_returnflag AS ch, cast(l_partkey AS VARCHAR) AS sku,
+         sum(l_quantity) AS u, count(*) AS inv, max(l_linenumber) AS inb
+  FROM lineitem GROUP BY 1, 2, 3)
+SELECT strftime(d, '%Y%m%d') || '_' || ch || '_' || sku AS id, ch || '_' || sku AS sku_channel_id, d AS "Date",
+       sku AS "SKU", ch AS "Channel", cast(trunc(u) AS BIGINT) AS "Units", cast(inv AS BIGINT) AS "Inventory",
+       cast(inb AS BIGINT) AS "Inbound"
+FROM s""",
+
+    "run_summary": _with(*MAPPED, SALES, BUNDLES, GRID, REPORT) + f"""SELECT '{RUN_TIMESTAMP}' AS "timestamp",
+  'sales' AS pipeline, max("Date") AS report_date, count(*) AS total_records,
+  cast(sum("Units") AS BIGINT) AS total_units,
+  cast(round_even(sum(cast("Revenue" AS DECIMAL(38,2))), 2) AS DOUBLE) AS total_revenue,
+  '{", ".join(SOURCE_FILES)}' AS source_files
+FROM report""",
+
+    "reconcile_sources": _RECON + """SELECT sku AS "SKU", old_units AS "Old_Units", new_units AS "New_Units",
+  round(new_units - old_units, 0) AS "Units_Diff", cast(old_rev AS DOUBLE) AS "Old_Rev", cast(new_rev AS DOUBLE) AS "New_Rev",
+  cast(round_even(new_rev - old_rev, 2) AS DOUBLE) AS "Rev_Diff", in_old, in_new
+FROM recon""",
+
+    "reconcile_totals": _RECON + """SELECT sum(old_units) AS old_units, sum(new_units) AS new_units,
+  cast(sum(old_rev) AS DOUBLE) AS old_revenue, cast(sum(new_rev) AS DOUBLE) AS new_revenue,
+  cast(sum(CASE WHEN in_old AND NOT in_new THEN 1 ELSE 0 END) AS BIGINT) AS only_in_old,
+  cast(sum(CASE WHEN in_new AND NOT in_old THEN 1 ELSE 0 END) AS BIGINT) AS only_in_new,
+  cast(sum(CASE WHEN round(new_units - old_units, 0) <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS units_diff_count,
+  sum(CASE WHEN round(new_units - old_units, 0) <> 0 THEN 1 ELSE 0 END) = 0 AS parsers_agree
+FROM recon""",
+
+    "parity_tolerance": _RECON + """SELECT sku AS "SKU", cast(round_even(new_rev - old_rev, 2) AS DOUBLE) AS "Rev_Diff",
+  abs(cast(round_even(new_rev - old_rev, 2) AS DOUBLE)) <= greatest(0.0, 0.01 * abs(cast(old_rev AS DOUBLE)))
+    AS within_tolerance
+FROM recon""",
+
+    "anomaly_trailing_7": """WITH d AS (
+  SELECT event_type AS pipeline, cast(ts AS DATE) AS report_date, sum(cast(value AS DECIMAL(18,2))) AS total
+  FROM events GROUP BY 1, 2),
+w AS (SELECT *, count(total) OVER w7 AS n, sum(total) OVER w7 AS s FROM d
+      WINDOW w7 AS (PARTITION BY pipeline ORDER BY report_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+b AS (SELECT *, CASE WHEN n > 0 THEN cast(s AS DOUBLE) / n END AS baseline FROM w)
+SELECT pipeline, report_date, cast(total AS DOUBLE) AS total, baseline,
+       coalesce(abs(cast(total AS DOUBLE) - baseline) > 0.5 * baseline, false) AS is_anomaly
+FROM b""",
+
+    "idempotency_guard": """SELECT DISTINCT o_orderpriority AS pipeline, cast(o_orderdate AS DATE) AS report_date
+FROM orders o WHERE o_orderstatus = 'O' AND NOT EXISTS (
+  SELECT 1 FROM orders f WHERE f.o_orderstatus = 'F' AND f.o_orderpriority = o.o_orderpriority
+    AND cast(f.o_orderdate AS DATE) = cast(o.o_orderdate AS DATE))""",
+
+    "sku_trend": """WITH m AS (
+  SELECT p_brand AS sku, cast(date_trunc('month', l_shipdate) AS DATE) AS d, sum(l_quantity) AS units
+  FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
+SELECT sku AS "SKU", d AS "Date", units AS "Units", lag(units) OVER (PARTITION BY sku ORDER BY d) AS "prev_Units",
+       units - lag(units) OVER (PARTITION BY sku ORDER BY d) AS "delta_Units"
+FROM m""",
+
+    "rollup_totals": f"""SELECT p_brand AS "SKU", o_orderpriority AS "Channel", sum(l_quantity) AS units,
+  cast(sum(cast(l_extendedprice AS DECIMAL(18,2)) * (1 - cast(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS net_sales,
+  GROUPING(p_brand, o_orderpriority) > 0 AS is_total
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+WHERE l_shipdate >= TIMESTAMP '{ROLLUP_FROM}' AND l_shipdate < TIMESTAMP '{ROLLUP_TO}'
+GROUP BY GROUPING SETS ((p_brand, o_orderpriority), ())""",
+
+    "net_of_discounts": _with(f"""li AS (
+  SELECT cast(l.l_partkey AS VARCHAR) AS source_key, CASE o.o_orderpriority {_SHOP_CHANNEL} ELSE 'Others' END AS channel,
+         cast(cast(l.l_quantity AS BIGINT) AS DOUBLE) AS q,
+         round(cast(cast(l.l_quantity AS BIGINT) AS DECIMAL(38,4)) * cast(cast(p.p_retailprice AS DECIMAL(18,2)) AS DECIMAL(38,4))
+               - cast(l.l_extendedprice AS DECIMAL(18,2)) * cast(l.l_discount AS DECIMAL(18,2)), 2) AS net
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey)""",
+        """kept AS (SELECT * FROM li WHERE NOT (q = 0 AND net = 0) AND (cast(net AS DOUBLE) > 0 OR q > 0))""",
+        """keyed AS (SELECT source_key, channel, sum(q) AS qty, sum(cast(net AS DECIMAL(18,4))) AS rev FROM kept
+           GROUP BY source_key, channel)""", MAPPING, JOINED, SALES, BUNDLES)
+    + """SELECT channel AS "Channel", sku AS "SKU", units AS "Units", cast(revenue AS DOUBLE) AS "Revenue" FROM sales
+UNION ALL SELECT channel, 'Bundles', units, cast(revenue AS DOUBLE) FROM bund""",
+
+    "landed_tiktok_fbt": _with(f"""li AS (
+  SELECT cast(l.l_partkey AS VARCHAR) AS source_key, cast(cast(l.l_quantity AS BIGINT) AS DOUBLE) AS q,
+         cast(cast(o.o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS r
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  WHERE o.o_orderstatus IS DISTINCT FROM '{EXCLUDED_STATUS}' AND o.o_orderpriority IN ({", ".join(f"'{p}'" for p in FBT_PRIORITIES)}))""",
+        """keyed AS (SELECT source_key, 'all' AS channel, sum(q) AS qty, sum(r) AS rev FROM li GROUP BY source_key)""",
+        MAPPING, JOINED, SALES, BUNDLES)
+    + """SELECT sku AS "SKU", units AS "Units", cast(revenue AS DOUBLE) AS "Revenue" FROM sales
+UNION ALL SELECT 'Bundles', units, cast(revenue AS DOUBLE) FROM bund""",
+
+    "inventory_report_zero_filled": _with(_INV) + f"""SELECT
+  strftime(DATE '{RUN_DATE}', '%Y%m%d') || '_' || replace(channel, ' ', '_') || '_' || sku AS id,
+  replace(channel, ' ', '_') || '_' || sku AS sku_channel_id, d AS "Date", sku AS "SKU", channel AS "Channel",
+  greatest(u, 0) AS "Units", greatest(inv, 0) AS "Inventory", greatest(inb, 0) AS "Inbound"
+FROM body""",
+
+    "inventory_offenders": _with(_INV) + """SELECT channel AS "Channel", sku AS "SKU", metric, value FROM (
+  SELECT channel, sku, 'Units' AS metric, cast(u AS DOUBLE) AS value FROM body
+  UNION ALL SELECT channel, sku, 'Inventory', cast(inv AS DOUBLE) FROM body
+  UNION ALL SELECT channel, sku, 'Inbound', cast(inb AS DOUBLE) FROM body) x WHERE value < 0""",
+
+    "source_metrics": _with(*MAPPED, SALES) + """, ra AS (SELECT channel, sum(nrows) AS n FROM keyed GROUP BY channel),
+rf AS (SELECT channel, count(*) AS c FROM sales GROUP BY channel)
+SELECT ra.channel AS "Channel", cast(ra.n AS BIGINT) AS rows_analyzed, coalesce(rf.c, 0) AS rows_found
+FROM ra LEFT JOIN rf ON rf.channel = ra.channel""",
+})

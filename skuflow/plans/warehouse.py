@@ -20,9 +20,19 @@ from skuflow.functions import (
 )
 from skuflow.operators.mapping import map_sales, normalize_amazon_skus, unmapped_keys as _unmapped
 from skuflow.operators.measures import assemble, clipped_difference
+from skuflow.operators.history import (
+    anomaly_flags, combine_snapshots, normalize_snapshot, not_yet_logged, run_summary, trend,
+)
 from skuflow.operators.quality import Contract, channel_status, violation_counts
+from skuflow.operators.reconcile import parity, reconcile, reconcile_totals
 from skuflow.operators.spine import channel_dates, clip_negatives, grid
-from skuflow.plans.channels import bucket_channel, order_item_units, walmart_orders, wfs
+from skuflow.plans.channels import (
+    bucket_channel, order_item_units, shopify_sales, tiktok_fbt_orders, walmart_orders, wfs,
+)
+from skuflow.plans.reports import inventory_report
+from skuflow.sinks import payload_records
+from skuflow.sources import landed
+from skuflow.sources.discovery import latest_per_prefix
 from skuflow.plans.reports import sales_report, wide_sales
 
 # The configured channel list of the warehouse roles (order
@@ -47,9 +57,10 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def order_lines(t: Tables) -> DataFrame:
-    """Sales facts: source_key, Channel, Date, status, qty, rev (decimal cents)."""
-    o = (t.orders.where(not_equal_keep_null("o_orderstatus", EXCLUDED_STATUS))
+def order_lines(t: Tables, exclude: str | None = EXCLUDED_STATUS) -> DataFrame:
+    """Sales facts: source_key, Channel, Date, qty, rev (decimal cents)."""
+    o = t.orders if exclude is None else t.orders.where(not_equal_keep_null("o_orderstatus", exclude))
+    o = (o
          .select("o_orderkey", F.col("o_orderpriority").alias("Channel"),
                  F.to_date("o_orderdate").alias("Date")))
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
@@ -380,6 +391,242 @@ def price_times_qty(spark, sf_dir) -> DataFrame:
     return out.select("SKU", "Units", F.col("Revenue").cast("double").alias("Revenue"))
 
 
+# --- files, history, reconciliation, windows -------------------------------------------
+
+def latest_per_prefix_query(spark, sf_dir) -> DataFrame:
+    """S6 + S7 + O2 + F10: file names synthesized from the orders
+    (``Orders_<priority>_<date>.<txt|csv>``); per prefix the run-date file wins,
+    else the newest date, ties by extension order."""
+    o = Tables(spark, sf_dir).orders
+    ext = F.when(F.col("o_orderstatus") == "F", ".txt").otherwise(".csv")
+    name = F.concat(F.lit("Orders_"), F.replace("o_orderpriority", F.lit(" "), F.lit("_")), F.lit("_"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd"), ext)
+    prefixes = [f"Orders_{c.replace(' ', '_')}_" for c in CHANNELS]
+    return latest_per_prefix(o.select(name.alias("name")), prefixes, (".txt", ".csv"), RUN_DATE)
+
+
+LEGACY_BEFORE = "1998-01-01"
+
+
+def combine_history(spark, sf_dir) -> DataFrame:
+    """H1 + U2: monthly snapshots (channel = return flag, SKU = part key) where
+    older months carry the legacy snake_case headers; both are normalized, dated
+    from the snapshot, re-keyed and unioned."""
+    li = Tables(spark, sf_dir).lineitem
+    snaps = (li.select(F.trunc(F.to_date("l_shipdate"), "month").alias("snap_date"), "l_returnflag",
+                       F.col("l_partkey").cast("string").alias("k"), "l_quantity", "l_linenumber")
+             .groupBy("snap_date", "l_returnflag", "k")
+             .agg(F.sum("l_quantity").alias("u"), F.count(F.lit(1)).alias("inv"), F.max("l_linenumber").alias("inb")))
+    old = F.col("snap_date") < F.to_date(F.lit(LEGACY_BEFORE))
+    legacy = snaps.where(old).select("snap_date", F.col("k").alias("sku"), F.col("l_returnflag").alias("channel"),
+                                     F.col("u").alias("units_sold"), F.col("inv").alias("inventory"),
+                                     F.col("inb").alias("inbound"), F.lit("legacy-id").alias("id"))
+    current = snaps.where(~old).select("snap_date", F.col("k").alias("SKU"), F.col("l_returnflag").alias("Channel"),
+                                       F.col("u").alias("Units"), F.col("inv").alias("Inventory"),
+                                       F.col("inb").alias("Inbound"))
+    frames = [normalize_snapshot(f, F.col("snap_date")) for f in (legacy, current)]
+    return combine_snapshots([f for f in frames if f is not None])
+
+
+SOURCE_FILES = ["lineitem.parquet", "orders.parquet", "part.parquet"]
+RUN_TIMESTAMP = "1998-12-01T06:00:00"
+
+
+def run_summary_query(spark, sf_dir) -> DataFrame:
+    """H2 + A8: one summary row for the sales report (timestamp is a parameter)."""
+    return run_summary(_report(Tables(spark, sf_dir)), "sales", SOURCE_FILES, RUN_TIMESTAMP)
+
+
+def one_to_one_mapping(t: Tables) -> DataFrame:
+    """The legacy summary methodology: every catalog part is its brand, no bundles."""
+    return (t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE)
+            .select(F.col("p_partkey").cast("string").alias("source_key"), F.array("p_brand").alias("targets")))
+
+
+def _old_new(t: Tables) -> DataFrame:
+    old = map_sales(order_lines(t, exclude=None), one_to_one_mapping(t), "source_key", "qty", "rev").sales
+    new = map_sales(order_lines(t), part_mapping(t), "source_key", "qty", "rev").sales
+    return reconcile(old, new)
+
+
+def reconcile_sources(spark, sf_dir) -> DataFrame:
+    """H4 + J8 + F20: old (all statuses, 1:1) vs new (pending excluded, bundles) per SKU."""
+    r = _old_new(Tables(spark, sf_dir))
+    return r.select("SKU", "Old_Units", "New_Units", "Units_Diff", _money("Old_Rev").alias("Old_Rev"),
+                    _money("New_Rev").alias("New_Rev"), _money("Rev_Diff").alias("Rev_Diff"), "in_old", "in_new")
+
+
+def reconcile_totals_query(spark, sf_dir) -> DataFrame:
+    """H4 + A8 + J7: totals, one-sided SKUs, SKUs with unit differences."""
+    t = reconcile_totals(_old_new(Tables(spark, sf_dir)))
+    return t.withColumns({"old_revenue": _money("old_revenue"), "new_revenue": _money("new_revenue")})
+
+
+def parity_tolerance(spark, sf_dir) -> DataFrame:
+    """Revenue within 1 % of the old methodology?"""
+    p = parity(_old_new(Tables(spark, sf_dir)), rel_tol=0.01)
+    return p.select("SKU", _money("Rev_Diff").alias("Rev_Diff"), "within_tolerance")
+
+
+def _daily_runs(t: Tables) -> DataFrame:
+    e = t.events
+    return (e.select(F.col("event_type").alias("pipeline"), F.to_date("ts").alias("report_date"),
+                     F.col("value").cast("decimal(18,2)").alias("v"))
+            .groupBy("pipeline", "report_date").agg(F.sum("v").alias("total")))
+
+
+def anomaly_trailing_7(spark, sf_dir) -> DataFrame:
+    """W1 + D1: each day's total against the mean of the previous 7 runs."""
+    flagged = anomaly_flags(_daily_runs(Tables(spark, sf_dir)), value="total", runs=7, threshold=0.5)
+    return flagged.select("pipeline", "report_date", _money("total").alias("total"), "baseline", "is_anomaly")
+
+
+def idempotency_guard(spark, sf_dir) -> DataFrame:
+    """(pipeline, report_date) runs of open orders not yet logged by finished ones."""
+    o = Tables(spark, sf_dir).orders.select(F.col("o_orderpriority").alias("pipeline"),
+                                            F.to_date("o_orderdate").alias("report_date"), "o_orderstatus")
+    log = o.where(F.col("o_orderstatus") == "F")
+    incoming = o.where(F.col("o_orderstatus") == "O").select("pipeline", "report_date").distinct()
+    return not_yet_logged(incoming, log)
+
+
+def sku_trend(spark, sf_dir) -> DataFrame:
+    """W2 + D3: monthly units per brand with the previous month's value and change
+    (lines pre-aggregated by part and month before the catalog join)."""
+    t = Tables(spark, sf_dir)
+    pre = (t.lineitem.select("l_partkey", F.trunc(F.to_date("l_shipdate"), "month").alias("Date"), "l_quantity")
+           .groupBy("l_partkey", "Date").agg(F.sum("l_quantity").alias("u")))
+    monthly = (pre.join(t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("SKU")),
+                        "l_partkey")
+               .groupBy("SKU", "Date").agg(F.sum("u").alias("Units")))
+    return trend(monthly, "Units", keys=("SKU",), order="Date")
+
+
+ROLLUP_FROM, ROLLUP_TO = "1998-11-01", "1998-12-01"
+
+
+def rollup_totals(spark, sf_dir) -> DataFrame:
+    """Trailing-window sales by (SKU, channel) plus the grand total row."""
+    t = Tables(spark, sf_dir)
+    li = (t.lineitem.where((F.col("l_shipdate") >= F.lit(ROLLUP_FROM).cast("timestamp_ntz"))
+                           & (F.col("l_shipdate") < F.lit(ROLLUP_TO).cast("timestamp_ntz")))
+          .select("l_orderkey", "l_partkey", "l_quantity",
+                  (F.col("l_extendedprice").cast("decimal(18,2)")
+                   * (F.lit(1) - F.col("l_discount").cast("decimal(18,2)"))).alias("net")))
+    o = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("Channel"))
+    p = t.part.select("p_partkey", F.col("p_brand").alias("SKU"))
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    g = j.groupingSets([["SKU", "Channel"], []], "SKU", "Channel").agg(
+        F.sum("l_quantity").alias("units"), F.sum("net").cast("double").alias("net_sales"),
+        (F.grouping_id() > 0).alias("is_total"))
+    return g
+
+
+SOURCE_NAMES = {"1-URGENT": "web", "2-HIGH": "shop", "3-MEDIUM": "tiktok", "4-NOT SPECIFIED": "marketplace-connect",
+                "5-LOW": "pos"}
+
+
+def net_of_discounts(spark, sf_dir) -> DataFrame:
+    """D10 -> C6: landed Shopify order documents (built from the tables, one per
+    order) are flattened, net = qty × price − Σ discount allocations, bucketed by
+    source name and mapped with bundles, per (channel, SKU)."""
+    t = Tables(spark, sf_dir)
+    dec = lambda c: F.col(c).cast("decimal(18,2)")
+    lines = (t.lineitem.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+             .groupBy("l_orderkey").agg(F.collect_list(F.struct(
+                 F.col("l_partkey").cast("string").alias("sku"), F.col("l_quantity").cast("long").alias("quantity"),
+                 dec("p_retailprice").cast("string").alias("price"),
+                 F.array(F.struct((dec("l_extendedprice") * dec("l_discount")).cast("string").alias("amount")))
+                 .alias("discount_allocations"))).alias("line_items")))
+    src = None
+    for prio, name in SOURCE_NAMES.items():
+        src = F.when(F.col("o_orderpriority") == prio, name) if src is None else src.when(
+            F.col("o_orderpriority") == prio, name)
+    orders = t.orders.select("o_orderkey", src.alias("source_name"))
+    docs = (orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+            .select(F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").cast("string").alias("id"), "source_name",
+                                                        F.lit("paid").alias("financial_status"), "line_items"))
+                                       .alias("orders"))).alias("json")))
+    raw = landed.shopify_orders(landed.parse_landed(docs, "json", landed.SHOPIFY_ORDERS_DOC))
+    m = shopify_sales(raw, part_mapping(t))
+    return m.long.where(F.col("SKU").isNotNull()).select("Channel", "SKU", "Units", _money("Revenue").alias("Revenue"))
+
+
+FBT_PRIORITIES = ["1-URGENT", "2-HIGH"]
+
+
+def landed_tiktok_fbt(spark, sf_dir) -> DataFrame:
+    """D9 -> C13: landed TikTok order documents (status 140 = cancelled, FBT for
+    urgent/high orders) flattened to order lines and run through the FBT orders
+    builder (cancelled dropped, FBT only, mapped with bundles)."""
+    t = Tables(spark, sf_dir)
+    items = (t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_partkey").cast("string").alias("sku_id"), F.lit("n/a").alias("seller_sku"),
+        F.col("l_quantity").cast("long").alias("quantity"))).alias("line_items")))
+    o = t.orders.select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == EXCLUDED_STATUS, 140).otherwise(130).alias("order_status"),
+        F.when(F.col("o_orderpriority").isin(FBT_PRIORITIES), "TIKTOK_FULFILLMENT").otherwise("SELLER_SHIPPING")
+        .alias("fulfillment_type"),
+        F.struct(F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total_amount")).alias("payment"))
+    docs = (o.join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+            .select(F.to_json(F.struct(F.struct(F.array(F.struct(
+                F.col("o_orderkey").cast("string").alias("order_id"), "order_status", "fulfillment_type",
+                "line_items", "payment")).alias("orders")).alias("data"))).alias("json")))
+    raw = landed.tiktok_orders(landed.parse_landed(docs, "json", landed.TIKTOK_ORDERS_DOC))
+    m = tiktok_fbt_orders(raw, part_mapping(t))
+    return m.long.where(F.col("SKU").isNotNull()).select("SKU", "Units", _money("Revenue").alias("Revenue"))
+
+
+# --- inventory report on the warehouse roles ----------------------------------------------
+
+# The inventory channels in report order, and which return flag
+# plays which inventory channel (WFS, FBT and Reserve have no facts here and
+# are zero-filled, dated with the run date).
+INVENTORY_CHANNELS = ["FBA", "AWD", "WFS", "FBT", "DTC", "Reserve"]
+FLAG_CHANNEL = {"A": "FBA", "N": "AWD", "R": "DTC"}
+
+
+def inventory_facts(t: Tables) -> DataFrame:
+    li = t.lineitem
+    f_qty = F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0.0)
+    o_qty = F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)
+    pre = (li.groupBy("l_partkey", "l_returnflag")
+           .agg(F.sum(f_qty).alias("Units"), (F.sum(o_qty) - F.sum(f_qty)).alias("Inventory"),
+                F.count(F.lit(1)).alias("Inbound"), F.max(F.to_date("l_shipdate")).alias("Date")))
+    p = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("SKU"))
+    return pre.join(p, "l_partkey").select(bucket_channel("l_returnflag", FLAG_CHANNEL).alias("Channel"), "SKU",
+                                            "Date", "Units", "Inventory", "Inbound")
+
+
+def inventory_report_zero_filled(spark, sf_dir) -> DataFrame:
+    """R1 + R4 + R5 + R7: channel × SKU inventory grid, negatives clipped."""
+    t = Tables(spark, sf_dir)
+    rep, _ = inventory_report(inventory_facts(t), master_skus(t), INVENTORY_CHANNELS, RUN_DATE)
+    return rep
+
+
+def inventory_offenders(spark, sf_dir) -> DataFrame:
+    """The values that were clipped."""
+    t = Tables(spark, sf_dir)
+    _, off = inventory_report(inventory_facts(t), master_skus(t), INVENTORY_CHANNELS, RUN_DATE)
+    return off
+
+
+def source_metrics(spark, sf_dir) -> DataFrame:
+    """Q5: per channel, raw rows analyzed and SKU rows found (one pass)."""
+    long = mapped(Tables(spark, sf_dir)).long
+    found = F.col("SKU").isNotNull() & (F.col("SKU") != "Bundles")
+    return long.groupBy("Channel").agg(F.sum("rows").cast("long").alias("rows_analyzed"),
+                                       F.count(F.when(found, 1)).alias("rows_found"))
+
+
+def payload_json(spark, sf_dir) -> DataFrame:
+    """Summary record + bounded data chunks (rows-only check)."""
+    rep = _report(Tables(spark, sf_dir))
+    status = rep.groupBy("Channel").agg(F.date_format(F.max("Date"), "yyyy-MM-dd").alias("status"))
+    return payload_records(rep, status, "sales", max_rows=50)
+
+
 QUERIES = {
     "sales_by_sku_channel": sales_by_sku_channel,
     "sales_report_zero_filled": sales_report_zero_filled,
@@ -411,4 +658,20 @@ QUERIES = {
     "contract_violations": contract_violations,
     "report_contract": report_contract,
     "price_times_qty": price_times_qty,
+    "latest_per_prefix": latest_per_prefix_query,
+    "combine_history": combine_history,
+    "run_summary": run_summary_query,
+    "reconcile_sources": reconcile_sources,
+    "reconcile_totals": reconcile_totals_query,
+    "parity_tolerance": parity_tolerance,
+    "anomaly_trailing_7": anomaly_trailing_7,
+    "idempotency_guard": idempotency_guard,
+    "sku_trend": sku_trend,
+    "rollup_totals": rollup_totals,
+    "net_of_discounts": net_of_discounts,
+    "landed_tiktok_fbt": landed_tiktok_fbt,
+    "inventory_report_zero_filled": inventory_report_zero_filled,
+    "inventory_offenders": inventory_offenders,
+    "source_metrics": source_metrics,
+    "payload_json": payload_json,
 }
