@@ -47,17 +47,19 @@ def onto_grid(g: DataFrame, facts: DataFrame, metrics: Sequence[str], run_date,
               channels: Sequence[str]) -> DataFrame:
     """J4 + P14 + A7: place aggregated facts on the grid, fill missing metrics with 0,
     and date every row with its channel's latest fact date (run date if the
-    channel has no facts).
+    channel has no mapped facts).
 
     ``facts``: Channel, SKU, Date, *metrics — one row per (Channel, SKU). Facts
-    outside the grid (unknown SKUs, unmapped volume) still date their channel and
-    then drop out (L8). A full join followed by a window over the report-sized
-    result keeps this to one pass over ``facts``.
+    outside the grid (SKUs unknown to the catalog) still date their channel and
+    then drop out (L8); unmapped volume (NULL SKU) does not date a channel, as
+    in the reference, where unmapped keys expand to no row. A full join followed
+    by a window over the report-sized result keeps this to one pass over ``facts``.
     """
     f = facts.where(F.col("Channel").isin(list(channels))).select("Channel", "SKU", "Date", *metrics)
     j = g.withColumn("_grid", F.lit(True)).join(f, ["Channel", "SKU"], "full")
     run = F.to_date(F.lit(str(run_date)))
-    day = F.coalesce(F.max("Date").over(Window.partitionBy("Channel")), run)
+    mapped_date = F.when(F.col("SKU").isNotNull(), F.col("Date"))
+    day = F.coalesce(F.max(mapped_date).over(Window.partitionBy("Channel")), run)
     return (j.withColumn("Date", day)
             .where(F.col("_grid"))
             .select(*g.columns, "Date", *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics]))

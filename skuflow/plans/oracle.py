@@ -39,7 +39,7 @@ BUNDLES = """bund AS (SELECT channel, sum(qty) AS units, sum(rev) AS revenue FRO
 
 GRID = f"""ch AS (SELECT * FROM (VALUES {_CH_VALUES}) t(channel_rank, channel)),
 skus AS (SELECT DISTINCT p_brand AS sku FROM part),
-cd AS (SELECT channel, max(d) AS d FROM keyed GROUP BY channel),
+cd AS (SELECT channel, max(d) AS d FROM j GROUP BY channel),
 grid AS (SELECT ch.channel, s.sku, coalesce(cd.d, DATE '{RUN_DATE}') AS d
          FROM ch CROSS JOIN skus s LEFT JOIN cd ON cd.channel = ch.channel),
 bgrid AS (SELECT ch.channel, 'Bundles' AS sku, coalesce(cd.d, DATE '{RUN_DATE}') AS d

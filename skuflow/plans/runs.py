@@ -139,7 +139,8 @@ def sales_run(spark: SparkSession, input_dir: str, catalog: Catalog, run_date,
     report = sales_report(facts, catalog.sku_dim(spark), channels, run_date, keep_ranks=True)
     present = facts.where(F.col("SKU").isNotNull() & (F.col("SKU") != BUNDLES_SKU))
     missing = missing_skus(present, catalog.sku_dim(spark), "Channel", channels)
-    return RunResult(report, channel_status(channels, channel_dates(facts, channels)), missing, None, files)
+    dated = facts.where(F.col("SKU").isNotNull())
+    return RunResult(report, channel_status(channels, channel_dates(dated, channels)), missing, None, files)
 
 
 # --- inventory registry -------------------------------------------------------------------

@@ -39,8 +39,8 @@ def head_lines(spark: SparkSession, path: str, n: int = SNIFF_LINES, encoding: s
 
 
 def has_bad_bytes(spark: SparkSession, path: str) -> bool:
-    """Does the file contain bytes that are not UTF-8 (decoded as U+FFFD)?"""
-    return spark.read.text(path).where(F.col("value").contains("�")).limit(1).count() > 0
+    """Does the file contain byte sequences that are not valid UTF-8?"""
+    return spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count() > 0
 
 
 def read_report(spark: SparkSession, path: str, sep: str | None = None, skip_lines: int = 0,
