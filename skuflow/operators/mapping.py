@@ -53,26 +53,42 @@ def pre_aggregate(facts: DataFrame, key: str, qty: str, rev: str, by: Sequence[s
                   date_col: str | None = None) -> DataFrame:
     """A3 step 1: one row per (key, *by) with summed quantity and revenue.
 
-    Blank keys are dropped without alert (P11); NULL keys are dropped as the
-    reference's group-by does (A1).
+    String keys are trimmed and blank / ``nan`` keys dropped without alert
+    (P11); NULL keys are dropped as the reference's group-by does (A1). Keys of
+    another type are grouped in their native type (cheaper to hash than text)
+    and are cast to string only on the aggregated rows.
     """
-    k = F.trim(F.col(key).cast("string"))
+    is_text = dict(facts.dtypes)[key] == "string"
+    k = F.trim(F.col(key)) if is_text else F.col(key)
+    keep = F.col("_k").isNotNull()
+    if is_text:
+        keep = keep & (F.col("_k") != "") & (F.lower("_k") != "nan")
     extra = [F.col(date_col).alias("_d")] if date_col else []
     aggs = [F.sum("_q").alias("qty"), F.sum("_r").alias("rev"), F.count(F.lit(1)).alias("rows")]
     if date_col:
         aggs.append(F.max("_d").alias("Date"))
-    return (facts
-            .select(k.alias("source_key"), *[F.col(b) for b in by], *extra,
-                    F.coalesce(F.col(qty), F.lit(0)).alias("_q"), F.coalesce(F.col(rev), F.lit(0)).alias("_r"))
-            .where(F.col("source_key").isNotNull() & (F.col("source_key") != "") & (F.lower("source_key") != "nan"))
-            .groupBy("source_key", *by)
-            .agg(*aggs))
-
-
-def join_mapping(keyed: DataFrame, mapping: DataFrame, how: str = "inner") -> DataFrame:
-    """Join pre-aggregated facts to the mapping dim, adding ``bundle_size`` (M2)."""
-    m = mapping.select("source_key", "targets", F.size("targets").alias("bundle_size"))
-    return keyed.join(m, "source_key", how)
+    out = (facts
+           .select(k.alias("_k"), *[F.col(b) for b in by], *extra,
+                   F.coalesce(F.col(qty), F.lit(0)).alias("_q"), F.coalesce(F.col(rev), F.lit(0)).alias("_r"))
+           .where(keep)
+           .groupBy("_k", *by)
+           .agg(*aggs))
+    return out.withColumnRenamed("_k", "source_key")
+
+
+def join_mapping(keyed: DataFrame, mapping: DataFrame, how: str = "inner", keys: Sequence[str] = ()) -> DataFrame:
+    """Join pre-aggregated facts to the mapping dim, adding ``bundle_size`` (M2).
+
+    ``keys``: extra join columns the mapping shares with the facts (e.g. a
+    methodology label when several mappings are applied in one pass). When the
+    fact key is not text but the mapping key is, the (aggregated) fact key is
+    cast, never the other way round.
+    """
+    m = mapping.select("source_key", *keys, "targets", F.size("targets").alias("bundle_size"))
+    kt, mt = dict(keyed.dtypes)["source_key"], dict(m.dtypes)["source_key"]
+    if kt != mt:
+        keyed = keyed.withColumn("source_key", F.col("source_key").cast(mt))
+    return keyed.join(m, ["source_key", *keys], how)
 
 
 def split_revenue(rev, size) -> F.Column:
@@ -104,10 +120,13 @@ def _items() -> F.Column:
 
 
 def map_sales(facts: DataFrame, mapping: DataFrame, key: str, qty: str, rev: str,
-              by: Sequence[str] = (), date_col: str | None = None) -> MappedSales:
-    """A3 end to end: pre-aggregate -> map/expand -> one aggregate by (``by``, SKU)."""
+              by: Sequence[str] = (), date_col: str | None = None, mapping_keys: Sequence[str] = ()) -> MappedSales:
+    """A3 end to end: pre-aggregate -> map/expand -> one aggregate by (``by``, SKU).
+
+    ``mapping_keys`` (a subset of ``by``) are matched against columns of the
+    mapping too, so several mappings can be applied in a single pass."""
     keyed = pre_aggregate(facts, key, qty, rev, by, date_col)
-    joined = join_mapping(keyed, mapping, "left")
+    joined = join_mapping(keyed, mapping, "left", mapping_keys)
     dated = ["Date"] if date_col else []
     # raw row counts are attributed to the first item of each key only, so that
     # summing ``rows`` over a channel gives its analyzed rows (Q5)
@@ -122,7 +141,10 @@ def map_sales(facts: DataFrame, mapping: DataFrame, key: str, qty: str, rev: str
 
 def unmapped_keys(keyed: DataFrame, mapping: DataFrame) -> DataFrame:
     """Non-blank source keys that the mapping does not know, with their volume."""
-    return (keyed.join(mapping.select("source_key"), "source_key", "left_anti")
+    mt = dict(mapping.dtypes)["source_key"]
+    k = keyed.withColumn("source_key", F.col("source_key").cast(mt))
+    return (k.join(mapping.select("source_key"), "source_key", "left_anti")
+            .withColumn("source_key", F.col("source_key").cast("string"))
             .withColumnRenamed("qty", "Units").withColumnRenamed("rev", "Revenue"))
 
 

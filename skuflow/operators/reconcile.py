@@ -1,8 +1,9 @@
 """Source-to-source reconciliation.
 
-Two per-SKU tables (old and new methodology) are full-outer joined, missing
+Two per-SKU tables (old and new methodology) are compared per SKU, missing
 sides count as 0, and the differences, totals, one-sided SKUs and a parity
-verdict are derived. Inputs are already one row per SKU.
+verdict are derived. The comparison is a stacked conditional aggregate, which is
+the full outer join of the reference without a join.
 """
 
 from __future__ import annotations
@@ -12,13 +13,28 @@ from pyspark.sql import functions as F
 
 
 def reconcile(old: DataFrame, new: DataFrame, key: str = "SKU") -> DataFrame:
-    """H4: SKU, Old_Units, New_Units, Old_Rev, New_Rev, Units_Diff, Rev_Diff, in_old, in_new."""
-    o = old.select(key, F.col("Units").alias("Old_Units"), F.col("Revenue").alias("Old_Rev"), F.lit(True).alias("in_old"))
-    n = new.select(key, F.col("Units").alias("New_Units"), F.col("Revenue").alias("New_Rev"), F.lit(True).alias("in_new"))
-    j = o.join(n, key, "full")
-    z = {c: F.coalesce(F.col(c), F.lit(0)) for c in ["Old_Units", "New_Units", "Old_Rev", "New_Rev"]}
-    j = j.withColumns(z).withColumns({"in_old": F.coalesce("in_old", F.lit(False)),
-                                      "in_new": F.coalesce("in_new", F.lit(False))})
+    """H4: SKU, Old_Units, New_Units, Old_Rev, New_Rev, Units_Diff, Rev_Diff, in_old, in_new.
+
+    The two sides are stacked and folded with one conditional aggregate (one
+    shuffle on the key) instead of a full outer join."""
+    cols = [key, "Units", "Revenue"]
+    stacked = (old.select(*cols, F.lit("old").alias("method"))
+               .unionByName(new.select(*cols, F.lit("new").alias("method"))))
+    return reconcile_long(stacked, key)
+
+
+def reconcile_long(long: DataFrame, key: str = "SKU", method: str = "method") -> DataFrame:
+    """H4 from a long table (method in {'old', 'new'}, key, Units, Revenue)."""
+    def side(m, c):
+        return F.sum(F.when(F.col(method) == m, F.col(c)))
+
+    def seen(m):
+        return F.count(F.when(F.col(method) == m, 1)) > 0
+
+    j = long.groupBy(key).agg(side("old", "Units").alias("Old_Units"), side("new", "Units").alias("New_Units"),
+                              side("old", "Revenue").alias("Old_Rev"), side("new", "Revenue").alias("New_Rev"),
+                              seen("old").alias("in_old"), seen("new").alias("in_new"))
+    j = j.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ["Old_Units", "New_Units", "Old_Rev", "New_Rev"]})
     return j.withColumns({
         "Units_Diff": F.round(F.col("New_Units") - F.col("Old_Units"), 0),
         "Rev_Diff": F.bround(F.col("New_Rev") - F.col("Old_Rev"), 2),

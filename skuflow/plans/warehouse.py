@@ -24,7 +24,7 @@ from skuflow.operators.history import (
     anomaly_flags, combine_snapshots, normalize_snapshot, not_yet_logged, run_summary, trend,
 )
 from skuflow.operators.quality import Contract, channel_status, violation_counts
-from skuflow.operators.reconcile import parity, reconcile, reconcile_totals
+from skuflow.operators.reconcile import parity, reconcile_long, reconcile_totals
 from skuflow.operators.spine import channel_dates, clip_negatives, grid
 from skuflow.plans.channels import (
     bucket_channel, order_item_units, shopify_sales, tiktok_fbt_orders, walmart_orders, wfs,
@@ -57,17 +57,18 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def order_lines(t: Tables, exclude: str | None = EXCLUDED_STATUS) -> DataFrame:
-    """Sales facts: source_key, Channel, Date, qty, rev (decimal cents)."""
+def order_lines(t: Tables, exclude: str | None = EXCLUDED_STATUS, keep_status: bool = False) -> DataFrame:
+    """Sales facts: source_key, Channel, Date, qty, rev (decimal cents)[, o_orderstatus]."""
     o = t.orders if exclude is None else t.orders.where(not_equal_keep_null("o_orderstatus", exclude))
     o = (o
          .select("o_orderkey", F.col("o_orderpriority").alias("Channel"),
-                 F.to_date("o_orderdate").alias("Date")))
+                 F.to_date("o_orderdate").alias("Date"), *(["o_orderstatus"] if keep_status else [])))
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .select(F.col("l_partkey").cast("string").alias("source_key"), "Channel", "Date",
+            .select(F.col("l_partkey").alias("source_key"), "Channel", "Date",
                     F.col("l_quantity").alias("qty"),
-                    F.col("l_extendedprice").cast("decimal(18,2)").alias("rev")))
+                    F.col("l_extendedprice").cast("decimal(18,2)").alias("rev"),
+                    *(["o_orderstatus"] if keep_status else [])))
 
 
 def part_mapping(t: Tables) -> DataFrame:
@@ -86,7 +87,7 @@ def part_mapping(t: Tables) -> DataFrame:
                .when(ty == "LARGE", F.array(b, b, b))
                .otherwise(F.array(b)))
     return (t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE)
-            .select(F.col("p_partkey").cast("string").alias("source_key"), targets.alias("targets")))
+            .select(F.col("p_partkey").alias("source_key"), targets.alias("targets")))
 
 
 def master_skus(t: Tables) -> DataFrame:
@@ -230,18 +231,29 @@ def json_field_query(spark, sf_dir) -> DataFrame:
 
 
 def json_items_explode(spark, sf_dir) -> DataFrame:
-    """F15 + F16 + F17 + J5 + C15: per-order items JSON (built from the lines),
-    cancelled orders dropped, items exploded, DSKU looked up, qty summed by SKU."""
+    """F15 + F16 + F17 + J5 + C15: orders whose items arrive as a JSON array
+    (built from the tables, see order_documents), cancelled orders dropped,
+    items exploded, DSKU looked up, qty summed by SKU."""
     t = Tables(spark, sf_dir)
-    items = (t.lineitem.groupBy("l_orderkey")
-             .agg(F.to_json(F.collect_list(F.struct(F.col("l_partkey").cast("string").alias("dsku"),
-                                                    F.col("l_quantity").cast("long").alias("qty")))).alias("Items")))
+    item = F.struct(F.col("l_partkey").cast("string").alias("dsku"), F.col("l_quantity").cast("long").alias("qty"))
+    items = order_documents(t.lineitem, item).select("l_orderkey", F.to_json("items").alias("Items"))
     orders = (t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") == EXCLUDED_STATUS, "CANCELLED")
                               .otherwise("FULFILLED").alias("Order Status"))
               .join(items, F.col("o_orderkey") == F.col("l_orderkey")))
     return order_item_units(orders, dsku_dim(t), "Order Status", "Items")
 
 
+DOC_LINES = 8
+
+
+def order_documents(lines: DataFrame, item) -> DataFrame:
+    """Per-order line arrays for synthesized API documents. Lines are grouped by
+    (order, line-number bucket): (order key, line number) is unique, so every
+    group holds at most DOC_LINES items whatever the order size."""
+    bucket = F.floor((F.col("l_linenumber") - 1) / DOC_LINES)
+    return lines.groupBy("l_orderkey", bucket.alias("doc_part")).agg(F.collect_list(item).alias("items"))
+
+
 def dsku_dim(t: Tables) -> DataFrame:
     return (t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE)
             .select(F.col("p_partkey").cast("string").alias("dsku"), F.col("p_brand").alias("SKU")))
@@ -440,13 +452,22 @@ def run_summary_query(spark, sf_dir) -> DataFrame:
 def one_to_one_mapping(t: Tables) -> DataFrame:
     """The legacy summary methodology: every catalog part is its brand, no bundles."""
     return (t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE)
-            .select(F.col("p_partkey").cast("string").alias("source_key"), F.array("p_brand").alias("targets")))
+            .select(F.col("p_partkey").alias("source_key"), F.array("p_brand").alias("targets")))
 
 
 def _old_new(t: Tables) -> DataFrame:
-    old = map_sales(order_lines(t, exclude=None), one_to_one_mapping(t), "source_key", "qty", "rev").sales
-    new = map_sales(order_lines(t), part_mapping(t), "source_key", "qty", "rev").sales
-    return reconcile(old, new)
+    """Both methodologies in one pass: every line is tagged 'old' (all statuses)
+    and, unless pending, also 'new'; one pre-aggregate by (key, method), one join
+    against the union of the two mappings (matched on key and method), one
+    aggregate by SKU."""
+    lines = order_lines(t, exclude=None, keep_status=True)
+    is_new = not_equal_keep_null("o_orderstatus", EXCLUDED_STATUS)
+    tagged = lines.select("source_key", "qty", "rev", F.explode(
+        F.when(is_new, F.array(F.lit("old"), F.lit("new"))).otherwise(F.array(F.lit("old")))).alias("method"))
+    mappings = (one_to_one_mapping(t).withColumn("method", F.lit("old"))
+                .unionByName(part_mapping(t).withColumn("method", F.lit("new"))))
+    long = map_sales(tagged, mappings, "source_key", "qty", "rev", by=["method"], mapping_keys=["method"]).sales
+    return reconcile_long(long)
 
 
 def reconcile_sources(spark, sf_dir) -> DataFrame:
@@ -527,26 +548,25 @@ SOURCE_NAMES = {"1-URGENT": "web", "2-HIGH": "shop", "3-MEDIUM": "tiktok", "4-NO
 
 
 def net_of_discounts(spark, sf_dir) -> DataFrame:
-    """D10 -> C6: landed Shopify order documents (built from the tables, one per
-    order) are flattened, net = qty × price − Σ discount allocations, bucketed by
-    source name and mapped with bundles, per (channel, SKU)."""
+    """D10 -> C6: landed Shopify order documents (built from the tables, see
+    order_documents) are flattened, net = qty × price − Σ discount allocations,
+    bucketed by source name and mapped with bundles, per (channel, SKU)."""
     t = Tables(spark, sf_dir)
     dec = lambda c: F.col(c).cast("decimal(18,2)")
-    lines = (t.lineitem.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
-             .groupBy("l_orderkey").agg(F.collect_list(F.struct(
-                 F.col("l_partkey").cast("string").alias("sku"), F.col("l_quantity").cast("long").alias("quantity"),
-                 dec("p_retailprice").cast("string").alias("price"),
-                 F.array(F.struct((dec("l_extendedprice") * dec("l_discount")).cast("string").alias("amount")))
-                 .alias("discount_allocations"))).alias("line_items")))
     src = None
     for prio, name in SOURCE_NAMES.items():
         src = F.when(F.col("o_orderpriority") == prio, name) if src is None else src.when(
             F.col("o_orderpriority") == prio, name)
-    orders = t.orders.select("o_orderkey", src.alias("source_name"))
-    docs = (orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-            .select(F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").cast("string").alias("id"), "source_name",
-                                                        F.lit("paid").alias("financial_status"), "line_items"))
-                                       .alias("orders"))).alias("json")))
+    item = F.struct(F.col("l_partkey").cast("string").alias("sku"), F.col("l_quantity").cast("long").alias("quantity"),
+                    dec("p_retailprice").cast("string").alias("price"),
+                    F.array(F.struct((dec("l_extendedprice") * dec("l_discount")).cast("string").alias("amount")))
+                    .alias("discount_allocations"))
+    lines = t.lineitem.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    order = F.struct(F.col("o_orderkey").cast("string").alias("id"), src.alias("source_name"),
+                     F.lit("paid").alias("financial_status"), F.col("items").alias("line_items"))
+    docs = (order_documents(lines, item)
+            .join(t.orders.select("o_orderkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.to_json(F.struct(F.array(order).alias("orders"))).alias("json")))
     raw = landed.shopify_orders(landed.parse_landed(docs, "json", landed.SHOPIFY_ORDERS_DOC))
     m = shopify_sales(raw, part_mapping(t))
     return m.long.where(F.col("SKU").isNotNull()).select("Channel", "SKU", "Units", _money("Revenue").alias("Revenue"))
@@ -556,22 +576,21 @@ FBT_PRIORITIES = ["1-URGENT", "2-HIGH"]
 
 
 def landed_tiktok_fbt(spark, sf_dir) -> DataFrame:
-    """D9 -> C13: landed TikTok order documents (status 140 = cancelled, FBT for
-    urgent/high orders) flattened to order lines and run through the FBT orders
-    builder (cancelled dropped, FBT only, mapped with bundles)."""
+    """D9 -> C13: landed TikTok order documents (see order_documents; status 140 =
+    cancelled, FBT for urgent/high orders) flattened and run through the FBT
+    orders builder (cancelled dropped, FBT only, mapped with bundles)."""
     t = Tables(spark, sf_dir)
-    items = (t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.col("l_partkey").cast("string").alias("sku_id"), F.lit("n/a").alias("seller_sku"),
-        F.col("l_quantity").cast("long").alias("quantity"))).alias("line_items")))
-    o = t.orders.select(
-        "o_orderkey", F.when(F.col("o_orderstatus") == EXCLUDED_STATUS, 140).otherwise(130).alias("order_status"),
+    item = F.struct(F.col("l_partkey").cast("string").alias("sku_id"), F.lit("n/a").alias("seller_sku"),
+                    F.col("l_quantity").cast("long").alias("quantity"))
+    order = F.struct(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.when(F.col("o_orderstatus") == EXCLUDED_STATUS, 140).otherwise(130).alias("order_status"),
         F.when(F.col("o_orderpriority").isin(FBT_PRIORITIES), "TIKTOK_FULFILLMENT").otherwise("SELLER_SHIPPING")
         .alias("fulfillment_type"),
+        F.col("items").alias("line_items"),
         F.struct(F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total_amount")).alias("payment"))
-    docs = (o.join(items, F.col("o_orderkey") == F.col("l_orderkey"))
-            .select(F.to_json(F.struct(F.struct(F.array(F.struct(
-                F.col("o_orderkey").cast("string").alias("order_id"), "order_status", "fulfillment_type",
-                "line_items", "payment")).alias("orders")).alias("data"))).alias("json")))
+    docs = (order_documents(t.lineitem, item).join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
+            .select(F.to_json(F.struct(F.struct(F.array(order).alias("orders")).alias("data"))).alias("json")))
     raw = landed.tiktok_orders(landed.parse_landed(docs, "json", landed.TIKTOK_ORDERS_DOC))
     m = tiktok_fbt_orders(raw, part_mapping(t))
     return m.long.where(F.col("SKU").isNotNull()).select("SKU", "Units", _money("Revenue").alias("Revenue"))
@@ -620,11 +639,18 @@ def source_metrics(spark, sf_dir) -> DataFrame:
                                        F.count(F.when(found, 1)).alias("rows_found"))
 
 
+PAYLOAD_CHUNK_ROWS = 50
+
+
 def payload_json(spark, sf_dir) -> DataFrame:
     """Summary record + bounded data chunks (rows-only check)."""
-    rep = _report(Tables(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    rep = _report(t)
     status = rep.groupBy("Channel").agg(F.date_format(F.max("Date"), "yyyy-MM-dd").alias("status"))
-    return payload_records(rep, status, "sales", max_rows=50)
+    # the report size is known from the grid (dims only), so the facts are not
+    # evaluated twice just to size the chunks
+    grid_rows = (master_skus(t).count() + 1) * len(CHANNELS)
+    return payload_records(rep, status, "sales", chunks=max(1, -(-grid_rows // PAYLOAD_CHUNK_ROWS)))
 
 
 QUERIES = {

@@ -50,6 +50,15 @@ SHOPIFY_SOURCE_TO_CHANNEL = {
 }
 
 
+def _each(doc: DataFrame, array_col, alias: str, *keep) -> DataFrame:
+    """One row per array element. ``explode_outer`` + an explicit NULL filter is
+    used instead of ``explode`` because the filter Spark infers for an inner
+    explode (``size(arr) > 0``) is pushed below the parse and would evaluate the
+    JSON parse again for every consumer."""
+    col = F.col(array_col) if isinstance(array_col, str) else array_col
+    return doc.select(*keep, F.explode_outer(col).alias(alias)).where(F.col(alias).isNotNull())
+
+
 def read_landed(spark: SparkSession, path: str, schema: str, multiline: bool = True) -> DataFrame:
     return spark.read.option("multiLine", multiline).schema(schema).json(path)
 
@@ -61,7 +70,7 @@ def parse_landed(df: DataFrame, column: str, schema: str) -> DataFrame:
 
 def flexport_levels(doc: DataFrame) -> DataFrame:
     """D5 -> C14 columns."""
-    it = doc.select(F.explode("items").alias("i"))
+    it = _each(doc, "items", "i")
     return it.select(F.col("i.merchantSku").alias("MSKU"), F.col("i.logisticsSku").alias("DSKU"),
                      F.col("i.dtcTotalQuantity").alias("DTC Total Quantity"),
                      F.col("i.rsTotalQuantity").alias("RS Total Quantity"),
@@ -72,7 +81,7 @@ def flexport_levels(doc: DataFrame) -> DataFrame:
 def flexport_orders(doc: DataFrame) -> DataFrame:
     """D6 -> C15 columns; items stay an array of (dsku, qty) — re-serialized so the
     order builder's JSON parse applies unchanged."""
-    o = doc.select(F.explode("orders").alias("o"))
+    o = _each(doc, "orders", "o")
     return o.select(F.col("o.createdAt").alias("CREATEDAT"), F.col("o.orderStatus").alias("Order Status"),
                     F.to_json("o.items").alias("Items"))
 
@@ -83,7 +92,7 @@ def _zero(c: str) -> Column:
 
 def fba_inventory(doc: DataFrame) -> DataFrame:
     """D7 -> C9 columns: Inbound = working + shipped + receiving."""
-    s = doc.select(F.explode("inventorySummaries").alias("s"))
+    s = _each(doc, "inventorySummaries", "s")
     d = "s.inventoryDetails"
     return s.select(F.col("s.sellerSku").alias("Merchant SKU"),
                     _zero(f"{d}.fulfillableQuantity").alias("Available"),
@@ -94,7 +103,7 @@ def fba_inventory(doc: DataFrame) -> DataFrame:
 
 def awd_inventory(doc: DataFrame) -> DataFrame:
     """D7 -> C10 columns."""
-    s = doc.select(F.explode("inventory").alias("s"))
+    s = _each(doc, "inventory", "s")
     return s.select(F.col("s.sku").alias("SKU"),
                     _zero("s.inventoryDetails.availableQuantity.amount").alias("Available in AWD (units)"),
                     _zero("s.inventoryDetails.inboundQuantity.amount").alias("Inbound to AWD (units)"))
@@ -102,8 +111,8 @@ def awd_inventory(doc: DataFrame) -> DataFrame:
 
 def walmart_orders(doc: DataFrame) -> DataFrame:
     """D8 -> C8 columns: units from the line quantity; GMV = Σ PRODUCT charges."""
-    lines = doc.select(F.explode("orders").alias("o")).select(F.col("o.purchaseOrderId").alias("po"),
-                                                             F.explode("o.orderLines").alias("l"))
+    orders = _each(doc, "orders", "o")
+    lines = _each(orders, "o.orderLines", "l", F.col("o.purchaseOrderId").alias("po"))
     product = F.filter("l.charges", lambda ch: ch["chargeType"] == "PRODUCT")
     gmv = F.aggregate(product, F.lit(0).cast("decimal(38,4)"),
                       lambda acc, ch: (acc + F.coalesce(ch["chargeAmount"]["amount"], F.lit(0))).cast("decimal(38,4)"))
@@ -114,15 +123,15 @@ def walmart_orders(doc: DataFrame) -> DataFrame:
 
 def walmart_inventory(doc: DataFrame) -> DataFrame:
     """D8 -> C18 inventory columns."""
-    s = doc.select(F.explode("inventory").alias("s"))
+    s = _each(doc, "inventory", "s")
     return s.select(F.col("s.sku").alias("SKU"), F.col("s.availableToSellQty").alias("Available units"),
                     F.col("s.inboundQty").alias("Inbound units"))
 
 
 def tiktok_orders(doc: DataFrame) -> DataFrame:
     """D9 -> C13/C4 columns: one row per line item; status code 140 is cancelled."""
-    o = doc.select(F.explode("data.orders").alias("o"))
-    li = o.select("o", F.explode("o.line_items").alias("li"))
+    o = _each(doc, "data.orders", "o")
+    li = _each(o, "o.line_items", "li", "o")
     status = F.when(F.col("o.order_status") == TIKTOK_CANCELLED_CODE, "Cancelled").otherwise(
         F.col("o.order_status").cast("string"))
     fulfil = F.when(F.col("o.fulfillment_type") == TIKTOK_FBT_TYPE, "Fulfillment by TikTok Shop").otherwise(
@@ -135,7 +144,7 @@ def tiktok_orders(doc: DataFrame) -> DataFrame:
 
 def tiktok_inventory(doc: DataFrame) -> DataFrame:
     """D9 -> C11 columns."""
-    s = doc.select(F.explode("data.inventories").alias("s"))
+    s = _each(doc, "data.inventories", "s")
     return s.select(F.col("s.seller_sku").alias("Reference code"),
                     F.col("s.available_quantity").alias("Available inventory"),
                     F.col("s.in_transit_quantity").alias("In Transit: Total Quantity"))
@@ -146,8 +155,8 @@ def shopify_orders(doc: DataFrame) -> DataFrame:
     to cents; lines with zero quantity and zero net are dropped; the API source
     name becomes the report's sales-channel name (unknown/NULL kept as is and
     bucketed to Others by C6)."""
-    o = doc.select(F.explode("orders").alias("o"))
-    li = o.select(F.col("o.source_name").alias("src"), F.explode("o.line_items").alias("li"))
+    o = _each(doc, "orders", "o")
+    li = _each(o, "o.line_items", "li", F.col("o.source_name").alias("src"))
     money = "decimal(38,4)"
     discounts = F.aggregate("li.discount_allocations", F.lit(0).cast(money),
                             lambda acc, d: (acc + F.coalesce(d["amount"].cast(money), F.lit(0))).cast(money))

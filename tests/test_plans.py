@@ -35,4 +35,4 @@ def test_pre_aggregation_before_mapping_join(spark):
     # the mapping join sits above a final hash aggregate on the source key
     join_at = p.find("Join [source_key")
     assert join_at >= 0
-    assert "HashAggregate(keys=[source_key" in p[join_at:]
+    assert "HashAggregate(keys=[_k" in p[join_at:]
