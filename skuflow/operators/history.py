@@ -116,3 +116,41 @@ def trend(history: DataFrame, metric: str = "Units", keys: Sequence[str] = ("SKU
     w = Window.partitionBy(*keys).orderBy(order)
     return (history.withColumn(f"prev_{metric}", F.lag(metric).over(w))
             .withColumn(f"delta_{metric}", F.col(metric) - F.col(f"prev_{metric}")))
+
+
+SNAPSHOT_PREFIX = "inventory_report_"
+
+
+def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normalize_ids: bool = False) -> DataFrame | None:
+    """S10 + H1: every ``<prefix>YYYY-MM-DD.csv`` snapshot of a folder, combined.
+
+    Snapshots written over the years carry different headers, and one CSV scan
+    over mixed headers silently misaligns columns, so files are grouped by their
+    header line first. The header of every file comes from one text scan that
+    keeps only the first line of each file (byte offset 0 of its first split);
+    each header group is then one CSV scan, normalized (legacy names, date from
+    the file name, ids) and unioned. Files missing a required column are skipped.
+    """
+    from skuflow.functions.dates import date_from_name
+    from skuflow.sources.discovery import list_files, parse_names
+
+    listing = parse_names(list_files(spark, directory, f"{prefix}*.csv"), [prefix], (".csv",))
+    files = listing.select("path")
+    first_lines = (spark.read.text(directory + f"/{prefix}*.csv")
+                   .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("b"),
+                           F.monotonically_increasing_id().alias("i"), "value"))
+    # first line of each file: the minimum row id within the split that starts at byte 0
+    heads = (first_lines.where(F.col("b") == 0)
+             .groupBy("path").agg(F.min_by("value", "i").alias("header"))
+             .join(files, "path"))
+    groups = {}
+    for r in heads.collect():                       # one row per file: listing metadata only
+        groups.setdefault(r.header.lstrip("﻿"), []).append(r.path)
+    frames = []
+    for paths in groups.values():
+        df = (spark.read.option("header", True).option("escape", '"').csv(paths)
+              .withColumn("_day", date_from_name(F.col("_metadata.file_name"), prefix, ".csv")))
+        norm = normalize_snapshot(df, F.col("_day"), normalize_ids)
+        if norm is not None:
+            frames.append(norm)
+    return combine_snapshots(frames) if frames else None

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from skuflow.operators.history import append_run_log, run_summary
 from skuflow.operators.mapping import BUNDLES_SKU
-from skuflow.operators.quality import Contract, channel_status, gate, missing_skus
+from skuflow.operators.quality import Contract, channel_status, gate, missing_skus, source_metrics
 from skuflow.operators.spine import channel_dates
 from skuflow.plans import channels as C
 from skuflow.plans.reports import INVENTORY_METRICS, inventory_report, sales_report
@@ -77,6 +77,7 @@ class RunResult:
     missing: DataFrame | None = None
     offenders: DataFrame | None = None
     source_files: list = field(default_factory=list)
+    metrics: DataFrame | None = None          # Q5: source, rows_analyzed, rows_found
 
 
 # --- sales registry -----------------------------------------------------------------------
@@ -114,7 +115,7 @@ SALES_REGISTRY = [
 def sales_run(spark: SparkSession, input_dir: str, catalog: Catalog, run_date,
               registry=None) -> RunResult:
     """R2 end to end: newest file per source -> channel facts -> report grid."""
-    parts, files = [], []
+    parts, files, metrics = [], [], []
     for src in registry or SALES_REGISTRY:
         hit = find_latest(spark, input_dir, src.prefix, src.extensions, run_date)
         if hit is None:
@@ -126,6 +127,8 @@ def sales_run(spark: SparkSession, input_dir: str, catalog: Catalog, run_date,
         except C.MissingColumns as e:
             log.error("%s", e)
             continue
+        found = long.where(F.col("SKU").isNotNull() & (F.col("SKU") != BUNDLES_SKU))
+        metrics.append(source_metrics(read_report(spark, path), found, src.channel))
         if src.channel != "Mixed":
             long = long.withColumn("Channel", F.lit(src.channel))
         parts.append(long.withColumn("Date", F.to_date(F.lit(day))).select(
@@ -140,7 +143,8 @@ def sales_run(spark: SparkSession, input_dir: str, catalog: Catalog, run_date,
     present = facts.where(F.col("SKU").isNotNull() & (F.col("SKU") != BUNDLES_SKU))
     missing = missing_skus(present, catalog.sku_dim(spark), "Channel", channels)
     dated = facts.where(F.col("SKU").isNotNull())
-    return RunResult(report, channel_status(channels, channel_dates(dated, channels)), missing, None, files)
+    return RunResult(report, channel_status(channels, channel_dates(dated, channels)), missing, None, files,
+                     reduce(DataFrame.unionByName, metrics))
 
 
 # --- inventory registry -------------------------------------------------------------------
@@ -237,3 +241,22 @@ def publish(spark: SparkSession, run: RunResult, report_type: str, out_dir: str,
     summary = run_summary(written, report_type, run.source_files, timestamp)
     append_run_log(summary, os.path.join(out_dir, "run_history"))
     return summary
+
+
+# --- reconciliation of two Amazon sources (H4) --------------------------------------------
+
+def compare_amazon(spark: SparkSession, input_dir: str, catalog: Catalog, run_date):
+    """H4 from files: business-report sales (C2) vs raw orders (C5), per SKU.
+
+    Returns (per-SKU comparison, totals) or None when either file is missing."""
+    from skuflow.operators.reconcile import reconcile, reconcile_totals
+
+    old = find_latest(spark, input_dir, PREFIX["amazon_sales"], (".csv",), run_date)
+    new = find_latest(spark, input_dir, PREFIX["amazon_orders"], (".txt", ".csv"), run_date)
+    if old is None or new is None:
+        return None
+    mapping = catalog.mapping_dim(spark, "amazon")
+    o = C.amazon_sales(read_report(spark, old[0]), mapping).sales
+    n = C.amazon_orders(read_report(spark, new[0]), mapping).sales
+    recon = reconcile(o, n)
+    return recon, reconcile_totals(recon)

@@ -97,3 +97,19 @@ def test_quality_ops(spark):
     raw = spark.createDataFrame([("1",), ("x",), (None,)], "v string")
     cnt = Q.coercion_counts(raw, {"bad": ("v", F.col("v").try_cast("double"))}).first().bad
     assert cnt == 1
+
+
+def test_read_snapshots_mixed_headers(spark, tmp_path):
+    (tmp_path / "inventory_report_2025-01-01.csv").write_text(
+        "id,sku,channel,units_sold,inventory,inbound\nx,1001,FBA,1,2,3\nx,2001,FBA,,5,6\n")
+    (tmp_path / "inventory_report_2025-02-01.csv").write_text(
+        "id,sku_channel_id,Date,SKU,Channel,Units,Inventory,Inbound\na,b,2025-01-31,1001,TikTok Shop,7,8,9\n")
+    (tmp_path / "inventory_report_2025-03-01.csv").write_text("SKU,Channel\n1001,FBA\n")   # skipped
+    (tmp_path / "notes.csv").write_text("a\n")
+    out = {(r.Date.isoformat(), r.SKU, r.Channel): (r.id, r.Units, r.Inventory, r.Inbound)
+           for r in H.read_snapshots(spark, str(tmp_path)).collect()}
+    assert out == {
+        ("2025-01-01", "1001", "FBA"): ("20250101_FBA_1001", 1, 2, 3),
+        ("2025-01-01", "2001", "FBA"): ("20250101_FBA_2001", 0, 5, 6),
+        ("2025-02-01", "1001", "TikTok Shop"): ("20250201_TikTok Shop_1001", 7, 8, 9),
+    }

@@ -166,3 +166,20 @@ def test_payload_chunks(spark, catalog, sales_df):
     assert head[0]["reportSummary"]["Amazon"] == "2026-02-11"
     assert sum(len(d["reportData"]) for d in data) == 56 and all(d["chunks"] == 6 for d in data)
     assert data[0]["reportData"][0]["Date"] in ("2026-02-11", "2026-03-01")
+
+
+def test_sales_run_metrics(spark, catalog):
+    run = sales_run(spark, REPORTS, catalog, "2026-03-01")
+    m = {r.source: (r.rows_analyzed, r.rows_found) for r in run.metrics.collect()}
+    assert m["Amazon"] == (6, 2) and m["TikTok Shop"] == (5, 2) and m["Walmart"] == (3, 3)
+
+
+def test_compare_amazon(spark, catalog):
+    from skuflow.plans.runs import compare_amazon
+
+    recon, totals = compare_amazon(spark, REPORTS, catalog, "2026-03-01")
+    r = {x.SKU: x for x in recon.collect()}
+    assert (r["1001"].Old_Units, r["1001"].New_Units, r["1001"].Units_Diff) == (10, 1, -9)
+    assert r["3001"].Units_Diff == -3
+    t = totals.first()
+    assert (t.units_diff_count, t.parsers_agree) == (2, False)
