@@ -278,16 +278,18 @@ def catalog_template(t: Tables) -> DataFrame:
 
 def reserve_clip(spark, sf_dir) -> DataFrame:
     """A6 + F12 + C14: levels per MSKU over facilities (lines): DTC = Σ DTC,
-    Reserve = max(0, Σ RS − Σ Ops WIP); only catalog SKUs (semi join)."""
+    Reserve = max(0, Σ RS − Σ Ops WIP); only catalog SKUs (semi join on the
+    native key, cast to text after aggregation)."""
     t = Tables(spark, sf_dir)
-    levels = t.lineitem.select(F.col("l_partkey").cast("string").alias("MSKU"),
+    levels = t.lineitem.select(F.col("l_partkey").alias("MSKU"),
                                _flag_qty("A").alias("DTC Total Quantity"), _flag_qty("N").alias("RS Total Quantity"),
                                _flag_qty("R").alias("Ops WIP Quantity"))
-    agg = (levels.join(catalog_template(t).withColumnRenamed("SKU", "MSKU"), "MSKU", "left_semi")
-           .groupBy(F.col("MSKU").alias("SKU"))
+    catalog = t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE).select(F.col("p_partkey").alias("MSKU"))
+    agg = (levels.join(catalog, "MSKU", "left_semi")
+           .groupBy("MSKU")
            .agg(F.sum("DTC Total Quantity").alias("DTC"), F.sum("RS Total Quantity").alias("rs"),
                 F.sum("Ops WIP Quantity").alias("wip")))
-    return agg.select("SKU", "DTC", clipped_difference("rs", "wip").alias("Reserve"))
+    return agg.select(F.col("MSKU").cast("string").alias("SKU"), "DTC", clipped_difference("rs", "wip").alias("Reserve"))
 
 
 def outer_merge_measures(spark, sf_dir) -> DataFrame:
@@ -423,19 +425,25 @@ LEGACY_BEFORE = "1998-01-01"
 def combine_history(spark, sf_dir) -> DataFrame:
     """H1 + U2: monthly snapshots (channel = return flag, SKU = part key) where
     older months carry the legacy snake_case headers; both are normalized, dated
-    from the snapshot, re-keyed and unioned."""
+    from the snapshot, re-keyed and unioned. The two header groups are split on
+    the raw ship date, so each group's predicate reaches the parquet scan."""
     li = Tables(spark, sf_dir).lineitem
-    snaps = (li.select(F.trunc(F.to_date("l_shipdate"), "month").alias("snap_date"), "l_returnflag",
-                       F.col("l_partkey").cast("string").alias("k"), "l_quantity", "l_linenumber")
-             .groupBy("snap_date", "l_returnflag", "k")
-             .agg(F.sum("l_quantity").alias("u"), F.count(F.lit(1)).alias("inv"), F.max("l_linenumber").alias("inb")))
-    old = F.col("snap_date") < F.to_date(F.lit(LEGACY_BEFORE))
-    legacy = snaps.where(old).select("snap_date", F.col("k").alias("sku"), F.col("l_returnflag").alias("channel"),
-                                     F.col("u").alias("units_sold"), F.col("inv").alias("inventory"),
-                                     F.col("inb").alias("inbound"), F.lit("legacy-id").alias("id"))
-    current = snaps.where(~old).select("snap_date", F.col("k").alias("SKU"), F.col("l_returnflag").alias("Channel"),
-                                       F.col("u").alias("Units"), F.col("inv").alias("Inventory"),
-                                       F.col("inb").alias("Inbound"))
+    cut = F.lit(LEGACY_BEFORE).cast("timestamp_ntz")
+
+    def snaps(part):
+        return (li.where(part)
+                .select(F.trunc(F.to_date("l_shipdate"), "month").alias("snap_date"), "l_returnflag",
+                        F.col("l_partkey").cast("string").alias("k"), "l_quantity", "l_linenumber")
+                .groupBy("snap_date", "l_returnflag", "k")
+                .agg(F.sum("l_quantity").alias("u"), F.count(F.lit(1)).alias("inv"),
+                     F.max("l_linenumber").alias("inb")))
+
+    legacy = snaps(F.col("l_shipdate") < cut).select(
+        "snap_date", F.col("k").alias("sku"), F.col("l_returnflag").alias("channel"), F.col("u").alias("units_sold"),
+        F.col("inv").alias("inventory"), F.col("inb").alias("inbound"), F.lit("legacy-id").alias("id"))
+    current = snaps(F.col("l_shipdate") >= cut).select(
+        "snap_date", F.col("k").alias("SKU"), F.col("l_returnflag").alias("Channel"), F.col("u").alias("Units"),
+        F.col("inv").alias("Inventory"), F.col("inb").alias("Inbound"))
     frames = [normalize_snapshot(f, F.col("snap_date")) for f in (legacy, current)]
     return combine_snapshots([f for f in frames if f is not None])
 

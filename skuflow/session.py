@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     # Reports are tiny compared with the facts; let AQE turn a shuffled join
     # into a broadcast one only when the measured (not estimated) side is small.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # post-shuffle partitions are coalesced/split toward this size by AQE
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 
 

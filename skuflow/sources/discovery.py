@@ -23,38 +23,50 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFram
     return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
-def parse_names(listing: DataFrame, prefixes: Sequence[str], extensions: Sequence[str] = (".csv",),
-                name: str = "name") -> DataFrame:
-    """add prefix (as configured), report_date (NULL when impossible), ext and
-    ext_rank. Prefix and extension match case-insensitively (L18); names that
-    match no prefix are dropped."""
+def _parsed(listing: DataFrame, prefixes: Sequence[str], extensions: Sequence[str], name: str) -> DataFrame:
+    """prefix (as configured), report_date, ext, ext_rank; NULLs where no match.
+    Each regex group is extracted once; prefix and extension rank are map
+    lookups rather than CASE chains (which would re-run the extraction per branch)."""
     alt_p = "|".join(re.escape(p) for p in prefixes)
     alt_e = "|".join(re.escape(e) for e in extensions)
     pattern = f"(?i)^({alt_p})(\\d{{4}}-\\d{{2}}-\\d{{2}})({alt_e})$"
     n = F.col(name)
-    got_p = F.lower(F.regexp_extract(n, pattern, 1))
-    got_e = F.lower(F.regexp_extract(n, pattern, 3))
-    prefix = None
-    for p in prefixes:
-        prefix = (F.when(got_p == p.lower(), p) if prefix is None else prefix.when(got_p == p.lower(), p))
-    ext_rank = None
-    for i, e in enumerate(extensions):
-        ext_rank = (F.when(got_e == e.lower(), i) if ext_rank is None else ext_rank.when(got_e == e.lower(), i))
-    day = F.try_to_date(F.nullif(F.regexp_extract(n, pattern, 2), F.lit("")), "yyyy-MM-dd")
-    return (listing.withColumns({"prefix": prefix, "report_date": day, "ext": got_e, "ext_rank": ext_rank})
+    prefix_of = F.create_map(*[x for p in prefixes for x in (F.lit(p.lower()), F.lit(p))])
+    rank_of = F.create_map(*[x for i, e in enumerate(extensions) for x in (F.lit(e.lower()), F.lit(i))])
+    raw = listing.withColumns({"_p": F.lower(F.regexp_extract(n, pattern, 1)),
+                               "_d": F.regexp_extract(n, pattern, 2),
+                               "ext": F.lower(F.regexp_extract(n, pattern, 3))})
+    return (raw.withColumns({"prefix": F.element_at(prefix_of, F.col("_p")),
+                             "report_date": F.try_to_date(F.nullif(F.col("_d"), F.lit("")), "yyyy-MM-dd"),
+                             "ext_rank": F.element_at(rank_of, F.col("ext"))})
+            .drop("_p", "_d"))
+
+
+def parse_names(listing: DataFrame, prefixes: Sequence[str], extensions: Sequence[str] = (".csv",),
+                name: str = "name") -> DataFrame:
+    """add prefix (as configured), report_date (NULL when impossible), ext and
+    ext_rank. Prefix and extension match case-insensitively (L18); names that
+    match no prefix, or carry an impossible date, are dropped."""
+    return (_parsed(listing, prefixes, extensions, name)
             .where(F.col("prefix").isNotNull() & F.col("report_date").isNotNull()))
 
 
 def latest_per_prefix(listing: DataFrame, prefixes: Sequence[str], extensions: Sequence[str] = (".csv",),
                       run_date=None, name: str = "name") -> DataFrame:
     """Per prefix, the file dated ``run_date`` if there is one (L17), else
-    the newest date; ties broken by extension-list order, then by name."""
-    parsed = parse_names(listing, prefixes, extensions, name)
+    the newest date; ties broken by extension-list order, then by name.
+
+    Unmatched names are not filtered before the aggregate (a pushed-down filter
+    would repeat the parsing inside the scan); a dated name always outranks an
+    undated one, and the few non-matching groups are dropped afterwards."""
+    parsed = _parsed(listing, prefixes, extensions, name)
     run = F.to_date(F.lit(str(run_date))) if run_date is not None else F.current_date()
     score = F.struct((F.col("report_date") == run).alias("today"), F.col("report_date"),
                      (-F.col("ext_rank")).alias("ext"), F.col(name).alias("n"))
     pick = F.max_by(F.struct(F.col(name).alias("name"), "report_date"), score)
-    return parsed.groupBy("prefix").agg(pick.alias("_p")).select("prefix", "_p.name", "_p.report_date")
+    return (parsed.groupBy("prefix").agg(pick.alias("_p"))
+            .select("prefix", "_p.name", "_p.report_date")
+            .where(F.col("prefix").isNotNull() & F.col("report_date").isNotNull()))
 
 
 def find_latest(spark: SparkSession, directory: str, prefix: str, extensions: Sequence[str] = (".csv",),
