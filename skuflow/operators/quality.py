@@ -94,11 +94,14 @@ def source_metrics(raw: DataFrame, found: DataFrame, source: str) -> DataFrame:
 
 
 def channel_status(channels: Sequence[str], dates: DataFrame) -> DataFrame:
-    """Q6: configured channel -> data date, or 'No data'. ``dates``: Channel, Date
-    (at most one row per configured channel)."""
+    """Q6: configured channel -> data date, or 'No data'. ``dates``: Channel, Date.
+    The dates are reduced to one row per configured channel before the
+    broadcast, so its size is bounded by the configuration."""
     spark = dates.sparkSession
     dim = spark.createDataFrame([(i, c) for i, c in enumerate(channels)], "channel_rank int, Channel string")
-    return (dim.join(F.broadcast(dates.where(F.col("Channel").isin(list(channels)))), "Channel", "left")
+    per_channel = (dates.where(F.col("Channel").isin(list(channels)))
+                   .groupBy("Channel").agg(F.max("Date").alias("Date")))
+    return (dim.join(F.broadcast(per_channel), "Channel", "left")
             .select("Channel", "channel_rank", F.col("Date").alias("data_date"),
                     F.coalesce(F.date_format("Date", "yyyy-MM-dd"), F.lit("No data")).alias("status")))
 
