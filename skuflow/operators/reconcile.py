@@ -56,3 +56,10 @@ def parity(recon: DataFrame, rel_tol: float = 0.01, abs_tol: float = 0.0) -> Dat
     """Per SKU, is the new value within tolerance of the old one?"""
     tol = F.greatest(F.lit(float(abs_tol)), F.lit(float(rel_tol)) * F.abs(F.col("Old_Rev").cast("double")))
     return recon.withColumn("within_tolerance", F.abs(F.col("Rev_Diff").cast("double")) <= tol)
+
+
+def one_sided(recon: DataFrame, key: str = "SKU") -> DataFrame:
+    """H4/O3: SKUs present in only one source, as (side, SKU) rows — sorted at
+    the sink, never gathered into one array."""
+    return (recon.where(F.col("in_old") != F.col("in_new"))
+            .select(F.when(F.col("in_old"), "old only").otherwise("new only").alias("side"), key))

@@ -104,6 +104,23 @@ def _shopify(spark, path, cat):
     return C.shopify_sales(read_report(spark, path), cat.mapping_dim(spark, "shopify")).long
 
 
+def _amazon_summary(spark, path, cat):
+    return C.amazon_sales(read_report(spark, path), cat.mapping_dim(spark, "amazon")).long
+
+
+def _tiktok_summary(spark, path, cat):
+    return C.tiktok_sales(read_sniffed(spark, path, C.TIKTOK_SALES["sku"]), cat.mapping_dim(spark, "tiktok")).long
+
+
+# The summary-report sources the raw-order sources replaced (C2, C3); kept as a
+# registry so the old methodology can still be run and reconciled (H4).
+LEGACY_SALES_REGISTRY = [
+    SalesSource("Walmart", PREFIX["walmart_sales"], _walmart),
+    SalesSource("Amazon", PREFIX["amazon_sales"], _amazon_summary),
+    SalesSource("TikTok Shop", PREFIX["tiktok_sales"], _tiktok_summary),
+    SalesSource("Mixed", PREFIX["shopify_sales"], _shopify),
+]
+
 SALES_REGISTRY = [
     SalesSource("Walmart", PREFIX["walmart_sales"], _walmart),
     SalesSource("Amazon", PREFIX["amazon_orders"], _amazon, (".txt", ".csv")),

@@ -183,3 +183,16 @@ def test_compare_amazon(spark, catalog):
     assert r["3001"].Units_Diff == -3
     t = totals.first()
     assert (t.units_diff_count, t.parsers_agree) == (2, False)
+
+
+def test_legacy_registry_and_one_sided(spark, catalog):
+    from skuflow.operators.reconcile import one_sided, reconcile
+    from skuflow.plans.runs import LEGACY_SALES_REGISTRY
+
+    old = sales_run(spark, REPORTS, catalog, "2026-03-01", registry=LEGACY_SALES_REGISTRY)
+    rows = {(r.Channel, r.SKU): (r.Units, r.Revenue) for r in old.report.collect()}
+    assert rows[("Amazon", "1001")] == (10, 259.9)
+    assert rows[("TikTok Shop", "5001")] == (6, 30.0) and rows[("TikTok Shop", "Bundles")] == (3, 30.0)
+    a = spark.createDataFrame([("1", 1.0, 1.0)], "SKU string, Units double, Revenue double")
+    b = spark.createDataFrame([("2", 1.0, 1.0)], "SKU string, Units double, Revenue double")
+    assert {(r.side, r.SKU) for r in one_sided(reconcile(a, b)).collect()} == {("old only", "1"), ("new only", "2")}
