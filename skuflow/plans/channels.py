@@ -253,11 +253,17 @@ def flexport(levels_raw: DataFrame, orders_raw: DataFrame, inbound_raw: DataFram
 def order_item_units(orders_raw: DataFrame, dsku_dim: DataFrame, status: str = "Order Status",
                      items: str = "Items", strict: bool = False) -> DataFrame:
     """Non-cancelled orders (NULL status kept, P4) -> items JSON (F15) ->
-    one row per item (F16) -> DSKU looked up (J5; unknown dropped) -> Σ qty by SKU."""
+    one row per item (F16) -> DSKU looked up (J5; unknown dropped) -> Σ qty by SKU.
+    Item quantities are summed per DSKU before the lookup join (A3), so the join
+    sees one row per DSKU rather than one per item."""
     kept = orders_raw.where(not_equal_keep_null(status, FLEXPORT_CANCELLED))
-    item = kept.select(F.explode(parse_items(items, strict)).alias("it"))
-    lines = item.select(F.col("it.dsku").alias("dsku"), F.coalesce(F.col("it.qty"), F.lit(0)).alias("qty"))
-    return (lines.join(dsku_dim.select("dsku", "SKU"), "dsku", "inner")
+    # explode_outer + NULL filter: an inner explode makes Spark infer a
+    # size(...) > 0 filter that is pushed below the parse and parses twice
+    item = kept.select(F.explode_outer(parse_items(items, strict)).alias("it")).where(F.col("it").isNotNull())
+    per_dsku = (item.select(F.col("it.dsku").alias("dsku"), F.coalesce(F.col("it.qty"), F.lit(0)).alias("qty"))
+                .where(F.col("dsku").isNotNull())
+                .groupBy("dsku").agg(F.sum("qty").alias("qty")))
+    return (per_dsku.join(dsku_dim.select("dsku", "SKU"), "dsku", "inner")
             .groupBy("SKU").agg(F.sum("qty").alias("Units")))
 
 

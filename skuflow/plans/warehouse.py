@@ -391,17 +391,26 @@ def report_contract(spark, sf_dir) -> DataFrame:
                                              integral=["Units"]))
 
 
+# Fixed value: order statuses on the C8 allow-list for the warehouse roles.
+ALLOWED_STATUSES = ["F", "O"]
+
+
 def price_times_qty(spark, sf_dir) -> DataFrame:
-    """Status allow-list, Revenue = Quantity × Unit Price, summed by SKU."""
+    """Status allow-list, Revenue = Quantity × Unit Price, summed by SKU.
+
+    The unit price is a property of the part, so Σ(qty × price) = price × Σqty
+    (exact in decimal): lines are filtered by a semi join on the allowed orders
+    and summed per part before the part join, which then sees one row per part
+    key instead of one per line."""
     t = Tables(spark, sf_dir)
-    o = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("Order Line Status"))
-    p = t.part.select("p_partkey", "p_brand", "p_retailprice")
-    raw = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
-           .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(p, F.col("l_partkey") == F.col("p_partkey"))
-           .select(F.col("p_brand").alias("SKU"), F.col("l_quantity").alias("Quantity"),
-                   F.col("p_retailprice").alias("Unit Price"), "Order Line Status"))
-    out = walmart_orders(raw, statuses=("F", "O"))
+    allowed = t.orders.where(F.col("o_orderstatus").isin(ALLOWED_STATUSES)).select(F.col("o_orderkey").alias("l_orderkey"))
+    per_part = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+                .join(allowed, "l_orderkey", "left_semi")
+                .groupBy("l_partkey").agg(F.sum("l_quantity").alias("Quantity")))
+    raw = (per_part.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_retailprice"), "l_partkey")
+           .select(F.col("p_brand").alias("SKU"), "Quantity", F.col("p_retailprice").alias("Unit Price"),
+                   F.lit(ALLOWED_STATUSES[0]).alias("Order Line Status")))
+    out = walmart_orders(raw, statuses=ALLOWED_STATUSES)
     return out.select("SKU", "Units", F.col("Revenue").cast("double").alias("Revenue"))
 
 
