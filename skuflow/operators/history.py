@@ -106,8 +106,10 @@ def anomaly_flags(history: DataFrame, value: str = "total_units", by: Sequence[s
 
 
 def not_yet_logged(incoming: DataFrame, log: DataFrame, keys: Sequence[str] = ("pipeline", "report_date")) -> DataFrame:
-    """Keep only (pipeline, report_date) runs the log does not have yet."""
-    return incoming.join(log.select(*keys), list(keys), "left_anti")
+    """Keep only (pipeline, report_date) runs the log does not have yet. The
+    log side is de-duplicated first (partial aggregation collapses repeated keys
+    map-side), so a key logged many times cannot skew the anti join."""
+    return incoming.join(log.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def trend(history: DataFrame, metric: str = "Units", keys: Sequence[str] = ("SKU", "Channel"),

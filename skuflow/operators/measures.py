@@ -18,19 +18,26 @@ def assemble(template: DataFrame, measures: dict[str, DataFrame], key: str = "SK
              keep_unknown: bool = False) -> DataFrame:
     """Template ⟕ measure_1 ⟕ … ⟕ measure_k, missing -> 0.
 
-    ``measures``: output column -> DataFrame(key, value). Each measure may have
-    several rows per key; they are summed. With ``keep_unknown`` the result is a
-    full outer merge (J2): keys outside the template are kept too.
+    ``measures``: output column -> DataFrame(key, value), several rows per key
+    allowed (summed). The measures are stacked into long form and folded by
+    :func:`assemble_long`. With ``keep_unknown`` keys outside the template are
+    kept too (a full outer merge, J2).
     """
-    names = list(measures)
-    parts = [df.select(F.col(key).cast("string").alias(key),
-                       *[(F.col("value") if n == name else F.lit(None)).alias(n) for n in names])
-             for name, df in measures.items()]
-    folded = reduce(DataFrame.unionByName, parts).groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
-    t = template.select(F.col(key).cast("string").alias(key)).distinct() if not keep_unknown else None
+    long = reduce(DataFrame.unionByName,
+                  [df.select(F.col(key).cast("string").alias(key), F.lit(name).alias("measure"), F.col("value"))
+                   for name, df in measures.items()])
+    return assemble_long(template, long, list(measures), key, keep_unknown)
+
+
+def assemble_long(template: DataFrame, long: DataFrame, names, key: str = "SKU",
+                  keep_unknown: bool = False) -> DataFrame:
+    """Fold long (key, measure, value) rows into one column per measure with a
+    single group-by, then left-join them onto the template (one row per key)."""
+    folded = long.groupBy(key).agg(*[F.sum(F.when(F.col("measure") == n, F.col("value"))).alias(n) for n in names])
     if keep_unknown:
         out = folded
     else:
+        t = template.select(F.col(key).cast("string").alias(key)).distinct()
         out = t.join(folded, key, "left")
     return out.select(key, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
 

@@ -19,7 +19,7 @@ from skuflow.functions import (
     clean_money, coerced, excludes_ci, json_field, not_equal_keep_null, row_id, row_sum, sku_channel_id, to_number,
 )
 from skuflow.operators.mapping import map_sales, normalize_amazon_skus, unmapped_keys as _unmapped
-from skuflow.operators.measures import assemble, clipped_difference
+from skuflow.operators.measures import assemble_long, clipped_difference
 from skuflow.operators.history import (
     anomaly_flags, combine_snapshots, normalize_snapshot, not_yet_logged, run_summary, trend,
 )
@@ -30,6 +30,7 @@ from skuflow.plans.channels import (
     bucket_channel, order_item_units, shopify_sales, tiktok_fbt_orders, walmart_orders, wfs,
 )
 from skuflow.plans.reports import inventory_report
+from skuflow.session import checkpoint_dir
 from skuflow.sinks import payload_records
 from skuflow.sources import landed
 from skuflow.sources.discovery import latest_per_prefix
@@ -141,14 +142,15 @@ def unmapped_keys(spark, sf_dir) -> DataFrame:
 
 def missing_skus_by_channel(spark, sf_dir) -> DataFrame:
     """Q2 (+ L8): master SKUs with no sales in a channel ('missing') and sold SKUs
-    outside the master list that the grid drops ('unknown')."""
+    outside the master list that the grid drops ('unknown'). One full join of
+    the grid with the sold (Channel, SKU) pairs yields both sides in one pass."""
     t = Tables(spark, sf_dir)
-    m = mapped(t)
-    present = m.sales.select("Channel", "SKU").where(F.col("Channel").isin(CHANNELS))
-    g = grid(master_skus(t), CHANNELS).select("Channel", "SKU")
-    missing = g.join(present, ["Channel", "SKU"], "left_anti").withColumn("issue", F.lit("missing"))
-    unknown = present.join(master_skus(t), "SKU", "left_anti").withColumn("issue", F.lit("unknown"))
-    return missing.unionByName(unknown).select("Channel", "SKU", "issue")
+    present = (mapped(t).sales.where(F.col("Channel").isin(CHANNELS))
+               .select("Channel", "SKU", F.lit(True).alias("_sold")))
+    g = grid(master_skus(t), CHANNELS).select("Channel", "SKU", F.lit(True).alias("_grid"))
+    j = g.join(present, ["Channel", "SKU"], "full")
+    issue = F.when(F.col("_sold").isNull(), "missing").when(F.col("_grid").isNull(), "unknown")
+    return j.select("Channel", "SKU", issue.alias("issue")).where(F.col("issue").isNotNull())
 
 
 # --- predicates and scalar functions ----------------------------------------------------
@@ -306,18 +308,19 @@ def outer_merge_measures(spark, sf_dir) -> DataFrame:
 
 
 def chained_template(spark, sf_dir) -> DataFrame:
-    """J1 + J3 + C17: three measures onto the catalog template with one
-    union + group-by instead of three chained joins."""
+    """J1 + J3 + C17: three measures onto the catalog template. All three come from
+    the lines here, so they are emitted as long (SKU, measure, value) rows from a
+    single scan and folded with one group-by instead of three chained joins."""
     t = Tables(spark, sf_dir)
-    li = t.lineitem.select(F.col("l_partkey").cast("string").alias("SKU"), "l_returnflag", "l_linestatus",
-                           "l_quantity")
-    measures = {
-        "Inventory": li.where(F.col("l_returnflag") == "A").select("SKU", F.col("l_quantity").alias("value")),
-        "Units": li.where(F.col("l_returnflag") == "N").select("SKU", F.col("l_quantity").alias("value")),
-        "Inbound": li.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
-        .select("SKU", F.col("l_quantity").alias("value")),
-    }
-    return assemble(catalog_template(t), measures)
+    flag, status, qty = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
+    candidates = F.array(
+        F.when(flag == "A", F.struct(F.lit("Inventory").alias("measure"), qty.alias("value"))),
+        F.when(flag == "N", F.struct(F.lit("Units").alias("measure"), qty.alias("value"))),
+        F.when((flag == "R") & (status == "O"), F.struct(F.lit("Inbound").alias("measure"), qty.alias("value"))))
+    long = (t.lineitem.select(F.col("l_partkey").cast("string").alias("SKU"),
+                              F.explode(F.array_compact(candidates)).alias("m"))
+            .select("SKU", "m.measure", "m.value"))
+    return assemble_long(catalog_template(t), long, ["Inventory", "Units", "Inbound"])
 
 
 def union_channels(spark, sf_dir) -> DataFrame:
@@ -662,12 +665,12 @@ PAYLOAD_CHUNK_ROWS = 50
 def payload_json(spark, sf_dir) -> DataFrame:
     """Summary record + bounded data chunks (rows-only check)."""
     t = Tables(spark, sf_dir)
-    rep = _report(t)
+    checkpoint_dir(spark)
+    # the report feeds three consumers (row count, summary record, data chunks):
+    # a reliable checkpoint in the shared checkpoint folder evaluates it once
+    rep = _report(t).checkpoint(eager=True)
     status = rep.groupBy("Channel").agg(F.date_format(F.max("Date"), "yyyy-MM-dd").alias("status"))
-    # the report size is known from the grid (dims only), so the facts are not
-    # evaluated twice just to size the chunks
-    grid_rows = (master_skus(t).count() + 1) * len(CHANNELS)
-    return payload_records(rep, status, "sales", chunks=max(1, -(-grid_rows // PAYLOAD_CHUNK_ROWS)))
+    return payload_records(rep, status, "sales", max_rows=PAYLOAD_CHUNK_ROWS)
 
 
 QUERIES = {
