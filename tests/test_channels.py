@@ -168,3 +168,10 @@ def test_c18_wfs(spark, raw, catalog):
     got = by_sku(out, "Units", "Inventory", "Inbound")
     assert got["1001"] == (10, 100, 10) and got["2001"] == (4, 50, 5)
     assert "PH1001" not in got and got["9001"] == (0, 0, 0)
+
+
+def test_l13_fbt_key_trimmed_before_grouping(spark):
+    df = spark.createDataFrame([(" 1001", "5", "1"), ("1001 ", "7", "2")],
+                               "`Reference code` string, `Available inventory` string, `In Transit: Total Quantity` string")
+    rows = C.fbt_inventory(df).collect()
+    assert [(r.SKU, r.Inventory, r.Inbound) for r in rows] == [("1001", 12.0, 3.0)]

@@ -113,3 +113,10 @@ def test_read_snapshots_mixed_headers(spark, tmp_path):
         ("2025-01-01", "2001", "FBA"): ("20250101_FBA_2001", 0, 5, 6),
         ("2025-02-01", "1001", "TikTok Shop"): ("20250201_TikTok Shop_1001", 7, 8, 9),
     }
+
+
+def test_run_summary_bundles_double_count(spark):
+    rep = spark.createDataFrame([("1001", dt.date(2026, 1, 1), 4, 10.0), ("Bundles", dt.date(2026, 1, 1), 2, 5.0)],
+                                "SKU string, Date date, Units long, Revenue double")
+    assert H.run_summary(rep, "sales", []).first().total_units == 6                      # L6: by design
+    assert H.run_summary(rep, "sales", [], exclude_bundles=True).first().total_units == 4

@@ -196,3 +196,14 @@ def test_legacy_registry_and_one_sided(spark, catalog):
     a = spark.createDataFrame([("1", 1.0, 1.0)], "SKU string, Units double, Revenue double")
     b = spark.createDataFrame([("2", 1.0, 1.0)], "SKU string, Units double, Revenue double")
     assert {(r.side, r.SKU) for r in one_sided(reconcile(a, b)).collect()} == {("old only", "1"), ("new only", "2")}
+
+
+def test_exports(spark, catalog, sales_df, tmp_path):
+    from skuflow.sinks import export_csv, export_json
+
+    rep = sales_report(_long(sales_df), catalog.sku_dim(spark), SALES_CH, "2026-03-01", keep_ranks=True)
+    export_csv(rep.drop("channel_rank", "sku_rank"), str(tmp_path / "csv"), order_by=["Channel", "SKU"])
+    export_json(rep.drop("channel_rank", "sku_rank"), str(tmp_path / "json"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    assert back.count() == 56 and back.columns[:3] == ["id", "sku_channel_id", "Date"]
+    assert spark.read.json(str(tmp_path / "json")).where("Date = '2026-02-11'").count() > 0
