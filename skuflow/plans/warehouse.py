@@ -19,7 +19,7 @@ from skuflow.functions import (
     clean_money, coerced, excludes_ci, json_field, not_equal_keep_null, row_id, row_sum, sku_channel_id, to_number,
 )
 from skuflow.operators.mapping import map_sales, normalize_amazon_skus, unmapped_keys as _unmapped
-from skuflow.operators.measures import assemble_long, clipped_difference
+from skuflow.operators.measures import assemble_wide, clipped_difference
 from skuflow.operators.history import (
     anomaly_flags, combine_snapshots, normalize_snapshot, not_yet_logged, run_summary, trend,
 )
@@ -309,18 +309,17 @@ def outer_merge_measures(spark, sf_dir) -> DataFrame:
 
 def chained_template(spark, sf_dir) -> DataFrame:
     """J1 + J3 + C17: three measures onto the catalog template. All three come from
-    the lines here, so they are emitted as long (SKU, measure, value) rows from a
-    single scan and folded with one group-by instead of three chained joins."""
+    the lines here, so one scan projects each measure conditionally and one
+    group-by on the native part key folds them, instead of three chained joins."""
     t = Tables(spark, sf_dir)
     flag, status, qty = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
-    candidates = F.array(
-        F.when(flag == "A", F.struct(F.lit("Inventory").alias("measure"), qty.alias("value"))),
-        F.when(flag == "N", F.struct(F.lit("Units").alias("measure"), qty.alias("value"))),
-        F.when((flag == "R") & (status == "O"), F.struct(F.lit("Inbound").alias("measure"), qty.alias("value"))))
-    long = (t.lineitem.select(F.col("l_partkey").cast("string").alias("SKU"),
-                              F.explode(F.array_compact(candidates)).alias("m"))
-            .select("SKU", "m.measure", "m.value"))
-    return assemble_long(catalog_template(t), long, ["Inventory", "Units", "Inbound"])
+    wide = t.lineitem.select(F.col("l_partkey").alias("SKU"),
+                             F.when(flag == "A", qty).alias("Inventory"),
+                             F.when(flag == "N", qty).alias("Units"),
+                             F.when((flag == "R") & (status == "O"), qty).alias("Inbound"))
+    template = t.part.where(F.col("p_size") < UNMAPPED_MIN_SIZE).select(F.col("p_partkey").alias("SKU"))
+    out = assemble_wide(template, wide, ["Inventory", "Units", "Inbound"])
+    return out.withColumn("SKU", F.col("SKU").cast("string"))
 
 
 def union_channels(spark, sf_dir) -> DataFrame:
