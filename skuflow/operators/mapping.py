@@ -76,15 +76,17 @@ def pre_aggregate(facts: DataFrame, key: str, qty: str, rev: str, by: Sequence[s
     return out.withColumnRenamed("_k", "source_key")
 
 
-def join_mapping(keyed: DataFrame, mapping: DataFrame, how: str = "inner", keys: Sequence[str] = ()) -> DataFrame:
+def join_mapping(keyed: DataFrame, mapping: DataFrame, how: str = "inner", keys: Sequence[str] = (),
+                 carry: Sequence[str] = ()) -> DataFrame:
     """Join pre-aggregated facts to the mapping dim, adding ``bundle_size`` (M2).
 
-    ``keys``: extra join columns the mapping shares with the facts (e.g. a
-    methodology label when several mappings are applied in one pass). When the
+    ``keys``: extra join columns the mapping shares with the facts; ``carry``:
+    extra mapping columns to keep (e.g. a methodology label when several
+    mappings are applied to one pre-aggregate). When the
     fact key is not text but the mapping key is, the (aggregated) fact key is
     cast, never the other way round.
     """
-    m = mapping.select("source_key", *keys, "targets", F.size("targets").alias("bundle_size"))
+    m = mapping.select("source_key", *keys, *carry, "targets", F.size("targets").alias("bundle_size"))
     kt, mt = dict(keyed.dtypes)["source_key"], dict(m.dtypes)["source_key"]
     if kt != mt:
         keyed = keyed.withColumn("source_key", F.col("source_key").cast(mt))
@@ -127,16 +129,22 @@ def map_sales(facts: DataFrame, mapping: DataFrame, key: str, qty: str, rev: str
     mapping too, so several mappings can be applied in a single pass."""
     keyed = pre_aggregate(facts, key, qty, rev, by, date_col)
     joined = join_mapping(keyed, mapping, "left", mapping_keys)
-    dated = ["Date"] if date_col else []
+    return MappedSales(keyed=keyed, long=expand_long(joined, by, bool(date_col)))
+
+
+def expand_long(joined: DataFrame, by: Sequence[str] = (), dated: bool = False) -> DataFrame:
+    """M1 + M4 + A2 on joined pre-aggregates (qty, rev, rows, targets,
+    bundle_size[, Date]): one explode of targets / bundle / unmapped items and
+    one aggregate by (``by``, SKU)."""
+    extra = ["Date"] if dated else []
     # raw row counts are attributed to the first item of each key only, so that
-    # summing ``rows`` over a channel gives its analyzed rows (Q5)
-    items = (joined.select(*by, *dated, "qty", "rows", F.posexplode(_items()).alias("_pos", "_i"))
+    # summing ``rows`` over a group gives its analyzed rows (Q5)
+    items = (joined.select(*by, *extra, "qty", "rows", F.posexplode(_items()).alias("_pos", "_i"))
              .withColumn("rows", F.when(F.col("_pos") == 0, F.col("rows")).otherwise(F.lit(0).cast("long"))))
     aggs = [F.sum("qty").alias("Units"), F.sum("_i.Revenue").alias("Revenue"), F.sum("rows").alias("rows")]
-    if date_col:
+    if dated:
         aggs.append(F.max("Date").alias("Date"))
-    long = items.groupBy(*by, F.col("_i.SKU").alias("SKU")).agg(*aggs)
-    return MappedSales(keyed=keyed, long=long)
+    return items.groupBy(*by, F.col("_i.SKU").alias("SKU")).agg(*aggs)
 
 
 def unmapped_keys(keyed: DataFrame, mapping: DataFrame) -> DataFrame:

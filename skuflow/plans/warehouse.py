@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from skuflow.functions import (
     clean_money, coerced, excludes_ci, json_field, not_equal_keep_null, row_id, row_sum, sku_channel_id, to_number,
 )
-from skuflow.operators.mapping import map_sales, normalize_amazon_skus, unmapped_keys as _unmapped
+from skuflow.operators.mapping import (
+    BUNDLES_SKU, expand_long, join_mapping, map_sales, normalize_amazon_skus, unmapped_keys as _unmapped,
+)
 from skuflow.operators.measures import assemble_wide, clipped_difference
 from skuflow.operators.history import (
     anomaly_flags, combine_snapshots, normalize_snapshot, not_yet_logged, run_summary, trend,
@@ -475,18 +477,27 @@ def one_to_one_mapping(t: Tables) -> DataFrame:
 
 
 def _old_new(t: Tables) -> DataFrame:
-    """Both methodologies in one pass: every line is tagged 'old' (all statuses)
-    and, unless pending, also 'new'; one pre-aggregate by (key, method), one join
-    against the union of the two mappings (matched on key and method), one
-    aggregate by SKU."""
+    """Both methodologies in one pass. One scan and one pre-aggregate per part
+    key carry conditional sums for 'old' (all statuses) and 'new' (pending
+    excluded); a single join against the union of both mappings then yields one
+    row per (key, method), which is expanded and aggregated once by SKU."""
     lines = order_lines(t, exclude=None, keep_status=True)
     is_new = not_equal_keep_null("o_orderstatus", EXCLUDED_STATUS)
-    tagged = lines.select("source_key", "qty", "rev", F.explode(
-        F.when(is_new, F.array(F.lit("old"), F.lit("new"))).otherwise(F.array(F.lit("old")))).alias("method"))
+    keyed = (lines.groupBy("source_key")
+             .agg(F.sum("qty").alias("q_old"), F.sum("rev").alias("r_old"), F.count(F.lit(1)).alias("n_old"),
+                  F.sum(F.when(is_new, F.col("qty"))).alias("q_new"), F.sum(F.when(is_new, F.col("rev"))).alias("r_new"),
+                  F.count(F.when(is_new, 1)).alias("n_new")))
     mappings = (one_to_one_mapping(t).withColumn("method", F.lit("old"))
                 .unionByName(part_mapping(t).withColumn("method", F.lit("new"))))
-    long = map_sales(tagged, mappings, "source_key", "qty", "rev", by=["method"], mapping_keys=["method"]).sales
-    return reconcile_long(long)
+    joined = join_mapping(keyed, mappings, "inner", carry=["method"])
+    old = F.col("method") == "old"
+    per_method = (joined.where(F.when(old, F.col("n_old")).otherwise(F.col("n_new")) > 0)
+                  .select("method", "targets", "bundle_size",
+                          F.when(old, F.col("q_old")).otherwise(F.col("q_new")).alias("qty"),
+                          F.when(old, F.col("r_old")).otherwise(F.col("r_new")).alias("rev"),
+                          F.when(old, F.col("n_old")).otherwise(F.col("n_new")).alias("rows")))
+    long = expand_long(per_method, by=["method"])
+    return reconcile_long(long.where(F.col("SKU").isNotNull() & (F.col("SKU") != BUNDLES_SKU)))
 
 
 def reconcile_sources(spark, sf_dir) -> DataFrame:
