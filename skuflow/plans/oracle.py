@@ -234,7 +234,7 @@ WHERE o_orderstatus IN ('F', 'O') GROUP BY p_brand""",
 })
 
 from skuflow.plans.warehouse import (  # noqa: E402
-    FBT_PRIORITIES, FLAG_CHANNEL, INVENTORY_CHANNELS, LEGACY_BEFORE, ROLLUP_FROM, ROLLUP_TO, RUN_TIMESTAMP,
+    PAID_STATUS, SOURCE_CHANNELS, FBT_PRIORITIES, FLAG_CHANNEL, INVENTORY_CHANNELS, LEGACY_BEFORE, ROLLUP_FROM, ROLLUP_TO, RUN_TIMESTAMP,
     SOURCE_FILES, SOURCE_NAMES,
 )
 from skuflow.plans.channels import SHOPIFY_BUCKETS  # noqa: E402
@@ -403,3 +403,16 @@ rf AS (SELECT channel, count(*) AS c FROM sales GROUP BY channel)
 SELECT ra.channel AS "Channel", cast(ra.n AS BIGINT) AS rows_analyzed, coalesce(rf.c, 0) AS rows_found
 FROM ra LEFT JOIN rf ON rf.channel = ra.channel""",
 })
+
+_C7_CHANNEL = " ".join(f"WHEN '{prio}' THEN '{SHOPIFY_BUCKETS.get(name, 'Others')}'"
+                       for prio, name in SOURCE_CHANNELS.items())
+
+SQL["shopify_orders_paid"] = _with(f"""li AS (
+  SELECT cast(l.l_partkey AS VARCHAR) AS source_key, CASE o.o_orderpriority {_C7_CHANNEL} ELSE 'Others' END AS channel,
+         l.l_quantity AS q, cast(p.p_retailprice AS DECIMAL(18,4)) * cast(l.l_quantity AS DECIMAL(18,4)) AS r
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
+  WHERE o.o_orderstatus = '{PAID_STATUS}')""",
+    """keyed AS (SELECT source_key, channel, sum(q) AS qty, sum(r) AS rev FROM li GROUP BY source_key, channel)""",
+    MAPPING, JOINED, SALES, BUNDLES) + """SELECT channel AS "Channel", sku AS "SKU", units AS "Units",
+  cast(revenue AS DOUBLE) AS "Revenue" FROM sales
+UNION ALL SELECT channel, 'Bundles', units, cast(revenue AS DOUBLE) FROM bund"""

@@ -29,7 +29,7 @@ from skuflow.operators.quality import Contract, channel_status, violation_counts
 from skuflow.operators.reconcile import parity, reconcile_long, reconcile_totals
 from skuflow.operators.spine import channel_dates, clip_negatives, grid
 from skuflow.plans.channels import (
-    bucket_channel, order_item_units, shopify_sales, tiktok_fbt_orders, walmart_orders, wfs,
+    bucket_channel, order_item_units, shopify_orders, shopify_sales, tiktok_fbt_orders, walmart_orders, wfs,
 )
 from skuflow.plans.reports import inventory_report
 from skuflow.session import checkpoint_dir
@@ -418,6 +418,35 @@ def price_times_qty(spark, sf_dir) -> DataFrame:
     return out.select("SKU", "Units", F.col("Revenue").cast("double").alias("Revenue"))
 
 
+# The sales-channel name each order priority arrives with in the
+# raw Shopify order export of the warehouse roles ('Wholesale' is bucketed to
+# Others), and the order status that counts as paid.
+SOURCE_CHANNELS = {"1-URGENT": "Online Store", "2-HIGH": "Shop", "3-MEDIUM": "TikTok",
+                   "4-NOT SPECIFIED": "Marketplace Connect", "5-LOW": "Wholesale"}
+PAID_STATUS = "F"
+
+
+def shopify_orders_paid(spark, sf_dir) -> DataFrame:
+    """Raw order lines as a Shopify order export (paid = finished orders,
+    price from the part), Revenue = price × quantity, channel bucketed from the
+    source name, mapped with bundles, per (channel, SKU)."""
+    t = Tables(spark, sf_dir)
+    src = None
+    for prio, name in SOURCE_CHANNELS.items():
+        hit = F.col("o_orderpriority") == prio
+        src = F.when(hit, name) if src is None else src.when(hit, name)
+    raw = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+           .join(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+                 F.col("l_orderkey") == F.col("o_orderkey"))
+           .join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+           .select(F.when(F.col("o_orderstatus") == PAID_STATUS, "paid").otherwise("pending").alias("Financial Status"),
+                   F.col("l_partkey").cast("string").alias("Lineitem sku"),
+                   F.col("l_quantity").alias("Lineitem quantity"), F.col("p_retailprice").alias("Lineitem price"),
+                   src.alias("Source name")))
+    m = shopify_orders(raw, part_mapping(t))
+    return m.long.where(F.col("SKU").isNotNull()).select("Channel", "SKU", "Units", _money("Revenue").alias("Revenue"))
+
+
 # --- files, history, reconciliation, windows -------------------------------------------
 
 def latest_per_prefix_query(spark, sf_dir) -> DataFrame:
@@ -714,6 +743,7 @@ QUERIES = {
     "contract_violations": contract_violations,
     "report_contract": report_contract,
     "price_times_qty": price_times_qty,
+    "shopify_orders_paid": shopify_orders_paid,
     "latest_per_prefix": latest_per_prefix_query,
     "combine_history": combine_history,
     "run_summary": run_summary_query,
