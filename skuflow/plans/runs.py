@@ -1,6 +1,7 @@
 """File-driven report runs.
 
-A run lists the input folder, picks the newest file per source, builds each
+A run lists the input folder once, picks the newest file per source in one
+aggregate, builds each
 channel's facts lazily, unions them and lays them on the report grid. The only
 actions are file selection (metadata), the contract gate, the writes, and the
 summary computed from the *written* report (which also cuts the lineage).
@@ -25,7 +26,7 @@ from skuflow.plans import channels as C
 from skuflow.plans.reports import INVENTORY_METRICS, inventory_report, sales_report
 from skuflow.sinks import write_report
 from skuflow.sources.config import Catalog
-from skuflow.sources.discovery import find_latest
+from skuflow.sources.discovery import find_latest_many
 from skuflow.sources.reports import read_report, read_sniffed
 
 log = logging.getLogger(__name__)
@@ -133,8 +134,10 @@ def sales_run(spark: SparkSession, input_dir: str, catalog: Catalog, run_date,
               registry=None) -> RunResult:
     """R2 end to end: newest file per source -> channel facts -> report grid."""
     parts, files, metrics = [], [], []
-    for src in registry or SALES_REGISTRY:
-        hit = find_latest(spark, input_dir, src.prefix, src.extensions, run_date)
+    registry = registry or SALES_REGISTRY
+    latest = find_latest_many(spark, input_dir, {s.prefix: s.extensions for s in registry}, run_date)
+    for src in registry:
+        hit = latest.get(src.prefix)
         if hit is None:
             log.warning("sales source %s: no file", src.prefix)
             continue
@@ -209,10 +212,12 @@ def inventory_run(spark: SparkSession, input_dir: str, catalog: Catalog, run_dat
     """R1 end to end: every required file of a source must be present (S8), the
     source date follows R7 (levels, else inventory, else primary)."""
     parts, files = [], []
-    for src in registry or INVENTORY_REGISTRY:
+    registry = registry or INVENTORY_REGISTRY
+    latest = find_latest_many(spark, input_dir, {p: (".csv",) for s in registry for p in s.files.values()}, run_date)
+    for src in registry:
         paths, dates, ok = {}, {}, True
         for key, prefix in src.files.items():
-            hit = find_latest(spark, input_dir, prefix, (".csv",), run_date)
+            hit = latest.get(prefix)
             if hit is None:
                 if key in src.optional:
                     paths[key] = None
@@ -268,8 +273,9 @@ def compare_amazon(spark: SparkSession, input_dir: str, catalog: Catalog, run_da
     Returns (per-SKU comparison, totals) or None when either file is missing."""
     from skuflow.operators.reconcile import reconcile, reconcile_totals
 
-    old = find_latest(spark, input_dir, PREFIX["amazon_sales"], (".csv",), run_date)
-    new = find_latest(spark, input_dir, PREFIX["amazon_orders"], (".txt", ".csv"), run_date)
+    latest = find_latest_many(spark, input_dir, {PREFIX["amazon_sales"]: (".csv",),
+                                                 PREFIX["amazon_orders"]: (".txt", ".csv")}, run_date)
+    old, new = latest.get(PREFIX["amazon_sales"]), latest.get(PREFIX["amazon_orders"])
     if old is None or new is None:
         return None
     mapping = catalog.mapping_dim(spark, "amazon")

@@ -79,3 +79,21 @@ def find_latest(spark: SparkSession, directory: str, prefix: str, extensions: Se
     if not joined:
         return None
     return joined[0]["path"], joined[0]["report_date"].isoformat()
+
+
+def find_latest_many(spark: SparkSession, directory: str, wanted: dict, run_date=None) -> dict:
+    """The newest file for many prefixes with one listing and one job.
+
+    ``wanted``: prefix -> extensions tuple. Returns prefix -> (path, ISO date)
+    for the prefixes that have a file (one small row per prefix reaches the
+    driver: file selection is metadata, not data)."""
+    listing = list_files(spark, directory)
+    by_ext: dict = {}
+    for prefix, exts in wanted.items():
+        by_ext.setdefault(tuple(exts), []).append(prefix)
+    picks = [latest_per_prefix(listing, prefixes, exts, run_date) for exts, prefixes in by_ext.items()]
+    hits = picks[0]
+    for p in picks[1:]:
+        hits = hits.unionByName(p)
+    rows = hits.join(listing, "name").select("prefix", "path", "report_date").collect()
+    return {r.prefix: (r.path, r.report_date.isoformat()) for r in rows}

@@ -187,3 +187,13 @@ def test_landed_shopify(spark, catalog):
     m = C.shopify_sales(raw, catalog.mapping_dim(spark, "shopify"))
     got = {(r.Channel, r.SKU): (float(r.Units), float(r.Revenue)) for r in m.sales.collect()}
     assert got == {("Shopify", "1001"): (2.0, 18.5), ("Others", "1001"): (1.0, 5.0)}
+
+
+def test_find_latest_many(spark, tmp_path):
+    from skuflow.sources.discovery import find_latest_many
+
+    _touch(tmp_path, "A_2026-01-01.csv", "A_2026-01-05.csv", "B_2026-01-02.txt", "B_2026-01-02.csv", "C_x.csv")
+    got = find_latest_many(spark, str(tmp_path), {"A_": (".csv",), "B_": (".txt", ".csv"), "Z_": (".csv",)},
+                           "2026-02-01")
+    assert set(got) == {"A_", "B_"}
+    assert got["A_"][1] == "2026-01-05" and got["B_"][0].endswith("B_2026-01-02.txt")
