@@ -12,7 +12,6 @@ most one mapping join; nothing is evaluated here.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -279,21 +278,3 @@ def wfs(sales_raw: DataFrame, inventory_raw: DataFrame, template: DataFrame) ->
            .where(F.col("SKU").isNotNull())
            .groupBy("SKU").agg(F.sum("Inventory").alias("Inventory"), F.sum("Inbound").alias("Inbound")))
     return _on_template(template, sales.join(inv, "SKU", "full"), "WFS")
-
-
-@dataclass
-class SalesSource:
-    """R6 registry entry for the sales report."""
-
-    channel: str            # fixed channel label, or "Mixed" when the data carries it
-    prefix: str
-    extensions: tuple = (".csv",)
-
-
-@dataclass
-class InventorySource:
-    """R6 registry entry for the inventory report; ``optional`` file keys may be absent."""
-
-    name: str
-    files: dict
-    optional: tuple = ()

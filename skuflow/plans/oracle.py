@@ -7,7 +7,12 @@ Shared CTEs are composed from the fragments below.
 
 from __future__ import annotations
 
-from skuflow.plans.warehouse import CHANNELS, EXCLUDED_STATUS, RUN_DATE, UNMAPPED_MIN_SIZE
+from skuflow.plans.channels import SHOPIFY_BUCKETS
+from skuflow.plans.warehouse import (
+    ALLOWED_STATUSES, CHANNELS, EXCLUDED_STATUS, FBT_PRIORITIES, FLAG_CHANNEL, INVENTORY_CHANNELS, PAID_STATUS,
+    ROLLUP_FROM, ROLLUP_TO, RUN_DATE, RUN_TIMESTAMP, SOURCE_CHANNELS, SOURCE_FILES, SOURCE_NAMES, UNMAPPED_MIN_SIZE,
+)
+from skuflow.sources.landed import SHOPIFY_SOURCE_TO_CHANNEL
 
 _CH_VALUES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(CHANNELS))
 
@@ -227,18 +232,12 @@ FROM orders""",
         ("Units", "integral", 'cast("Units" AS DOUBLE) = floor(cast("Units" AS DOUBLE))'),
     ]),
 
-    "price_times_qty": """SELECT p_brand AS "SKU", sum(l_quantity) AS "Units",
+    "price_times_qty": f"""SELECT p_brand AS "SKU", sum(l_quantity) AS "Units",
   cast(sum(cast(p_retailprice AS DECIMAL(18,4)) * cast(l_quantity AS DECIMAL(18,4))) AS DOUBLE) AS "Revenue"
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
-WHERE o_orderstatus IN ('F', 'O') GROUP BY p_brand""",
+WHERE o_orderstatus IN ({", ".join(f"'{x}'" for x in ALLOWED_STATUSES)}) GROUP BY p_brand""",
 })
 
-from skuflow.plans.warehouse import (  # noqa: E402
-    PAID_STATUS, SOURCE_CHANNELS, FBT_PRIORITIES, FLAG_CHANNEL, INVENTORY_CHANNELS, LEGACY_BEFORE, ROLLUP_FROM, ROLLUP_TO, RUN_TIMESTAMP,
-    SOURCE_FILES, SOURCE_NAMES,
-)
-from skuflow.plans.channels import SHOPIFY_BUCKETS  # noqa: E402
-from skuflow.sources.landed import SHOPIFY_SOURCE_TO_CHANNEL  # noqa: E402
 
 _PREFIXES = [f"Orders_{c.replace(' ', '_')}_" for c in CHANNELS]
 

@@ -2,7 +2,6 @@
 (the reference's per-row semantics), on generated facts and mappings."""
 
 from collections import defaultdict
-from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from skuflow.sources import landed
 from skuflow.sources.config import Catalog, ConfigError, read_mapping, read_ordered_list
