@@ -48,6 +48,26 @@ def ingest_reports(spark: SparkSession, input_dir: str, source: str, prefix: str
     return writer.start(landed_path)
 
 
+def ingest_payloads(spark: SparkSession, input_dir: str, source: str, prefix: str, schema: str,
+                    landed_path: str, ext: str = ".json", checkpoint: str | None = None,
+                    available_now: bool = True) -> StreamingQuery:
+    """Landing stream for dropped API payloads (D5–D10): one JSON document per
+    file, read with the payload's explicit schema, landed with source, report
+    date and file name like the report files. The flatteners in
+    ``skuflow.sources.landed`` then apply to the landed rows unchanged."""
+    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "ingest", source)
+    raw = (spark.readStream.schema(schema).option("multiLine", True)
+           .option("pathGlobFilter", f"{prefix}*{ext}").json(input_dir))
+    name = F.col("_metadata.file_name")
+    landed = raw.select("*", F.lit(source).alias("source"), date_from_name(name, prefix, ext).alias("report_date"),
+                        name.alias("file_name"))
+    writer = (landed.where(F.col("report_date").isNotNull())
+              .writeStream.format("parquet").option("checkpointLocation", ckpt)
+              .partitionBy("source", "report_date").outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start(landed_path)
+
+
 def latest_landed(spark: SparkSession, landed_path: str, source: str, run_date=None) -> DataFrame:
     """Rows of the newest report date of one source (the run date wins if landed).
     Only the partition listing is consulted to pick the date; the data scan is

@@ -30,3 +30,25 @@ def test_ingest_and_latest(spark, tmp_path):
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 4
     assert latest_landed(spark, out, "walmart_sales", run_date="2026-02-10").count() == 1
+
+
+def test_ingest_landed_payloads(spark, tmp_path, catalog):
+    import json
+
+    from skuflow.plans import channels as C
+    from skuflow.sources import landed
+    from skuflow.streaming import ingest_payloads
+
+    inbox, out = tmp_path / "in", str(tmp_path / "landed")
+    inbox.mkdir()
+    doc = {"orders": [{"id": "1", "source_name": "tiktok", "financial_status": "paid", "line_items": [
+        {"sku": "1002", "quantity": 1, "price": "30.00", "discount_allocations": [{"amount": "2.00"}]}]}]}
+    (inbox / "Shopify_api_2026-02-11.json").write_text(json.dumps(doc, indent=2))
+    q = ingest_payloads(spark, str(inbox), "shopify_api", "Shopify_api_", landed.SHOPIFY_ORDERS_DOC, out,
+                        checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination(120)
+    rows = latest_landed(spark, out, "shopify_api")
+    raw = landed.shopify_orders(rows)
+    m = C.shopify_sales(raw, catalog.mapping_dim(spark, "shopify"))
+    got = {(r.Channel, r.SKU): (float(r.Units), float(r.Revenue)) for r in m.sales.collect()}
+    assert got == {("TikTok Shopify", "1001"): (2.0, 28.0)}        # 2-pack: each unit of the pair counts
