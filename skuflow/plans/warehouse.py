@@ -1,13 +1,14 @@
 """The operators applied to the driver's warehouse tables (queries() entries).
 
-Roles: an order line is a sales fact. Its source key is ``l_partkey`` (as a
-string, like every key here), its channel is the order priority, ``P`` orders are
-excluded like pending marketplace orders, units are ``l_quantity`` and revenue is
-``l_extendedprice``. The part table plays the seller catalog: master SKUs are the
-brands, and each part key maps to one or more SKUs (bundles, n-packs).
+Roles: an order line is a sales fact. Its source key is ``l_partkey`` (grouped
+and joined in its native type, rendered as text only in outputs), its channel is
+the order priority, ``P`` orders are excluded like pending marketplace orders,
+units are ``l_quantity`` and revenue is ``l_extendedprice`` in decimal cents. The
+part table plays the seller catalog: master SKUs are the brands, and each part
+key maps to one or more SKUs (bundles, n-packs).
 
 All readers are plain parquet scans; Catalyst prunes columns and pushes the
-status/date predicates into the scans.
+status/date predicates into the scans. Every query reads whole tables.
 """
 
 from __future__ import annotations
@@ -21,22 +22,21 @@ from skuflow.functions import (
 from skuflow.operators.mapping import (
     BUNDLES_SKU, expand_long, join_mapping, map_sales, normalize_amazon_skus, unmapped_keys as _unmapped,
 )
-from skuflow.operators.measures import assemble_wide, clipped_difference
 from skuflow.operators.history import (
     anomaly_flags, combine_snapshots, normalize_snapshot, not_yet_logged, run_summary, trend,
 )
+from skuflow.operators.measures import assemble_wide, clipped_difference
 from skuflow.operators.quality import Contract, channel_status, violation_counts
 from skuflow.operators.reconcile import parity, reconcile_long, reconcile_totals
 from skuflow.operators.spine import channel_dates, clip_negatives, grid
 from skuflow.plans.channels import (
     bucket_channel, order_item_units, shopify_orders, shopify_sales, tiktok_fbt_orders, walmart_orders, wfs,
 )
-from skuflow.plans.reports import inventory_report
+from skuflow.plans.reports import inventory_report, sales_report, wide_sales
 from skuflow.session import checkpoint_dir
 from skuflow.sinks import payload_records
 from skuflow.sources import landed
 from skuflow.sources.discovery import latest_per_prefix
-from skuflow.plans.reports import sales_report, wide_sales
 
 # The configured channel list of the warehouse roles (order
 # priorities, in report order), the excluded order status, the run date used for
