@@ -52,10 +52,10 @@ FBA = {"sku": "Merchant SKU", "units": "Units Sold Last 30 Days", "inventory": [
        "inbound": "Inbound"}
 AWD = {"sku": "SKU", "inventory": "Available in AWD (units)", "inbound": "Inbound to AWD (units)"}
 FBT_INVENTORY = {"sku": "Reference code", "inventory": "Available inventory", "inbound": "In Transit: Total Quantity"}
-FLEXPORT_LEVELS = {"sku": "MSKU", "dtc": "DTC Total Quantity", "rs": "RS Total Quantity", "wip": "Ops WIP Quantity"}
-FLEXPORT_ORDERS = {"status": "Order Status", "items": "Items"}
-FLEXPORT_CANCELLED = "CANCELLED"
-FLEXPORT_INBOUND = {"sku": "MSKU", "inbound": ["IN_TRANSIT_WITHIN_DELIVERR_UNDER_60_DAYS", "IN_TRANSIT_TO_DELIVERR"]}
+TPL_LEVELS = {"sku": "MSKU", "dtc": "DTC Total Quantity", "rs": "RS Total Quantity", "wip": "Ops WIP Quantity"}
+TPL_ORDERS = {"status": "Order Status", "items": "Items"}
+TPL_CANCELLED = "CANCELLED"
+TPL_INBOUND = {"sku": "MSKU", "inbound": ["IN_TRANSIT_WITHIN_DELIVERR_UNDER_60_DAYS", "IN_TRANSIT_TO_DELIVERR"]}
 WFS_INVENTORY = {"sku": "SKU", "inventory": "Available units", "inbound": "Inbound units"}
 
 
@@ -219,7 +219,7 @@ def fbt(inventory_raw: DataFrame, orders_raw: DataFrame | None, mapping: DataFra
     return _on_template(template, inv, "FBT")
 
 
-def flexport(levels_raw: DataFrame, orders_raw: DataFrame, inbound_raw: DataFrame | None,
+def three_pl(levels_raw: DataFrame, orders_raw: DataFrame, inbound_raw: DataFrame | None,
              dsku_dim: DataFrame, template: DataFrame, strict_items: bool = False) -> DataFrame:
     """C14–C17: DTC and Reserve rows.
 
@@ -228,7 +228,7 @@ def flexport(levels_raw: DataFrame, orders_raw: DataFrame, inbound_raw: DataFram
     Reserve: Inventory = max(0, Σ RS − Σ Ops WIP); Units = Inbound = 0.
     The three DTC measures are folded with one union + group-by (J3).
     """
-    lv, od = FLEXPORT_LEVELS, FLEXPORT_ORDERS
+    lv, od = TPL_LEVELS, TPL_ORDERS
     t = template.select(F.col("SKU").cast("string").alias("SKU"))
     levels = (levels_raw.select(F.col(lv["sku"]).cast("string").alias("SKU"), to_number(lv["dtc"]).alias("dtc"),
                                 to_number(lv["rs"]).alias("rs"), to_number(lv["wip"]).alias("wip"))
@@ -238,7 +238,7 @@ def flexport(levels_raw: DataFrame, orders_raw: DataFrame, inbound_raw: DataFram
     measures = {"Inventory": levels.select("SKU", F.col("dtc").alias("value")),
                 "Units": units.select("SKU", F.col("Units").alias("value"))}
     if inbound_raw is not None:
-        ib = FLEXPORT_INBOUND
+        ib = TPL_INBOUND
         inbound = (inbound_raw.select(F.col(ib["sku"]).cast("string").alias("SKU"),
                                       row_sum(*[to_number(x) for x in ib["inbound"]]).alias("value"))
                    .join(t, "SKU", "left_semi"))
@@ -255,7 +255,7 @@ def order_item_units(orders_raw: DataFrame, dsku_dim: DataFrame, status: str = "
     one row per item (F16) -> DSKU looked up (J5; unknown dropped) -> Σ qty by SKU.
     Item quantities are summed per DSKU before the lookup join (A3), so the join
     sees one row per DSKU rather than one per item."""
-    kept = orders_raw.where(not_equal_keep_null(status, FLEXPORT_CANCELLED))
+    kept = orders_raw.where(not_equal_keep_null(status, TPL_CANCELLED))
     # explode_outer + NULL filter: an inner explode makes Spark infer a
     # size(...) > 0 filter that is pushed below the parse and parses twice
     item = kept.select(F.explode_outer(parse_items(items, strict)).alias("it")).where(F.col("it").isNotNull())

@@ -33,8 +33,8 @@ log = logging.getLogger(__name__)
 
 # Input file prefixes of the marketplace exports.
 PREFIX = {
-    "fba": "FBA_report_", "awd": "AWD_report_", "flexport_levels": "Flexport_levels_",
-    "flexport_orders": "Flexport_orders_", "flexport_inbound": "Flexport_inbound_",
+    "fba": "FBA_report_", "awd": "AWD_report_", "tpl_levels": "Flexport_levels_",
+    "tpl_orders": "Flexport_orders_", "tpl_inbound": "Flexport_inbound_",
     "wfs_inventory": "Walmart_inventory_", "fbt_inventory": "FBT_inventory_", "walmart_sales": "Walmart_sales_",
     "tiktok_orders": "TikTok_orders_", "tiktok_sales": "TikTok_sales_", "amazon_orders": "Amazon_orders_",
     "amazon_sales": "Amazon_sales_", "shopify_sales": "Shopify_sales_", "shopify_orders": "Shopify_orders_",
@@ -178,9 +178,9 @@ def _awd(spark, p, cat):
                  cat.sku_dim(spark))
 
 
-def _flexport(spark, p, cat):
+def _three_pl(spark, p, cat):
     inbound = read_report(spark, p["inbound"]) if p.get("inbound") else None
-    return C.flexport(read_report(spark, p["levels"]), read_report(spark, p["orders"]), inbound,
+    return C.three_pl(read_report(spark, p["levels"]), read_report(spark, p["orders"]), inbound,
                       cat.dsku_dim(spark), cat.sku_dim(spark))
 
 
@@ -195,8 +195,8 @@ def _fbt(spark, p, cat):
 
 INVENTORY_REGISTRY = [
     InventorySource("FBA", {"primary": PREFIX["fba"]}, _fba, channels=("FBA",)),
-    InventorySource("Flexport", {"levels": PREFIX["flexport_levels"], "orders": PREFIX["flexport_orders"],
-                                 "inbound": PREFIX["flexport_inbound"]}, _flexport, optional=("inbound",),
+    InventorySource("3PL", {"levels": PREFIX["tpl_levels"], "orders": PREFIX["tpl_orders"],
+                                 "inbound": PREFIX["tpl_inbound"]}, _three_pl, optional=("inbound",),
                     channels=("DTC", "Reserve")),
     InventorySource("AWD", {"primary": PREFIX["awd"]}, _awd, channels=("AWD",)),
     InventorySource("WFS", {"sales": PREFIX["walmart_sales"], "inventory": PREFIX["wfs_inventory"]}, _wfs,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CONFIG_FILES = {
-    "flexport": "flexport_map.json",
+    "tpl": "flexport_map.json",
     "tiktok": "tiktok_map.json",
     "shopify": "shopify_map.json",
     "amazon": "amazon_map.json",
@@ -62,7 +62,7 @@ class Catalog:
             amazon_map=docs["amazon"].get("AMAZON_SKU_MAP", {}),
             tiktok_map=docs["tiktok"].get("TIKTOK_ID_MAP", {}),
             shopify_map=docs["shopify"].get("SHOPIFY_SKU_MAP", {}),
-            dsku_map=docs["flexport"].get("DSKU_TO_SKU_MAP", {}),
+            dsku_map=docs["tpl"].get("DSKU_TO_SKU_MAP", {}),
         )
 
     # Dimensions built from configuration values: their size is the size of the

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Payload schemas of the documented platform responses.
-FLEXPORT_LEVELS_DOC = ("items array<struct<logisticsSku:string,merchantSku:string,dtcTotalQuantity:bigint,"
+TPL_LEVELS_DOC = ("items array<struct<logisticsSku:string,merchantSku:string,dtcTotalQuantity:bigint,"
                        "rsTotalQuantity:bigint,opsWipQuantity:bigint,inTransitQuantity:bigint>>")
-FLEXPORT_ORDERS_DOC = ("orders array<struct<createdAt:string,orderStatus:string,"
+TPL_ORDERS_DOC = ("orders array<struct<createdAt:string,orderStatus:string,"
                        "items:array<struct<dsku:string,qty:bigint>>>>")
 FBA_DOC = ("inventorySummaries array<struct<sellerSku:string,inventoryDetails:struct<fulfillableQuantity:bigint,"
            "reservedQuantity:struct<fcProcessingQuantity:bigint>,inboundWorkingQuantity:bigint,"
@@ -68,7 +68,7 @@ def parse_landed(df: DataFrame, column: str, schema: str) -> DataFrame:
     return df.select(F.from_json(column, schema).alias("_doc")).select("_doc.*")
 
 
-def flexport_levels(doc: DataFrame) -> DataFrame:
+def tpl_levels(doc: DataFrame) -> DataFrame:
     """D5 -> C14 columns."""
     it = _each(doc, "items", "i")
     return it.select(F.col("i.merchantSku").alias("MSKU"), F.col("i.logisticsSku").alias("DSKU"),
@@ -78,7 +78,7 @@ def flexport_levels(doc: DataFrame) -> DataFrame:
                      F.col("i.inTransitQuantity").alias("In Transit Quantity"))
 
 
-def flexport_orders(doc: DataFrame) -> DataFrame:
+def tpl_orders(doc: DataFrame) -> DataFrame:
     """D6 -> C15 columns; items stay an array of (dsku, qty) — re-serialized so the
     order builder's JSON parse applies unchanged."""
     o = _each(doc, "orders", "o")

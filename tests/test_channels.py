@@ -139,8 +139,8 @@ def test_c13_tiktok_fbt_orders(spark, raw, catalog):
     assert (float(b.Units), float(b.Revenue)) == (1, 30.0)
 
 
-def test_c14_c17_flexport(spark, raw, catalog):
-    out = C.flexport(raw("Flexport_levels_2026-02-11.csv"), raw("Flexport_orders_2026-02-11.csv"),
+def test_c14_c17_three_pl(spark, raw, catalog):
+    out = C.three_pl(raw("Flexport_levels_2026-02-11.csv"), raw("Flexport_orders_2026-02-11.csv"),
                      raw("Flexport_inbound_2026-02-11.csv"), catalog.dsku_dim(spark), catalog.sku_dim(spark))
     got = {(r.Channel, r.SKU): (r.Units, r.Inventory, r.Inbound) for r in out.collect()}
     assert got[("DTC", "1001")] == (2, 150, 8)
@@ -151,7 +151,7 @@ def test_c14_c17_flexport(spark, raw, catalog):
 
 
 def test_c16_inbound_optional(spark, raw, catalog):
-    out = C.flexport(raw("Flexport_levels_2026-02-11.csv"), raw("Flexport_orders_2026-02-11.csv"), None,
+    out = C.three_pl(raw("Flexport_levels_2026-02-11.csv"), raw("Flexport_orders_2026-02-11.csv"), None,
                      catalog.dsku_dim(spark), catalog.sku_dim(spark))
     assert all(r.Inbound == 0 for r in out.collect())
 

@@ -114,17 +114,17 @@ def _doc(spark, obj, schema):
     return landed.parse_landed(spark.createDataFrame([(json.dumps(obj),)], "j string"), "j", schema)
 
 
-def test_landed_flexport(spark, catalog):
+def test_landed_three_pl(spark, catalog):
     from skuflow.plans import channels as C
 
-    lv = landed.flexport_levels(_doc(spark, {"items": [
+    lv = landed.tpl_levels(_doc(spark, {"items": [
         {"logisticsSku": "DB59IQ90Q2K", "merchantSku": "1001", "dtcTotalQuantity": 100, "rsTotalQuantity": 50,
-         "opsWipQuantity": 10, "inTransitQuantity": 5}]}, landed.FLEXPORT_LEVELS_DOC))
-    od = landed.flexport_orders(_doc(spark, {"orders": [
+         "opsWipQuantity": 10, "inTransitQuantity": 5}]}, landed.TPL_LEVELS_DOC))
+    od = landed.tpl_orders(_doc(spark, {"orders": [
         {"createdAt": "x", "orderStatus": "FULFILLED", "items": [{"dsku": "DB59IQ90Q2K", "qty": 2}]},
         {"createdAt": "x", "orderStatus": "CANCELLED", "items": [{"dsku": "DB59IQ90Q2K", "qty": 9}]}]},
-        landed.FLEXPORT_ORDERS_DOC))
-    out = C.flexport(lv, od, None, catalog.dsku_dim(spark), catalog.sku_dim(spark))
+        landed.TPL_ORDERS_DOC))
+    out = C.three_pl(lv, od, None, catalog.dsku_dim(spark), catalog.sku_dim(spark))
     got = {(r.Channel, r.SKU): (r.Units, r.Inventory) for r in out.collect()}
     assert got[("DTC", "1001")] == (2, 100) and got[("Reserve", "1001")] == (0, 40)
 
