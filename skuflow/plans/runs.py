@@ -113,6 +113,14 @@ def _tiktok_summary(spark, path, cat):
     return C.tiktok_sales(read_sniffed(spark, path, C.TIKTOK_SALES["sku"]), cat.mapping_dim(spark, "tiktok")).long
 
 
+def _walmart_orders(spark, path, cat):
+    return _long(C.walmart_orders(read_report(spark, path)))
+
+
+def _shopify_orders(spark, path, cat):
+    return C.shopify_orders(read_report(spark, path), cat.mapping_dim(spark, "shopify")).long
+
+
 # The summary-report sources the raw-order sources replaced (C2, C3); kept as a
 # registry so the old methodology can still be run and reconciled (H4).
 LEGACY_SALES_REGISTRY = [
@@ -122,6 +130,16 @@ LEGACY_SALES_REGISTRY = [
     SalesSource("Mixed", PREFIX["shopify_sales"], _shopify),
 ]
 
+# Every sales source read from raw order-level exports (C8, C5, C4, C7): the
+# specified end state of the migration away from pre-aggregated summaries.
+RAW_ORDERS_SALES_REGISTRY = [
+    SalesSource("Walmart", PREFIX["walmart_orders"], _walmart_orders),
+    SalesSource("Amazon", PREFIX["amazon_orders"], _amazon, (".txt", ".csv")),
+    SalesSource("TikTok Shop", PREFIX["tiktok_orders"], _tiktok_shop),
+    SalesSource("Mixed", PREFIX["shopify_orders"], _shopify_orders),
+]
+
+# The registry the reference runs today.
 SALES_REGISTRY = [
     SalesSource("Walmart", PREFIX["walmart_sales"], _walmart),
     SalesSource("Amazon", PREFIX["amazon_orders"], _amazon, (".txt", ".csv")),

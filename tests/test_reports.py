@@ -207,3 +207,22 @@ def test_exports(spark, catalog, sales_df, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert back.count() == 56 and back.columns[:3] == ["id", "sku_channel_id", "Date"]
     assert spark.read.json(str(tmp_path / "json")).where("Date = '2026-02-11'").count() > 0
+
+
+def test_raw_orders_registry(spark, catalog, tmp_path):
+    from skuflow.plans.runs import RAW_ORDERS_SALES_REGISTRY
+
+    (tmp_path / "Walmart_orders_2026-02-11.csv").write_text(
+        "Purchase Order ID,Order Date,SKU,Quantity,Unit Price,Order Line Status\n"
+        "P1,2026-02-10,1001,2,$10.00,Shipped\nP2,2026-02-10,1001,1,$10.00,Cancelled\nP3,2026-02-10,2001,3,5.50,Delivered\n")
+    (tmp_path / "Shopify_orders_2026-02-11.csv").write_text(
+        "Name,Financial Status,Lineitem sku,Lineitem quantity,Lineitem price,Source name\n"
+        "#1,paid,1002,1,20.00,TikTok\n#2,refunded,1001,4,9.00,Online Store\n#3,paid,1001,2,9.00,Online Store\n")
+    run = sales_run(spark, str(tmp_path), catalog, "2026-03-01", registry=RAW_ORDERS_SALES_REGISTRY)
+    rows = {(r.Channel, r.SKU): (r.Units, r.Revenue) for r in run.report.collect()}
+    assert rows[("Walmart", "1001")] == (2, 20.0) and rows[("Walmart", "2001")] == (3, 16.5)
+    assert rows[("TikTok Shopify", "1001")] == (2, 20.0) and rows[("TikTok Shopify", "Bundles")] == (1, 20.0)
+    assert rows[("Shopify", "1001")] == (2, 18.0)
+    assert rows[("Amazon", "1001")] == (0, 0.0)
+    status = {r.Channel: r.status for r in run.status.collect()}
+    assert status["Walmart"] == "2026-02-11" and status["Amazon"] == "No data"
