@@ -54,3 +54,19 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["id", "sku_channel_id", "Date", "SKU", "Channel", "Units", "Revenue"]
     assert df.count() > 0
+
+
+def test_report_invariants(spark):
+    from pyspark.sql import functions as F
+
+    from skuflow.plans import warehouse as w
+
+    t = w.Tables(spark, SF_SMALL)
+    skus = w.master_skus(t).count()
+    sales = w.sales_report_zero_filled(spark, SF_SMALL)
+    agg = sales.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")).first()
+    assert agg.n == agg.ids == len(w.CHANNELS) * (skus + 1)
+    inv = w.inventory_report_zero_filled(spark, SF_SMALL)
+    agg = inv.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"),
+                  F.min(F.least("Units", "Inventory", "Inbound")).alias("low")).first()
+    assert agg.n == agg.ids == len(w.INVENTORY_CHANNELS) * skus and agg.low >= 0
