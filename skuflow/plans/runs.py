@@ -54,12 +54,17 @@ def inventory_contract() -> Contract:
                        non_negative=INVENTORY_METRICS, integral=INVENTORY_METRICS)
 
 
+def _read(spark, path):
+    return read_report(spark, path)
+
+
 @dataclass
 class SalesSource:
     channel: str                          # stamped channel, or "Mixed" when the data carries it
     prefix: str
-    build: Callable                       # (spark, path, catalog) -> long facts
+    build: Callable                       # (spark, raw, catalog) -> long facts
     extensions: tuple = (".csv",)
+    read: Callable = _read                # (spark, path) -> raw all-string frame
 
 
 @dataclass
@@ -89,36 +94,40 @@ def _long(df: DataFrame) -> DataFrame:
                      F.lit(0).cast("long").alias("rows"))
 
 
-def _walmart(spark, path, cat):
-    return _long(C.walmart_sales(read_report(spark, path)))
+def _walmart(spark, raw, cat):
+    return _long(C.walmart_sales(raw))
+
+
+def _amazon(spark, raw, cat):
+    return C.amazon_orders(raw, cat.mapping_dim(spark, "amazon")).long
 
 
-def _amazon(spark, path, cat):
-    return C.amazon_orders(read_report(spark, path), cat.mapping_dim(spark, "amazon")).long
+def _tiktok_shop(spark, raw, cat):
+    return C.tiktok_shop_orders(raw, cat.mapping_dim(spark, "tiktok")).long
 
 
-def _tiktok_shop(spark, path, cat):
-    return C.tiktok_shop_orders(read_report(spark, path), cat.mapping_dim(spark, "tiktok")).long
+def _shopify(spark, raw, cat):
+    return C.shopify_sales(raw, cat.mapping_dim(spark, "shopify")).long
 
 
-def _shopify(spark, path, cat):
-    return C.shopify_sales(read_report(spark, path), cat.mapping_dim(spark, "shopify")).long
+def _amazon_summary(spark, raw, cat):
+    return C.amazon_sales(raw, cat.mapping_dim(spark, "amazon")).long
 
 
-def _amazon_summary(spark, path, cat):
-    return C.amazon_sales(read_report(spark, path), cat.mapping_dim(spark, "amazon")).long
+def _tiktok_summary(spark, raw, cat):
+    return C.tiktok_sales(raw, cat.mapping_dim(spark, "tiktok")).long
 
 
-def _tiktok_summary(spark, path, cat):
-    return C.tiktok_sales(read_sniffed(spark, path, C.TIKTOK_SALES["sku"]), cat.mapping_dim(spark, "tiktok")).long
+def _read_tiktok_summary(spark, path):
+    return read_sniffed(spark, path, C.TIKTOK_SALES["sku"])
 
 
-def _walmart_orders(spark, path, cat):
-    return _long(C.walmart_orders(read_report(spark, path)))
+def _walmart_orders(spark, raw, cat):
+    return _long(C.walmart_orders(raw))
 
 
-def _shopify_orders(spark, path, cat):
-    return C.shopify_orders(read_report(spark, path), cat.mapping_dim(spark, "shopify")).long
+def _shopify_orders(spark, raw, cat):
+    return C.shopify_orders(raw, cat.mapping_dim(spark, "shopify")).long
 
 
 # The summary-report sources the raw-order sources replaced (C2, C3); kept as a
@@ -126,7 +135,7 @@ def _shopify_orders(spark, path, cat):
 LEGACY_SALES_REGISTRY = [
     SalesSource("Walmart", PREFIX["walmart_sales"], _walmart),
     SalesSource("Amazon", PREFIX["amazon_sales"], _amazon_summary),
-    SalesSource("TikTok Shop", PREFIX["tiktok_sales"], _tiktok_summary),
+    SalesSource("TikTok Shop", PREFIX["tiktok_sales"], _tiktok_summary, read=_read_tiktok_summary),
     SalesSource("Mixed", PREFIX["shopify_sales"], _shopify),
 ]
 
@@ -160,13 +169,14 @@ def sales_run(spark: SparkSession, input_dir: str, catalog: Catalog, run_date,
             log.warning("sales source %s: no file", src.prefix)
             continue
         path, day = hit
+        raw = src.read(spark, path)                   # read once: builder and metrics share it
         try:
-            long = src.build(spark, path, catalog)
+            long = src.build(spark, raw, catalog)
         except C.MissingColumns as e:
             log.error("%s", e)
             continue
         found = long.where(F.col("SKU").isNotNull() & (F.col("SKU") != BUNDLES_SKU))
-        metrics.append(source_metrics(read_report(spark, path), found, src.channel))
+        metrics.append(source_metrics(raw, found, src.channel))
         if src.channel != "Mixed":
             long = long.withColumn("Channel", F.lit(src.channel))
         parts.append(long.withColumn("Date", F.to_date(F.lit(day))).select(
