@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import decontaminate, mixing, pii, simhash, toxicity
+from skuflow.llm import ctw, decontaminate, mixing, pii, quality, secrets, simhash, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id (smallest of equal items), n_items, n_shingles, n_matched, containment."""
     leaks = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -19,6 +23,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("matched").alias("n_matched"), (F.col("matched") / F.col("m")).alias("containment"))
 
 
+def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -27,21 +35,33 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_urlfilter": op1_urlfilter,
     "op2_decontaminate": op2_decontaminate,
+    "op3_ctw": op3_ctw,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_secrets": op7_secrets,
     "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
 

@@ -70,7 +70,8 @@ def links(prints: DataFrame, max_bits: int, bucket: int) -> DataFrame:
         F.element_at(by_bit, F.col("bit") + 1)), F.col("bit")).alias("key"))
     # of one bucket: how many, so that only shared buckets go on
     shared = stage(keyed.groupBy("bit", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-buckets")
-    members = stage(keyed.join(shared, ["bit", "key"]), "simhash-members")
+    # both sides grow with the corpus: the same shuffled join at every size
+    members = stage(keyed.join(shared.hint("merge"), ["bit", "key"]), "simhash-members")
     near = members.where(F.col("n") <= bucket)
     a, b = near.alias("a"), near.alias("b")
     pairs = a.join(b, (F.col("a.bit") == F.col("b.bit")) & (F.col("a.key") == F.col("b.key"))
