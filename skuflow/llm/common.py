@@ -1,8 +1,8 @@
-"""Helpers shared by the operators: staged tables, words, components.
+"""Helpers shared by the operators: staged tables and connected components.
 
 Words are the maximal runs of ``[^\\x20\\x09-\\x0D]``. ``bytes.split`` cuts at exactly
 these six characters and ``bytes.lower`` maps A-Z alone, so Python tasks work on UTF-8
-bytes; the native side replaces the six characters by a space and splits there.
+bytes.
 """
 
 from __future__ import annotations
@@ -10,12 +10,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The five word separators besides the space.
-_OTHER_SPACES = "\t\n\x0b\x0c\r"
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a scratch folder only on a local master."""
@@ -54,10 +51,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return Staged(df, label).df
 
 
-def words(text: Column) -> Column:
-    """Array of the words of a text; null counts as empty."""
-    flat = F.translate(F.coalesce(text, F.lit("")), _OTHER_SPACES, " " * len(_OTHER_SPACES))
-    return F.array_remove(F.split(flat, " "), "")
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished stages, which waits for the driver's JVM."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:

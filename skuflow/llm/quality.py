@@ -28,9 +28,9 @@ SPACES = b" \t\n\x0b\x0c\r"
 WINDOW = 5
 BITS = 7
 #: Signals, which side of the distribution is suspect, and the least distance of a fence.
-SIGNALS = {"symbol_rate": ("high", 300), "dup_line_rate": ("high", 1500), "repeat_rate": ("high", 1000),
+SIGNALS = {"symbol_rate": ("high", 300), "dup_line_rate": ("high", 4000), "repeat_rate": ("high", 2000),
            "upper_rate": ("high", 1500), "word_length": ("both", 200)}
-QUANTILES = {"low": 0.05, "mid": 0.5, "high": 0.95}
+QUANTILES = {"low": 0.1, "mid": 0.5, "high": 0.9}
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import ctw, decontaminate, mixing, pii, quality, secrets, simhash, toxicity, urlfilter
+from skuflow.llm import ctw, decontaminate, mixing, pii, quality, secrets, simhash, suffixes, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(_table(spark, sf_dir, "documents"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op1_urlfilter": op1_urlfilter,
     "op2_decontaminate": op2_decontaminate,
     "op3_ctw": op3_ctw,
+    "op4_suffixes": op4_suffixes,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_secrets": op7_secrets,
