@@ -185,7 +185,11 @@ def _decide(sized: DataFrame, cells: DataFrame, *keep: str) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """The documents that the mix takes, all columns, with size, source_size, target, copies and taken."""
+    """The documents that the mix takes, all columns, with size, source_size, target, copies and taken.
+
+    Columns of these five names are replaced.
+    """
+    docs = docs.drop("size", "source_size", "target", "copies", "taken")
     taken = mix(docs, weights=weights, share=share).where("copies > 0")
     taken = taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", "source_size", "target",
                          "copies", "taken").distinct()

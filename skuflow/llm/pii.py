@@ -189,8 +189,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     has = sum((F.size(_spans(text, k)) for k in PATTERNS), F.lit(0)) > 0
     spans = all_spans(docs, **options).where("text is not null").select(
-        F.col("doc_id").alias("_id"), "text_hash", *(F.col(k).alias(f"_{k}") for k in KINDS))
-    spans = stage(spans.dropDuplicates(["_id", "text_hash"]), "pii-spans")
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), *(F.col(k).alias(f"_{k}") for k in KINDS))
+    spans = stage(spans.dropDuplicates(["_id", "_hash"]), "pii-spans")
 
     def tagged(kind: str) -> Column:
         return F.transform(f"_{kind}", lambda s: F.struct(
@@ -210,7 +210,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     done = F.aggregate("_marks", empty, add,
                        lambda acc: F.concat(acc["out"], F.substr("text", acc["at"] + 1, F.length("text"))))
     marked = docs.where(has).join(spans, F.col("doc_id").eqNullSafe(F.col("_id"))
-                                  & (F.xxhash64("text") == F.col("text_hash"))).withColumn("_marks", marks)
+                                  & (F.xxhash64("text") == F.col("_hash"))).withColumn("_marks", marks)
     changed = marked.withColumn("_text", done).select(*(
         F.col("_text").alias(c) if c == "text" else F.length("_text").cast(t).alias(c) if c == "n_chars" else F.col(c)
         for c, t in docs.dtypes))

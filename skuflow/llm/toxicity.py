@@ -37,13 +37,16 @@ CODES = 64
 PIECE = 24
 #: (second, third) offsets of the subsequences that start at a letter.
 OFFSETS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
-_SENTENCE = re.compile(r"[.!?\n]+")
+_SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 #: Words cached by a task between batches.
 CACHE = 1 << 18
 
 
 def sentence_words(text: str | None) -> list[list[str]]:
-    """The words of each sentence, lower-cased, outer punctuation off, letter runs merged in."""
+    """The words of each sentence, lower-cased, outer punctuation off, letter runs merged in.
+
+    A word with marks inside is read with and without them.
+    """
     out = []
     for sentence in _SENTENCE.split((text or "").lower()):
         words, run = [], []
@@ -57,6 +60,8 @@ def sentence_words(text: str | None) -> list[list[str]]:
             run = []
             if len(core) >= ORDER:
                 words.append(core)
+                if not core.isalnum() and len(plain := "".join(c for c in core if c.isalnum())) >= ORDER:
+                    words.append(plain)
         if len(run) >= ORDER:
             words.append("".join(run))
         if words:
