@@ -51,6 +51,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return Staged(df, label).df
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send at most ``rows`` documents to a Python task at once: texts are long rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished stages, which waits for the driver's JVM."""
     spark.sparkContext._jvm.System.gc()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import stage
+from skuflow.llm.common import bounded_batches, stage
 
 DEPTH = 4
 FOLDS = 10
@@ -149,6 +149,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     held = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == 0
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        held.alias("held_out"), F.coalesce(F.floor(F.col(id_col).cast("long") / BATCH), F.lit(-1)).alias("batch"))
+    bounded_batches(docs.sparkSession)
     wanted = stage(asked(rows), "ctw-asked")
     counts = stage(wanted.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "ctw-counts")
     by_gram = stage(gram_scores(counts), "ctw-grams")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from skuflow.llm.common import Staged, stage
+from skuflow.llm.common import Staged, bounded_batches, stage
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -172,6 +172,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows that repeat an id in one source and size share a decision; a null id counts as one
     id. An empty table gives an empty result; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     sized = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                               n_words(F.col(text_col).cast("string")).alias("size")), "mix-sized")
     return _decide(sized, plan(sized, weights, share), "doc_id", "source", "size")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import stage
+from skuflow.llm.common import bounded_batches, stage
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -136,6 +136,7 @@ def judge(docs: DataFrame, least: int = 200, reach: float = 3.0, **columns: str)
     Null and empty texts have no words and fail the base rule. A null lang or source is a
     group of its own. Repeated rows stay; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     rows = stage(signals(docs, **columns), "quality-signals")
     limits = stage(fences(stage(sketch(rows), "quality-sketch"), least, reach), "quality-fences")
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})

@@ -23,7 +23,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import stage
+from skuflow.llm.common import bounded_batches, stage
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{12,}={0,2}")
 #: Names that a credential is assigned to.
@@ -128,6 +128,7 @@ def find_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     label only, every candidate keeps it. Null and empty texts have no candidates; repeated
     rows give repeated findings; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     found = stage(candidates(docs, dictionary(docs, text_col), id_col, text_col), "secret-candidates")
     if labelled is None:
         judged, label = found, "weak"

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import connected_components, stage
+from skuflow.llm.common import bounded_batches, connected_components, stage
 
 SEED = 42
 #: Shingles hashed at once, which bounds the memory for a very long text.
@@ -108,6 +108,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     takes part, but is never a component_id unless no document of its group has an id.
     Other columns are ignored; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     roots = connected_components(links(classes.select("fp"), max_bits, bucket), "simhash-cc")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import release, stage
+from skuflow.llm.common import bounded_batches, release, stage
 
 LENGTH, K = 50, 20
 BATCH = 2048
@@ -192,6 +192,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(batch, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
     same_gram = Window.partitionBy("hash")
+    bounded_batches(docs.sparkSession)
     shared = stage(_told(rows).withColumn("first", F.min("low").over(same_gram)).withColumn("last", F.max("high").over(same_gram))
                    .where("first < last").select("batch", "hash"), "suffix-shared")
     release(spark)

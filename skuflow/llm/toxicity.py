@@ -17,7 +17,6 @@ documented bound. Labels, lang, source and doc_id are no inputs of a score.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import stage
+from skuflow.llm.common import bounded_batches, stage
 
 ORDER, DECAY, SPAN = 3, 0.6, 7
 #: Letters fold into 64 codes, so a subsequence of three has one of 2**18 indices.
@@ -37,35 +36,36 @@ CODES = 64
 PIECE = 24
 #: (second, third) offsets of the subsequences that start at a letter.
 OFFSETS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
-_SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
+_MARKS = "*_-'\"`~,;:.!?()[]{}<>|#$%&=+/\\"
 #: Words cached by a task between batches.
-CACHE = 1 << 18
+CACHE = 1 << 17
 
 
-def sentence_words(text: str | None) -> list[list[str]]:
-    """The words of each sentence, lower-cased, outer punctuation off, letter runs merged in.
+def text_words(text: str | None) -> set[str]:
+    """Distinct lower-cased words, outer marks off; letter runs merged; marks inside on and off.
 
-    A word with marks inside is read with and without them.
+    A document is as toxic as its worst sentence and a sentence as its worst word, so the
+    sentences of a text need no telling apart here; marks end a run of letters.
     """
-    out = []
-    for sentence in _SENTENCE.split((text or "").lower()):
-        words, run = [], []
-        for w in sentence.split():
-            core = w.strip("*_-'\"`~,;:()[]{}<>|#$%&=+/\\")
-            if len(core) == 1 and core.isalnum():
-                run.append(core)
-                continue
-            if len(run) >= ORDER:
-                words.append("".join(run))
-            run = []
-            if len(core) >= ORDER:
-                words.append(core)
-                if not core.isalnum() and len(plain := "".join(c for c in core if c.isalnum())) >= ORDER:
-                    words.append(plain)
-        if len(run) >= ORDER:
-            words.append("".join(run))
-        if words:
-            out.append(words)
+    tokens = (text or "").lower().split()
+    out, letters = set(), set()
+    for t in set(tokens):
+        core = t.strip(_MARKS)
+        if len(core) >= ORDER:
+            out.add(core)
+            if not core.isalnum() and len(plain := "".join(c for c in core if c.isalnum())) >= ORDER:
+                out.add(plain)
+        elif len(t) == 1 and t.isalnum():
+            letters.add(t)
+    if letters:
+        run: list[str] = []
+        for t in [*tokens, ""]:
+            if t in letters:
+                run.append(t)
+            elif run:
+                if len(run) >= ORDER:
+                    out.add("".join(run))
+                run = []
     return out
 
 
@@ -148,7 +148,7 @@ class Model:
 
     def worst(self, texts: list[str | None], known: dict[str, float]) -> list[tuple[float, str]]:
         """Score and word of each text's worst sentence; the bias where there is no word."""
-        sets = [{w for s in sentence_words(t) for w in s} for t in texts]
+        sets = [text_words(t) for t in texts]
         new = list(reduce(set.union, sets, set()) - known.keys())
         if len(known) + len(new) > CACHE:
             known.clear()
@@ -220,7 +220,7 @@ def _word_counts(sample: DataFrame) -> DataFrame:
     """(word, pos, neg): texts of either label that hold the word."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(w, c) for t, c in zip(b["text"], b["toxic"]) for w in {w for s in sentence_words(t) for w in s}]
+            rows = [(w, c) for t, c in zip(b["text"], b["toxic"]) for w in text_words(t)]
             yield pd.DataFrame(rows, columns=["word", "toxic"])
 
     return (sample.mapInPandas(run, "word string, toxic int").groupBy("word")
@@ -292,7 +292,7 @@ def _witnesses(toxic: DataFrame, strength: dict[str, float]) -> list[str]:
     """The most telling word of each toxic text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            best = [max((w for s in sentence_words(t) for w in s), key=lambda w: (strength.get(w, 0.0), w), default="")
+            best = [max(text_words(t), key=lambda w: (strength.get(w, 0.0), w), default="")
                     for t in b["text"]]
             yield pd.DataFrame({"word": [w for w in best if w in strength]}, dtype=object)
 
@@ -301,6 +301,7 @@ def _witnesses(toxic: DataFrame, strength: dict[str, float]) -> list[str]:
 
 def _scored(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """``keep`` columns, raw score and worst word of the ``text`` of every row."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)  # a table of fixed size
     bias = model.bias
 
