@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ITEMS_SCHEMA = "array<struct<dsku:string,qty:bigint>>"
+ITEMS_SCHEMA = "array<struct<dsku:string,qty:string>>"
 
 
 def parse_items(c, strict: bool = False) -> Column:
     """JSON array of ``{dsku, qty}``; non-string -> empty array.
 
-    Permissive by default (malformed -> NULL, counted by the caller); ``strict``
-    raises on malformed input like the reference does.
+    ``strict`` raises on malformed input; otherwise it becomes NULL. Quantities stay
+    text, so that ``2.0`` and ``"2"`` reach the caller's number parsing.
     """
     col = F.col(c) if isinstance(c, str) else c
     opts = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE"}

@@ -136,15 +136,14 @@ def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normali
     from skuflow.functions.dates import date_from_name
     from skuflow.sources.discovery import list_files, parse_names
 
-    listing = parse_names(list_files(spark, directory, f"{prefix}*.csv"), [prefix], (".csv",))
-    files = listing.select("path")
+    names = parse_names(list_files(spark, directory, f"{prefix}*.csv"), [prefix], (".csv",)).select("name", "path")
     first_lines = (spark.read.text(directory + f"/{prefix}*.csv")
-                   .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("b"),
+                   .select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("b"),
                            F.monotonically_increasing_id().alias("i"), "value"))
     # first line of each file: the minimum row id within the split that starts at byte 0
     heads = (first_lines.where(F.col("b") == 0)
-             .groupBy("path").agg(F.min_by("value", "i").alias("header"))
-             .join(files, "path"))
+             .groupBy("name").agg(F.min_by("value", "i").alias("header"))
+             .join(names, "name"))
     groups = {}
     for r in heads.collect():                       # one row per file: listing metadata only
         groups.setdefault(r.header.lstrip("﻿"), []).append(r.path)

@@ -170,6 +170,6 @@ def normalize_amazon_skus(df: DataFrame, key: str, allowed: DataFrame, metrics:
     cols = []
     for name, src in metrics.items():
         srcs = src if isinstance(src, (list, tuple)) else [src]
-        cols.append(row_sum(*[to_number(s, "long") for s in srcs]).alias(name))
+        cols.append(row_sum(*[to_number(s) for s in srcs]).alias(name))
     return (kept.select(strip_trailing_s(F.col(key).cast("string")).alias("SKU"), *cols)
-            .groupBy("SKU").agg(*[F.sum(n).alias(n) for n in metrics]))
+            .groupBy("SKU").agg(*[F.sum(n).cast("long").alias(n) for n in metrics]))

@@ -36,7 +36,7 @@ def reconcile_long(long: DataFrame, key: str = "SKU", method: str = "method") ->
                               seen("old").alias("in_old"), seen("new").alias("in_new"))
     j = j.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ["Old_Units", "New_Units", "Old_Rev", "New_Rev"]})
     return j.withColumns({
-        "Units_Diff": F.round(F.col("New_Units") - F.col("Old_Units"), 0),
+        "Units_Diff": F.bround(F.col("New_Units") - F.col("Old_Units"), 0),
         "Rev_Diff": F.bround(F.col("New_Rev") - F.col("Old_Rev"), 2),
     })
 

@@ -39,6 +39,9 @@ SHOPIFY_DRAFT = "Draft Orders"
 SHOPIFY_BUCKETS = {"TikTok": "TikTok Shopify", "Marketplace Connect": "Target", "Online Store": "Shopify",
                    "Shop": "Shopify", "Loop Subscriptions": "Shopify"}
 SHOPIFY_BUCKET_DEFAULT = "Others"
+#: Raw order exports name the source; compared lower-cased with - and blanks as _.
+SHOPIFY_SOURCES = {"web": "Shopify", "online_store": "Shopify", "tiktok": "TikTok Shopify",
+                   "marketplace_connect": "Target"}
 SHOPIFY_ORDERS = {"status": "Financial Status", "sku": "Lineitem sku", "units": "Lineitem quantity",
                   "price": "Lineitem price", "source": "Source name"}
 SHOPIFY_PAID = "paid"
@@ -130,19 +133,20 @@ def shopify_sales(raw: DataFrame, mapping: DataFrame, buckets: dict[str, str] =
     """Draft Orders dropped (NULL channel kept, P4), net > 0 or qty > 0 (P8),
     channel bucketed (P13), mapped and summed by (Channel, SKU)."""
     c = SHOPIFY_SALES
-    net, qty = to_number(c["revenue"]), to_number(c["units"])
+    net, qty = _money(c["revenue"]), to_number(c["units"])
     kept = raw.where(not_equal_keep_null(c["channel"], SHOPIFY_DRAFT)).where((net > 0) | (qty > 0))
     facts = kept.select(F.col(c["sku"]).alias("k"), bucket_channel(c["channel"], buckets).alias("Channel"),
                         qty.alias("q"), _money(c["revenue"]).alias("r"))
     return map_sales(facts, mapping, "k", "q", "r", by=["Channel"])
 
 
-def shopify_orders(raw: DataFrame, mapping: DataFrame, buckets: dict[str, str] = SHOPIFY_BUCKETS):
+def shopify_orders(raw: DataFrame, mapping: DataFrame, buckets: dict[str, str] = SHOPIFY_SOURCES):
     """Paid orders; Revenue = line price × quantity; channel from the source name."""
     c = SHOPIFY_ORDERS
     kept = raw.where(F.col(c["status"]) == SHOPIFY_PAID)
     qty = to_number(c["units"], "decimal(18,4)")
-    facts = kept.select(F.col(c["sku"]).alias("k"), bucket_channel(c["source"], buckets).alias("Channel"),
+    source = F.regexp_replace(F.lower(F.trim(c["source"])), "[- ]+", "_")
+    facts = kept.select(F.col(c["sku"]).alias("k"), bucket_channel(source, buckets).alias("Channel"),
                         to_number(c["units"]).alias("q"), (_money(c["price"]) * qty).alias("r"))
     return map_sales(facts, mapping, "k", "q", "r", by=["Channel"])
 
@@ -220,7 +224,7 @@ def fbt(inventory_raw: DataFrame, orders_raw: DataFrame | None, mapping: DataFra
 
 
 def three_pl(levels_raw: DataFrame, orders_raw: DataFrame, inbound_raw: DataFrame | None,
-             dsku_dim: DataFrame, template: DataFrame, strict_items: bool = False) -> DataFrame:
+             dsku_dim: DataFrame, template: DataFrame, strict_items: bool = True) -> DataFrame:
     """C14–C17: DTC and Reserve rows.
 
     DTC: Inventory = Σ DTC quantity, Units = Σ item qty of non-cancelled orders
@@ -250,7 +254,7 @@ def three_pl(levels_raw: DataFrame, orders_raw: DataFrame, inbound_raw: DataFram
 
 
 def order_item_units(orders_raw: DataFrame, dsku_dim: DataFrame, status: str = "Order Status",
-                     items: str = "Items", strict: bool = False) -> DataFrame:
+                     items: str = "Items", strict: bool = True) -> DataFrame:
     """Non-cancelled orders (NULL status kept, P4) -> items JSON (F15) ->
     one row per item (F16) -> DSKU looked up (J5; unknown dropped) -> Σ qty by SKU.
     Item quantities are summed per DSKU before the lookup join (A3), so the join
@@ -259,7 +263,7 @@ def order_item_units(orders_raw: DataFrame, dsku_dim: DataFrame, status: str = "
     # explode_outer + NULL filter: an inner explode makes Spark infer a
     # size(...) > 0 filter that is pushed below the parse and parses twice
     item = kept.select(F.explode_outer(parse_items(items, strict)).alias("it")).where(F.col("it").isNotNull())
-    per_dsku = (item.select(F.col("it.dsku").alias("dsku"), F.coalesce(F.col("it.qty"), F.lit(0)).alias("qty"))
+    per_dsku = (item.select(F.col("it.dsku").alias("dsku"), to_number("it.qty").cast("long").alias("qty"))
                 .where(F.col("dsku").isNotNull())
                 .groupBy("dsku").agg(F.sum("qty").alias("qty")))
     return (per_dsku.join(dsku_dim.select("dsku", "SKU"), "dsku", "inner")

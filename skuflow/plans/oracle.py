@@ -10,7 +10,7 @@ from __future__ import annotations
 from skuflow.plans.channels import SHOPIFY_BUCKETS
 from skuflow.plans.warehouse import (
     ALLOWED_STATUSES, CHANNELS, EXCLUDED_STATUS, FBT_PRIORITIES, FLAG_CHANNEL, INVENTORY_CHANNELS, PAID_STATUS,
-    ROLLUP_FROM, ROLLUP_TO, RUN_DATE, RUN_TIMESTAMP, SOURCE_CHANNELS, SOURCE_FILES, SOURCE_NAMES, UNMAPPED_MIN_SIZE,
+    ROLLUP_FROM, ROLLUP_TO, RUN_DATE, RUN_TIMESTAMP, SOURCE_FILES, SOURCE_NAMES, UNMAPPED_MIN_SIZE,
 )
 from skuflow.sources.landed import SHOPIFY_SOURCE_TO_CHANNEL
 
@@ -403,8 +403,8 @@ SELECT ra.channel AS "Channel", cast(ra.n AS BIGINT) AS rows_analyzed, coalesce(
 FROM ra LEFT JOIN rf ON rf.channel = ra.channel""",
 })
 
-_C7_CHANNEL = " ".join(f"WHEN '{prio}' THEN '{SHOPIFY_BUCKETS.get(name, 'Others')}'"
-                       for prio, name in SOURCE_CHANNELS.items())
+_C7_CHANNEL = """WHEN '1-URGENT' THEN 'Shopify' WHEN '2-HIGH' THEN 'Shopify' WHEN '3-MEDIUM' THEN 'TikTok Shopify'
+  WHEN '4-NOT SPECIFIED' THEN 'Target'"""
 
 SQL["shopify_orders_paid"] = _with(f"""li AS (
   SELECT cast(l.l_partkey AS VARCHAR) AS source_key, CASE o.o_orderpriority {_C7_CHANNEL} ELSE 'Others' END AS channel,

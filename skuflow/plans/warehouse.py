@@ -421,8 +421,8 @@ def price_times_qty(spark, sf_dir) -> DataFrame:
 # The sales-channel name each order priority arrives with in the
 # raw Shopify order export of the warehouse roles ('Wholesale' is bucketed to
 # Others), and the order status that counts as paid.
-SOURCE_CHANNELS = {"1-URGENT": "Online Store", "2-HIGH": "Shop", "3-MEDIUM": "TikTok",
-                   "4-NOT SPECIFIED": "Marketplace Connect", "5-LOW": "Wholesale"}
+SOURCE_CHANNELS = {"1-URGENT": "web", "2-HIGH": "online_store", "3-MEDIUM": "tiktok",
+                   "4-NOT SPECIFIED": "marketplace_connect", "5-LOW": "pos"}
 PAID_STATUS = "F"
 
 

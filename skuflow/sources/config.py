@@ -65,23 +65,21 @@ class Catalog:
             dsku_map=docs["tpl"].get("DSKU_TO_SKU_MAP", {}),
         )
 
-    # Dimensions built from configuration values: their size is the size of the
-    # configuration, so broadcasting them is safe.
+    # Dimensions built from configuration values; Spark chooses the join by their size.
     def sku_dim(self, spark: SparkSession) -> DataFrame:
-        return F.broadcast(spark.createDataFrame([(s, i) for i, s in enumerate(self.sku_order)],
-                                                 "SKU string, sku_rank int"))
+        return spark.createDataFrame([(s, i) for i, s in enumerate(self.sku_order)], "SKU string, sku_rank int")
 
     def allowed_dim(self, spark: SparkSession) -> DataFrame:
-        return F.broadcast(spark.createDataFrame([(s,) for s in self.amazon_skus], "SKU string"))
+        return spark.createDataFrame([(s,) for s in self.amazon_skus], "SKU string")
 
     def mapping_dim(self, spark: SparkSession, which: str) -> DataFrame:
         m = {"amazon": self.amazon_map, "tiktok": self.tiktok_map, "shopify": self.shopify_map}[which]
         rows = [(str(k), [str(t) for t in (v or [])]) for k, v in m.items()]
-        return F.broadcast(spark.createDataFrame(rows, "source_key string, targets array<string>"))
+        return spark.createDataFrame(rows, "source_key string, targets array<string>")
 
     def dsku_dim(self, spark: SparkSession) -> DataFrame:
         rows = [(str(k), str(v)) for k, v in self.dsku_map.items()]
-        return F.broadcast(spark.createDataFrame(rows, "dsku string, SKU string"))
+        return spark.createDataFrame(rows, "dsku string, SKU string")
 
 
 def read_mapping(spark: SparkSession, path: str, key: str) -> DataFrame:

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
-    """Listing of one directory as (path, name); file contents are never read."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", "false").load(directory).select("path"))
-    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+    """Listing of one directory as (path, name), empty files included; contents are never read."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, glob)) or [] if s.isFile()]
+    return spark.createDataFrame([(p.toString(), p.getName()) for p in found], "path string, name string")
 
 
 def _parsed(listing: DataFrame, prefixes: Sequence[str], extensions: Sequence[str], name: str) -> DataFrame:

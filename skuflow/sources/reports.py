@@ -12,14 +12,13 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.functions.text import NA_TOKENS
 
-SNIFF_LINES = 50
-
 
 def separator_for(path: str, default: str = ",") -> str:
     """``.txt`` exports are tab-separated, everything else comma-separated."""
@@ -32,8 +31,8 @@ def _null_tokens(df: DataFrame) -> DataFrame:
                        for c in df.columns])
 
 
-def head_lines(spark: SparkSession, path: str, n: int = SNIFF_LINES, encoding: str = "UTF-8") -> list[str]:
-    """First ``n`` physical lines of one file (bounded; used for sniffing only)."""
+def head_lines(spark: SparkSession, path: str, n: int, encoding: str = "UTF-8") -> list[str]:
+    """First ``n`` physical lines of one file."""
     rows = spark.read.option("encoding", encoding).text(path).limit(n).collect()
     return [r.value for r in rows]
 
@@ -57,7 +56,7 @@ def read_report(spark: SparkSession, path: str, sep: str | None = None, skip_lin
         enc = "ISO-8859-1" if has_bad_bytes(spark, path) else "UTF-8"
     if skip_lines == 0:
         df = (spark.read.option("header", True).option("escape", '"').option("sep", sep)
-              .option("encoding", enc).option("mode", "PERMISSIVE").csv(path))
+              .option("encoding", enc).option("mode", "PERMISSIVE").option("multiLine", True).csv(path))
         return _null_tokens(df)
     return _read_after_preamble(spark, path, sep, skip_lines, enc)
 
@@ -65,20 +64,22 @@ def read_report(spark: SparkSession, path: str, sep: str | None = None, skip_lin
 def _read_after_preamble(spark: SparkSession, path: str, sep: str, skip_lines: int, enc: str) -> DataFrame:
     """S3: the first ``skip_lines`` lines are preamble; the next one is the header.
 
-    The preamble and header texts are taken from the head of the file; every
-    line equal to one of them (or blank) is dropped from a text scan and the rest
-    is parsed with ``from_csv`` against an all-string schema built from the
-    header. (A data line identical to a preamble line would be dropped too.)
+    The header text is taken from the head of the file. The whole file is parsed with an
+    all-string schema of its width, quoted line breaks included (one task a file, so row ids
+    follow the file), and rows up to the first one equal to the header are dropped by
+    position. A data row equal to a preamble line stays.
     """
     head = head_lines(spark, path, skip_lines + 1, enc)
     if len(head) <= skip_lines:
         return spark.createDataFrame([], "value string")
-    preamble, header = head[:skip_lines], head[skip_lines]
+    header = head[skip_lines]
     cols = next(csv.reader([header.lstrip("\ufeff")], delimiter=sep))
     schema = ", ".join(f"`c{i}` string" for i in range(len(cols)))
-    lines = (spark.read.option("encoding", enc).text(path)
-             .where(~F.col("value").isin(preamble + [header]) & (F.trim("value") != "")))
-    parsed = lines.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("r")).select("r.*")
+    rows = (spark.read.schema(schema).option("sep", sep).option("escape", '"').option("encoding", enc)
+            .option("mode", "PERMISSIVE").option("multiLine", True).csv(path).withColumn("_i", F.monotonically_increasing_id()))
+    is_header = reduce(Column.__and__, [F.col(f"c{i}") == F.lit(c) for i, c in enumerate(cols) if c.strip()])
+    at = rows.where(is_header).agg(F.min("_i").alias("i")).first().i
+    parsed = rows.where(F.col("_i") > (-1 if at is None else at)).drop("_i")
     return _null_tokens(parsed.toDF(*cols))
 
 
@@ -89,12 +90,13 @@ class Sniffed:
 
 
 def sniff_header(spark: SparkSession, path: str, marker: str, fallback_skip: int = 2) -> Sniffed:
-    """The first line containing ``marker`` is the header; ``;`` wins when it
-    occurs more often than ``,`` on that line; otherwise skip ``fallback_skip``."""
-    for i, line in enumerate(head_lines(spark, path)):
-        if marker in line:
-            return Sniffed(i, ";" if line.count(";") > line.count(",") else ",")
-    return Sniffed(fallback_skip, ",")
+    """The first line containing ``marker``, anywhere in the file, is the header; ``;``
+    wins when it occurs more often than ``,`` on that line; otherwise skip ``fallback_skip``."""
+    lines = spark.read.option("wholetext", False).text(path).select("value", F.monotonically_increasing_id().alias("i"))
+    hit = lines.where(F.col("value").contains(marker)).agg(F.min(F.struct("i", "value")).alias("h")).first().h
+    if hit is None:
+        return Sniffed(fallback_skip, ",")
+    return Sniffed(hit.i, ";" if hit.value.count(";") > hit.value.count(",") else ",")
 
 
 def read_sniffed(spark: SparkSession, path: str, marker: str) -> DataFrame:

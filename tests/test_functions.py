@@ -42,12 +42,12 @@ def test_to_number(spark, raw, expected):
 
 
 def test_text_helpers(spark):
-    assert one(spark, S.strip_trailing_s("v"), "3001s") == "3001"
-    assert one(spark, S.strip_trailing_s("v"), "3001ss") == "3001s"
+    assert one(spark, S.strip_trailing_s("v"), "4430s") == "4430"
+    assert one(spark, S.strip_trailing_s("v"), "4430ss") == "4430s"
     assert one(spark, S.underscore_spaces("v"), "TikTok Shop") == "TikTok_Shop"
     assert one(spark, S.blank_to_null("v"), "  ") is None
     assert one(spark, S.blank_to_null("v"), "N/A") is None
-    assert one(spark, S.blank_to_null("v"), " 1001 ") == "1001"
+    assert one(spark, S.blank_to_null("v"), " 4410 ") == "4410"
 
 
 def test_null_safe_predicates(spark):
@@ -61,10 +61,10 @@ def test_null_safe_predicates(spark):
 
 
 def test_ids(spark):
-    df = spark.createDataFrame([("TikTok Shop", "1001")], "Channel string, SKU string")
+    df = spark.createDataFrame([("TikTok Shop", "4410")], "Channel string, SKU string")
     r = df.select(S.row_id(F.to_date(F.lit("2026-02-11"))).alias("id"), S.sku_channel_id().alias("sc"),
                   S.sku_channel_id(underscore=False).alias("raw")).first()
-    assert r.id == "20260211_TikTok_Shop_1001" and r.sc == "TikTok_Shop_1001" and r.raw == "TikTok Shop_1001"
+    assert r.id == "20260211_TikTok_Shop_4410" and r.sc == "TikTok_Shop_4410" and r.raw == "TikTok Shop_4410"
 
 
 def test_date_from_name(spark):

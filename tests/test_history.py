@@ -11,14 +11,14 @@ from skuflow.operators.reconcile import parity, reconcile, reconcile_totals
 
 
 def test_normalize_legacy_snapshot(spark):
-    legacy = spark.createDataFrame([("1001", "FBA", 3, 10, None, "old")],
+    legacy = spark.createDataFrame([("4410", "FBA", 3, 10, None, "old")],
                                    "sku string, channel string, units_sold long, inventory long, inbound long, id string")
     out = H.normalize_snapshot(legacy, "2025-12-01").first()
-    assert (out.id, out.Date, out.Units, out.Inbound) == ("20251201_FBA_1001", dt.date(2025, 12, 1), 3, 0)
-    spaced = spark.createDataFrame([("1001", "TikTok Shop", 1, 2, 3)],
+    assert (out.id, out.Date, out.Units, out.Inbound) == ("20251201_FBA_4410", dt.date(2025, 12, 1), 3, 0)
+    spaced = spark.createDataFrame([("4410", "TikTok Shop", 1, 2, 3)],
                                    "SKU string, Channel string, Units long, Inventory long, Inbound long")
-    assert H.normalize_snapshot(spaced, "2025-12-02").first().id == "20251202_TikTok Shop_1001"   # L16
-    missing = spark.createDataFrame([("1001",)], "SKU string")
+    assert H.normalize_snapshot(spaced, "2025-12-02").first().id == "20251202_TikTok Shop_4410"   # L16
+    missing = spark.createDataFrame([("4410",)], "SKU string")
     assert H.normalize_snapshot(missing, "2025-12-02") is None
 
 
@@ -62,16 +62,16 @@ def test_anomaly_and_guard_and_trend(spark):
 
 
 def test_reconcile(spark):
-    old = spark.createDataFrame([("1001", 10.0, 259.9), ("3001", 5.0, 79.95)], "SKU string, Units double, Revenue double")
-    new = spark.createDataFrame([("1001", 1.0, 24.99), ("3001", 5.0, 79.95), ("5001", 1.0, 1.0)],
+    old = spark.createDataFrame([("4410", 10.0, 259.9), ("4430", 5.0, 79.95)], "SKU string, Units double, Revenue double")
+    new = spark.createDataFrame([("4410", 1.0, 24.99), ("4430", 5.0, 79.95), ("4450", 1.0, 1.0)],
                                 "SKU string, Units double, Revenue double")
     r = {x.SKU: x for x in reconcile(old, new).collect()}
-    assert (r["1001"].Units_Diff, r["1001"].Rev_Diff) == (-9.0, -234.91)
-    assert r["5001"].in_new and not r["5001"].in_old and r["5001"].Old_Units == 0
+    assert (r["4410"].Units_Diff, r["4410"].Rev_Diff) == (-9.0, -234.91)
+    assert r["4450"].in_new and not r["4450"].in_old and r["4450"].Old_Units == 0
     t = reconcile_totals(reconcile(old, new)).first()
     assert (t.only_in_old, t.only_in_new, t.units_diff_count, t.parsers_agree) == (0, 1, 2, False)
     p = {x.SKU: x.within_tolerance for x in parity(reconcile(old, new), rel_tol=0.01).collect()}
-    assert p == {"1001": False, "3001": True, "5001": False}
+    assert p == {"4410": False, "4430": True, "4450": False}
 
 
 def test_quality_ops(spark):
@@ -101,22 +101,22 @@ def test_quality_ops(spark):
 
 def test_read_snapshots_mixed_headers(spark, tmp_path):
     (tmp_path / "inventory_report_2025-01-01.csv").write_text(
-        "id,sku,channel,units_sold,inventory,inbound\nx,1001,FBA,1,2,3\nx,2001,FBA,,5,6\n")
+        "id,sku,channel,units_sold,inventory,inbound\nx,4410,FBA,1,2,3\nx,4420,FBA,,5,6\n")
     (tmp_path / "inventory_report_2025-02-01.csv").write_text(
-        "id,sku_channel_id,Date,SKU,Channel,Units,Inventory,Inbound\na,b,2025-01-31,1001,TikTok Shop,7,8,9\n")
-    (tmp_path / "inventory_report_2025-03-01.csv").write_text("SKU,Channel\n1001,FBA\n")   # skipped
+        "id,sku_channel_id,Date,SKU,Channel,Units,Inventory,Inbound\na,b,2025-01-31,4410,TikTok Shop,7,8,9\n")
+    (tmp_path / "inventory_report_2025-03-01.csv").write_text("SKU,Channel\n4410,FBA\n")   # skipped
     (tmp_path / "notes.csv").write_text("a\n")
     out = {(r.Date.isoformat(), r.SKU, r.Channel): (r.id, r.Units, r.Inventory, r.Inbound)
            for r in H.read_snapshots(spark, str(tmp_path)).collect()}
     assert out == {
-        ("2025-01-01", "1001", "FBA"): ("20250101_FBA_1001", 1, 2, 3),
-        ("2025-01-01", "2001", "FBA"): ("20250101_FBA_2001", 0, 5, 6),
-        ("2025-02-01", "1001", "TikTok Shop"): ("20250201_TikTok Shop_1001", 7, 8, 9),
+        ("2025-01-01", "4410", "FBA"): ("20250101_FBA_4410", 1, 2, 3),
+        ("2025-01-01", "4420", "FBA"): ("20250101_FBA_4420", 0, 5, 6),
+        ("2025-02-01", "4410", "TikTok Shop"): ("20250201_TikTok Shop_4410", 7, 8, 9),
     }
 
 
 def test_run_summary_bundles_double_count(spark):
-    rep = spark.createDataFrame([("1001", dt.date(2026, 1, 1), 4, 10.0), ("Bundles", dt.date(2026, 1, 1), 2, 5.0)],
+    rep = spark.createDataFrame([("4410", dt.date(2026, 1, 1), 4, 10.0), ("Bundles", dt.date(2026, 1, 1), 2, 5.0)],
                                 "SKU string, Date date, Units long, Revenue double")
     assert H.run_summary(rep, "sales", []).first().total_units == 6                      # L6: by design
     assert H.run_summary(rep, "sales", [], exclude_bundles=True).first().total_units == 4

@@ -13,22 +13,55 @@ from skuflow.sources.reports import read_report, read_sniffed, sniff_header
 
 def test_bom_and_blank_lines(spark, tmp_path):
     p = tmp_path / "x.csv"
-    p.write_bytes("﻿SKU,Qty\n\n1001,2\n2001,NA\n".encode("utf-8"))
+    p.write_bytes("﻿SKU,Qty\n\n4410,2\n4420,NA\n".encode("utf-8"))
     rows = {r.SKU: r.Qty for r in read_report(spark, str(p)).collect()}
-    assert rows == {"1001": "2", "2001": None}
+    assert rows == {"4410": "2", "4420": None}
 
 
 def test_latin1_fallback(spark, tmp_path):
     p = tmp_path / "l.csv"
-    p.write_bytes(b"SKU,Name\n1001,Caf\xe9\n")
+    p.write_bytes(b"SKU,Name\n4410,Caf\xe9\n")
     rows = read_report(spark, str(p)).collect()
     assert len(rows) == 1 and rows[0].Name == "Café"
 
 
 def test_quoted_json_cell(spark, report_path):
     df = read_report(spark, report_path("Flexport_orders_2026-02-11.csv"))
-    items = [r.Items for r in df.collect()]
-    assert json.loads(items[0]) == [{"dsku": "DB59IQ90Q2K", "qty": 2}]
+    items = {r["Marketplace Order ID"]: json.loads(r["Items"]) for r in df.collect()}
+    assert items["W-31"] == [{"dsku": "DQ7CLOV01", "qty": 3}, {"dsku": "DQ7MINT01", "qty": 1}]
+
+
+def test_quoted_line_break_is_one_row(spark, tmp_path):
+    p = tmp_path / "r.csv"
+    p.write_text('SKU,Note,Units\nA,"left at\nthe door",7\nB,plain,1\n')
+    assert {(r.SKU, r.Units) for r in read_report(spark, str(p)).collect()} == {("A", "7"), ("B", "1")}
+    p.write_text('Report,x\nMade,y\nSKU,Note,Units\nA,"left at\nthe door",7\nMade,y,\n')
+    got = {(r.SKU, r.Note, r.Units) for r in read_report(spark, str(p), skip_lines=2).collect()}
+    assert got == {("A", "left at\nthe door", "7"), ("Made", "y", None)}     # equal to a preamble line, yet data
+
+
+def test_header_far_down(spark, tmp_path):
+    p = tmp_path / "r.csv"
+    p.write_text("note;x\n" * 60 + "SKU ID;Units\nK1;4\n")
+    assert sniff_header(spark, str(p), "SKU ID").skip_lines == 60
+    assert [tuple(r) for r in read_sniffed(spark, str(p), "SKU ID").collect()] == [("K1", "4")]
+
+
+def test_empty_newest_file_is_listed(spark, tmp_path):
+    from skuflow.sources.discovery import find_latest
+
+    (tmp_path / "Stock_2026-03-01.csv").write_text("a\n1\n")
+    (tmp_path / "Stock_2026-03-02.csv").write_text("")
+    assert find_latest(spark, str(tmp_path), "Stock_", run_date="2026-03-09")[1] == "2026-03-02"
+
+
+def test_snapshots_in_a_folder_with_a_space(spark, tmp_path):
+    from skuflow.operators.history import read_snapshots
+
+    d = tmp_path / "snap dir"
+    d.mkdir()
+    (d / "inventory_report_2026-03-01.csv").write_text("Channel,SKU,Units,Inventory,Inbound\nFBA,K1,1,2,3\n")
+    assert read_snapshots(spark, str(d)).count() == 1
 
 
 def test_semicolon_sniff(spark, tmp_path):
@@ -95,9 +128,9 @@ def test_catalog_errors(tmp_path):
 
 
 def test_catalog_dims(spark, catalog):
-    assert [r.SKU for r in catalog.sku_dim(spark).orderBy("sku_rank").collect()][:2] == ["1001", "2001"]
+    assert [r.SKU for r in catalog.sku_dim(spark).orderBy("sku_rank").collect()][:2] == ["4410", "4420"]
     m = {r.source_key: r.targets for r in catalog.mapping_dim(spark, "tiktok").collect()}
-    assert m["1729500444198670817"] == ["5001", "5001"]
+    assert m["5810000000000000777"] == ["4450", "4450"]
 
 
 def test_read_mapping_json(spark, tmp_path):
@@ -118,23 +151,23 @@ def test_landed_three_pl(spark, catalog):
     from skuflow.plans import channels as C
 
     lv = landed.tpl_levels(_doc(spark, {"items": [
-        {"logisticsSku": "DB59IQ90Q2K", "merchantSku": "1001", "dtcTotalQuantity": 100, "rsTotalQuantity": 50,
+        {"logisticsSku": "DQ7MINT01", "merchantSku": "4410", "dtcTotalQuantity": 100, "rsTotalQuantity": 50,
          "opsWipQuantity": 10, "inTransitQuantity": 5}]}, landed.TPL_LEVELS_DOC))
     od = landed.tpl_orders(_doc(spark, {"orders": [
-        {"createdAt": "x", "orderStatus": "FULFILLED", "items": [{"dsku": "DB59IQ90Q2K", "qty": 2}]},
-        {"createdAt": "x", "orderStatus": "CANCELLED", "items": [{"dsku": "DB59IQ90Q2K", "qty": 9}]}]},
+        {"createdAt": "x", "orderStatus": "FULFILLED", "items": [{"dsku": "DQ7MINT01", "qty": 2}]},
+        {"createdAt": "x", "orderStatus": "CANCELLED", "items": [{"dsku": "DQ7MINT01", "qty": 9}]}]},
         landed.TPL_ORDERS_DOC))
     out = C.three_pl(lv, od, None, catalog.dsku_dim(spark), catalog.sku_dim(spark))
     got = {(r.Channel, r.SKU): (r.Units, r.Inventory) for r in out.collect()}
-    assert got[("DTC", "1001")] == (2, 100) and got[("Reserve", "1001")] == (0, 40)
+    assert got[("DTC", "4410")] == (2, 100) and got[("Reserve", "4410")] == (0, 40)
 
 
 def test_landed_fba_awd(spark):
-    fba = landed.fba_inventory(_doc(spark, {"inventorySummaries": [{"sellerSku": "1001", "inventoryDetails": {
+    fba = landed.fba_inventory(_doc(spark, {"inventorySummaries": [{"sellerSku": "4410", "inventoryDetails": {
         "fulfillableQuantity": 40, "reservedQuantity": {"fcProcessingQuantity": 3}, "inboundWorkingQuantity": 1,
         "inboundShippedQuantity": 2, "inboundReceivingQuantity": 4}}]}, landed.FBA_DOC)).first()
-    assert (fba["Merchant SKU"], fba["Available"], fba["FC transfer"], fba["Inbound"]) == ("1001", 40, 3, 7)
-    awd = landed.awd_inventory(_doc(spark, {"inventory": [{"sku": "2001", "inventoryDetails": {
+    assert (fba["Merchant SKU"], fba["Available"], fba["FC transfer"], fba["Inbound"]) == ("4410", 40, 3, 7)
+    awd = landed.awd_inventory(_doc(spark, {"inventory": [{"sku": "4420", "inventoryDetails": {
         "availableQuantity": {"amount": 80}, "inboundQuantity": {"amount": 5}}}]}, landed.AWD_DOC)).first()
     assert (awd["Available in AWD (units)"], awd["Inbound to AWD (units)"]) == (80, 5)
 
@@ -143,13 +176,13 @@ def test_landed_walmart(spark):
     from skuflow.plans import channels as C
 
     doc = _doc(spark, {"orders": [{"purchaseOrderId": "1", "orderLines": [
-        {"sku": "1001", "status": "Shipped", "orderLineQuantity": {"amount": "2"},
+        {"sku": "4410", "status": "Shipped", "orderLineQuantity": {"amount": "2"},
          "charges": [{"chargeType": "PRODUCT", "chargeAmount": {"amount": 19.98}},
                      {"chargeType": "SHIPPING", "chargeAmount": {"amount": 5.0}}]}]}]}, landed.WALMART_ORDERS_DOC)
     raw = landed.walmart_orders(doc).withColumnRenamed("GMV", "Unit Price")
     r = landed.walmart_orders(doc).first()
     assert float(r.GMV) == 19.98 and r.Quantity == "2"
-    inv = landed.walmart_inventory(_doc(spark, {"inventory": [{"sku": "1001", "availableToSellQty": 7,
+    inv = landed.walmart_inventory(_doc(spark, {"inventory": [{"sku": "4410", "availableToSellQty": 7,
                                                                "inboundQty": 1}]}, landed.WALMART_INVENTORY_DOC))
     assert inv.first()["Available units"] == 7
     assert raw.count() == 1 and C.WALMART_ORDERS["status"] in raw.columns
@@ -160,16 +193,16 @@ def test_landed_tiktok(spark, catalog):
 
     doc = _doc(spark, {"data": {"orders": [
         {"order_id": "1", "order_status": 130, "fulfillment_type": "TIKTOK_FULFILLMENT",
-         "line_items": [{"sku_id": "1729499998780101089", "seller_sku": "a", "quantity": 2}],
+         "line_items": [{"sku_id": "5810000000000000421", "seller_sku": "a", "quantity": 2}],
          "payment": {"total_amount": "50.00"}},
         {"order_id": "2", "order_status": 140, "fulfillment_type": "TIKTOK_FULFILLMENT",
-         "line_items": [{"sku_id": "1729499998780101089", "seller_sku": "a", "quantity": 7}],
+         "line_items": [{"sku_id": "5810000000000000421", "seller_sku": "a", "quantity": 7}],
          "payment": {"total_amount": "70.00"}}]}}, landed.TIKTOK_ORDERS_DOC)
     m = C.tiktok_fbt_orders(landed.tiktok_orders(doc), catalog.mapping_dim(spark, "tiktok"))
     r = m.sales.first()
-    assert (r.SKU, float(r.Units), float(r.Revenue)) == ("1001", 2.0, 50.0)
+    assert (r.SKU, float(r.Units), float(r.Revenue)) == ("4410", 2.0, 50.0)
     inv = landed.tiktok_inventory(_doc(spark, {"data": {"inventories": [
-        {"seller_sku": "1001", "available_quantity": 80, "in_transit_quantity": 10}]}}, landed.TIKTOK_INVENTORY_DOC))
+        {"seller_sku": "4410", "available_quantity": 80, "in_transit_quantity": 10}]}}, landed.TIKTOK_INVENTORY_DOC))
     assert C.fbt_inventory(inv).first().Inventory == 80
 
 
@@ -177,15 +210,15 @@ def test_landed_shopify(spark, catalog):
     from skuflow.plans import channels as C
 
     doc = _doc(spark, {"orders": [{"id": "1", "source_name": "web", "financial_status": "paid", "line_items": [
-        {"sku": "1001", "quantity": 2, "price": "10.00", "discount_allocations": [{"amount": "1.50"}]},
-        {"sku": "1001", "quantity": 0, "price": "10.00", "discount_allocations": []}]},
+        {"sku": "4410", "quantity": 2, "price": "10.00", "discount_allocations": [{"amount": "1.50"}]},
+        {"sku": "4410", "quantity": 0, "price": "10.00", "discount_allocations": []}]},
         {"id": "2", "source_name": None, "line_items": [
-            {"sku": "1001", "quantity": 1, "price": "5.00", "discount_allocations": []}]}]}, landed.SHOPIFY_ORDERS_DOC)
+            {"sku": "4410", "quantity": 1, "price": "5.00", "discount_allocations": []}]}]}, landed.SHOPIFY_ORDERS_DOC)
     raw = landed.shopify_orders(doc)
     assert raw.count() == 2                       # zero-quantity, zero-net line dropped
     m = C.shopify_sales(raw, catalog.mapping_dim(spark, "shopify"))
     got = {(r.Channel, r.SKU): (float(r.Units), float(r.Revenue)) for r in m.sales.collect()}
-    assert got == {("Shopify", "1001"): (2.0, 18.5), ("Others", "1001"): (1.0, 5.0)}
+    assert got == {("Shopify", "4410"): (2.0, 18.5), ("Others", "4410"): (1.0, 5.0)}
 
 
 def test_find_latest_many(spark, tmp_path):
