@@ -7,6 +7,7 @@ bytes.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -60,6 +61,7 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished stages, which waits for the driver's JVM."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 

@@ -15,7 +15,7 @@ is built from a cover sample, block by block, and never over all suffixes at onc
 3. Ties. Only where one K-gram has several ranks (around edits) are the block's suffixes sorted one
    by one, LENGTH bytes each, to find those that a smaller doc_id holds.
 
-Blocks are compared by their bytes. Batches are ranges of doc_id, so a task holds a bounded
+Strings are compared by their bytes; whole blocks by 128 bits. Batches are ranges of doc_id, so a task holds a bounded
 number of documents, and copies inside a batch are collapsed before anything is shuffled.
 """
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import bounded_batches, release, stage
+from skuflow.llm.common import Staged, bounded_batches, release, stage
 
 LENGTH, K = 50, 20
 BATCH = 2048
@@ -141,6 +141,11 @@ def _shared(raw: bytes, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int
         yield int(h[i]), lo, hi, int(position[i]) - lo, raw[lo:hi + LENGTH]
 
 
+def _digest(distance: int, block: bytes) -> bytes:
+    """128 bits that stand for a block and its distance; ties are told apart by the bytes."""
+    return hashlib.md5(distance.to_bytes(2, "big") + block, usedforsecurity=False).digest()
+
+
 def _blocks(texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
     """Distinct blocks of a batch at shared sample positions, with the smallest doc_id."""
     hashes = np.unique(shared["hash"].to_numpy(np.int64))
@@ -152,20 +157,20 @@ def _blocks(texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
             if doc < low.get(key, doc + 1):
                 low[key] = doc
     batch = shared["batch"].iloc[0] if len(shared) else 0
-    return pd.DataFrame([(batch, *k, v) for k, v in low.items()], columns=["batch", "hash", "distance", "block", "low"])
+    return pd.DataFrame([(batch, h, _digest(d, b), b, v) for (h, d, b), v in low.items()],
+                        columns=["batch", "hash", "digest", "block", "low"])
 
 
 def _removed(texts: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
     """The digest columns of each document of a batch."""
-    known = {(h, d, b): (low, ties) for h, d, b, low, ties in zip(
-        ranks["hash"], ranks["distance"], ranks["block"], ranks["low"], ranks["ties"])}
+    known = {d: (low, ties) for d, low, ties in zip(ranks["digest"], ranks["low"], ranks["ties"])}
     hashes = np.unique(ranks["hash"].to_numpy(np.int64)) if len(ranks) else np.zeros(0, np.int64)
     out = []
     for doc, text in zip(texts["doc_id"].tolist(), texts["text"]):
         raw = _bytes(text)
         edge = np.zeros(len(raw) + 1, np.int32)
-        for h, first, last, distance, block in _shared(raw, hashes) if not pd.isna(doc) else ():
-            low, ties = known.get((h, distance, block), (doc, None))
+        for _, first, last, distance, block in _shared(raw, hashes) if not pd.isna(doc) else ():
+            low, ties = known.get(_digest(distance, block), (doc, None))
             if low < doc:
                 edge[first] += 1
                 edge[last + LENGTH] -= 1
@@ -193,24 +198,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     same_gram = Window.partitionBy("hash")
     bounded_batches(docs.sparkSession)
-    shared = stage(_told(rows).withColumn("first", F.min("low").over(same_gram)).withColumn("last", F.max("high").over(same_gram))
-                   .where("first < last").select("batch", "hash"), "suffix-shared")
+    shared = Staged(_told(rows).withColumn("first", F.min("low").over(same_gram)).withColumn("last", F.max("high").over(same_gram))
+                    .where("first < last").select("batch", "hash"), "suffix-shared")
     release(spark)
-    blocks = stage(rows.groupBy("batch").cogroup(shared.groupBy("batch")).applyInPandas(
-        _blocks, "batch long, hash long, distance int, block binary, low long"), "suffix-blocks")
+    blocks = Staged(rows.groupBy("batch").cogroup(shared.df.groupBy("batch")).applyInPandas(
+        _blocks, "batch long, hash long, digest binary, block binary, low long"), "suffix-blocks")
+    shared.drop()
     release(spark)
-    rank = Window.partitionBy("hash", "distance", "block")
-    several = ((F.min("block").over(same_gram) != F.max("block").over(same_gram))
-               | (F.min("distance").over(same_gram) != F.max("distance").over(same_gram)))
-    ranked = stage(blocks.withColumn("several", several).withColumn("first", F.min("low").over(rank)), "suffix-ranks")
+    rank = Window.partitionBy("hash", "digest")
+    several = F.min("digest").over(same_gram) != F.max("digest").over(same_gram)
+    ranked = (blocks.df.withColumn("several", several).withColumn("first", F.min("low").over(rank))
+              .withColumn("block", F.when(F.col("several") & (F.col("low") == F.col("first")), F.col("block"))))
+    ranked = stage(ranked.select("batch", "hash", "digest", "first", "block"), "suffix-ranks")
+    blocks.drop()
     release(spark)
     start = F.explode(F.sequence(F.lit(0), F.length("block") - LENGTH)).alias("t")
-    tied = (ranked.where("several").select("hash", "distance", "block", "first").distinct()
-            .select("hash", "distance", "block", "first", start)
-            .withColumn("string", F.substring("block", F.col("t") + 1, F.lit(LENGTH))))
+    tied = (ranked.where("block is not null").dropDuplicates(["hash", "digest"]).select("hash", "digest", "first", "block", start)
+            .select("hash", "digest", "first", "t", F.substring("block", F.col("t") + 1, F.lit(LENGTH)).alias("string")))
     earlier = tied.withColumn("low", F.min("first").over(Window.partitionBy("hash", "string"))).where("low < first")
-    ties = stage(earlier.groupBy("hash", "distance", "block").agg(F.array_sort(F.collect_set("t")).alias("ties")), "suffix-ties")
-    known = ranked.join(ties, ["hash", "distance", "block"], "left").select(
-        "batch", "hash", "distance", "block", F.col("first").alias("low"), "ties")
+    ties = stage(earlier.groupBy("digest").agg(F.array_sort(F.collect_set("t")).alias("ties")), "suffix-ties")
+    release(spark)
+    known = ranked.join(ties, "digest", "left").select("batch", "hash", "digest", F.col("first").alias("low"), "ties")
     return rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(
         _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
