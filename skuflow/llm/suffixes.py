@@ -15,7 +15,7 @@ is built from a cover sample, block by block, and never over all suffixes at onc
 3. Ties. Only where one K-gram has several ranks (around edits) are the block's suffixes sorted one
    by one, LENGTH bytes each, to find those that a smaller doc_id holds.
 
-Strings are compared by their bytes; whole blocks by 128 bits. Batches are ranges of doc_id, so a task holds a bounded
+Blocks and strings are compared by 128-bit digests. Batches are ranges of doc_id, so a task holds a bounded
 number of documents, and copies inside a batch are collapsed before anything is shuffled.
 """
 
@@ -142,7 +142,7 @@ def _shared(raw: bytes, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int
 
 
 def _digest(distance: int, block: bytes) -> bytes:
-    """128 bits that stand for a block and its distance; ties are told apart by the bytes."""
+    """128 bits that stand for a block and its distance."""
     return hashlib.md5(distance.to_bytes(2, "big") + block, usedforsecurity=False).digest()
 
 
@@ -213,9 +213,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks.drop()
     release(spark)
     start = F.explode(F.sequence(F.lit(0), F.length("block") - LENGTH)).alias("t")
-    tied = (ranked.where("block is not null").dropDuplicates(["hash", "digest"]).select("hash", "digest", "first", "block", start)
-            .select("hash", "digest", "first", "t", F.substring("block", F.col("t") + 1, F.lit(LENGTH)).alias("string")))
-    earlier = tied.withColumn("low", F.min("first").over(Window.partitionBy("hash", "string"))).where("low < first")
+    string = F.unhex(F.md5(F.substring("block", F.col("t") + 1, F.lit(LENGTH)))).alias("string")
+    # the holders of a rank in one batch are one row, so a rank's smallest doc_id gives it once
+    tied = ranked.where("block is not null").select("digest", "first", "block", start).select("digest", "first", "t", string)
+    earlier = tied.withColumn("low", F.min("first").over(Window.partitionBy("string"))).where("low < first")
     ties = stage(earlier.groupBy("digest").agg(F.array_sort(F.collect_set("t")).alias("ties")), "suffix-ties")
     release(spark)
     known = ranked.join(ties, "digest", "left").select("batch", "hash", "digest", F.col("first").alias("low"), "ties")
