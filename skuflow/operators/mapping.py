@@ -8,8 +8,8 @@ Plan shape (A3): facts are pre-aggregated by (source key, grouping columns)
 *before* the mapping join. Quantity and revenue are linear in the sums, so the
 result equals expanding every raw row, but the join and the ``explode`` run on
 one row per key, and the partial aggregate collapses hot keys map-side before
-anything is shuffled. The pre-aggregate is hash-partitioned on the key, so a
-shuffled join against a large mapping only moves the mapping side.
+anything is shuffled. A shuffled join against a large mapping then moves the
+aggregated rows and the mapping.
 
 Everything a report needs — per-SKU volume, the original volume of bundle keys
 (reported under the reserved SKU ``Bundles``), the volume of unmapped keys
