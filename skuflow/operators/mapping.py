@@ -94,8 +94,8 @@ def join_mapping(keyed: DataFrame, mapping: DataFrame, how: str = "inner", keys:
 
 
 def split_revenue(rev, size) -> F.Column:
-    """revenue / bundle size, fixed to 4 decimals so sums are exact afterwards."""
-    return (F.col(rev).cast("double") / F.col(size)).cast(SPLIT)
+    """revenue / bundle size in decimal, fixed to 4 decimals so sums are exact afterwards."""
+    return (F.col(rev).cast("decimal(38,6)") / F.col(size)).cast(MONEY_SUM)
 
 
 def expand_bundles(joined: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from skuflow.plans.channels import SHOPIFY_BUCKETS
 from skuflow.plans.warehouse import (
     ALLOWED_STATUSES, CHANNELS, EXCLUDED_STATUS, FBT_PRIORITIES, FLAG_CHANNEL, INVENTORY_CHANNELS, PAID_STATUS,
-    ROLLUP_FROM, ROLLUP_TO, RUN_DATE, RUN_TIMESTAMP, SOURCE_FILES, SOURCE_NAMES, UNMAPPED_MIN_SIZE,
+    PAYLOAD_CHUNKS, ROLLUP_FROM, ROLLUP_TO, RUN_DATE, RUN_TIMESTAMP, SOURCE_FILES, SOURCE_NAMES, UNMAPPED_MIN_SIZE,
 )
 from skuflow.sources.landed import SHOPIFY_SOURCE_TO_CHANNEL
 
@@ -415,3 +415,11 @@ SQL["shopify_orders_paid"] = _with(f"""li AS (
     MAPPING, JOINED, SALES, BUNDLES) + """SELECT channel AS "Channel", sku AS "SKU", units AS "Units",
   cast(revenue AS DOUBLE) AS "Revenue" FROM sales
 UNION ALL SELECT channel, 'Bundles', units, cast(revenue AS DOUBLE) FROM bund"""
+
+SQL["payload_json"] = _with(*MAPPED, SALES, BUNDLES, GRID, REPORT, f"""placed AS (
+  SELECT *, cast(cast('0x' || substr(md5(id), 1, 7) AS BIGINT) % {PAYLOAD_CHUNKS} AS INTEGER) AS chunk FROM report)""") + f"""
+SELECT 'sales' AS "reportType", chunk, {PAYLOAD_CHUNKS} AS chunks,
+  cast(row_number() OVER (PARTITION BY chunk ORDER BY id) - 1 AS INTEGER) AS place, id, sku_channel_id,
+  strftime("Date", '%Y-%m-%d') AS "Date", "SKU", "Channel", "Units", "Revenue" FROM placed
+UNION ALL SELECT 'sales', -1, NULL, NULL, NULL, NULL, strftime(max("Date"), '%Y-%m-%d'), NULL, "Channel", NULL, NULL
+FROM report GROUP BY "Channel" """

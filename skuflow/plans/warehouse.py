@@ -33,7 +33,6 @@ from skuflow.plans.channels import (
     bucket_channel, order_item_units, shopify_orders, shopify_sales, tiktok_fbt_orders, walmart_orders, wfs,
 )
 from skuflow.plans.reports import inventory_report, sales_report, wide_sales
-from skuflow.session import checkpoint_dir
 from skuflow.sinks import payload_records
 from skuflow.sources import landed
 from skuflow.sources.discovery import latest_per_prefix
@@ -81,8 +80,8 @@ def part_mapping(t: Tables) -> DataFrame:
     brand and a non-catalog component (the type), LARGE parts as 3-packs; other
     parts map 1:1 to their brand. Parts of size >= UNMAPPED_MIN_SIZE are absent.
     This dimension grows with the part table, so it is never broadcast blindly:
-    it is joined with a shuffle on the key the facts are already partitioned by,
-    and AQE may still switch to a broadcast once the measured size is small.
+    it and the aggregated facts are shuffled on the key, and AQE may still switch
+    to a broadcast once the measured size is small.
     """
     b, ty = F.col("p_brand"), F.col("p_type")
     targets = (F.when(ty == "PROMO", F.array(b, b))
@@ -403,17 +402,16 @@ def price_times_qty(spark, sf_dir) -> DataFrame:
     """Status allow-list, Revenue = Quantity × Unit Price, summed by SKU.
 
     The unit price is a property of the part, so Σ(qty × price) = price × Σqty
-    (exact in decimal): lines are filtered by a semi join on the allowed orders
-    and summed per part before the part join, which then sees one row per part
-    key instead of one per line."""
+    (exact in decimal): lines are summed per (part, order status) before the part
+    join, which then sees one row per part key and status instead of one per line.
+    The builder's allow-list on the status reaches the orders scan."""
     t = Tables(spark, sf_dir)
-    allowed = t.orders.where(F.col("o_orderstatus").isin(ALLOWED_STATUSES)).select(F.col("o_orderkey").alias("l_orderkey"))
-    per_part = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
-                .join(allowed, "l_orderkey", "left_semi")
-                .groupBy("l_partkey").agg(F.sum("l_quantity").alias("Quantity")))
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    per_part = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(orders, "l_orderkey")
+                .groupBy("l_partkey", "o_orderstatus").agg(F.sum("l_quantity").alias("Quantity")))
     raw = (per_part.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_retailprice"), "l_partkey")
            .select(F.col("p_brand").alias("SKU"), "Quantity", F.col("p_retailprice").alias("Unit Price"),
-                   F.lit(ALLOWED_STATUSES[0]).alias("Order Line Status")))
+                   F.col("o_orderstatus").alias("Order Line Status")))
     out = walmart_orders(raw, statuses=ALLOWED_STATUSES)
     return out.select("SKU", "Units", F.col("Revenue").cast("double").alias("Revenue"))
 
@@ -429,16 +427,18 @@ PAID_STATUS = "F"
 def shopify_orders_paid(spark, sf_dir) -> DataFrame:
     """Raw order lines as a Shopify order export (paid = finished orders,
     price from the part), Revenue = price × quantity, channel bucketed from the
-    source name, mapped with bundles, per (channel, SKU)."""
+    source name, mapped with bundles, per (channel, SKU). The price belongs to the
+    part, so lines are summed per (part, status, priority) before the part join."""
     t = Tables(spark, sf_dir)
     src = None
     for prio, name in SOURCE_CHANNELS.items():
         hit = F.col("o_orderpriority") == prio
         src = F.when(hit, name) if src is None else src.when(hit, name)
-    raw = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
-           .join(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
-                 F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+             .join(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+                   F.col("l_orderkey") == F.col("o_orderkey"))
+             .groupBy("l_partkey", "o_orderstatus", "o_orderpriority").agg(F.sum("l_quantity").alias("l_quantity")))
+    raw = (lines.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
            .select(F.when(F.col("o_orderstatus") == PAID_STATUS, "paid").otherwise("pending").alias("Financial Status"),
                    F.col("l_partkey").cast("string").alias("Lineitem sku"),
                    F.col("l_quantity").alias("Lineitem quantity"), F.col("p_retailprice").alias("Lineitem price"),
@@ -698,18 +698,25 @@ def source_metrics(spark, sf_dir) -> DataFrame:
                                        F.count(F.when(found, 1)).alias("rows_found"))
 
 
-PAYLOAD_CHUNK_ROWS = 50
+#: Data documents of the payload, a parameter: the report has one row per channel and brand.
+PAYLOAD_CHUNKS = 8
+PAYLOAD_SCHEMA = ("reportType string, chunk int, chunks int, reportSummary map<string,string>, reportData array<struct<"
+                  "id:string,sku_channel_id:string,Date:string,SKU:string,Channel:string,Units:bigint,Revenue:double>>")
 
 
 def payload_json(spark, sf_dir) -> DataFrame:
-    """Summary record + bounded data chunks (rows-only check)."""
-    t = Tables(spark, sf_dir)
-    checkpoint_dir(spark)
-    # the report feeds three consumers (row count, summary record, data chunks):
-    # a reliable checkpoint in the shared checkpoint folder evaluates it once
-    rep = _report(t).checkpoint(eager=True)
+    """The publish payload's JSON documents read back: one row per channel of the
+    summary record (chunk -1) and per report row of the data chunks, with its place."""
+    rep = _report(Tables(spark, sf_dir))
     status = rep.groupBy("Channel").agg(F.date_format(F.max("Date"), "yyyy-MM-dd").alias("status"))
-    return payload_records(rep, status, "sales", max_rows=PAYLOAD_CHUNK_ROWS)
+    doc = payload_records(rep, status, "sales", chunks=PAYLOAD_CHUNKS).select(
+        "chunk", F.from_json("payload", PAYLOAD_SCHEMA).alias("doc"))
+    data = doc.where("chunk >= 0").select("doc.*").select(
+        "reportType", "chunk", "chunks", F.posexplode("reportData").alias("place", "row")).select(
+        "reportType", "chunk", "chunks", "place", "row.*")
+    summary = doc.where("chunk < 0").select(
+        F.col("doc.reportType").alias("reportType"), "chunk", F.explode("doc.reportSummary").alias("Channel", "Date"))
+    return data.unionByName(summary, allowMissingColumns=True)
 
 
 QUERIES = {

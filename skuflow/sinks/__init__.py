@@ -44,18 +44,20 @@ def payload_records(report: DataFrame, status: DataFrame, report_type: str, max_
     """``{reportType, reportSummary{channel: date}}`` followed by data chunks
     ``{reportType, chunk, chunks, reportData[rows]}``, one JSON document per row.
 
-    Rows are spread over ``chunks`` hash buckets of the id; by default the count
-    is derived from the report size (one small action) so that no chunk holds
-    more than about ``max_rows`` rows, whatever the report size.
+    Rows are spread over ``chunks`` buckets by the MD5 of the id and sorted within
+    each. By default the count is derived from the report size (one small action)
+    so that no chunk holds more than about ``max_rows`` rows, whatever the report
+    size; a caller that knows its report size gives it instead.
     ``status``: Channel, status (ISO date or NULL). Dates are ISO strings.
     """
     if chunks is None:
         chunks = max(1, math.ceil(report.count() / max_rows))
     rows = report.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else F.col(c)
                            for c, t in report.dtypes])
-    bucket = F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")
+    digits = F.substring(F.md5(F.coalesce("id", F.lit(""))), 1, 7)
+    bucket = (F.conv(digits, 16, 10).cast("long") % chunks).cast("int")
     data = (rows.withColumn("_chunk", bucket)
-            .groupBy("_chunk").agg(F.collect_list(F.struct(*rows.columns)).alias("reportData"))
+            .groupBy("_chunk").agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias("reportData"))
             .select(F.col("_chunk").alias("chunk"),
                     F.to_json(F.struct(F.lit(report_type).alias("reportType"), F.col("_chunk").alias("chunk"),
                                        F.lit(chunks).alias("chunks"), "reportData")).alias("payload")))
