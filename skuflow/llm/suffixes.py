@@ -38,6 +38,8 @@ BATCH = 2048
 FLUSH = 1 << 22
 #: Bytes hashed at once; a longer text is worked through in overlapping pieces.
 PIECE = 1 << 20
+#: Low bits of a packed hash that hold the place in a piece.
+PLACE = np.uint64((1 << 21) - 1)
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -80,16 +82,16 @@ def samples(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     for at in range(0, len(raw) - LENGTH + 1, PIECE):
         b = np.frombuffer(raw[at:at + PIECE + LENGTH - 1], np.uint8)
         h = kgrams(b)
-        value, where, width = h, np.arange(len(h)), 1
+        value, width = (h & ~PLACE) | np.arange(len(h), dtype=np.uint64), 1
         goal = LENGTH - K + 1
         while width < goal:  # sliding minimum by doubling, the left one at a tie
             step = min(width, goal - width)
-            left = value[:-step] <= value[step:]
-            value, where = np.where(left, value[:-step], value[step:]), np.where(left, where[:-step], where[step:])
+            value = np.minimum(value[:-step], value[step:])
             width += step
-        first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-        last = np.concatenate([first[1:] - 1, [len(where) - 1]])
-        parts.append((value[first], where[first] + at, first + at, last + at))
+        first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+        last = np.concatenate([first[1:] - 1, [len(value) - 1]])
+        where = (value[first] & PLACE).astype(np.int64)
+        parts.append((h[where], where + at, first + at, last + at))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
