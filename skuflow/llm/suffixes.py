@@ -96,35 +96,31 @@ def samples(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def _told(docs: DataFrame) -> DataFrame:
-    """(hash, batch, low, high): sample K-grams with the smallest and largest doc_id of the batch."""
-    schema = pa.schema([("hash", pa.int64()), ("batch", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
-
-    def tell(batch: int, parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        h = np.concatenate([x for _, x in parts])
-        d = np.repeat([i for i, _ in parts], [len(x) for _, x in parts])
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    """(hash, batch, several): sample K-grams of each batch, and whether several of its documents hold it."""
+    schema = pa.schema([("hash", pa.int64()), ("batch", pa.int64()), ("several", pa.bool_())])
+
+    def tell(batch: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(parts), return_counts=True)
         return pa.RecordBatch.from_arrays([
-            pa.array(h[at].view(np.int64)), pa.array(np.full(len(at), batch)), pa.array(np.minimum.reduceat(d, at)),
-            pa.array(np.maximum.reduceat(d, at))], schema=schema)
+            pa.array(h.view(np.int64)), pa.array(np.full(len(h), batch)), pa.array(n > 1)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, np.ndarray]]] = {}
+        held: dict[int, list[np.ndarray]] = {}
         size = 0
         for b in batches:
-            for batch, doc, text in zip(*(c.to_pylist() for c in b.columns)):
+            for batch, text in zip(*(c.to_pylist() for c in b.columns)):
                 raw = _bytes(text)
                 if len(raw) >= LENGTH:
-                    held.setdefault(batch, []).append((doc, np.unique(samples(raw)[0])))
+                    held.setdefault(batch, []).append(np.unique(samples(raw)[0]))
                     size += len(raw)
                 if size > FLUSH:
                     yield from (tell(k, parts) for k, parts in held.items())
                     held, size = {}, 0
         yield from (tell(k, parts) for k, parts in held.items())
 
-    return (docs.where("doc_id is not null").select("batch", "doc_id", "text")
-            .mapInArrow(run, "hash long, batch long, low long, high long"))
+    told = docs.where("doc_id is not null").select("batch", "text").mapInArrow(run, "hash long, batch long, several boolean")
+    # one number beside the hash keeps the largest shuffle narrow
+    return told.select("hash", (F.col("batch") * 2 + F.col("several").cast("int")).alias("mark"))
 
 
 def _bytes(text: str | None) -> bytes:
@@ -200,8 +196,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     same_gram = Window.partitionBy("hash")
     bounded_batches(docs.sparkSession)
-    shared = Staged(_told(rows).withColumn("first", F.min("low").over(same_gram)).withColumn("last", F.max("high").over(same_gram))
-                    .where("first < last").select("batch", "hash"), "suffix-shared")
+    # a document tells a K-gram once, so two rows or a mark of several are two documents (or rows of one id)
+    shared = Staged(_told(rows).withColumn("n", F.count("*").over(same_gram)).where("n > 1 or mark % 2 <> 0")
+                    .select(F.shiftright("mark", 1).alias("batch"), "hash").distinct(), "suffix-shared")
     release(spark)
     blocks = Staged(rows.groupBy("batch").cogroup(shared.df.groupBy("batch")).applyInPandas(
         _blocks, "batch long, hash long, digest binary, block binary, low long"), "suffix-blocks")
