@@ -13,7 +13,9 @@ is built from a cover sample, block by block, and never over all suffixes at onc
    the first to the end of the last of them. Equal blocks share a rank, and the smallest doc_id
    that holds a rank settles all other holders of it: their whole block repeats.
 3. Ties. Only where one K-gram has several ranks (around edits) are the block's suffixes sorted one
-   by one, LENGTH bytes each, to find those that a smaller doc_id holds.
+   by one, LENGTH bytes each, to find those that a smaller doc_id holds. A string has SIDE bytes
+   before its sample or SIDE bytes after it, so blocks are dealt by these bytes and only those
+   of one bucket with several documents are cut into strings, after the shuffle.
 
 Blocks and strings are compared by 128-bit digests. Batches are ranges of doc_id, so a task holds a bounded
 number of documents, and copies inside a batch are collapsed before anything is shuffled.
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from skuflow.llm.common import Staged, bounded_batches, release, stage
 
 LENGTH, K = 50, 20
+#: Bytes beside a sample position that every string sampled there holds on one side.
+SIDE = (LENGTH - K) // 2
 BATCH = 2048
 #: Bytes of documents whose sample K-grams are collapsed together.
 FLUSH = 1 << 22
@@ -123,6 +127,29 @@ def _told(docs: DataFrame) -> DataFrame:
     return told.select("hash", (F.col("batch") * 2 + F.col("several").cast("int")).alias("mark"))
 
 
+def _ties(blocks: DataFrame) -> DataFrame:
+    """(digest, ties): the starts in a rank's block of strings that a smaller doc_id holds in another rank.
+
+    The holders of a rank in one batch are one row, so a rank's smallest doc_id gives its block once.
+    """
+    end = F.length("block") - LENGTH
+    middle = F.col("distance") - SIDE
+    before = F.struct(F.lit(0).alias("side"), F.lit(0).alias("lo"), F.least(middle, end).alias("hi"),
+                      F.substring("block", middle + 1, F.lit(SIDE)).alias("beside"))
+    after = F.struct(F.lit(1).alias("side"), F.greatest(middle + 1, F.lit(0)).alias("lo"), end.alias("hi"),
+                     F.substring("block", F.col("distance") + K + 1, F.lit(SIDE)).alias("beside"))
+    bucket = ["hash", "side", "beside"]
+    dealt = (blocks.select("hash", "digest", "first", "block", F.explode(F.array(before, after)).alias("part"))
+             .select("hash", "digest", "first", "block", "part.*").where("lo <= hi"))
+    same = Window.partitionBy(*bucket)
+    several = dealt.withColumn("low", F.min("first").over(same)).withColumn("high", F.max("first").over(same)).where("low < high")
+    string = F.unhex(F.md5(F.substring("block", F.col("t") + 1, F.lit(LENGTH)))).alias("string")
+    strings = (several.select(*bucket, "digest", "first", "block", F.explode(F.sequence("lo", "hi")).alias("t"))
+               .select(*bucket, "digest", "first", "t", string))
+    earlier = strings.withColumn("low", F.min("first").over(Window.partitionBy(*bucket, "string"))).where("low < first")
+    return earlier.groupBy("digest").agg(F.array_sort(F.collect_set("t")).alias("ties"))
+
+
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
@@ -155,8 +182,8 @@ def _blocks(texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
             if doc < low.get(key, doc + 1):
                 low[key] = doc
     batch = shared["batch"].iloc[0] if len(shared) else 0
-    return pd.DataFrame([(batch, h, _digest(d, b), b, v) for (h, d, b), v in low.items()],
-                        columns=["batch", "hash", "digest", "block", "low"])
+    return pd.DataFrame([(batch, h, _digest(d, b), d, b, v) for (h, d, b), v in low.items()],
+                        columns=["batch", "hash", "digest", "distance", "block", "low"])
 
 
 def _removed(texts: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
@@ -201,22 +228,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     .select(F.shiftright("mark", 1).alias("batch"), "hash").distinct(), "suffix-shared")
     release(spark)
     blocks = Staged(rows.groupBy("batch").cogroup(shared.df.groupBy("batch")).applyInPandas(
-        _blocks, "batch long, hash long, digest binary, block binary, low long"), "suffix-blocks")
+        _blocks, "batch long, hash long, digest binary, distance int, block binary, low long"), "suffix-blocks")
     shared.drop()
     release(spark)
     rank = Window.partitionBy("hash", "digest")
     several = F.min("digest").over(same_gram) != F.max("digest").over(same_gram)
     ranked = (blocks.df.withColumn("several", several).withColumn("first", F.min("low").over(rank))
               .withColumn("block", F.when(F.col("several") & (F.col("low") == F.col("first")), F.col("block"))))
-    ranked = stage(ranked.select("batch", "hash", "digest", "first", "block"), "suffix-ranks")
+    ranked = stage(ranked.select("batch", "hash", "digest", "first", "distance", "block"), "suffix-ranks")
     blocks.drop()
     release(spark)
-    start = F.explode(F.sequence(F.lit(0), F.length("block") - LENGTH)).alias("t")
-    string = F.unhex(F.md5(F.substring("block", F.col("t") + 1, F.lit(LENGTH)))).alias("string")
-    # the holders of a rank in one batch are one row, so a rank's smallest doc_id gives it once
-    tied = ranked.where("block is not null").select("digest", "first", "block", start).select("digest", "first", "t", string)
-    earlier = tied.withColumn("low", F.min("first").over(Window.partitionBy("string"))).where("low < first")
-    ties = stage(earlier.groupBy("digest").agg(F.array_sort(F.collect_set("t")).alias("ties")), "suffix-ties")
+    ties = stage(_ties(ranked.where("block is not null")), "suffix-ties")
     release(spark)
     known = ranked.join(ties, "digest", "left").select("batch", "hash", "digest", F.col("first").alias("low"), "ties")
     return rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(
