@@ -17,7 +17,8 @@ is built from a cover sample, block by block, and never over all suffixes at onc
    before its sample or SIDE bytes after it, so blocks are dealt by these bytes and only those
    of one bucket with several documents are cut into strings, after the shuffle.
 
-Blocks and strings are compared by 128-bit digests. Batches are ranges of doc_id, so a task holds a bounded
+Blocks are compared by the hash of their K-gram and 64 bits more, strings by 128-bit digests. Only blocks
+of step 3 travel as bytes: their first holder's batch is read once more. Batches are ranges of doc_id, so a task holds a bounded
 number of documents, and copies inside a batch are collapsed before anything is shuffled.
 """
 
@@ -128,10 +129,7 @@ def _told(docs: DataFrame) -> DataFrame:
 
 
 def _ties(blocks: DataFrame) -> DataFrame:
-    """(digest, ties): the starts in a rank's block of strings that a smaller doc_id holds in another rank.
-
-    The holders of a rank in one batch are one row, so a rank's smallest doc_id gives its block once.
-    """
+    """(hash, digest, ties): the starts in a rank's block of strings that a smaller doc_id holds in another rank."""
     end = F.length("block") - LENGTH
     middle = F.col("distance") - SIDE
     before = F.struct(F.lit(0).alias("side"), F.lit(0).alias("lo"), F.least(middle, end).alias("hi"),
@@ -147,7 +145,7 @@ def _ties(blocks: DataFrame) -> DataFrame:
     strings = (several.select(*bucket, "digest", "first", "block", F.explode(F.sequence("lo", "hi")).alias("t"))
                .select(*bucket, "digest", "first", "t", string))
     earlier = strings.withColumn("low", F.min("first").over(Window.partitionBy(*bucket, "string"))).where("low < first")
-    return earlier.groupBy("digest").agg(F.array_sort(F.collect_set("t")).alias("ties"))
+    return earlier.groupBy("hash", "digest").agg(F.array_sort(F.collect_set("t")).alias("ties"))
 
 
 def _bytes(text: str | None) -> bytes:
@@ -166,36 +164,49 @@ def _shared(raw: bytes, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int
         yield int(h[i]), lo, hi, int(position[i]) - lo, raw[lo:hi + LENGTH]
 
 
-def _digest(distance: int, block: bytes) -> bytes:
-    """128 bits that stand for a block and its distance."""
-    return hashlib.md5(distance.to_bytes(2, "big") + block, usedforsecurity=False).digest()
+def _digest(distance: int, block: bytes) -> int:
+    """64 bits that, beside the hash of the K-gram, stand for a block and its distance."""
+    whole = hashlib.md5(distance.to_bytes(2, "big") + block, usedforsecurity=False).digest()
+    return int.from_bytes(whole[:8], "big", signed=True)
 
 
-def _blocks(texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
-    """Distinct blocks of a batch at shared sample positions, with the smallest doc_id."""
+def _ranks(texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+    """Distinct blocks of a batch at shared sample positions, by digest, with the smallest doc_id."""
     hashes = np.unique(shared["hash"].to_numpy(np.int64))
-    low: dict[tuple[int, int, bytes], int] = {}
+    low: dict[tuple[int, int], int] = {}
     texts = texts[texts["doc_id"].notna()]
     for doc, text in zip(texts["doc_id"].tolist(), texts["text"]):
         for h, _, _, distance, block in _shared(_bytes(text), hashes):
-            key = (h, distance, block)
+            key = (h, _digest(distance, block))
             if doc < low.get(key, doc + 1):
                 low[key] = doc
     batch = shared["batch"].iloc[0] if len(shared) else 0
-    return pd.DataFrame([(batch, h, _digest(d, b), d, b, v) for (h, d, b), v in low.items()],
-                        columns=["batch", "hash", "digest", "distance", "block", "low"])
+    return pd.DataFrame([(batch, h, d, v) for (h, d), v in low.items()], columns=["batch", "hash", "digest", "low"])
+
+
+def _blocks(texts: pd.DataFrame, firsts: pd.DataFrame) -> pd.DataFrame:
+    """The bytes of ranks whose first holder is in the batch."""
+    wanted = dict(zip(zip(firsts["hash"].tolist(), firsts["digest"].tolist()), firsts["first"].tolist()))
+    hashes = np.unique(firsts["hash"].to_numpy(np.int64)) if len(firsts) else np.zeros(0, np.int64)
+    out = {}
+    texts = texts[texts["doc_id"].isin(set(wanted.values()))]
+    for doc, text in zip(texts["doc_id"].tolist(), texts["text"]):
+        for h, _, _, distance, block in _shared(_bytes(text), hashes):
+            if (key := (h, _digest(distance, block))) not in out and wanted.get(key) == doc:
+                out[key] = (*key, int(doc), distance, block)
+    return pd.DataFrame(list(out.values()), columns=["hash", "digest", "first", "distance", "block"])
 
 
 def _removed(texts: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
     """The digest columns of each document of a batch."""
-    known = {d: (low, ties) for d, low, ties in zip(ranks["digest"], ranks["low"], ranks["ties"])}
+    known = {(h, d): (low, ties) for h, d, low, ties in zip(*(ranks[c].tolist() for c in ("hash", "digest", "low", "ties")))}
     hashes = np.unique(ranks["hash"].to_numpy(np.int64)) if len(ranks) else np.zeros(0, np.int64)
     out = []
     for doc, text in zip(texts["doc_id"].tolist(), texts["text"]):
         raw = _bytes(text)
         edge = np.zeros(len(raw) + 1, np.int32)
-        for _, first, last, distance, block in _shared(raw, hashes) if not pd.isna(doc) else ():
-            low, ties = known.get(_digest(distance, block), (doc, None))
+        for h, first, last, distance, block in _shared(raw, hashes) if not pd.isna(doc) else ():
+            low, ties = known.get((h, _digest(distance, block)), (doc, None))
             if low < doc:
                 edge[first] += 1
                 edge[last + LENGTH] -= 1
@@ -227,19 +238,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = Staged(_told(rows).withColumn("n", F.count("*").over(same_gram)).where("n > 1 or mark % 2 <> 0")
                     .select(F.shiftright("mark", 1).alias("batch"), "hash").distinct(), "suffix-shared")
     release(spark)
-    blocks = Staged(rows.groupBy("batch").cogroup(shared.df.groupBy("batch")).applyInPandas(
-        _blocks, "batch long, hash long, digest binary, distance int, block binary, low long"), "suffix-blocks")
+    held = Staged(rows.groupBy("batch").cogroup(shared.df.groupBy("batch")).applyInPandas(
+        _ranks, "batch long, hash long, digest long, low long"), "suffix-held")
     shared.drop()
     release(spark)
-    rank = Window.partitionBy("hash", "digest")
     several = F.min("digest").over(same_gram) != F.max("digest").over(same_gram)
-    ranked = (blocks.df.withColumn("several", several).withColumn("first", F.min("low").over(rank))
-              .withColumn("block", F.when(F.col("several") & (F.col("low") == F.col("first")), F.col("block"))))
-    ranked = stage(ranked.select("batch", "hash", "digest", "first", "distance", "block"), "suffix-ranks")
-    blocks.drop()
+    first = F.min("low").over(Window.partitionBy("hash", "digest"))
+    ranked = stage(held.df.withColumn("several", several).withColumn("first", first), "suffix-ranks")
+    held.drop()
     release(spark)
-    ties = stage(_ties(ranked.where("block is not null")), "suffix-ties")
+    tied = ranked.where(F.col("several") & (F.col("low") == F.col("first"))).select("batch", "hash", "digest", "first")
+    blocks = Staged(rows.groupBy("batch").cogroup(tied.groupBy("batch")).applyInPandas(
+        _blocks, "hash long, digest long, first long, distance int, block binary"), "suffix-blocks")
+    release(spark)
+    ties = stage(_ties(blocks.df), "suffix-ties")
+    blocks.drop()
     release(spark)
-    known = ranked.join(ties, "digest", "left").select("batch", "hash", "digest", F.col("first").alias("low"), "ties")
+    known = (ranked.join(ties, ["hash", "digest"], "left")
+             .select("batch", "hash", "digest", F.col("first").alias("low"), "ties"))
     return rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(
         _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
