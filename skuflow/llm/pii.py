@@ -1,11 +1,13 @@
 """Personal data by patterns and information-theoretic sanitisation (operator 10).
 
 Base spans come from patterns of four kinds. The values found are protected entities. How
-strongly a nearby term reveals one is estimated from the corpus: with df the number of
-documents, PMI(t, e) = log(N df(t, e) / (df(t) df(e))) is compared with the information content
-IC(e) = log(N / df(e)). A term near an entity in at least ``support`` different texts whose
-PMI reaches ``generalise_at`` of the entity's IC is generalised in the documents of that entity,
-and removed from ``remove_at`` on.
+strongly a term reveals one is estimated from the corpus: with df the number of documents,
+PMI(t, e) = log(P(e|t) / P(e)) is compared with the information content IC(e) = log(1 / P(e)),
+where P(e) = df(e) / N. All tokens of every document that holds an entity count, whatever the
+entity's df. P(e|t) = (df(t, e) + PRIOR df(e) / N) / (df(t) + PRIOR) damps rare terms
+smoothly, and a document that holds the term only away from the entity adds FAR to df(t, e).
+A term whose PMI reaches ``generalise_at`` of the entity's IC is generalised in the documents
+that hold both, and removed from ``remove_at`` on.
 
 All steps are DataFrame expressions. Java's greedy group loops recurse, so the patterns use
 possessive forms, which match the same; look-behinds start a search at the head of a run only,
@@ -32,6 +34,8 @@ KINDS = [*PATTERNS, "term"]
 SPAN = "array<struct<start:int,stop:int,value:string>>"
 #: Characters and words on either side of an entity that count as near.
 REACH, NEAR = 80, 5
+#: What a document adds to df(t, e) if the term is nowhere near, and documents of the corpus' rate that the estimate starts from.
+FAR, PRIOR = 2 / 3, 0.5
 
 
 def _located(text: Column, pattern: Column) -> Column:
@@ -97,51 +101,54 @@ def _any() -> Column:
 
 
 def _terms(text: Column) -> Column:
-    """Distinct lower-cased runs of letters."""
-    return F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+"))
+    """Distinct lower-cased runs of letters and digits."""
+    return F.array_remove(F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")), "")
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", support: int = 3,
-                     threshold: float = 0.9, min_letters: int = 4) -> DataFrame:
-    """(entity, term, disclosure) of the terms near entities that reach the threshold.
+def _near(text: Column, s: Column) -> Column:
+    """The terms within REACH characters and about NEAR words of a span."""
+    spaces = r"[\x20\x09-\x0D]+"
+    left = F.split(F.substr(text, F.greatest(s["start"] - REACH + 1, F.lit(1)), F.least(s["start"], F.lit(REACH))), spaces)
+    right = F.split(F.substr(text, s["stop"] + 1, F.lit(REACH)), spaces)
+    # a word that the window cuts in two is no term
+    left = F.when(s["start"] > REACH, F.slice(left, 2, F.greatest(F.size(left) - 1, F.lit(0)))).otherwise(left)
+    right = F.when(F.length(text) > s["stop"] + REACH, F.slice(right, 1, F.greatest(F.size(right) - 1, F.lit(0)))).otherwise(right)
+    return _terms(F.concat_ws(" ", F.slice(F.reverse(left), 1, NEAR + 1), F.slice(right, 1, NEAR + 1)))
+
 
-    Counts cover all documents. Only terms near an entity in ``support`` different texts are
-    counted over the corpus, joined by equality.
+def entity_terms(found: DataFrame) -> DataFrame:
+    """(text_hash, n, entity, term, near): each entity of a distinct text with each token of the text.
+
+    ``n`` is the number of documents with the text.
     """
-    values = F.concat(*PATTERNS)
-    entities = found.where("text is not null").select("doc_id", "text_hash", "text", F.explode(values).alias("s")).select(
-        "doc_id", "text_hash", F.col("s.value").alias("entity"),
-        F.substr("text", F.greatest(F.col("s.start") - REACH + 1, F.lit(1)), F.least(F.col("s.start"), F.lit(REACH))).alias("left"),
-        F.substr("text", F.col("s.stop") + 1, F.lit(REACH)).alias("right"),
-        (F.col("s.start") > REACH).alias("cut"),
-        (F.length("text") > F.col("s.stop") + REACH).alias("cut_right"))
-    # a word that the window cuts in two is no term
-    spaces = r"[\x20\x09-\x0D]+"
-    left = F.split("left", spaces)
-    left = F.when(F.col("cut"), F.slice(left, 2, F.greatest(F.size(left) - 1, F.lit(0)))).otherwise(left)
-    right = F.split("right", spaces)
-    right = F.when(F.col("cut_right"), F.slice(right, 1, F.greatest(F.size(right) - 1, F.lit(0)))).otherwise(right)
-    near = F.concat(F.slice(F.reverse(left), 1, NEAR + 1), F.slice(right, 1, NEAR + 1))
-    term = F.regexp_replace(F.lower("word"), r"^[^\p{L}]+|[^\p{L}]+$", "")
-    pairs = (entities.select("doc_id", "text_hash", "entity", F.explode(near).alias("word"))
-             .select("doc_id", "text_hash", "entity", term.alias("term"))
-             .where(F.col("term").rlike(rf"^\p{{L}}{{{min_letters},}}$")))
-    both = stage(pairs.groupBy("entity", "term").agg(
-        F.countDistinct("text_hash").alias("texts"), F.countDistinct("doc_id", "text_hash").alias("both"))
-        .where(F.col("texts") >= support), "pii-pairs")
-    wanted = stage(both.select("term").distinct(), "pii-terms")
-    seen = (docs.select(F.explode_outer(_terms(F.col(text_col).cast("string"))).alias("term"))
-            .join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_term")))
-    held = entities.groupBy("entity").agg(F.countDistinct("doc_id", "text_hash").alias("df_entity"))
+    columns = [F.first(c).alias(c) for c in ("text", *PATTERNS)]
+    texts = found.where("text is not null").groupBy("text_hash").agg(F.count_distinct(F.struct("doc_id")).alias("n"), *columns)
+    held = F.explode(F.concat(*PATTERNS)).alias("s")
+    places = texts.select("text_hash", "n", "text", held).select(
+        "text_hash", "n", "text", F.col("s.value").alias("entity"), _near(F.col("text"), F.col("s")).alias("close"))
+    pairs = places.select("text_hash", "n", "entity", "close", F.explode(_terms(F.col("text"))).alias("term"))
+    return pairs.groupBy("text_hash", "n", "entity", "term").agg(F.max(F.array_contains("close", F.col("term"))).alias("near"))
+
+
+def disclosing_terms(docs: DataFrame, pairs: DataFrame, text_col: str = "text", threshold: float = 0.9) -> DataFrame:
+    """(entity, term, disclosure) of the ``pairs`` (``entity_terms``) that reach the threshold.
+
+    Counts cover all documents and join by equality after aggregation.
+    """
+    both = pairs.groupBy("entity", "term").agg(
+        F.sum("n").alias("both"), F.sum(F.col("n") * F.when(F.col("near"), 1.0).otherwise(FAR)).alias("weight"))
+    seen = docs.select(F.explode(_terms(F.col(text_col).cast("string"))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("df_term"))
+    held = pairs.select("text_hash", "n", "entity").distinct().groupBy("entity").agg(F.sum("n").alias("df_entity"))
     n = docs.agg(F.count("*").alias("n"))
     counted = both.join(seen, "term").join(held, "entity").join(F.broadcast(n))  # one row
-    information = F.log(F.col("n") / F.col("df_entity"))
-    pmi = F.log(F.col("n") * F.col("both") / (F.greatest("df_term", "both") * F.col("df_entity")))
-    return counted.where("n > df_entity").select("entity", "term", (pmi / information).alias("disclosure")).where(
+    rate = F.col("df_entity") / F.col("n")
+    given = (F.col("weight") + PRIOR * rate) / (F.greatest("df_term", "both") + PRIOR)
+    return counted.where("n > df_entity").select("entity", "term", (F.log(given / rate) / F.log(1 / rate)).alias("disclosure")).where(
         F.col("disclosure") >= threshold)
 
 
-def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 3,
+def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               generalise_at: float = 0.9, remove_at: float = 0.98) -> DataFrame:
     """``base_spans`` with ``term``, spans whose value is the term's disclosure level.
 
@@ -149,16 +156,17 @@ def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     and text count as one document in the statistics and keep their own row.
     """
     found = stage(base_spans(docs, id_col, text_col), "pii-base")
-    terms = stage(disclosing_terms(docs, found, text_col, support, generalise_at), "pii-disclosing")
-    values = F.array_distinct(F.concat(*(F.transform(k, lambda s: s["value"]) for k in PATTERNS)))
+    pairs = stage(entity_terms(found), "pii-pairs")
+    terms = stage(disclosing_terms(docs, pairs, text_col, generalise_at), "pii-disclosing")
     some = found.where("text is not null")
-    matched = (some.select("doc_id", "text_hash", F.explode(values).alias("entity")).distinct().join(terms, "entity")
-               .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "term").agg(F.max("disclosure").alias("d"))
-               .groupBy("_id", "_hash").agg(F.sort_array(F.collect_list("term")).alias("words"),
-                                            F.collect_set(F.when(F.col("d") >= remove_at, F.col("term"))).alias("gone")))
+    words = (pairs.join(terms, ["entity", "term"]).groupBy(F.col("text_hash").alias("_hash"), "term").agg(F.max("disclosure").alias("d"))
+             .groupBy("_hash").agg(F.sort_array(F.collect_list("term")).alias("words"),
+                                   F.collect_set(F.when(F.col("d") >= remove_at, F.col("term"))).alias("gone")))
+    # copies of a text share a hash: the words reach them by narrow rows, the texts join by id and hash
+    matched = some.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct().join(words, "_hash")
     joined = some.join(matched, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-    # longer words first, so that none hides a longer one
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("words", "|"), F.lit(r")(?!\p{L})"))
+    # runs of letters and digits are matched whole, so that no word hides a longer one
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("words", "|"), F.lit(r")(?![\p{L}\p{N}])"))
     hits = F.when(F.col("words").isNotNull(), _located(F.col("text"), pattern)).otherwise(F.array().cast(SPAN))
     base = F.concat(*(F.col(k) for k in PATTERNS))
     clear = F.filter(F.col("hits"), lambda t: ~F.exists("base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))

@@ -408,6 +408,19 @@ def test_pii_terms_disclose(make, spark):
     assert all(r["n_chars"] == len(r["text"]) for r in clean.values())
 
 
+def test_pii_terms_of_a_rare_entity_anywhere(make):
+    """An entity of one text has terms too: short ones, ones with digits and ones far away; common words stay."""
+    words = ["river", "stone", "table", "garden", "window", "wrote", "about"]
+    filler = " ".join(words * 4)
+    rows = [(1, f"{filler} Bo x7q wrote joe@mail.example.com {filler} {filler} Quendrith {filler}")]
+    rows += [(i, f"{filler} 10.0.0.1" if i % 9 == 0 else filler) for i in range(2, 5000)]
+    docs = make(rows)
+    got = {r["doc_id"]: r for r in pii.report(docs).collect()}
+    assert got[1]["n_term"] == 3 and all(r["n_term"] == 0 for i, r in got.items() if i > 1)
+    clean = next(r["text"] for r in pii.sanitise(docs).collect() if r["doc_id"] == 1)
+    assert not re.search(r"(?i)\b(bo|x7q|quendrith)\b", clean) and clean.count("river") == 16
+
+
 # ---- URLs -------------------------------------------------------------------------
 
 def test_url_rules_and_propagation(spark):
