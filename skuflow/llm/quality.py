@@ -4,12 +4,13 @@ Every document gets four base counts from its whole text. The method's signals a
 rates; a sketch of each per (lang, source) counts them in buckets whose width grows with the
 value (exact below 2**BITS, then BITS - 1 leading bits: relative error below 2**(1 - BITS)).
 Such sketches merge by adding counts, so partial ones combine on the map side, a
-language's sketch is the sum of its sources' and the corpus' the sum of all. A group with fewer
-than ``least`` documents uses its language's sketch, a small language the corpus'.
+language's sketch is the sum of its sources' and the corpus' the sum of all. They cover every
+row, also those that fail the base rule. A group of n documents takes its own quantiles with weight
+n / (n + ``prior``) and its language's for the rest; a language leans on the corpus in the same way.
 
 A signal's fence lies ``reach`` times the distance from the median to the outer quantile beyond
-that quantile, and at least ``slack`` beyond it. Documents are joined with the fences of their
-group, and kept if they pass the base rule and every fence.
+that quantile; no constant takes part. Documents are joined with the fences of their group, and
+kept if they pass the base rule and every fence.
 """
 
 from __future__ import annotations
@@ -27,9 +28,8 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 WINDOW = 5
 BITS = 7
-#: Signals, which side of the distribution is suspect, and the least distance of a fence.
-SIGNALS = {"symbol_rate": ("high", 300), "dup_line_rate": ("high", 4000), "repeat_rate": ("high", 2000),
-           "upper_rate": ("high", 1500), "word_length": ("both", 200)}
+#: Signals, and which side of the distribution is suspect.
+SIGNALS = {"symbol_rate": "high", "dup_line_rate": "high", "repeat_rate": "high", "upper_rate": "high", "word_length": "both"}
 QUANTILES = {"low": 0.1, "mid": 0.5, "high": 0.9}
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -95,9 +95,9 @@ def bucket(value: Column) -> Column:
 
 
 def sketch(rows: DataFrame) -> DataFrame:
-    """(lang, source, signal, bucket, n): documents that fail the base rule are left out."""
+    """(lang, source, signal, bucket, n) over all rows."""
     pairs = F.explode(F.array(*(F.struct(F.lit(s).alias("signal"), bucket(F.col(s)).alias("bucket")) for s in SIGNALS)))
-    return (rows.where(~F.col("base_failed")).select("lang", "source", pairs.alias("x"))
+    return (rows.select("lang", "source", pairs.alias("x"))
             .groupBy("lang", "source", "x.signal", "x.bucket").agg(F.count("*").alias("n")))
 
 
@@ -112,25 +112,25 @@ def quantiles(sketches: DataFrame, *by: str) -> DataFrame:
         for name, q in QUANTILES.items()))
 
 
-def fences(sketches: DataFrame, least: int = 200, reach: float = 3.0) -> DataFrame:
+def fences(sketches: DataFrame, prior: float = 50.0, reach: float = 3.0) -> DataFrame:
     """(lang, source, fences): a map of lowest and highest value allowed for every signal."""
     own = quantiles(sketches, "lang", "source")
     language = quantiles(sketches, "lang").withColumnsRenamed({c: f"l_{c}" for c in ("lang", "signal", "docs", *QUANTILES)})
     corpus = quantiles(sketches).withColumnsRenamed({c: f"c_{c}" for c in ("signal", "docs", *QUANTILES)})
     both = (own.join(language, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("signal") == F.col("l_signal")))
             .join(corpus, F.col("signal") == F.col("c_signal")))
-    value = {c: F.when(F.col("docs") >= least, F.col(c)).when(F.col("l_docs") >= least, F.col(f"l_{c}")).otherwise(F.col(f"c_{c}"))
-             for c in QUANTILES}
-    slack = F.create_map(*(F.lit(x) for s, (_, d) in SIGNALS.items() for x in (s, d)))[F.col("signal")]
+    own_share, language_share = (F.col(n) / (F.col(n) + F.lit(prior)) for n in ("docs", "l_docs"))
+    value = {c: own_share * F.col(c) + (1 - own_share) * (
+        language_share * F.col(f"l_{c}") + (1 - language_share) * F.col(f"c_{c}")) for c in QUANTILES}
     step = 1 + 1 / 2 ** (BITS - 1)  # a bucket stands for values up to this much larger
-    high = value["high"] * step + F.greatest(reach * (value["high"] - value["mid"]), slack)
-    low = value["low"] - F.greatest(reach * (value["mid"] - value["low"]), slack)
-    low = F.when(F.col("signal").isin([s for s, (side, _) in SIGNALS.items() if side == "both"]), low).otherwise(F.lit(-1.0))
+    high = value["high"] * step + reach * (value["high"] - value["mid"])
+    low = value["low"] - reach * (value["mid"] - value["low"])
+    low = F.when(F.col("signal").isin([s for s, side in SIGNALS.items() if side == "both"]), low).otherwise(F.lit(-1.0))
     return both.groupBy("lang", "source").agg(F.map_from_entries(F.collect_list(
         F.struct("signal", F.struct(low.alias("low"), high.alias("high"))))).alias("fences"))
 
 
-def judge(docs: DataFrame, least: int = 200, reach: float = 3.0, **columns: str) -> DataFrame:
+def judge(docs: DataFrame, prior: float = 50.0, reach: float = 3.0, **columns: str) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, failed (names of the signals past their fence).
 
     Null and empty texts have no words and fail the base rule. A null lang or source is a
@@ -138,7 +138,7 @@ def judge(docs: DataFrame, least: int = 200, reach: float = 3.0, **columns: str)
     """
     bounded_batches(docs.sparkSession)
     rows = stage(signals(docs, **columns), "quality-signals")
-    limits = stage(fences(stage(sketch(rows), "quality-sketch"), least, reach), "quality-fences")
+    limits = stage(fences(stage(sketch(rows), "quality-sketch"), prior, reach), "quality-fences")
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     beyond = F.filter(F.array(*(

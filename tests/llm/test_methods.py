@@ -361,6 +361,32 @@ def test_quality_fences_adapt_to_groups(make):
     assert {i for i, r in got.items() if not r["kept"]} == {i for i in range(900) if i % 100 == 1}
 
 
+def test_quality_small_groups_use_their_own_quantiles(make):
+    """Eighty documents of a source of capitals stay, as much in a source without any goes; all rows are sketched."""
+    rng = random.Random(10)
+
+    def text(upper):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+        return " ".join(w[:upper].upper() + w[upper:] for w in words)
+
+    rows = [(i, text(2), "caps") for i in range(80)] + [(100 + i, text(0), "prose") for i in range(150)]
+    rows += [(900, text(3), "prose"), (901, "one two", "prose")]
+    docs = make(rows)
+    got = by_id(quality.judge(docs))
+    assert {i for i, r in got.items() if not r["kept"]} == {900, 901} and got[900]["failed"] == ["upper_rate"]
+    total = quality.sketch(quality.signals(docs)).groupBy("signal").agg(F.sum("n").alias("n")).collect()
+    assert {r["signal"]: r["n"] for r in total} == dict.fromkeys(quality.SIGNALS, len(rows))
+
+
+def test_quality_repeats_below_the_base_rule_count(make):
+    """Repeats that the base rule lets pass are past the fence of a source without any."""
+    rows = [(i, " ".join(f"w{i}x{j:03}" for j in range(60)), "prose") for i in range(300)]
+    phrase = "five words said here twice "
+    rows.append((900, f"{phrase * 2}" + " ".join(f"z{j:03}" for j in range(60)), "prose"))
+    got = by_id(quality.judge(make(rows)))
+    assert not got[900]["base_failed"] and "repeat_rate" in got[900]["failed"]
+
+
 # ---- personal data ----------------------------------------------------------------
 
 FIXED = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
