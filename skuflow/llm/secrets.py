@@ -1,17 +1,22 @@
 """Secret scan with a random forest that removes false positives (operator 7).
 
-Candidates are runs of token characters that hold a digit and a letter. Each gets features of
+Candidates are PEM blocks, JSON web tokens, any value given to a credential name or in an address,
+and runs of token characters that are no plain word and vary enough. Each gets features of
 its length, character classes and transitions between them, coverage by words frequent in
 the corpus, place in a path or address, and neighbouring words. Labelled findings train
 Spark's random forest; a candidate is a secret when the forest's probability reaches ``threshold``.
 
-Without a table of labelled findings, candidates in a provider's fixed format or assigned to
-a credential name count as confirmed and the others as false positives (``weak_labels``).
-The forest never sees these rules, only the features.
+Without a table of labelled findings some candidates are judged by rules (``weak_label``): fixed
+formats and values given to a credential name are confirmed; e-mail and web addresses, IPs, card
+and phone numbers, dates, UUIDs, placeholders and numbered names (three values or more that differ
+in digits only) are false positives. The rest is left to the forest, which is then trained and
+applied without the features that such a rule looks at (``RULED``).
 """
 
 from __future__ import annotations
 
+import bisect
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,13 +30,31 @@ from pyspark.sql import functions as F
 
 from skuflow.llm.common import bounded_batches, stage
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{12,}={0,2}")
 #: Names that a credential is assigned to.
 CUE = re.compile(r"(?i)(pass(?:word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)")
+GIVEN = CUE.pattern + r"[A-Za-z0-9_\-]{0,32}[\"']?(?:\s*(?:=>|:=|[=:])\s*(?:bearer\s+|basic\s+)?|(?<=bearer)\s+(?=\S*[0-9]))"
+#: Candidates in order of precedence; the last group is the value.
+SHAPES = [re.compile(x) for x in (
+    r"(-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s:,\-]*?-----END [A-Z ]*PRIVATE KEY-----)",
+    r"(?<![A-Za-z0-9_\-])(eyJ[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]*)",
+    r"://[^\s:/@]{1,64}:([^\s:/@]{1,128})@",
+    GIVEN + r"\"([^\"\n]{4,200})\"", GIVEN + r"'([^'\n]{4,200})'", GIVEN + r"([^\s\"',;<>()\[\]{}]{4,})")]
+#: What a text holds if a shape can occur in it; None: a credential name.
+HINTS = ("-----BEGIN", "eyJ", "://", None, None, None)
+#: Marks at the ends of a run belong to the sentence.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_\-@#$%^&~])[A-Za-z0-9+/_\-][A-Za-z0-9+/_\-.@!#$%^&*~]{6,}[A-Za-z0-9+/_\-](?:={0,2}(?![A-Za-z0-9]))")
+#: Least entropy of a run in bits a character; a run of letters in one case that is this long is no plain word.
+VARIED, LONG = 2.5, 20
 #: Fixed provider formats.
 FORMATS = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[abp]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_\-]{35}")
 NAMES = ["length", "digits", "uppers", "lowers", "others", "transitions", "distinct", "entropy", "hex", "coverage",
          "slashes", "in_path", "quoted", "assigned", "cue_before", "cue_near", "digit_runs"]
+#: Features that ``weak_label`` looks at too.
+RULED = [NAMES.index(n) for n in ("in_path", "assigned", "cue_before", "cue_near")]
+#: What is surely no secret, whole values.
+HARMLESS = re.compile(r"""(?ix)[\w.%+\-]+@[\w\-]+(\.[\w\-]+)+ | \d{1,3}(\.\d{1,3}){3} | \d{4}[\-/.]\d\d?[\-/.]\d\d?([T ].*)?
+    | [0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12} | \+?\d{1,4}([.\-]\d{2,4}){2,4} | \d{4}([\-]?\d{4}){2}[\-]?\d{1,7} | www\..*""")
+PLACEHOLDER = re.compile(r"(?i)<.*>|\$\{?\w+\}?|%\w+%|[x*.\-]+|changeme|example.*|your[_\- ].*|null|none|true|false|undefined")
 #: Text looked at on either side of a candidate.
 NEAR = 48
 #: Corpus words that make the dictionary: a bounded list of the most frequent.
@@ -68,9 +91,45 @@ def features(text: str, start: int, stop: int, dictionary: frozenset[str]) -> li
             float(bool(word and CUE.search(word[1]))), float(bool(CUE.search(before + " " + after))), float(len(runs))]
 
 
-def weak_label(text: str, start: int, stop: int) -> int:
+def weak_label(text: str, start: int, stop: int) -> int | None:
+    """1 for a confirmed finding, 0 for a false positive, None where no rule decides."""
     value, before = text[start:stop], text[max(0, start - NEAR):start]
-    return int(bool(FORMATS.fullmatch(value)) or bool(re.search(CUE.pattern + r"\s*[=:]\s*[\"']?$", before)))
+    if PLACEHOLDER.fullmatch(value):
+        return 0
+    if FORMATS.fullmatch(value) or any(p.fullmatch(value) for p in SHAPES[:2]):
+        return 1
+    if re.search(GIVEN + r"[\"']?$", before, re.I) or re.search(r"://[^\s:/@]+:$", before) and text[stop:stop + 1] == "@":
+        return None if value.isalpha() else 1
+    return 0 if HARMLESS.fullmatch(value) or re.search(r"(?:://|www\.)\S*$|https?:$", before) else None
+
+
+def _varied(v: str) -> bool:
+    """No plain word, and enough entropy."""
+    if v.isalpha() and len(v) < LONG and (v.isupper() or v[1:].islower()):
+        return False
+    n = len(v)
+    return sum(k * math.log2(n / k) for k in Counter(v).values()) >= VARIED * n
+
+
+def spans(text: str) -> list[tuple[int, int]]:
+    """Candidates of a text in its order; none overlaps one of an earlier shape."""
+    found: list[tuple[int, int]] = []
+    cue = bool(CUE.search(text))
+    for shape, hint in zip(SHAPES, HINTS):
+        if cue if hint is None else hint in text:
+            found = _apart(found, [m.span(m.lastindex) for m in shape.finditer(text)])
+    return _apart(found, [m.span() for m in RUN.finditer(text) if _varied(m.group())])
+
+
+def _apart(kept: list[tuple[int, int]], new: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Both, in order, without the new spans that overlap a kept one."""
+    starts = [a for a, _ in kept]
+    some = []
+    for a, b in new:
+        i = bisect.bisect_left(starts, b)
+        if i == 0 or kept[i - 1][1] <= a:
+            some.append((a, b))
+    return sorted([*kept, *some])
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> list[str]:
@@ -89,18 +148,25 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_c
         for b in batches:
             rows = []
             for doc, text in zip(b["doc_id"], b["text"]):
-                for m in CANDIDATE.finditer(text or ""):
-                    v = m.group()
-                    if any(c.isdigit() for c in v) and any(c.isalpha() for c in v):
-                        rows.append((doc, m.start(), m.end(), v, weak_label(text, *m.span()),
-                                     features(text, *m.span(), vocabulary)))
+                for a, z in spans(text or ""):
+                    rows.append((doc, a, z, text[a:z], weak_label(text, a, z), features(text, a, z, vocabulary)))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "stop", "value", "weak", "features"])
-            yield out.astype({"doc_id": "Int64"})
+            yield out.astype({"doc_id": "Int64", "weak": "Int32"})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInPandas(run, "doc_id long, start int, stop int, value string, weak int, features array<double>")
 
 
+def weakly_judged(found: DataFrame) -> DataFrame:
+    """(value, weak, features): distinct values; unjudged ones that differ in digits only, three or more, are 0."""
+    values = found.groupBy("value").agg(F.max("weak").alias("weak"), F.min("features").alias("features"))
+    letters = F.length(F.regexp_replace("value", "[^A-Za-z]", "")) >= 4
+    named = values.withColumn("name", F.when(letters, F.regexp_replace("value", "[0-9]+", "#")).otherwise(F.col("value")))
+    numbered = named.where(letters).groupBy("name").agg(F.count("*").alias("_n")).where("_n >= 3").select(
+        "name", F.lit(0).alias("_zero"))
+    return named.join(numbered, "name", "left").select("value", F.coalesce("weak", "_zero").alias("weak"), "features")
+
+
 def train(findings: DataFrame, label_col: str, max_findings: int = 20_000, trees: int = 40, depth: int = 8):
     """Forest over at most ``max_findings`` distinct labelled findings of each label, chosen by hash.
 
@@ -131,7 +197,9 @@ def find_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     bounded_batches(docs.sparkSession)
     found = stage(candidates(docs, dictionary(docs, text_col), id_col, text_col), "secret-candidates")
     if labelled is None:
-        judged, label = found, "weak"
+        seen = F.transform("features", lambda x, i: F.when(i.isin(RULED), 0.0).otherwise(x))
+        found = found.withColumn("features", seen)
+        judged, label = weakly_judged(found), "weak"
     else:
         marks = labelled.groupBy("doc_id", "start").agg(F.max("label").alias("label"))
         judged, label = found.join(marks, ["doc_id", "start"]), "label"
