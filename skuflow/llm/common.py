@@ -59,6 +59,37 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+#: Bytes of text that a batch may hold before it is cut up.
+GROUP_BYTES = 1 << 26
+
+
+def bounded_groups(rows: DataFrame) -> DataFrame:
+    """``rows`` (batch, doc_id, text, ...) with batches of about GROUP_BYTES at most, and ``copies``.
+
+    Equal rows become one with their number in ``copies``. A batch of more bytes is dealt by the
+    hash of id and text, under new numbers of 61 bits. The list of such batches has at most
+    one entry for GROUP_BYTES of the corpus, so it is broadcast. One text is never cut.
+    """
+    twice = rows.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.count("*").alias("n")).where("n > 1")
+    if twice.isEmpty():
+        one = rows.withColumn("copies", F.lit(1).cast("long"))
+    else:
+        one = stage(rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")), "batch-rows")
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)
+    heavy = one.groupBy(F.col("batch").alias("_batch")).agg(size.alias("_bytes")).where(F.col("_bytes") > GROUP_BYTES)
+    heavy = stage(heavy.select("_batch", F.ceil(F.col("_bytes") / GROUP_BYTES).alias("_pieces")), "batch-heavy")
+    dealt = one.join(F.broadcast(heavy), F.col("batch") == F.col("_batch"), "left")
+    piece = F.pmod(F.xxhash64("doc_id", "text"), F.col("_pieces"))
+    own = F.when(F.col("_pieces").isNull(), F.col("batch")).otherwise(F.pmod(F.xxhash64("batch", piece), F.lit(1 << 61)))
+    return dealt.withColumn("batch", own).drop("_batch", "_pieces")
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """Each row ``copies`` times, without that column."""
+    names = [c for c in rows.columns if c != "copies"]
+    return rows.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_copy")).select(*names)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished stages, which waits for the driver's JVM."""
     gc.collect()

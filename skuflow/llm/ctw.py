@@ -9,7 +9,8 @@ depth, keyed by (context, node); Spark builds each from the one below by one agg
 Texts are lower-cased (A-Z), start after DEPTH zero bytes and end with one zero byte, so a text's
 score is a sum over its grams of DEPTH + 1 bytes. Documents are scored in batches: a batch
 asks for its distinct grams and words, an equality join answers, and a cogroup with the texts adds
-up. No table is broadcast and no (document, word) pair is shuffled.
+up. Batches are ranges of ids, cut up by a hash of id and text where they hold too many bytes.
+Beside the list of those, no table is broadcast and no (document, word) pair is shuffled.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import bounded_batches, stage
+from skuflow.llm.common import bounded_batches, bounded_groups, repeated, stage
 
 DEPTH = 4
 FOLDS = 10
-#: Neighbouring ids that are scored together.
+#: Neighbouring ids that are scored together, unless their texts are too long.
 BATCH = 4096
 #: Bytes whose grams are sorted at once.
 FLUSH = 1 << 22
@@ -55,8 +56,8 @@ def asked(docs: DataFrame) -> DataFrame:
     """(batch, gram, word, n): distinct grams and words of each batch with their training counts."""
     schema = pa.schema([("batch", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
 
-    def tell(batch: int, parts: list[tuple[bytes, bool]]) -> Iterator[pa.RecordBatch]:
-        for train in (True, False):
+    def tell(batch: int, parts: list[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        for train in sorted({t for _, t in parts}, reverse=True):  # how often the texts count
             raw = [r for r, t in parts if t == train]
             if not raw:
                 continue
@@ -69,12 +70,12 @@ def asked(docs: DataFrame) -> DataFrame:
                                               pa.array(np.fromiter(words.values(), np.int64, len(words)) * train)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[bytes, bool]]] = {}
+        held: dict[int, list[tuple[bytes, int]]] = {}
         size = 0
         for b in batches:
-            for batch, text, out in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for batch, text, train in zip(*(c.to_pylist() for c in b.columns)):
                 raw = _bytes(text)
-                held.setdefault(batch, []).append((raw, not out))
+                held.setdefault(batch, []).append((raw, train))
                 size += len(raw)
                 if size > FLUSH:
                     for k, parts in held.items():
@@ -83,7 +84,8 @@ def asked(docs: DataFrame) -> DataFrame:
         for k, parts in held.items():
             yield from tell(k, parts)
 
-    return docs.select("batch", "text", "held_out").mapInArrow(run, "batch long, gram long, word binary, n long")
+    train = F.when(F.col("held_out"), 0).otherwise(F.col("copies"))
+    return docs.select("batch", "text", train.alias("train")).mapInArrow(run, "batch long, gram long, word binary, n long")
 
 
 def _log_gamma(x: Column) -> Column:
@@ -150,6 +152,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        held.alias("held_out"), F.coalesce(F.floor(F.col(id_col).cast("long") / BATCH), F.lit(-1)).alias("batch"))
     bounded_batches(docs.sparkSession)
+    rows = bounded_groups(rows)
     wanted = stage(asked(rows), "ctw-asked")
     counts = stage(wanted.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "ctw-counts")
     by_gram = stage(gram_scores(counts), "ctw-grams")
@@ -159,7 +162,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     words = stage(wanted.where("word is not null").groupBy("batch", "word").agg(F.sum("n").alias("n"))
                   .withColumn("c", F.sum("n").over(vocabulary)).withColumn("first", F.min("batch").over(vocabulary) == F.col("batch"))
                   .select("batch", "word", "n", "c", "first"), "ctw-words")
-    ends = rows.agg(F.count_if(~F.col("held_out")).alias("ends")).first()["ends"]
+    ends = rows.agg(F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("copies"))), F.lit(0)).alias("ends")).first()["ends"]
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("v")).first()
     n, v = size["n"] + ends, size["v"] + (ends > 0)
     told = grams_told.union(words.select("batch", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double")))
@@ -188,10 +191,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             c = [known[w] for w in r.split()] + [float(ends)]
             out.append((len(c), sum(x > 0 for x in c), math.fsum(map(math.log10, (x + 0.1 for x in c))) - len(c) * whole))
         return pd.DataFrame({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": [x[0] for x in out],
+            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "copies": texts["copies"], "n_tokens": [x[0] for x in out],
             "n_known": [x[1] for x in out], "train_tokens": n, "base_score": [x[2] for x in out], "score": total,
             "bits_per_byte": -np.array(total) / math.log10(2) / np.array(sizes)})
 
-    kinds = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+    kinds = ("doc_id long, held_out boolean, copies long, n_tokens long, n_known long, train_tokens long, base_score double, "
              "score double, bits_per_byte double")
-    return rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(add, kinds)
+    return repeated(rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(add, kinds))

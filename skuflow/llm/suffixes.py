@@ -18,8 +18,8 @@ is built from a cover sample, block by block, and never over all suffixes at onc
    of one bucket with several documents are cut into strings, after the shuffle.
 
 Blocks are compared by the hash of their K-gram and 64 bits more, strings by 128-bit digests. Only blocks
-of step 3 travel as bytes: their first holder's batch is read once more. Batches are ranges of doc_id, so a task holds a bounded
-number of documents, and copies inside a batch are collapsed before anything is shuffled.
+of step 3 travel as bytes: their first holder's batch is read once more. Batches are ranges of doc_id, cut up by a hash of
+id and text where they hold more than ``common.GROUP_BYTES``, so a group is bounded in bytes, and copies inside a batch are collapsed before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import Staged, bounded_batches, release, stage
+from skuflow.llm.common import Staged, bounded_batches, bounded_groups, release, repeated, stage
 
 LENGTH, K = 50, 20
 #: Bytes beside a sample position that every string sampled there holds on one side.
@@ -202,7 +202,7 @@ def _removed(texts: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
     known = {(h, d): (low, ties) for h, d, low, ties in zip(*(ranks[c].tolist() for c in ("hash", "digest", "low", "ties")))}
     hashes = np.unique(ranks["hash"].to_numpy(np.int64)) if len(ranks) else np.zeros(0, np.int64)
     out = []
-    for doc, text in zip(texts["doc_id"].tolist(), texts["text"]):
+    for doc, text, copies in zip(texts["doc_id"].tolist(), texts["text"], texts["copies"].tolist()):
         raw = _bytes(text)
         edge = np.zeros(len(raw) + 1, np.int32)
         for h, first, last, distance, block in _shared(raw, hashes) if not pd.isna(doc) else ():
@@ -217,8 +217,8 @@ def _removed(texts: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
         gone = np.cumsum(edge[:-1]) > 0
         spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-        out.append((None if pd.isna(doc) else int(doc), len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        out.append((None if pd.isna(doc) else int(doc), len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept, copies))
+    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "copies"])
     return frame.astype({"doc_id": "Int64"})
 
 
@@ -234,6 +234,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     same_gram = Window.partitionBy("hash")
     bounded_batches(docs.sparkSession)
+    rows = bounded_groups(rows)
     # a document tells a K-gram once, so two rows or a mark of several are two documents (or rows of one id)
     shared = Staged(_told(rows).withColumn("n", F.count("*").over(same_gram)).where("n > 1 or mark % 2 <> 0")
                     .select(F.shiftright("mark", 1).alias("batch"), "hash").distinct(), "suffix-shared")
@@ -256,5 +257,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
     known = (ranked.join(ties, ["hash", "digest"], "left")
              .select("batch", "hash", "digest", F.col("first").alias("low"), "ties"))
-    return rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(
-        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return repeated(rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(
+        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, copies long"))

@@ -227,6 +227,24 @@ def test_long_text_in_pieces(monkeypatch):
     assert where(whole) == where(cut) and len(where(whole)) == 5000 - suffixes.LENGTH + 1
 
 
+def test_heavy_batches_are_cut_up(make, monkeypatch):
+    """Null and repeated ids, equal rows and long neighbours form no large group, and results stay the same."""
+    rng = random.Random(11)
+    text = lambda: "".join(rng.choice("abc ") for _ in range(300))
+    shared, same = text(), text()
+    rows = [(None, text() + shared) for _ in range(30)] + [(5, text() + shared) for _ in range(30)] + [(7, same)] * 30
+    rows += [(100 + i, text() + shared) for i in range(30)]
+    docs = make(rows)
+    key = lambda r: tuple(str(round(x, 6)) if isinstance(x, float) else str(x) for x in r)
+    run = lambda: [sorted(key(r) for r in f(docs).collect()) for f in (ctw.score, suffixes.remove_repeats)]
+    before = run()
+    monkeypatch.setattr(common, "GROUP_BYTES", 4000)
+    groups = common.bounded_groups(docs.select(F.lit(0).cast("long").alias("batch"), "doc_id", "text"))
+    sizes = [r["n"] for r in groups.groupBy("batch").agg(F.sum(F.length("text")).alias("n")).collect()]
+    assert len(sizes) > 8 and max(sizes) <= 3 * 4000 and groups.agg(F.sum("copies")).first()[0] == len(rows)
+    assert run() == before and len(before[0]) == len(before[1]) == len(rows)
+
+
 # ---- mixing -----------------------------------------------------------------------
 
 def test_mixing_meets_targets(make):
