@@ -23,10 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the smallest id stays; rows without an id stay."""
-    groups = simhash.near_duplicates(docs)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(stage(gone, "near-copies"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Of each SimHash group the text with the smallest id, then hash, stays; rows without an id stay."""
+    gone = simhash.groups(docs).where("doc_id <> component_id or text_hash <> component_hash").where("doc_id is not null").select(
+        F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(stage(gone, "near-copies"), (F.col("doc_id") == F.col("_gone"))
+                     & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash")), "left_anti")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

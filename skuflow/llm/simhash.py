@@ -42,16 +42,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(doc_id, text_hash, fp): fp is the fingerprint as a signed long."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.record_batch([b.column(0), pa.array(fp.view(np.int64))], schema=schema)
+            fp = np.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], np.uint64)
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(fp.view(np.int64))], schema=schema)
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
 
 
 def links(prints: DataFrame, max_bits: int, bucket: int) -> DataFrame:
@@ -108,14 +109,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     takes part, but is never a component_id unless no document of its group has an id.
     Other columns are ignored; an empty table gives an empty result.
     """
+    return groups(docs, id_col, text_col, shingle, max_bits, bucket).drop("text_hash", "component_hash")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           shingle: int = 3, max_bits: int = 2, bucket: int = 256) -> DataFrame:
+    """``near_duplicates`` with the ``text_hash`` (xxhash64) of each row and of its component's first row.
+
+    Rows of one id are told apart by it; the first row has the smallest doc_id, then the smallest hash.
+    """
     bounded_batches(docs.sparkSession)
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
-    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
+    classes = stage(prints.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("rep")), "simhash-classes")
     roots = connected_components(links(classes.select("fp"), max_bits, bucket), "simhash-cc")
     roots = stage(roots.withColumnRenamed("node", "fp"), "simhash-roots")
     linked = classes.join(roots, "fp")
     named = (linked.select("fp", "root").join(linked.groupBy("root").agg(F.min("rep").alias("best")), "root")
              .select("fp", "best"))
-    labels = classes.join(named, "fp", "left").select("fp", F.coalesce("best", "rep").alias("component_id"))
+    labels = classes.join(named, "fp", "left").select("fp", F.coalesce("best", "rep").alias("best"))
     return prints.join(labels, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("best.doc_id").alias("component_id"), F.col("best.text_hash").alias("component_hash"))

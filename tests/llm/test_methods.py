@@ -14,6 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from skuflow.llm import common, ctw, decontaminate, mixing, pii, quality, queries, secrets, simhash, suffixes, toxicity, urlfilter
 
 SF = "/root/testdata/sf0.001"
@@ -80,6 +81,14 @@ def test_simhash_matches_brute_force(corpus):
     assert {i: r["component_id"] for i, r in got.items()} == slow_components(prints, 2)
 
 
+def test_near_copies_go_by_text_not_by_id(make, spark):
+    """An id that repeats loses its copies only, and one text of each group stays."""
+    a, b, c = (" ".join(f"{x}{i * i % 89}" for i in range(60)) for x in "abc")
+    docs = make([(1, b), (5, a), (5, b), (6, c), (6, c.upper()), (9, c), (9, "some words of its own here")])
+    got = sorted((r["doc_id"], r["text"].lower()) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert got == [(1, b), (5, a), (6, c), (9, "some words of its own here")]
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2, 3])
 @pytest.mark.parametrize("bucket", [1, 256])
 def test_simhash_links_lose_nothing(spark, bits, bucket):
