@@ -1,4 +1,4 @@
-"""Toxicity by a gap-weighted subsequence-kernel SVM with Nystroem landmarks (operator 8).
+"""Toxicity by a gap-weighted subsequence-kernel SVM on words with Nystroem landmarks (operator 8).
 
 The kernel compares words by the three-letter subsequences they share, each weighted by
 ``DECAY`` to the length it spans (at most ``SPAN`` letters), so an insult with letters
