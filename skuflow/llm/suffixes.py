@@ -1,19 +1,19 @@
-"""Suffix-order dedup: bytes covered by strings that an earlier document holds (operator 4).
+"""Repeat dedup by hash groups: bytes covered by strings that an earlier document holds (operator 4).
 
 Two suffixes are equal over LENGTH bytes exactly if the same sample position lies in both
-at the same distance, the bytes before it agree and the sample's rank agrees. So the order
-is built from a cover sample, block by block, and never over all suffixes at once:
+at the same distance, the bytes before it agree and the sample's rank agrees. No suffix is ordered:
+a difference-cover suffix sort is replaced by a content-defined sample and equality of hashes.
 
 1. Cover sample. Of each LENGTH-byte string the K-gram with the least hash (the leftmost one)
    is its sample position. Like a difference cover it gives any two equal strings a common
    position at the same distance, at about one position in 16 instead of one in four. Each
-   batch of documents tells its distinct sample K-grams, and one sort by K-gram keeps those that two
+   batch of documents tells its distinct sample K-grams, and one grouping by K-gram keeps those that two
    documents hold; every other string is unique.
 2. Sample ranks. The suffixes that share a sample position are one block: the text from
    the first to the end of the last of them. Equal blocks share a rank, and the smallest doc_id
    that holds a rank settles all other holders of it: their whole block repeats.
-3. Ties. Only where one K-gram has several ranks (around edits) are the block's suffixes sorted one
-   by one, LENGTH bytes each, to find those that a smaller doc_id holds. A string has SIDE bytes
+3. Ties. Only where one K-gram has several ranks (around edits) are the block's strings compared one
+   by one, LENGTH bytes each by digest, to find those that a smaller doc_id holds. A string has SIDE bytes
    before its sample or SIDE bytes after it, so blocks are dealt by these bytes and only those
    of one bucket with several documents are cut into strings, after the shuffle.
 
