@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import Staged, stage
+from skuflow.llm.common import stage
 
 #: Turns put together before a conversation becomes one row.
 BLOCK = 256
@@ -84,28 +84,30 @@ def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     without a node_id no place: they are on no path. A path's score is the sum of its messages'; ties go to the smaller leaf. ``path`` is the leaf's id, ``turn``
     counts from 0 at the root. Ranking keeps ``keep`` leaves per tree by a map-side top list.
     """
-    nodes = messages.select("tree_id", "node_id", "parent_id", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("own"))
+    nodes = messages.select("tree_id", "node_id", "parent_id", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
+    replies = nodes.where("parent_id is not null")
     ids = nodes.select(F.col("node_id").alias("_known"))
-    linked = nodes.join(ids, nodes["parent_id"] == ids["_known"], "left").select(
-        "tree_id", "node_id", F.col("_known").alias("up"), "own")
-    spark = messages.sparkSession
-    # way[i]: (node_id, up, score, steps), up is 2**i steps above or null once the root is passed
-    ways = [Staged(linked.select("node_id", "up", F.col("own").alias("score"), F.lit(1).cast("long").alias("steps")), "chat-way")]
+    linked = stage(replies.join(ids, F.col("parent_id") == F.col("_known"), "left").select("tree_id", "node_id", F.col("_known").alias("up"), "score")
+                   .union(nodes.where("parent_id is null").select("tree_id", "node_id", F.lit(None).cast("long").alias("up"), "score")),
+                   "chat-linked")
+    step = linked.select("node_id", "up", "score", F.lit(1).cast("long").alias("steps"))
+    # ways[i] leads 2**i steps up; who passes a root on the way is done, with the score and steps to the root
+    ways, done = [step.where("up is not null")], step.where("up is null").drop("up")
     most = nodes.count()
-    while True:
-        low = ways[-1].df
-        if low.where("up is not null").isEmpty() or (1 << len(ways)) > most:
-            break
-        high = low.select(F.col("node_id").alias("_mid"), F.col("up").alias("_top"), F.col("score").alias("_more"),
-                          F.col("steps").alias("_steps"))
-        ways.append(Staged(low.join(high, F.col("up") == F.col("_mid"), "left").select(
-            "node_id", F.col("_top").alias("up"), (F.col("score") + F.coalesce("_more", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps")), "chat-way"))
-    whole = ways[-1].df.where("up is null")  # those in a circle never pass a root
+    while not ways[-1].isEmpty() and 1 << len(ways) <= most:
+        low = ways[-1]
+        known = low.unionByName(done, allowMissingColumns=True)
+        high = known.select(F.col("node_id").alias("_mid"), F.col("up").alias("_top"), F.col("score").alias("_more"),
+                            F.col("steps").alias("_steps"))
+        wider = stage(low.join(high, F.col("up") == F.col("_mid")).select(
+            "node_id", F.col("_top").alias("up"), (F.col("score") + F.col("_more")).alias("score"),
+            (F.col("steps") + F.col("_steps")).alias("steps")), "chat-way")
+        ways.append(wider.where("up is not null"))
+        done = done.union(wider.where("up is null").drop("up"))
     inner = linked.where("up is not null").select(F.col("up").alias("_inner")).distinct()
     leaves = (linked.join(inner, linked["node_id"] == F.col("_inner"), "left_anti")
               .select("tree_id", F.col("node_id").alias("leaf"))
-              .join(whole, F.col("leaf") == F.col("node_id")).select("tree_id", "leaf", "score", "steps"))
+              .join(done, F.col("leaf") == F.col("node_id")).select("tree_id", "leaf", "score", "steps"))
     order = F.struct((-F.col("score")).alias("s"), F.col("leaf").alias("leaf"), F.col("steps").alias("steps"))
     if keep == 1:
         top = leaves.groupBy("tree_id").agg(F.min(order).alias("b")).withColumn("rank", F.lit(1).cast("long"))
@@ -117,7 +119,7 @@ def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     chosen = top.select("tree_id", F.col("b.leaf").alias("path"), "rank", F.col("b.leaf").alias("node_id"),
                         (F.col("b.steps") - 1).alias("turn"))
     for i in reversed(range(len(ways))):
-        up = ways[i].df.where("up is not null").select(F.col("node_id").alias("_node"), F.col("up").alias("_up"))
+        up = ways[i].select(F.col("node_id").alias("_node"), F.col("up").alias("_up"))
         above = chosen.join(up, F.col("node_id") == F.col("_node")).select(
             "tree_id", "path", "rank", F.col("_up").alias("node_id"), (F.col("turn") - (1 << i)).alias("turn"))
         chosen = chosen.union(above) if i == 0 else stage(chosen.union(above), "chat-paths")
