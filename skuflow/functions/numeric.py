@@ -29,19 +29,20 @@ def clean_money(c, on_error: str = "raise") -> Column:
     return F.coalesce(parsed, F.lit(0).cast(MONEY))
 
 
-def to_number(c, dtype: str = "double") -> Column:
-    """lenient numeric parse, unparseable or missing -> 0 (``'1,200'`` -> 0, ``' 5 '`` -> 5).
+def number_or_null(c, dtype: str = "double") -> Column:
+    """The number that a cell holds, else NULL.
 
     ``'nan'``-like tokens are treated as missing first because Spark would cast
     them to NaN rather than failing.
     """
     raw = F.trim(_c(c).cast("string"))
     raw = F.when(F.lower(raw).isin("nan", "na", "n/a", "null", "none", ""), None).otherwise(raw)
-    return F.coalesce(raw.try_cast(dtype), F.lit(0).cast(dtype))
+    return raw.try_cast(dtype)
 
 
-def to_decimal(c, dtype: str = MONEY) -> Column:
-    return _c(c).cast(dtype)
+def to_number(c, dtype: str = "double") -> Column:
+    """lenient numeric parse, unparseable or missing -> 0 (``'1,200'`` -> 0, ``' 5 '`` -> 5)."""
+    return F.coalesce(number_or_null(c, dtype), F.lit(0).cast(dtype))
 
 
 def coerced(raw, parsed) -> Column:

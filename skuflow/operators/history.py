@@ -1,21 +1,27 @@
 """Run history and snapshot history.
 
 Snapshots are daily inventory reports. Combining them (H1) is a union of
-normalized frames; the summary log (H2/H3) is an append-only table with one row
-per run; anomaly flags, the idempotency guard and trends (D1–D3) are windows and
+normalized frames; the summary log (H2/H3) is a table with one row per pipeline and
+report date; anomaly flags, the idempotency guard and trends (D1–D3) are windows and
 anti joins over those tables. Windows are partitioned by pipeline or by
 (SKU, Channel): each partition holds one row per run date, never fact rows.
 """
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skuflow.functions.dates import date_from_name
 from skuflow.functions.ids import row_id, sku_channel_id
+from skuflow.sinks.staging import Staged, path_exists
+from skuflow.sources.discovery import list_files, parse_names
+
+log = logging.getLogger(__name__)
 
 # Legacy snapshot headers and the names they now have.
 LEGACY_HEADERS = {
@@ -31,8 +37,9 @@ LEGACY_HEADERS = {
 }
 SNAPSHOT_REQUIRED = ["SKU", "Channel", "Units", "Inventory", "Inbound"]
 SNAPSHOT_COLUMNS = ["id", "sku_channel_id", "Date", "SKU", "Channel", "Units", "Inventory", "Inbound"]
-HISTORY_FIELDS = ["timestamp", "pipeline", "report_date", "total_records", "total_units",
-                  "total_revenue", "source_files"]
+LOG_SCHEMA = ("timestamp string, pipeline string, report_date date, total_records long, total_units long, "
+              "total_revenue double, source_files string")
+LOG_KEYS = ("pipeline", "report_date")
 
 
 def normalize_snapshot(df: DataFrame, report_date, normalize_ids: bool = False) -> DataFrame | None:
@@ -81,13 +88,61 @@ def run_summary(report: DataFrame, pipeline: str, source_files: Sequence[str], t
     ).where(F.col("total_records") > 0)
 
 
-def append_run_log(summary: DataFrame, path: str) -> None:
-    """H3: append-only run log (parquet, partitioned by pipeline)."""
-    summary.write.mode("append").partitionBy("pipeline").parquet(path)
+def upsert_run_log(summary: DataFrame, path: str) -> None:
+    """The run log holds one row per (pipeline, report_date).
+
+    The key is the partition, and only the partitions of ``summary`` are overwritten, so a rerun
+    replaces its own row and no other run's; nothing is read back to do so.
+    """
+    (summary.select(*_log_columns()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*LOG_KEYS).parquet(path))
+
+
+def _log_columns() -> list[str]:
+    return [field.split(" ")[0] for field in LOG_SCHEMA.split(", ")]
 
 
 def read_run_log(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The run log, empty before the first run."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*_log_columns())
+
+
+def read_json_log(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(runs, malformed lines as ``raw``) of a JSON log; both empty before the first run.
+
+    A line that does not parse, or that lacks a key, is malformed.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LOG_SCHEMA), spark.createDataFrame([], "raw string")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    doc = F.from_json("value", LOG_SCHEMA + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = lines.select("value", doc.alias("d"))
+    bad = F.col("d._corrupt").isNotNull() | F.col("d.pipeline").isNull() | F.col("d.report_date").isNull()
+    return parsed.where(~bad).select("d.*").drop("_corrupt"), parsed.where(bad).select(F.col("value").alias("raw"))
+
+
+def upsert_json_log(summary: DataFrame, path: str, quarantine: str) -> int:
+    """Rewrite the JSON log with this run in place of its key's; returns the number of malformed lines.
+
+    A log with a malformed line starts fresh with this run alone, and those lines are appended to
+    ``quarantine``. The log has one row a run, and is staged before its folder is overwritten.
+    """
+    spark = summary.sparkSession
+    runs, bad = read_json_log(spark, path)
+    kept = Staged(bad.withColumn("path", F.lit(path)), "log-quarantine", {"n": F.count(F.lit(1))})
+    n = kept.metrics["n"] or 0
+    if n:
+        kept.table.write.mode("append").parquet(quarantine)
+        log.warning("%s: %d malformed line(s), starting fresh", path, n)
+        runs = runs.limit(0)
+    new = summary.select(*_log_columns())
+    rows = Staged(not_yet_logged(runs, new).unionByName(new), "log-rows")
+    rows.table.write.mode("overwrite").option("ignoreNullFields", False).option("dateFormat", "yyyy-MM-dd").json(path)
+    rows.drop()
+    kept.drop()
+    return n
 
 
 def anomaly_flags(history: DataFrame, value: str = "total_units", by: Sequence[str] = ("pipeline",),
@@ -123,8 +178,14 @@ def trend(history: DataFrame, metric: str = "Units", keys: Sequence[str] = ("SKU
 SNAPSHOT_PREFIX = "inventory_report_"
 
 
-def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normalize_ids: bool = False) -> DataFrame | None:
-    """S10 + H1: every ``<prefix>YYYY-MM-DD.csv`` snapshot of a folder, combined.
+def list_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX) -> DataFrame:
+    """(name, path, report_date) of the snapshots of a folder, by their names alone."""
+    return parse_names(list_files(spark, directory, f"{prefix}*.csv"), [prefix], (".csv",)).select("name", "path", "report_date")
+
+
+def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normalize_ids: bool = False,
+                   files: DataFrame | None = None) -> DataFrame | None:
+    """S10 + H1: snapshots ``<prefix>YYYY-MM-DD.csv``, all of a folder or the listed ``files``, combined.
 
     Snapshots written over the years carry different headers, and one CSV scan
     over mixed headers silently misaligns columns, so files are grouped by their
@@ -133,11 +194,11 @@ def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normali
     each header group is then one CSV scan, normalized (legacy names, date from
     the file name, ids) and unioned. Files missing a required column are skipped.
     """
-    from skuflow.functions.dates import date_from_name
-    from skuflow.sources.discovery import list_files, parse_names
-
-    names = parse_names(list_files(spark, directory, f"{prefix}*.csv"), [prefix], (".csv",)).select("name", "path")
-    first_lines = (spark.read.text(directory + f"/{prefix}*.csv")
+    names = list_snapshots(spark, directory, prefix) if files is None else files
+    paths = [r.path for r in names.select("path").collect()]          # listing metadata: one row per file
+    if not paths:
+        return None
+    first_lines = (spark.read.text(paths)
                    .select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("b"),
                            F.monotonically_increasing_id().alias("i"), "value"))
     # first line of each file: the minimum row id within the split that starts at byte 0
@@ -146,12 +207,48 @@ def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normali
              .join(names, "name"))
     groups = {}
     for r in heads.collect():                       # one row per file: listing metadata only
-        groups.setdefault(r.header.lstrip("﻿"), []).append(r.path)
+        groups.setdefault(r.header.lstrip("\ufeff"), []).append(r.path)
     frames = []
-    for paths in groups.values():
-        df = (spark.read.option("header", True).option("escape", '"').csv(paths)
+    for found in groups.values():
+        df = (spark.read.option("header", True).option("escape", '"').csv(found)
               .withColumn("_day", date_from_name(F.col("_metadata.file_name"), prefix, ".csv")))
         norm = normalize_snapshot(df, F.col("_day"), normalize_ids)
         if norm is not None:
             frames.append(norm)
     return combine_snapshots(frames) if frames else None
+
+
+def update_history(spark, directory: str, table: str, prefix: str = SNAPSHOT_PREFIX, normalize_ids: bool = False,
+                   again: Sequence[str] = ()) -> list[str]:
+    """S10 + H1, incremental: bring the history table up to the folder; returns the dates that were read.
+
+    The table is partitioned by report date, and its folder names say which dates it has, so only
+    snapshots of other dates (and of the dates ``again``) are opened. Their partitions are
+    overwritten, which makes a rerun of the same day harmless.
+    """
+    names = list_snapshots(spark, directory, prefix)
+    held = [name.split("=", 1)[1] for name in _partitions(spark, table)]
+    fresh = names.where(~F.col("report_date").cast("string").isin(sorted(set(held) - set(map(str, again)))))
+    fresh = fresh.groupBy("report_date").agg(F.min(F.struct("name", "path")).alias("f")).select("report_date", "f.*")
+    new = read_snapshots(spark, directory, prefix, normalize_ids, fresh)
+    if new is None:
+        return []
+    staged = Staged(new.withColumn("report_date", F.col("Date")), "history")
+    (staged.table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date").parquet(table))
+    days = [str(r.report_date) for r in staged.table.select("report_date").distinct().orderBy("report_date").collect()]
+    staged.drop()
+    return days
+
+
+def _partitions(spark, table: str) -> list[str]:
+    if not path_exists(spark, table):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(table)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()]
+
+
+def read_history(spark, table: str) -> DataFrame:
+    """The combined history that ``update_history`` keeps (sorted only by an ordered export)."""
+    return spark.read.parquet(table).select(*SNAPSHOT_COLUMNS)

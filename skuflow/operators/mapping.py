@@ -35,6 +35,7 @@ class MappedSales:
     """Result of :func:`map_sales` — lazy DataFrames over one pre-aggregate."""
 
     keyed: DataFrame   # source_key, *by, qty, rev, rows[, Date]
+    joined: DataFrame  # keyed with targets and bundle_size, both NULL for an unmapped key
     long: DataFrame    # *by, SKU, Units, Revenue, rows[, Date]; SKU 'Bundles' = bundle volume, NULL = unmapped;
                        # ``rows`` sums to the raw fact rows per group
 
@@ -98,16 +99,6 @@ def split_revenue(rev, size) -> F.Column:
     return (F.col(rev).cast("decimal(38,6)") / F.col(size)).cast(MONEY_SUM)
 
 
-def expand_bundles(joined: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """M1: one row per target; full quantity each, revenue split evenly.
-
-    Duplicate targets give duplicate rows (an n-pack counts n units); an empty
-    target list gives no row.
-    """
-    return joined.select(*by, F.explode("targets").alias("SKU"), F.col("qty").alias("Units"),
-                         split_revenue("rev", "bundle_size").alias("Revenue"))
-
-
 def _items() -> F.Column:
     """Per pre-aggregated key: its targets with split revenue, plus one ``Bundles``
     item with the original volume when the key is a bundle, or one NULL-SKU item
@@ -129,7 +120,7 @@ def map_sales(facts: DataFrame, mapping: DataFrame, key: str, qty: str, rev: str
     mapping too, so several mappings can be applied in a single pass."""
     keyed = pre_aggregate(facts, key, qty, rev, by, date_col)
     joined = join_mapping(keyed, mapping, "left", mapping_keys)
-    return MappedSales(keyed=keyed, long=expand_long(joined, by, bool(date_col)))
+    return MappedSales(keyed=keyed, joined=joined, long=expand_long(joined, by, bool(date_col)))
 
 
 def expand_long(joined: DataFrame, by: Sequence[str] = (), dated: bool = False) -> DataFrame:
@@ -156,12 +147,19 @@ def unmapped_keys(keyed: DataFrame, mapping: DataFrame) -> DataFrame:
             .withColumnRenamed("qty", "Units").withColumnRenamed("rev", "Revenue"))
 
 
-def normalize_amazon_skus(df: DataFrame, key: str, allowed: DataFrame, metrics: dict) -> DataFrame:
+def unmapped_of(joined: DataFrame) -> DataFrame:
+    """M3 from joined pre-aggregates: the keys without a target list, with their volume."""
+    return joined.where(F.col("targets").isNull()).select(
+        F.col("source_key").cast("string").alias("source_key"), F.col("qty").alias("Units"), F.col("rev").alias("Revenue"), "rows")
+
+
+def normalize_amazon_skus(df: DataFrame, key: str, allowed: DataFrame, metrics: dict,
+                          uncast: bool = False) -> DataFrame:
     """M5: keep rows whose raw key is in the allowed list (exact, before stripping),
     strip one trailing ``s``, and sum collisions.
 
     ``metrics`` maps output name -> source column or list of columns (row-wise
-    summed, missing = 0, A4). ``allowed`` has one column ``SKU``.
+    summed, missing = 0, A4). ``allowed`` has one column ``SKU``. ``uncast`` keeps fractions of a unit.
     """
     from skuflow.functions import row_sum, strip_trailing_s, to_number
 
@@ -172,4 +170,4 @@ def normalize_amazon_skus(df: DataFrame, key: str, allowed: DataFrame, metrics:
         srcs = src if isinstance(src, (list, tuple)) else [src]
         cols.append(row_sum(*[to_number(s) for s in srcs]).alias(name))
     return (kept.select(strip_trailing_s(F.col(key).cast("string")).alias("SKU"), *cols)
-            .groupBy("SKU").agg(*[F.sum(n).cast("long").alias(n) for n in metrics]))
+            .groupBy("SKU").agg(*[F.sum(n).cast("double" if uncast else "long").alias(n) for n in metrics]))

@@ -49,13 +49,6 @@ def assemble_wide(template: DataFrame, wide: DataFrame, names, key: str = "SKU",
     return out.select(key, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
 
 
-def outer_merge(left: DataFrame, right: DataFrame, key: str = "SKU") -> DataFrame:
-    """Full outer join of two per-key tables, missing measures -> 0."""
-    out = left.join(right, key, "full")
-    metrics = [c for c in out.columns if c != key]
-    return out.select(key, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in metrics])
-
-
 def clipped_difference(plus, minus) -> F.Column:
     """A6 + F12: ``max(0, Σplus − Σminus)`` over already summed columns."""
     p = F.coalesce(F.col(plus) if isinstance(plus, str) else plus, F.lit(0))

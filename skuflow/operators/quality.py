@@ -58,13 +58,17 @@ class Contract:
         return Contract(rules)
 
 
+def violations(contract: Contract) -> list[Column]:
+    """Q3: per rule, the aggregate that counts its violating rows."""
+    return [F.coalesce(F.sum(F.when(F.coalesce(r.valid, F.lit(False)), 0).otherwise(1)), F.lit(0)).cast("long")
+            for r in contract.rules]
+
+
 def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:
     """Q3: one row per rule with the number of violating rows (one aggregate pass)."""
-    aggs = [F.sum(F.when(F.coalesce(r.valid, F.lit(False)), 0).otherwise(1)).cast("long").alias(f"_{i}")
-            for i, r in enumerate(contract.rules)]
-    wide = df.agg(*aggs)
+    wide = df.agg(*[n.alias(f"_{i}") for i, n in enumerate(violations(contract))])
     rows = F.array(*[F.struct(F.lit(r.column).alias("column"), F.lit(r.name).alias("rule"),
-                              F.coalesce(F.col(f"_{i}"), F.lit(0)).alias("violations"))
+                              F.col(f"_{i}").alias("violations"))
                      for i, r in enumerate(contract.rules)])
     return wide.select(F.explode(rows).alias("_v")).select("_v.*")
 

@@ -4,14 +4,14 @@ The grid is bounded by configuration: the SKU dimension times the configured
 channel list. It is generated by exploding the literal channel list over the SKU
 dimension — there is no join to build it and its size is exactly the report
 size. Facts reach the grid already aggregated to one row per (Channel, SKU), so
-the join and the per-channel window below are report-sized, never fact-sized.
+the join below is report-sized, never fact-sized.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.ids import row_id, sku_channel_id
@@ -52,24 +52,20 @@ def onto_grid(g: DataFrame, facts: DataFrame, metrics: Sequence[str], run_date,
     ``facts``: Channel, SKU, Date, *metrics — one row per (Channel, SKU). Facts
     outside the grid (SKUs unknown to the catalog) still date their channel and
     then drop out (L8); unmapped volume (NULL SKU) does not date a channel, as
-    in the reference, where unmapped keys expand to no row. A full join followed
-    by a window over the report-sized result keeps this to one pass over ``facts``.
+    in the reference, where unmapped keys expand to no row.
+
+    A channel's date is an aggregate of its own with one row per configured
+    channel, so no task holds a whole catalog. Both it and the grid join read
+    all columns of ``facts``, so Spark sees one subplan and runs it once.
     """
-    f = facts.where(F.col("Channel").isin(list(channels))).select("Channel", "SKU", "Date", *metrics)
-    j = g.withColumn("_grid", F.lit(True)).join(f, ["Channel", "SKU"], "full")
+    f = (facts.where(F.col("Channel").isin(list(channels)) & F.col("SKU").isNotNull())
+         .select("Channel", "SKU", "Date", *metrics))
+    dated = f.groupBy("Channel").agg(F.max(F.struct("Date", *metrics))["Date"].alias("_date"))
     run = F.to_date(F.lit(str(run_date)))
-    mapped_date = F.when(F.col("SKU").isNotNull(), F.col("Date"))
-    day = F.coalesce(F.max(mapped_date).over(Window.partitionBy("Channel")), run)
-    return (j.withColumn("Date", day)
-            .where(F.col("_grid"))
-            .select(*g.columns, "Date", *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics]))
-
-
-def zero_fill(spine: DataFrame, facts: DataFrame, metrics: Sequence[str],
-              keys: Sequence[str] = ("Channel", "SKU", "Date")) -> DataFrame:
-    """J4 + P14 on an already dated spine: left join, missing metrics -> 0."""
-    out = spine.join(facts.select(*keys, *metrics), list(keys), "left")
-    return out.select(*spine.columns, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics])
+    day = F.coalesce(F.greatest("_date", "Date"), run)   # _date is the greater; naming both keeps the subplans alike
+    return (g.join(f, ["Channel", "SKU"], "left")
+            .join(F.broadcast(dated), "Channel", "left")
+            .select(*g.columns, day.alias("Date"), *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics]))
 
 
 def clip_negatives(df: DataFrame, metrics: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -88,9 +84,3 @@ def with_ids(df: DataFrame, run_date, underscore: bool = True) -> DataFrame:
     run = F.to_date(F.lit(str(run_date)))
     return df.withColumns({"id": row_id(run, "Channel", "SKU", underscore),
                            "sku_channel_id": sku_channel_id("Channel", "SKU", underscore)})
-
-
-def in_report_order(df: DataFrame) -> DataFrame:
-    """Configured channel order outer, bundles first, then configured SKU order.
-    Sort only at the sink; ranks travel with the rows until then."""
-    return df.orderBy("channel_rank", "sku_rank", "SKU")

@@ -19,6 +19,12 @@ SALES_COLUMNS = ["id", "sku_channel_id", "Date", "SKU", "Channel", "Units", "Rev
 INVENTORY_COLUMNS = ["id", "sku_channel_id", "Date", "SKU", "Channel", "Units", "Inventory", "Inbound"]
 INVENTORY_METRICS = ["Units", "Inventory", "Inbound"]
 RANKS = ["channel_rank", "sku_rank"]
+#: Published columns and types of each report.
+PUBLISHED = {
+    "sales": ("id string, sku_channel_id string, Date date, SKU string, Channel string, Units long, Revenue double"),
+    "inventory": ("id string, sku_channel_id string, Date date, SKU string, Channel string, Units long, Inventory long, "
+                  "Inbound long"),
+}
 
 
 def sales_report(long: DataFrame, sku_dim: DataFrame, channels: Sequence[str], run_date,
@@ -42,21 +48,30 @@ def sales_report(long: DataFrame, sku_dim: DataFrame, channels: Sequence[str], r
 
 
 def inventory_report(facts: DataFrame, sku_dim: DataFrame, channels: Sequence[str], run_date,
-                     keep_ranks: bool = False) -> tuple[DataFrame, DataFrame]:
+                     keep_ranks: bool = False, uncast: bool = False) -> tuple[DataFrame, DataFrame]:
     """R1 + R4 + R5: (report, negative-value offenders).
 
+    ``uncast`` keeps fractions of a unit for the contract to judge (Q3); otherwise
+    metrics are truncated to whole units.
+
     ``facts``: Channel, SKU, Date, Units, Inventory, Inbound (one row per
     Channel × SKU from the channel builders).
     """
     agg = facts.groupBy("Channel", "SKU").agg(
         *[F.sum(m).alias(m) for m in INVENTORY_METRICS], F.max("Date").alias("Date"))
     body = onto_grid(grid(sku_dim, channels), agg, INVENTORY_METRICS, run_date, channels)
-    body = body.withColumns({m: F.col(m).cast("long") for m in INVENTORY_METRICS})
+    body = body.withColumns({m: F.col(m).cast("double" if uncast else "long") for m in INVENTORY_METRICS})
     clipped, offenders = clip_negatives(body, INVENTORY_METRICS)
     out = with_ids(clipped, run_date)
     return out.select(*INVENTORY_COLUMNS, *(RANKS if keep_ranks else [])), offenders
 
 
+def as_published(report: DataFrame, report_type: str) -> DataFrame:
+    """The report's columns in their published types, ranks kept for ordering."""
+    types = dict(field.rsplit(" ", 1) for field in PUBLISHED[report_type].split(", "))
+    return report.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()], *[r for r in RANKS if r in report.columns])
+
+
 def wide_sales(report: DataFrame, channels: Sequence[str]) -> DataFrame:
     """One row per SKU, ``"<channel> (Units)"`` and ``"<channel> (Revenue)"``
     per configured channel (missing -> 0). Conditional sums over the fixed channel

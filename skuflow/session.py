@@ -7,7 +7,6 @@ are set here so that a local run plans the same way a cluster run would.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,16 +46,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and staged tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (local
-    tests) a scratch folder is created and registered, so that cluster runs never
-    write to a machine-local path.
+    Reads ``spark.checkpoint.dir`` from the session. Only on a local master without that
+    setting (tests) a scratch folder is created and registered; a cluster must name one.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="skuflow-ckpt-", dir=os.environ.get("SKUFLOW_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="skuflow-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured

@@ -1,42 +1,48 @@
 """Sinks (S11–S15) and the publish payload.
 
-Reports are written by the executors as partitioned parquet (``report`` and
-``run_date`` partitions, dynamic overwrite so a rerun replaces only its own
-day). CSV/JSON exports are written the same way, one file per task — never
-coalesced into a single task. The publish payload is a JSON-Lines stream: one
-summary record plus data chunks of bounded size.
+Each report type is a table of its own, ``reports/report=<type>``, partitioned by ``run_date``
+and overwritten by partition, so a rerun replaces only its own day and types never share a
+schema. Rows are written in the published order (see ``ordered``) with the published columns
+only. Exports are numbered files in the same order, never coalesced into a single task. The
+publish payload is a JSON-Lines stream: one summary record plus data chunks of bounded size.
 """
 
 from __future__ import annotations
 
 import math
+from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuflow.sinks.ordered import REPORT_ORDER, in_order, write_ordered
 
-def write_report(df: DataFrame, path: str, report_type: str, run_date, fmt: str = "parquet") -> None:
-    """Overwrite this run's partition only (idempotent reruns, D2)."""
-    out = df.withColumns({"report": F.lit(report_type), "run_date": F.to_date(F.lit(str(run_date)))})
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("report", "run_date").format(fmt).save(path))
 
+def report_path(out_dir: str, report_type: str) -> str:
+    return f"{out_dir.rstrip('/')}/reports/report={report_type}"
 
-def export_csv(df: DataFrame, path: str, order_by=None) -> None:
-    """Header CSV export with published column names, dates ISO.
-    ``order_by`` sorts with a range shuffle (no single-task sort)."""
-    out = df.orderBy(*order_by) if order_by else df
-    out.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
+def write_report(df: DataFrame, out_dir: str, report_type: str, run_date, columns: Sequence[str]) -> None:
+    """Overwrite this run's partition of the report's own table, ordered, published columns only."""
+    ranks = [c for c in REPORT_ORDER if c in df.columns]
+    rows = in_order(df.withColumn("run_date", F.to_date(F.lit(str(run_date)))), ranks).select(*columns, "run_date")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").parquet(report_path(out_dir, report_type)))
 
-def export_json(df: DataFrame, path: str) -> None:
-    """JSON Lines, ISO dates."""
-    df.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(path)
 
+def read_written(spark: SparkSession, out_dir: str, report_type: str, run_date, schema) -> DataFrame:
+    """The rows that a run has published, under the run's own schema."""
+    return spark.read.schema(schema).parquet(f"{report_path(out_dir, report_type)}/run_date={run_date}")
 
-def append_log(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append-only table (one row per run)."""
-    df.write.mode("append").format(fmt).save(path)
+
+def export_csv(df: DataFrame, path: str, order_by: Sequence[str] = REPORT_ORDER, drop: Sequence[str] = ()) -> None:
+    """Header CSV export in order, dates ISO."""
+    write_ordered(df, path, [c for c in order_by if c in df.columns], "csv", drop)
+
+
+def export_json(df: DataFrame, path: str, order_by: Sequence[str] = REPORT_ORDER, drop: Sequence[str] = ()) -> None:
+    """JSON Lines in order, ISO dates."""
+    write_ordered(df, path, [c for c in order_by if c in df.columns], "json", drop)
 
 
 def payload_records(report: DataFrame, status: DataFrame, report_type: str, max_rows: int = 5000,

@@ -39,13 +39,51 @@ def test_run_summary_goldens(spark):
     assert H.run_summary(sales.limit(0), "sales", []).count() == 0          # no-op when empty
 
 
-def test_run_log_append(spark, tmp_path):
-    df = spark.createDataFrame([("2026-01-01T00:00:00", "sales", dt.date(2026, 1, 1), 1, 1, 1.0, "f")],
-                               ", ".join(f"{c} {t}" for c, t in zip(H.HISTORY_FIELDS, [
-                                   "string", "string", "date", "long", "long", "double", "string"])))
-    H.append_run_log(df, str(tmp_path / "log"))
-    H.append_run_log(df, str(tmp_path / "log"))
-    assert H.read_run_log(spark, str(tmp_path / "log")).count() == 2
+def _run(spark, pipeline, day, units, stamp="t"):
+    return spark.createDataFrame([(stamp, pipeline, dt.date.fromisoformat(day), 1, units, 1.0, "f")], H.LOG_SCHEMA)
+
+
+def test_run_log_is_keyed(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert H.read_run_log(spark, path).count() == 0
+    for args in [("sales", "2026-01-01", 1, "a"), ("sales", "2026-01-01", 2, "b"), ("sales", "2026-01-02", 3),
+                 ("inventory", "2026-01-01", 4), ("sales", "2026-01-01", 5, "c")]:
+        H.upsert_run_log(_run(spark, *args), path)
+    got = sorted((r.pipeline, str(r.report_date), r.total_units, r.timestamp) for r in H.read_run_log(spark, path).collect())
+    assert got == [("inventory", "2026-01-01", 4, "t"), ("sales", "2026-01-01", 5, "c"), ("sales", "2026-01-02", 3, "t")]
+
+
+def test_json_log_restarts_when_malformed(spark, tmp_path):
+    path, aside = str(tmp_path / "log"), str(tmp_path / "aside")
+    assert H.upsert_json_log(_run(spark, "sales", "2026-01-01", 1), path, aside) == 0
+    assert H.upsert_json_log(_run(spark, "sales", "2026-01-02", 2), path, aside) == 0
+    assert H.upsert_json_log(_run(spark, "sales", "2026-01-02", 3), path, aside) == 0
+    good, bad = H.read_json_log(spark, path)
+    assert sorted(r.total_units for r in good.collect()) == [1, 3] and bad.count() == 0
+    (tmp_path / "log" / "more.json").write_text('{"pipeline": "sales", "report_da\n{"timestamp": "x"}\n\n')
+    assert H.read_json_log(spark, path)[1].count() == 2
+    assert H.upsert_json_log(_run(spark, "sales", "2026-01-03", 4), path, aside) == 2
+    good, bad = H.read_json_log(spark, path)
+    assert [r.total_units for r in good.collect()] == [4] and bad.count() == 0
+    assert sorted(r.raw for r in spark.read.parquet(aside).collect()) == ['{"pipeline": "sales", "report_da', '{"timestamp": "x"}']
+
+
+def test_history_reads_only_unseen_dates(spark, tmp_path):
+    folder, table = tmp_path / "in", str(tmp_path / "history")
+    folder.mkdir()
+    head = "SKU,Channel,Units,Inventory,Inbound\n"
+    (folder / "inventory_report_2026-01-01.csv").write_text(head + "A,FBA,1,2,3\n")
+    (folder / "inventory_report_2026-01-02.csv").write_text("sku,channel,units_sold,inventory,inbound\nA,FBA,4,5,6\n")
+    (folder / "inventory_report_2026-01-03.csv").write_text("SKU,Channel\nA,FBA\n")
+    assert H.update_history(spark, str(folder), table) == ["2026-01-01", "2026-01-02"]
+    (folder / "inventory_report_2026-01-01.csv").write_text("not,read,again\n")
+    (folder / "inventory_report_2026-01-04.csv").write_text(head + "A,FBA,7,8,9\n")
+    assert H.update_history(spark, str(folder), table) == ["2026-01-04"]
+    assert H.update_history(spark, str(folder), table) == []
+    (folder / "inventory_report_2026-01-02.csv").write_text(head + "A,FBA,10,5,6\nB,FBA,0,0,0\n")
+    assert H.update_history(spark, str(folder), table, again=["2026-01-02"]) == ["2026-01-02"]
+    got = sorted((str(r.Date), r.SKU, r.Units) for r in H.read_history(spark, table).collect())
+    assert got == [("2026-01-01", "A", 1), ("2026-01-02", "A", 10), ("2026-01-02", "B", 0), ("2026-01-04", "A", 7)]
 
 
 def test_anomaly_and_guard_and_trend(spark):

@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from skuflow.operators.history import read_json_log, read_run_log
 from skuflow.operators.quality import ContractViolation
 from skuflow.plans.reports import inventory_report, sales_report, wide_sales
 from skuflow.plans.runs import inventory_run, publish, sales_run
@@ -143,7 +144,8 @@ def test_publish_gate_and_history(spark, catalog, tmp_path):
     assert written.where("report = 'sales'").count() == 56
     publish(spark, run, "sales", out, "2026-03-01", timestamp="2026-03-01T09:00:00")   # rerun: same partition
     assert spark.read.parquet(os.path.join(out, "reports")).count() == 56
-    assert spark.read.parquet(os.path.join(out, "run_history")).count() == 2
+    logged = read_run_log(spark, os.path.join(out, "run_history")).collect()      # one row a day: the later run's
+    assert [(r.pipeline, r.timestamp) for r in logged] == [("sales", "2026-03-01T09:00:00")]
 
 
 def test_gate_blocks_publication(spark, catalog, tmp_path):
