@@ -10,6 +10,7 @@ anti joins over those tables. Windows are partitioned by pipeline or by
 from __future__ import annotations
 
 import logging
+import re
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -180,13 +181,16 @@ SNAPSHOT_PREFIX = "inventory_report_"
 
 def list_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX) -> DataFrame:
     """(name, path, report_date) of the snapshots of a folder, by their names alone."""
-    return parse_names(list_files(spark, directory, f"{prefix}*.csv"), [prefix], (".csv",)).select("name", "path", "report_date")
+    found = list_files(spark, directory, f"{prefix}*.csv", folders=True)
+    return parse_names(found, [prefix], (".csv",)).select("name", "path", "report_date")
 
 
 def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normalize_ids: bool = False,
                    files: DataFrame | None = None) -> DataFrame | None:
     """S10 + H1: snapshots ``<prefix>YYYY-MM-DD.csv``, all of a folder or the listed ``files``, combined.
 
+    A snapshot is a file, or the folder of numbered files that an export writes under that name.
+
     Snapshots written over the years carry different headers, and one CSV scan
     over mixed headers silently misaligns columns, so files are grouped by their
     header line first. The header of every file comes from one text scan that
@@ -198,20 +202,23 @@ def read_snapshots(spark, directory: str, prefix: str = SNAPSHOT_PREFIX, normali
     paths = [r.path for r in names.select("path").collect()]          # listing metadata: one row per file
     if not paths:
         return None
+    # file paths of the metadata are URLs
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    snapshot = F.regexp_extract(decoded, rf"(?i)/({re.escape(prefix)}[0-9-]+\.csv)(?:/[^/]*)?$", 1)
     first_lines = (spark.read.text(paths)
-                   .select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("b"),
+                   .select(snapshot.alias("name"), F.col("_metadata.file_block_start").alias("b"),
                            F.monotonically_increasing_id().alias("i"), "value"))
-    # first line of each file: the minimum row id within the split that starts at byte 0
+    # first line of each snapshot: the minimum row id within a split that starts at byte 0
     heads = (first_lines.where(F.col("b") == 0)
              .groupBy("name").agg(F.min_by("value", "i").alias("header"))
              .join(names, "name"))
     groups = {}
-    for r in heads.collect():                       # one row per file: listing metadata only
+    for r in heads.collect():                       # one row per snapshot: listing metadata only
         groups.setdefault(r.header.lstrip("\ufeff"), []).append(r.path)
     frames = []
     for found in groups.values():
         df = (spark.read.option("header", True).option("escape", '"').csv(found)
-              .withColumn("_day", date_from_name(F.col("_metadata.file_name"), prefix, ".csv")))
+              .withColumn("_day", date_from_name(snapshot, prefix, ".csv")))
         norm = normalize_snapshot(df, F.col("_day"), normalize_ids)
         if norm is not None:
             frames.append(norm)

@@ -136,9 +136,9 @@ def three_pl(spark, sf_dir) -> DataFrame:
         _text("l_partkey").alias("MSKU"), flagged("A").alias("DTC Total Quantity"), flagged("N").alias("RS Total Quantity"),
         flagged("R").alias("Ops WIP Quantity"))
     item = F.struct(_text("l_partkey").alias("dsku"), F.col("l_quantity").cast("long").alias("qty"))
-    items = order_documents(t.lineitem, item).select("l_orderkey", F.to_json("items").alias("Items"))
-    orders = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "P", C.TPL_CANCELLED).alias("Order Status")).join(
-        items, F.col("o_orderkey") == F.col("l_orderkey")).select("Order Status", "Items")
+    status = F.when(F.col("o_orderstatus") == "P", C.TPL_CANCELLED).alias("Order Status")
+    orders = order_documents(t.lineitem, t.orders.select("o_orderkey", status), item).select(
+        "Order Status", F.to_json("items").alias("Items"))
     first, second = C.TPL_INBOUND["inbound"]
     inbound = t.part.select(_text("p_partkey").alias("MSKU"), _text("p_size").alias(first), F.lit("1").alias(second))
     dskus = dsku_dim(t).select("dsku", F.col("dsku").alias("SKU"))

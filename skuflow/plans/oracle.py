@@ -367,7 +367,7 @@ GROUP BY GROUPING SETS ((p_brand, o_orderpriority), ())""",
     "net_of_discounts": _with(f"""li AS (
   SELECT cast(l.l_partkey AS VARCHAR) AS source_key, CASE o.o_orderpriority {_SHOP_CHANNEL} ELSE 'Others' END AS channel,
          cast(cast(l.l_quantity AS BIGINT) AS DOUBLE) AS q,
-         round(cast(cast(l.l_quantity AS BIGINT) AS DECIMAL(38,4)) * cast(cast(p.p_retailprice AS DECIMAL(18,2)) AS DECIMAL(38,4))
+         round_even(cast(cast(l.l_quantity AS BIGINT) AS DECIMAL(38,4)) * cast(cast(p.p_retailprice AS DECIMAL(18,2)) AS DECIMAL(38,4))
                - cast(l.l_extendedprice AS DECIMAL(18,2)) * cast(l.l_discount AS DECIMAL(18,2)), 2) AS net
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey)""",
         """kept AS (SELECT * FROM li WHERE NOT (q = 0 AND net = 0) AND (cast(net AS DOUBLE) > 0 OR q > 0))""",

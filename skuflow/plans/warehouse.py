@@ -239,22 +239,26 @@ def json_items_explode(spark, sf_dir) -> DataFrame:
     items exploded, DSKU looked up, qty summed by SKU."""
     t = Tables(spark, sf_dir)
     item = F.struct(F.col("l_partkey").cast("string").alias("dsku"), F.col("l_quantity").cast("long").alias("qty"))
-    items = order_documents(t.lineitem, item).select("l_orderkey", F.to_json("items").alias("Items"))
-    orders = (t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") == EXCLUDED_STATUS, "CANCELLED")
-                              .otherwise("FULFILLED").alias("Order Status"))
-              .join(items, F.col("o_orderkey") == F.col("l_orderkey")))
+    status = F.when(F.col("o_orderstatus") == EXCLUDED_STATUS, "CANCELLED").otherwise("FULFILLED")
+    orders = order_documents(t.lineitem, t.orders.select("o_orderkey", status.alias("Order Status")), item).select(
+        "Order Status", F.to_json("items").alias("Items"))
     return order_item_units(orders, dsku_dim(t), "Order Status", "Items")
 
 
 DOC_LINES = 8
 
 
-def order_documents(lines: DataFrame, item) -> DataFrame:
-    """Per-order line arrays for synthesized API documents. Lines are grouped by
-    (order, line-number bucket): (order key, line number) is unique, so every
-    group holds at most DOC_LINES items whatever the order size."""
+def order_documents(lines: DataFrame, orders: DataFrame, item) -> DataFrame:
+    """Line arrays of synthesized API documents with the columns of ``orders`` (o_orderkey, ...).
+
+    Lines meet their order first and are grouped by the same key, so the join's partitioning serves
+    the grouping and line data is shuffled once. A group is an order's lines of one line-number
+    bucket, the part of a document that an API page would hold.
+    """
     bucket = F.floor((F.col("l_linenumber") - 1) / DOC_LINES)
-    return lines.groupBy("l_orderkey", bucket.alias("doc_part")).agg(F.collect_list(item).alias("items"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("l_orderkey", bucket.alias("doc_part")).agg(
+        F.collect_list(item).alias("items"), *[F.any_value(c).alias(c) for c in orders.columns])
 
 
 def dsku_dim(t: Tables) -> DataFrame:
@@ -595,9 +599,12 @@ def rollup_totals(spark, sf_dir) -> DataFrame:
                    * (F.lit(1) - F.col("l_discount").cast("decimal(18,2)"))).alias("net")))
     o = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("Channel"))
     p = t.part.select("p_partkey", F.col("p_brand").alias("SKU"))
-    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    # parts are joined to one row per part and channel, and both grouping sets expand those
+    sums = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_partkey", "Channel")
+            .agg(F.sum("l_quantity").alias("qty"), F.sum("net").alias("net")))
+    j = sums.join(p, F.col("l_partkey") == F.col("p_partkey"))
     g = j.groupingSets([["SKU", "Channel"], []], "SKU", "Channel").agg(
-        F.sum("l_quantity").alias("units"), F.sum("net").cast("double").alias("net_sales"),
+        F.sum("qty").alias("units"), F.sum("net").cast("double").alias("net_sales"),
         (F.grouping_id() > 0).alias("is_total"))
     return g
 
@@ -623,8 +630,7 @@ def net_of_discounts(spark, sf_dir) -> DataFrame:
     lines = t.lineitem.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
     order = F.struct(F.col("o_orderkey").cast("string").alias("id"), src.alias("source_name"),
                      F.lit("paid").alias("financial_status"), F.col("items").alias("line_items"))
-    docs = (order_documents(lines, item)
-            .join(t.orders.select("o_orderkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+    docs = (order_documents(lines, t.orders.select("o_orderkey", "o_orderpriority"), item)
             .select(F.to_json(F.struct(F.array(order).alias("orders"))).alias("json")))
     raw = landed.shopify_orders(landed.parse_landed(docs, "json", landed.SHOPIFY_ORDERS_DOC))
     m = shopify_sales(raw, part_mapping(t))
@@ -648,7 +654,8 @@ def landed_tiktok_fbt(spark, sf_dir) -> DataFrame:
         .alias("fulfillment_type"),
         F.col("items").alias("line_items"),
         F.struct(F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total_amount")).alias("payment"))
-    docs = (order_documents(t.lineitem, item).join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    docs = (order_documents(t.lineitem, orders, item)
             .select(F.to_json(F.struct(F.struct(F.array(order).alias("orders")).alias("data"))).alias("json")))
     raw = landed.tiktok_orders(landed.parse_landed(docs, "json", landed.TIKTOK_ORDERS_DOC))
     m = tiktok_fbt_orders(raw, part_mapping(t))

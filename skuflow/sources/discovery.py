@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
-    """Listing of one directory as (path, name), empty files included; contents are never read."""
+def list_files(spark: SparkSession, directory: str, glob: str = "*", folders: bool = False) -> DataFrame:
+    """Listing of one directory as (path, name), empty files included; contents are never read.
+    ``folders`` lists matching folders too: exports are folders of numbered files."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(directory)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, glob)) or [] if s.isFile()]
+    found = [s.getPath() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, glob)) or [] if folders or s.isFile()]
     return spark.createDataFrame([(p.toString(), p.getName()) for p in found], "path string, name string")
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuflow.plans.channels import COLUMNS, WALMART_ORDER_STATUSES, require
+
 # Payload schemas of the documented platform responses.
 TPL_LEVELS_DOC = ("items array<struct<logisticsSku:string,merchantSku:string,dtcTotalQuantity:bigint,"
                        "rsTotalQuantity:bigint,opsWipQuantity:bigint,inTransitQuantity:bigint>>")
@@ -59,6 +61,18 @@ def _each(doc: DataFrame, array_col, alias: str, *keep) -> DataFrame:
     return doc.select(*keep, F.explode_outer(col).alias(alias)).where(F.col(alias).isNotNull())
 
 
+def conform(df: DataFrame, frame: str, fill: tuple = ()) -> DataFrame:
+    """The columns that the builder of ``frame`` declares, as the text a report would carry.
+
+    A payload that lacks a column must say so: names in ``fill`` become NULL, any other missing
+    column raises MissingColumns.
+    """
+    known = df.withColumns({c: F.lit(None).cast("string") for c in fill if c not in df.columns})
+    require(known, frame)
+    c = COLUMNS[frame]
+    return known.select(*[F.col(f"`{n}`").cast("string").alias(n) for n in (*c.text, *c.numbers, *c.money) if n in known.columns])
+
+
 def read_landed(spark: SparkSession, path: str, schema: str, multiline: bool = True) -> DataFrame:
     return spark.read.option("multiLine", multiline).schema(schema).json(path)
 
@@ -91,26 +105,27 @@ def _zero(c: str) -> Column:
 
 
 def fba_inventory(doc: DataFrame) -> DataFrame:
-    """D7 -> C9 columns: Inbound = working + shipped + receiving."""
+    """D7 -> C9 frame: Inbound = working + shipped + receiving; the payload has no units sold."""
     s = _each(doc, "inventorySummaries", "s")
     d = "s.inventoryDetails"
-    return s.select(F.col("s.sellerSku").alias("Merchant SKU"),
-                    _zero(f"{d}.fulfillableQuantity").alias("Available"),
-                    _zero(f"{d}.reservedQuantity.fcProcessingQuantity").alias("FC transfer"),
-                    (_zero(f"{d}.inboundWorkingQuantity") + _zero(f"{d}.inboundShippedQuantity")
-                     + _zero(f"{d}.inboundReceivingQuantity")).alias("Inbound"))
+    return conform(s.select(F.col("s.sellerSku").alias("Merchant SKU"),
+                            _zero(f"{d}.fulfillableQuantity").alias("Available"),
+                            _zero(f"{d}.reservedQuantity.fcProcessingQuantity").alias("FC transfer"),
+                            (_zero(f"{d}.inboundWorkingQuantity") + _zero(f"{d}.inboundShippedQuantity")
+                             + _zero(f"{d}.inboundReceivingQuantity")).alias("Inbound")),
+                   "fba", fill=("Units Sold Last 30 Days",))
 
 
 def awd_inventory(doc: DataFrame) -> DataFrame:
-    """D7 -> C10 columns."""
+    """D7 -> C10 frame."""
     s = _each(doc, "inventory", "s")
-    return s.select(F.col("s.sku").alias("SKU"),
-                    _zero("s.inventoryDetails.availableQuantity.amount").alias("Available in AWD (units)"),
-                    _zero("s.inventoryDetails.inboundQuantity.amount").alias("Inbound to AWD (units)"))
+    return conform(s.select(F.col("s.sku").alias("SKU"),
+                            _zero("s.inventoryDetails.availableQuantity.amount").alias("Available in AWD (units)"),
+                            _zero("s.inventoryDetails.inboundQuantity.amount").alias("Inbound to AWD (units)")), "awd")
 
 
-def walmart_orders(doc: DataFrame) -> DataFrame:
-    """D8 -> C8 columns: units from the line quantity; GMV = Σ PRODUCT charges."""
+def walmart_lines(doc: DataFrame) -> DataFrame:
+    """Order lines with their quantity and GMV = Σ PRODUCT charges."""
     orders = _each(doc, "orders", "o")
     lines = _each(orders, "o.orderLines", "l", F.col("o.purchaseOrderId").alias("po"))
     product = F.filter("l.charges", lambda ch: ch["chargeType"] == "PRODUCT")
@@ -121,11 +136,24 @@ def walmart_orders(doc: DataFrame) -> DataFrame:
                         F.col("l.status").alias("Order Line Status"))
 
 
+def walmart_orders(doc: DataFrame) -> DataFrame:
+    """D8 -> C8 frame: a line's unit price is its GMV per unit, to the four decimals that money carries."""
+    qty = F.col("Quantity").try_cast("decimal(18,4)")
+    price = F.when(qty != 0, (F.col("GMV").cast("decimal(18,4)") / qty).cast("decimal(18,4)")).otherwise(0)
+    return conform(walmart_lines(doc).withColumn("Unit Price", price), "walmart_orders")
+
+
+def walmart_sales(doc: DataFrame) -> DataFrame:
+    """D8 -> C1 and C18 frame: units and GMV of the lines that count as sold."""
+    sold = walmart_lines(doc).where(F.col("Order Line Status").isin(*WALMART_ORDER_STATUSES))
+    return conform(sold.select("SKU", F.col("Quantity").alias("Units_Sold"), "GMV"), "walmart_sales")
+
+
 def walmart_inventory(doc: DataFrame) -> DataFrame:
-    """D8 -> C18 inventory columns."""
+    """D8 -> C18 inventory frame."""
     s = _each(doc, "inventory", "s")
-    return s.select(F.col("s.sku").alias("SKU"), F.col("s.availableToSellQty").alias("Available units"),
-                    F.col("s.inboundQty").alias("Inbound units"))
+    return conform(s.select(F.col("s.sku").alias("SKU"), F.col("s.availableToSellQty").alias("Available units"),
+                            F.col("s.inboundQty").alias("Inbound units")), "wfs_inventory")
 
 
 def tiktok_orders(doc: DataFrame) -> DataFrame:
@@ -152,7 +180,7 @@ def tiktok_inventory(doc: DataFrame) -> DataFrame:
 
 def shopify_orders(doc: DataFrame) -> DataFrame:
     """D10 -> C6 columns: net = quantity × price − Σ discount allocations, rounded
-    to cents; lines with zero quantity and zero net are dropped; the API source
+    half-even to cents (F13); lines with zero quantity and zero net are dropped; the API source
     name becomes the report's sales-channel name (unknown/NULL kept as is and
     bucketed to Others by C6)."""
     o = _each(doc, "orders", "o")
@@ -161,7 +189,7 @@ def shopify_orders(doc: DataFrame) -> DataFrame:
     discounts = F.aggregate("li.discount_allocations", F.lit(0).cast(money),
                             lambda acc, d: (acc + F.coalesce(d["amount"].cast(money), F.lit(0))).cast(money))
     qty = F.coalesce(F.col("li.quantity"), F.lit(0))
-    net = F.round(qty.cast(money) * F.coalesce(F.col("li.price").cast(money), F.lit(0)) - discounts, 2)
+    net = F.bround(qty.cast(money) * F.coalesce(F.col("li.price").cast(money), F.lit(0)) - discounts, 2)
     channel = None
     for src, name in SHOPIFY_SOURCE_TO_CHANNEL.items():
         hit = F.lower("src") == src
