@@ -7,7 +7,8 @@ where P(e) = df(e) / N. All tokens of every document that holds an entity count,
 entity's df. P(e|t) = (df(t, e) + PRIOR df(e) / N) / (df(t) + PRIOR) damps rare terms
 smoothly, and a document that holds the term only away from the entity adds FAR to df(t, e).
 A term whose PMI reaches ``generalise_at`` of the entity's IC is generalised in the documents
-that hold both, and removed from ``remove_at`` on.
+that hold both, and removed from ``remove_at`` on. A pair whose counts rule that out is dropped
+before it is formed.
 
 All steps are DataFrame expressions. Java's greedy group loops recurse, so the patterns use
 possessive forms, which match the same; look-behinds start a search at the head of a run only,
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import stage
+from skuflow.llm.common import Staged, release, stage
 
 #: Fixed kinds, in order, with their patterns.
 PATTERNS = {
@@ -116,35 +117,59 @@ def _near(text: Column, s: Column) -> Column:
     return _terms(F.concat_ws(" ", F.slice(F.reverse(left), 1, NEAR + 1), F.slice(right, 1, NEAR + 1)))
 
 
-def entity_terms(found: DataFrame) -> DataFrame:
-    """(text_hash, n, entity, term, near): each entity of a distinct text with each token of the text.
+def entity_texts(found: DataFrame) -> DataFrame:
+    """(text_hash, n, terms, places): each distinct text that holds an entity.
 
-    ``n`` is the number of documents with the text.
+    ``n`` is the number of documents with the text, ``terms`` its distinct tokens, ``places`` its
+    entities with the terms close to them.
     """
     columns = [F.first(c).alias(c) for c in ("text", *PATTERNS)]
     texts = found.where("text is not null").groupBy("text_hash").agg(F.count_distinct(F.struct("doc_id")).alias("n"), *columns)
-    held = F.explode(F.concat(*PATTERNS)).alias("s")
-    places = texts.select("text_hash", "n", "text", held).select(
-        "text_hash", "n", "text", F.col("s.value").alias("entity"), _near(F.col("text"), F.col("s")).alias("close"))
-    pairs = places.select("text_hash", "n", "entity", "close", F.explode(_terms(F.col("text"))).alias("term"))
-    return pairs.groupBy("text_hash", "n", "entity", "term").agg(F.max(F.array_contains("close", F.col("term"))).alias("near"))
+    places = F.transform(F.concat(*PATTERNS), lambda s: F.struct(s["value"].alias("entity"), _near(F.col("text"), s).alias("close")))
+    return texts.select("text_hash", "n", _terms(F.col("text")).alias("terms"), places.alias("places"))
 
 
-def disclosing_terms(docs: DataFrame, pairs: DataFrame, text_col: str = "text", threshold: float = 0.9) -> DataFrame:
-    """(entity, term, disclosure) of the ``pairs`` (``entity_terms``) that reach the threshold.
+def _possible(df_entity: Column, df_term: Column, n: Column, threshold: float) -> Column:
+    """Whether a term of ``df_term`` documents can disclose an entity of ``df_entity``, at best.
 
-    Counts cover all documents and join by equality after aggregation.
+    The estimate grows with the documents that hold both, of which there are at most
+    min(df_entity, df_term); so no pair that reaches the threshold fails this.
     """
-    both = pairs.groupBy("entity", "term").agg(
-        F.sum("n").alias("both"), F.sum(F.col("n") * F.when(F.col("near"), 1.0).otherwise(FAR)).alias("weight"))
+    rate = df_entity / n
+    best = (F.least(df_entity, df_term) + PRIOR * rate) / (df_term + PRIOR)
+    return best >= F.pow(rate, F.lit(1 - threshold)) * (1 - 1e-9)
+
+
+def entity_terms(docs: DataFrame, texts: DataFrame, text_col: str = "text", threshold: float = 0.9) -> DataFrame:
+    """(text_hash, n, entity, term, near, df_entity, df_term, docs): entities of ``texts`` with tokens of their text.
+
+    Tokens are counted over all documents first. A token leaves a text whose entities it cannot
+    disclose by ``_possible``, and only then is paired with them: common words meet no entity.
+    """
+    n = F.lit(docs.count())
+    held = texts.select("text_hash", "n", F.explode(F.array_distinct("places.entity")).alias("entity"))
+    counts = held.groupBy("entity").agg(F.sum("n").alias("df_entity"))
+    held = stage(held.join(counts, "entity"), "pii-held")
+    rates = held.groupBy("text_hash").agg(F.collect_set("df_entity").alias("rates"))
     seen = docs.select(F.explode(_terms(F.col(text_col).cast("string"))).alias("term")).groupBy("term").agg(
         F.count("*").alias("df_term"))
-    held = pairs.select("text_hash", "n", "entity").distinct().groupBy("entity").agg(F.sum("n").alias("df_entity"))
-    n = docs.agg(F.count("*").alias("n"))
-    counted = both.join(seen, "term").join(held, "entity").join(F.broadcast(n))  # one row
-    rate = F.col("df_entity") / F.col("n")
+    tokens = texts.join(rates, "text_hash").select("text_hash", "rates", F.explode("terms").alias("term"))
+    rare = tokens.join(seen, "term").where(F.exists("rates", lambda e: _possible(e, F.col("df_term"), n, threshold)))
+    pairs = rare.drop("rates").join(held, "text_hash").where(_possible(F.col("df_entity"), F.col("df_term"), n, threshold))
+    close = texts.select("text_hash", F.explode("places").alias("p")).select(
+        "text_hash", F.col("p.entity").alias("entity"), F.explode("p.close").alias("term")).distinct().withColumn("near", F.lit(True))
+    return pairs.join(close, ["text_hash", "entity", "term"], "left").withColumns({
+        "near": F.coalesce("near", F.lit(False)), "docs": n})
+
+
+def disclosing_terms(pairs: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """(entity, term, disclosure) of the ``pairs`` (``entity_terms``) that reach the threshold."""
+    counted = pairs.groupBy("entity", "term").agg(
+        F.sum("n").alias("both"), F.sum(F.col("n") * F.when(F.col("near"), 1.0).otherwise(FAR)).alias("weight"),
+        *(F.max(c).alias(c) for c in ("df_entity", "df_term", "docs")))
+    rate = F.col("df_entity") / F.col("docs")
     given = (F.col("weight") + PRIOR * rate) / (F.greatest("df_term", "both") + PRIOR)
-    return counted.where("n > df_entity").select("entity", "term", (F.log(given / rate) / F.log(1 / rate)).alias("disclosure")).where(
+    return counted.where("docs > df_entity").select("entity", "term", (F.log(given / rate) / F.log(1 / rate)).alias("disclosure")).where(
         F.col("disclosure") >= threshold)
 
 
@@ -156,12 +181,17 @@ def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and text count as one document in the statistics and keep their own row.
     """
     found = stage(base_spans(docs, id_col, text_col), "pii-base")
-    pairs = stage(entity_terms(found), "pii-pairs")
-    terms = stage(disclosing_terms(docs, pairs, text_col, generalise_at), "pii-disclosing")
+    texts = Staged(entity_texts(found), "pii-texts")
+    pairs = Staged(entity_terms(docs, texts.df, text_col, generalise_at), "pii-pairs")
+    texts.drop()
+    terms = disclosing_terms(pairs.df, generalise_at)
     some = found.where("text is not null")
-    words = (pairs.join(terms, ["entity", "term"]).groupBy(F.col("text_hash").alias("_hash"), "term").agg(F.max("disclosure").alias("d"))
-             .groupBy("_hash").agg(F.sort_array(F.collect_list("term")).alias("words"),
-                                   F.collect_set(F.when(F.col("d") >= remove_at, F.col("term"))).alias("gone")))
+    words = stage(pairs.df.join(terms, ["entity", "term"]).groupBy(F.col("text_hash").alias("_hash"), "term")
+                  .agg(F.max("disclosure").alias("d"))
+                  .groupBy("_hash").agg(F.sort_array(F.collect_list("term")).alias("words"),
+                                        F.collect_set(F.when(F.col("d") >= remove_at, F.col("term"))).alias("gone")), "pii-words")
+    pairs.drop()
+    release(docs.sparkSession)
     # copies of a text share a hash: the words reach them by narrow rows, the texts join by id and hash
     matched = some.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct().join(words, "_hash")
     joined = some.join(matched, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
