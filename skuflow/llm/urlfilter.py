@@ -58,12 +58,12 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
-              steps: int = 60) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
     """(host, trust, distrust) from (src, dst, n) and (host, trusted, blocked) seed weights.
 
     Both are personalised PageRanks of total 1; what a host without further edges holds goes back
-    to the seeds. Without seeds of a kind its scores are 0.
+    to the seeds. Without seeds of a kind its scores are 0. Steps go on until they change less than
+    ``tolerance`` in total and reach no further host; each shrinks the change by ``damping``, so they end.
     """
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), F.col("n")))
@@ -77,7 +77,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
     first = marked.join(total, "kind").select("kind", "host", (F.col("w") / F.col("all")).alias("seed"))
     seeded = stage(first, "url-seeds")
     state = Staged(seeded.withColumn("score", F.col("seed")), "url-scores")
-    for _ in range(steps):
+    while True:
         moved = (state.df.join(graph, (state.df["kind"] == graph["kind"]) & (state.df["host"] == graph["src"]))
                  .groupBy(graph["kind"], F.col("dst").alias("host")).agg((damping * F.sum(F.col("score") * F.col("p"))).alias("got")))
         kept = moved.groupBy("kind").agg(F.sum("got").alias("sum"))
@@ -87,11 +87,12 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
                .groupBy("kind", "host").agg(F.sum("seed").alias("seed"), F.sum("got").alias("score")))
         following = Staged(new, "url-scores")
         old = state.df.select("kind", "host", F.col("score").alias("was"))
-        change = following.df.join(old, ["kind", "host"], "full").agg(
-            F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("was", F.lit(0.0))))).first()[0]
+        change, reached = following.df.join(old, ["kind", "host"], "full").agg(
+            F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("was", F.lit(0.0)))),
+            F.count(F.when(F.col("was").isNull(), 1))).first()
         state.drop()
         state = following
-        if change is None or change < tolerance:
+        if change is None or (change < tolerance and not reached):
             break
     score = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
     return state.df.groupBy("host").agg(score("trust"), score("distrust"))

@@ -511,6 +511,15 @@ def test_url_rules_and_propagation(spark):
     assert (got[2]["host"], got[2]["path"]) == ("m.example.com", "/en/1")
 
 
+def test_propagation_reaches_the_end_of_a_chain(spark):
+    """Steps are not cut: every host of a long chain has a score, though the tolerance is met early."""
+    edges = [(f"h{i}", f"h{i + 1}", 1) for i in range(70)]
+    got = {r["host"]: r["trust"] for r in urlfilter.propagate(
+        spark.createDataFrame(edges, "src string, dst string, n long"),
+        spark.createDataFrame([("h0", 1, 0)], "host string, trusted long, blocked long"), tolerance=0.5).collect()}
+    assert set(got) == {f"h{i}" for i in range(71)} and all(x > 0 for x in got.values())
+
+
 def test_pagerank_matches_power_iteration(spark):
     rng = random.Random(12)
     edges = Counter((rng.randrange(15), rng.randrange(15)) for _ in range(60))
