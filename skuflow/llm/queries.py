@@ -110,9 +110,13 @@ words AS (
   SELECT DISTINCT doc_id, text,
          list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') w
   FROM documents),
+short AS (SELECT DISTINCT len(w) n FROM classes WHERE len(w) < 5),
 doc_grams AS (
-  SELECT DISTINCT doc_id, text, array_to_string(w[i:i + 4], ' ') s
-  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) i FROM words WHERE len(w) > 0))
+  SELECT doc_id, text, array_to_string(w[i:i + 4], ' ') s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) i FROM words WHERE len(w) > 0)
+  UNION
+  SELECT doc_id, text, array_to_string(w[i:i + n - 1], ' ') s
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) i FROM words, short WHERE len(w) >= n))
 SELECT doc_id, item_id, n_items, m AS n_shingles, count(*) AS n_matched, count(*) / m AS containment
 FROM doc_grams JOIN item_grams USING (s) JOIN sizes USING (item_id)
 GROUP BY doc_id, text, item_id, n_items, m HAVING 5 * count(*) >= 4 * m""",
