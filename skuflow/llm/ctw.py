@@ -3,8 +3,10 @@
 Every byte is decomposed into eight binary choices. For each choice and each context of the
 0 to ``DEPTH`` preceding bytes, Krichevsky-Trofimov estimates from the training counts are mixed
 over all depths: Pw = (Pe + prod Pw(children)) / 2 bottom-up, and the predictive probability
-top-down with the weights Pe / (Pe + prod Pw(children)). The tree is a set of tables, one per
-depth, keyed by (context, node); Spark builds each from the one below by one aggregation.
+top-down with the weights Pe / (Pe + prod Pw(children)). Grams are grouped by their last SPLIT context
+bytes: a group holds whole subtrees below that depth (of 2**24 grams at most, however large the corpus), so one
+task works them through by array operations, once upwards and once downwards. The few levels above are tables keyed
+by (context, node), each built by Spark from the one below by one aggregation.
 
 Texts are lower-cased (A-Z), start after DEPTH zero bytes and end with one zero byte, so a text's
 score is a sum over its grams of DEPTH + 1 bytes. Documents are scored in batches: a batch
@@ -22,12 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.llm.common import bounded_batches, bounded_groups, repeated, stage
 
 DEPTH = 4
+#: Context bytes by which grams are grouped.
+SPLIT = 2
 FOLDS = 10
 #: Neighbouring ids that are scored together, unless their texts are too long.
 BATCH = 4096
@@ -104,41 +108,92 @@ def _estimate() -> Column:
     return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1.0) - math.log(math.pi)
 
 
-def _choices() -> Column:
-    """The eight (node, bit) of the newest byte: a node is a 1 followed by the bits before."""
-    byte = F.col("gram").bitwiseAND(F.lit(255))
-    right = lambda c, k: F.call_function("shiftright", c, F.lit(k))
-    return F.explode(F.array(*(F.struct(right(byte + 256, 8 - k).cast("int").alias("node"),
-                                        right(byte, 7 - k).bitwiseAND(F.lit(1)).cast("int").alias("bit")) for k in range(8)))).alias("x")
+def _estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``_estimate`` of arrays."""
+    def log_gamma(x):
+        y = x + 8
+        series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+        return series - np.log(np.prod([x + i for i in range(8)], axis=0))
+
+    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - math.log(math.pi)
+
+
+class _Level:
+    """One depth of the subtrees of a group: distinct (context, node), their counts and weights."""
+
+    def __init__(self, key: np.ndarray, a: np.ndarray, b: np.ndarray, below: np.ndarray | None = None):
+        self.key, self.up = np.unique(key, return_inverse=True)
+        self.a, self.b = (np.bincount(self.up, x) for x in (a, b))
+        self.pw, self.keep = _estimates(self.a, self.b), np.ones(len(self.key))
+        if below is not None:
+            rest = np.bincount(self.up, below)
+            self.keep = 1 / (1 + np.exp(np.minimum(rest - self.pw, 700)))
+            self.pw = np.logaddexp(self.pw, rest) - math.log(2)
+        self.kt = (self.b + 0.5) / (self.a + self.b + 1)
+
+
+def _levels(gram: np.ndarray, n: np.ndarray, choice: int) -> list[_Level]:
+    """Depths DEPTH to SPLIT for one of the eight choices; ``up`` leads from the grams, or the depth below, into a level."""
+    byte = gram & 255
+    node, bit = byte + 256 >> 8 - choice, byte >> 7 - choice & 1  # a node is a 1 followed by the bits before
+    levels = [_Level(gram >> 8 << 8 | node, n * (1 - bit), n * bit)]
+    for depth in range(DEPTH - 1, SPLIT - 1, -1):
+        last = levels[-1]
+        levels.append(_Level(last.key & (1 << 8 * depth + 8) - 1, last.a, last.b, last.pw))
+    return levels
+
+
+def _subtrees(counts: pd.DataFrame) -> pd.DataFrame:
+    """(context, node, a, b, pw, keep) at depth SPLIT of the grams of a group."""
+    gram, n = counts["gram"].to_numpy(), counts["n"].to_numpy()
+    tops = [_levels(gram, n, k)[-1] for k in range(8)]
+    key = np.concatenate([t.key for t in tops])
+    return pd.DataFrame({"context": key >> 8, "node": (key & 255).astype(np.int32),
+                         **{c: np.concatenate([getattr(t, c) for t in tops]) for c in ("a", "b", "pw", "keep")}})
+
+
+def _told(counts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """(gram, log10_p) of a group, from what depth SPLIT makes of the depths above."""
+    gram, n = counts["gram"].to_numpy(), counts["n"].to_numpy()
+    at = known["context"].to_numpy() << 8 | known["node"].to_numpy()
+    order = np.argsort(at)
+    at, p_known, rest_known = at[order], known["p1"].to_numpy()[order], known["rest"].to_numpy()[order]
+    total = np.zeros(len(gram))
+    for choice in range(8):
+        levels = _levels(gram, n, choice)
+        top = np.searchsorted(at, levels[-1].key)
+        p, rest = p_known[top], rest_known[top]
+        for upper, level in zip(levels[:0:-1], levels[-2::-1]):
+            p = p[upper.up] + rest[upper.up] * level.keep * level.kt
+            rest = rest[upper.up] * (1 - level.keep)
+        p = p[levels[0].up]
+        total += np.log10(np.where(gram >> 7 - choice & 1, p, 1 - p))
+    return pd.DataFrame({"gram": gram, "log10_p": total})
 
 
 def gram_scores(counts: DataFrame) -> DataFrame:
     """(gram, log10 p): probability of a gram's newest byte after the bytes before, for every gram given."""
-    context = F.call_function("shiftright", F.col("gram"), F.lit(8))
-    one = F.when(F.col("x.bit") == 1, F.col("n")).otherwise(0)
-    level = stage(counts.select("gram", "n", _choices()).groupBy(context.alias("context"), F.col("x.node").alias("node"))
-                  .agg(F.sum(F.col("n") - one).alias("a"), F.sum(one).alias("b"))
-                  .withColumn("own", _estimate()).withColumn("pw", F.col("own")).withColumn("keep", F.lit(1.0)), "ctw-level")
-    levels = [level]
-    for depth in range(DEPTH - 1, -1, -1):
+    grouped = counts.withColumn("part", F.call_function("shiftright", F.col("gram"), F.lit(8)).bitwiseAND(F.lit((1 << 8 * SPLIT) - 1)))
+    levels = [stage(grouped.groupBy("part").applyInPandas(
+        _subtrees, "context long, node int, a double, b double, pw double, keep double"), "ctw-level")]
+    for depth in range(SPLIT - 1, -1, -1):
         cut = F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1)).alias("context")
         up = levels[-1].groupBy(cut, "node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("below"))
         up = up.withColumn("own", _estimate())
         high, low = F.greatest("own", "below"), F.least("own", "below")
         up = up.withColumn("pw", high + F.log1p(F.exp(low - high)) - math.log(2))
-        levels.append(stage(up.withColumn("keep", 1 / (1 + F.exp(F.least(F.col("below") - F.col("own"), F.lit(700.0))))).drop("below"),
-                            "ctw-level"))
+        levels.append(stage(up.withColumn("keep", 1 / (1 + F.exp(F.least(F.col("below") - F.col("own"), F.lit(700.0)))))
+                            .drop("below", "own"), "ctw-level"))
     kt = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
     known = levels[-1].select("context", "node", (F.col("keep") * kt).alias("p1"), (1 - F.col("keep")).alias("rest"))
-    for depth in range(1, DEPTH + 1):
+    for depth in range(1, SPLIT + 1):
         parent = known.select(F.col("context").alias("up"), "node", F.col("p1").alias("p_up"), F.col("rest").alias("rest_up"))
-        own = levels[DEPTH - depth].withColumn("up", F.col("context").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1)))
+        own = levels[SPLIT - depth].withColumn("up", F.col("context").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1)))
         known = stage(own.join(parent, ["up", "node"]).select(
             "context", "node", (F.col("p_up") + F.col("rest_up") * F.col("keep") * kt).alias("p1"),
             (F.col("rest_up") * (1 - F.col("keep"))).alias("rest")), "ctw-mix")
-    steps = counts.select("gram", context.alias("context"), _choices()).select("gram", "context", "x.node", "x.bit")
-    p = F.when(F.col("bit") == 1, F.col("p1")).otherwise(1 - F.col("p1"))
-    return steps.join(known, ["context", "node"]).groupBy("gram").agg(F.sum(F.log10(p)).alias("log10_p"))
+    return grouped.groupBy("part").cogroup(known.groupBy("context")).applyInPandas(
+        _told, "gram long, log10_p double")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS) -> DataFrame:
@@ -158,14 +213,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     by_gram = stage(gram_scores(counts), "ctw-grams")
     grams_told = (wanted.where("gram is not null").select("batch", "gram").distinct().join(by_gram, "gram")
                   .select("batch", "gram", F.lit(None).cast("binary").alias("word"), F.col("log10_p").alias("value")))
-    vocabulary = Window.partitionBy("word")
-    words = stage(wanted.where("word is not null").groupBy("batch", "word").agg(F.sum("n").alias("n"))
-                  .withColumn("c", F.sum("n").over(vocabulary)).withColumn("first", F.min("batch").over(vocabulary) == F.col("batch"))
-                  .select("batch", "word", "n", "c", "first"), "ctw-words")
+    words = stage(wanted.where("word is not null").groupBy("batch", "word").agg(F.sum("n").alias("n")), "ctw-words")
+    vocabulary = stage(words.groupBy("word").agg(F.sum("n").alias("c")), "ctw-vocabulary")
     ends = rows.agg(F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("copies"))), F.lit(0)).alias("ends")).first()["ends"]
-    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("v")).first()
+    size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     n, v = size["n"] + ends, size["v"] + (ends > 0)
-    told = grams_told.union(words.select("batch", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double")))
+    told = grams_told.union(words.join(vocabulary, "word").select(
+        "batch", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double")))
     whole = math.log10(n + 0.1 * (v + 1))
 
     def add(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -173,7 +227,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         keys = answers.loc[is_gram, "gram"].to_numpy(np.int64)
         order = np.argsort(keys)
         keys, values = keys[order], answers.loc[is_gram, "value"].to_numpy()[order]
-        known = dict(zip(answers.loc[~is_gram, "word"], answers.loc[~is_gram, "value"]))
+        words, known = answers.loc[~is_gram, "word"].tolist(), answers.loc[~is_gram, "value"].to_numpy()
+        logs, met = dict(zip(words, np.log10(known + 0.1).tolist())), dict(zip(words, (known > 0).tolist()))
         raw = [_bytes(t) for t in texts["text"]]
         total, sizes = [], [len(r) + 1 for r in raw]
         at = 0
@@ -188,8 +243,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             at = to
         out = []
         for r in raw:
-            c = [known[w] for w in r.split()] + [float(ends)]
-            out.append((len(c), sum(x > 0 for x in c), math.fsum(map(math.log10, (x + 0.1 for x in c))) - len(c) * whole))
+            w = r.split()
+            out.append((len(w) + 1, sum(map(met.__getitem__, w)) + (ends > 0),
+                        math.fsum(map(logs.__getitem__, w)) + math.log10(ends + 0.1) - (len(w) + 1) * whole))
         return pd.DataFrame({
             "doc_id": texts["doc_id"], "held_out": texts["held_out"], "copies": texts["copies"], "n_tokens": [x[0] for x in out],
             "n_known": [x[1] for x in out], "train_tokens": n, "base_score": [x[2] for x in out], "score": total,
