@@ -30,7 +30,7 @@ def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), kept=False)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,33 +197,37 @@ def _blocks(texts: pd.DataFrame, firsts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(list(out.values()), columns=["hash", "digest", "first", "distance", "block"])
 
 
-def _removed(texts: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
-    """The digest columns of each document of a batch."""
+def _removed(texts: pd.DataFrame, ranks: pd.DataFrame, kept: bool) -> pd.DataFrame:
+    """The digest columns of each document of a batch, and the bytes left if ``kept``."""
     known = {(h, d): (low, ties) for h, d, low, ties in zip(*(ranks[c].tolist() for c in ("hash", "digest", "low", "ties")))}
     hashes = np.unique(ranks["hash"].to_numpy(np.int64)) if len(ranks) else np.zeros(0, np.int64)
     out = []
     for doc, text, copies in zip(texts["doc_id"].tolist(), texts["text"], texts["copies"].tolist()):
         raw = _bytes(text)
-        edge = np.zeros(len(raw) + 1, np.int32)
+        covered: list[tuple[int, int]] = []
         for h, first, last, distance, block in _shared(raw, hashes) if not pd.isna(doc) else ():
             low, ties = known.get((h, _digest(distance, block)), (doc, None))
             if low < doc:
-                edge[first] += 1
-                edge[last + LENGTH] -= 1
+                covered.append((first, last + LENGTH))
             elif ties is not None:
-                for t in ties:
-                    edge[first + t] += 1
-                    edge[first + t + LENGTH] -= 1
-        gone = np.cumsum(edge[:-1]) > 0
-        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-        out.append((None if pd.isna(doc) else int(doc), len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept, copies))
-    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "copies"])
+                covered.extend((first + t, first + t + LENGTH) for t in ties)
+        left, spans = raw, 0
+        if covered:
+            edge = np.zeros(len(raw) + 1, np.int32)
+            start, stop = np.array(covered).T
+            np.add.at(edge, start, 1)
+            np.add.at(edge, stop, -1)
+            gone = np.cumsum(edge[:-1]) > 0
+            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+            left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+        out.append((None if pd.isna(doc) else int(doc), len(raw), len(raw) - len(left), spans, hashlib.sha256(left).hexdigest(),
+                    copies, *([left] if kept else [])))
+    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "copies", *(["kept"] if kept else [])])
     return frame.astype({"doc_id": "Int64"})
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kept: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the bytes left).
 
     Null texts count as empty; texts under LENGTH bytes lose nothing. A document without an id
     neither loses bytes nor makes others lose any; rows that repeat an id are judged against
@@ -257,5 +261,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
     known = (ranked.join(ties, ["hash", "digest"], "left")
              .select("batch", "hash", "digest", F.col("first").alias("low"), "ties"))
+    columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, copies long"
     return repeated(rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(
-        _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, copies long"))
+        lambda texts, ranks: _removed(texts, ranks, kept), columns + (", kept binary" if kept else "")))
