@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import bounded_batches, bounded_groups, repeated, stage
+from skuflow.llm.common import Staged, bounded_batches, bounded_groups, release, repeated, stage
 
 DEPTH = 4
 #: Context bytes by which grams are grouped.
@@ -36,7 +36,9 @@ FOLDS = 10
 #: Neighbouring ids that are scored together, unless their texts are too long.
 BATCH = 4096
 #: Bytes whose grams are sorted at once.
-FLUSH = 1 << 22
+FLUSH = 1 << 23
+#: Bytes of texts that are scored at once.
+PIECE = 1 << 20
 
 
 def _bytes(text: str | None) -> bytes:
@@ -209,12 +211,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     bounded_batches(docs.sparkSession)
     rows = bounded_groups(rows)
     wanted = stage(asked(rows), "ctw-asked")
-    counts = stage(wanted.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "ctw-counts")
-    by_gram = stage(gram_scores(counts), "ctw-grams")
+    counts = Staged(wanted.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "ctw-counts")
+    by_gram = stage(gram_scores(counts.df), "ctw-grams")
+    counts.drop()
+    release(docs.sparkSession)
     grams_told = (wanted.where("gram is not null").select("batch", "gram").distinct().join(by_gram, "gram")
                   .select("batch", "gram", F.lit(None).cast("binary").alias("word"), F.col("log10_p").alias("value")))
     words = stage(wanted.where("word is not null").groupBy("batch", "word").agg(F.sum("n").alias("n")), "ctw-words")
     vocabulary = stage(words.groupBy("word").agg(F.sum("n").alias("c")), "ctw-vocabulary")
+    release(docs.sparkSession)
     ends = rows.agg(F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("copies"))), F.lit(0)).alias("ends")).first()["ends"]
     size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     n, v = size["n"] + ends, size["v"] + (ends > 0)
@@ -234,7 +239,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         at = 0
         while at < len(raw):  # some texts at a time, so that arrays stay small
             to, held_bytes = at, 0
-            while to < len(raw) and (to == at or held_bytes + sizes[to] < FLUSH // 4):
+            while to < len(raw) and (to == at or held_bytes + sizes[to] < PIECE):
                 held_bytes += sizes[to]
                 to += 1
             g, start = grams(raw[at:to])
