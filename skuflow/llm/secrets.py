@@ -9,8 +9,9 @@ Spark's random forest; a candidate is a secret when the forest's probability rea
 Without a table of labelled findings some candidates are judged by rules (``weak_label``): fixed
 formats and values given to a credential name are confirmed; e-mail and web addresses, IPs, card
 and phone numbers, dates, UUIDs, placeholders and numbered names (three values or more that differ
-in digits only) are false positives. The rest is left to the forest, which is then trained and
-applied without the features that such a rule looks at (``RULED``).
+in digits only) are false positives. The rest is left to the forest. It sees every judged row twice
+then, once as it is and once without the features that a rule looks at (``RULED``), so that it uses
+these features but does not lean on them alone.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import bisect
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -33,14 +34,15 @@ from skuflow.llm.common import bounded_batches, stage
 #: Names that a credential is assigned to.
 CUE = re.compile(r"(?i)(pass(?:word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)")
 GIVEN = CUE.pattern + r"[A-Za-z0-9_\-]{0,32}[\"']?(?:\s*(?:=>|:=|[=:])\s*(?:bearer\s+|basic\s+)?|(?<=bearer)\s+(?=\S*[0-9]))"
-#: Candidates in order of precedence; the last group is the value.
+#: Marks around a PEM block, and what cannot stand inside one.
+PEM = re.compile(r"(?P<open>-----BEGIN [A-Z ]*PRIVATE KEY-----)|(?P<close>-----END [A-Z ]*PRIVATE KEY-----)|[^A-Za-z0-9+/=\s:,\-]+")
+#: Candidates after PEM blocks, in order of precedence; the last group is the value.
 SHAPES = [re.compile(x) for x in (
-    r"(-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s:,\-]*?-----END [A-Z ]*PRIVATE KEY-----)",
     r"(?<![A-Za-z0-9_\-])(eyJ[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]*)",
-    r"://[^\s:/@]{1,64}:([^\s:/@]{1,128})@",
-    GIVEN + r"\"([^\"\n]{4,200})\"", GIVEN + r"'([^'\n]{4,200})'", GIVEN + r"([^\s\"',;<>()\[\]{}]{4,})")]
+    r"://[^\s:/@]+:([^\s:/@]+)@",
+    GIVEN + r"\"([^\"\n]{4,})\"", GIVEN + r"'([^'\n]{4,})'", GIVEN + r"([^\s\"',;<>()\[\]{}]{4,})")]
 #: What a text holds if a shape can occur in it; None: a credential name.
-HINTS = ("-----BEGIN", "eyJ", "://", None, None, None)
+HINTS = ("eyJ", "://", None, None, None)
 #: Marks at the ends of a run belong to the sentence.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_\-@#$%^&~])[A-Za-z0-9+/_\-][A-Za-z0-9+/_\-.@!#$%^&*~]{6,}[A-Za-z0-9+/_\-](?:={0,2}(?![A-Za-z0-9]))")
 #: Least entropy of a run in bits a character; a run of letters in one case that is this long is no plain word.
@@ -96,7 +98,7 @@ def weak_label(text: str, start: int, stop: int) -> int | None:
     value, before = text[start:stop], text[max(0, start - NEAR):start]
     if PLACEHOLDER.fullmatch(value):
         return 0
-    if FORMATS.fullmatch(value) or any(p.fullmatch(value) for p in SHAPES[:2]):
+    if FORMATS.fullmatch(value) or SHAPES[0].fullmatch(value) or pem_blocks(value) == [(0, len(value))]:
         return 1
     if re.search(GIVEN + r"[\"']?$", before, re.I) or re.search(r"://[^\s:/@]+:$", before) and text[stop:stop + 1] == "@":
         return None if value.isalpha() else 1
@@ -111,9 +113,22 @@ def _varied(v: str) -> bool:
     return sum(k * math.log2(n / k) for k in Counter(v).values()) >= VARIED * n
 
 
+def pem_blocks(text: str) -> list[tuple[int, int]]:
+    """From each opening mark to the next closing one, by one walk over the marks."""
+    found, start = [], None
+    for m in PEM.finditer(text) if "-----BEGIN" in text else ():
+        if m.lastgroup == "close" and start is not None:
+            found.append((start, m.end()))
+        if m.lastgroup != "open":
+            start = None
+        elif start is None:
+            start = m.start()
+    return found
+
+
 def spans(text: str) -> list[tuple[int, int]]:
     """Candidates of a text in its order; none overlaps one of an earlier shape."""
-    found: list[tuple[int, int]] = []
+    found = pem_blocks(text)
     cue = bool(CUE.search(text))
     for shape, hint in zip(SHAPES, HINTS):
         if cue if hint is None else hint in text:
@@ -133,10 +148,21 @@ def _apart(kept: list[tuple[int, int]], new: list[tuple[int, int]]) -> list[tupl
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> list[str]:
-    """The ``size`` words of three letters or more that most documents hold, ties by spelling."""
+    """The ``size`` words of three letters or more that most documents hold, ties by spelling.
+
+    A histogram of the counts on a log scale, of some thousand steps at most, tells which counts can be
+    among them; only words with such counts are ranked, and only the ranked ones reach the driver.
+    """
     word = F.explode_outer(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}]+")))
     counts = docs.select(word.alias("word")).where("length(word) between 3 and 12").groupBy("word").count()
-    return [r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(size).collect()]
+    counts = stage(counts.withColumn("step", F.floor(F.log2("count") * 64)), "secret-words")
+    least, total = 0, 0
+    for step, n in sorted(map(tuple, counts.groupBy("step").agg(F.count("*")).collect()), reverse=True):
+        least, total = step, total + n
+        if total >= size:
+            break
+    top = stage(counts.where(F.col("step") >= least).orderBy(F.desc("count"), "word").limit(size).select("word"), "secret-dictionary")
+    return [r["word"] for r in top.collect()]
 
 
 def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,15 +193,19 @@ def weakly_judged(found: DataFrame) -> DataFrame:
     return named.join(numbered, "name", "left").select("value", F.coalesce("weak", "_zero").alias("weak"), "features")
 
 
-def train(findings: DataFrame, label_col: str, max_findings: int = 20_000, trees: int = 40, depth: int = 8):
+def train(findings: DataFrame, label_col: str, max_findings: int = 20_000, trees: int = 40, depth: int = 8,
+          blind: Sequence[int] = ()):
     """Forest over at most ``max_findings`` distinct labelled findings of each label, chosen by hash.
 
-    None where a label is missing.
+    Each counts a second time with the features ``blind`` set to 0. None where a label is missing.
     """
     rows = findings.where(F.col(label_col).isNotNull()).groupBy("value", F.col(label_col).alias("label")).agg(
         F.min("features").alias("features"))
     some = [rows.where(F.col("label") == c).orderBy(F.xxhash64("value"), "value").limit(max_findings) for c in (0, 1)]
-    sample = stage(some[0].union(some[1]).select(F.col("label").cast("double").alias("label"),
+    rows = some[0].union(some[1])
+    if blind:
+        rows = rows.union(rows.withColumn("features", F.transform("features", lambda x, i: F.when(i.isin(*blind), 0.0).otherwise(x))))
+    sample = stage(rows.select(F.col("label").cast("double").alias("label"),
                                                  array_to_vector("features").alias("vector")), "secret-sample")
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(sizes) < 2:
@@ -197,13 +227,11 @@ def find_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     bounded_batches(docs.sparkSession)
     found = stage(candidates(docs, dictionary(docs, text_col), id_col, text_col), "secret-candidates")
     if labelled is None:
-        seen = F.transform("features", lambda x, i: F.when(i.isin(RULED), 0.0).otherwise(x))
-        found = found.withColumn("features", seen)
         judged, label = weakly_judged(found), "weak"
     else:
         marks = labelled.groupBy("doc_id", "start").agg(F.max("label").alias("label"))
         judged, label = found.join(marks, ["doc_id", "start"]), "label"
-    model = train(judged, label)
+    model = train(judged, label, blind=RULED if labelled is None else ())
     vectors = found.withColumn("vector", array_to_vector("features"))
     if model is None:
         only = judged.agg(F.coalesce(F.max(label), F.lit(0)).cast("double").alias("p")).first()["p"]
