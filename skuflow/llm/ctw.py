@@ -36,7 +36,7 @@ FOLDS = 10
 #: Neighbouring ids that are scored together, unless their texts are too long.
 BATCH = 4096
 #: Bytes whose grams are sorted at once.
-FLUSH = 1 << 23
+FLUSH = 1 << 22
 #: Bytes of texts that are scored at once.
 PIECE = 1 << 20
 
@@ -210,21 +210,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
                        held.alias("held_out"), F.coalesce(F.floor(F.col(id_col).cast("long") / BATCH), F.lit(-1)).alias("batch"))
     bounded_batches(docs.sparkSession)
     rows = bounded_groups(rows)
-    wanted = stage(asked(rows), "ctw-asked")
-    counts = Staged(wanted.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "ctw-counts")
+    spark = docs.sparkSession
+    wanted = Staged(asked(rows), "ctw-asked")
+    asks = stage(wanted.df.where("gram is not null").groupBy("batch", "gram").agg(F.sum("n").alias("n")), "ctw-grams-asked")
+    words = Staged(wanted.df.where("word is not null").groupBy("batch", "word").agg(F.sum("n").alias("n")), "ctw-words")
+    wanted.drop()
+    vocabulary = stage(words.df.groupBy("word").agg(F.sum("n").alias("c")), "ctw-vocabulary")
+    words_told = stage(words.df.join(vocabulary, "word").select("batch", "word", F.col("c").cast("double").alias("value")), "ctw-words-told")
+    words.drop()
+    release(spark)
+    counts = Staged(asks.groupBy("gram").agg(F.sum("n").alias("n")), "ctw-counts")
     by_gram = stage(gram_scores(counts.df), "ctw-grams")
     counts.drop()
-    release(docs.sparkSession)
-    grams_told = (wanted.where("gram is not null").select("batch", "gram").distinct().join(by_gram, "gram")
-                  .select("batch", "gram", F.lit(None).cast("binary").alias("word"), F.col("log10_p").alias("value")))
-    words = stage(wanted.where("word is not null").groupBy("batch", "word").agg(F.sum("n").alias("n")), "ctw-words")
-    vocabulary = stage(words.groupBy("word").agg(F.sum("n").alias("c")), "ctw-vocabulary")
-    release(docs.sparkSession)
+    release(spark)
+    grams_told = asks.join(by_gram, "gram").select("batch", "gram", F.lit(None).cast("binary").alias("word"), F.col("log10_p").alias("value"))
     ends = rows.agg(F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("copies"))), F.lit(0)).alias("ends")).first()["ends"]
     size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     n, v = size["n"] + ends, size["v"] + (ends > 0)
-    told = grams_told.union(words.join(vocabulary, "word").select(
-        "batch", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double")))
+    told = grams_told.union(words_told.select("batch", F.lit(None).cast("long").alias("gram"), "word", "value"))
     whole = math.log10(n + 0.1 * (v + 1))
 
     def add(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
