@@ -17,7 +17,7 @@ a difference-cover suffix sort is replaced by a content-defined sample and equal
    before its sample or SIDE bytes after it, so blocks are dealt by these bytes and only those
    of one bucket with several documents are cut into strings, after the shuffle.
 
-Blocks are compared by the hash of their K-gram and 64 bits more, strings by 128-bit digests. Only blocks
+Blocks are compared by the hash of their K-gram and a 64-bit polynomial hash, strings by 128-bit digests. Only blocks
 of step 3 travel as bytes: their first holder's batch is read once more. Batches are ranges of doc_id, cut up by a hash of
 id and text where they hold more than ``common.GROUP_BYTES``, so a group is bounded in bytes, and copies inside a batch are collapsed before anything is shuffled.
 """
@@ -43,6 +43,8 @@ BATCH = 2048
 FLUSH = 1 << 22
 #: Bytes hashed at once; a longer text is worked through in overlapping pieces.
 PIECE = 1 << 20
+#: Bytes of short texts that are hashed as one array.
+JOIN = 1 << 18
 #: Low bits of a packed hash that hold the place in a piece.
 PLACE = np.uint64((1 << 21) - 1)
 
@@ -66,62 +68,101 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
-def kgrams(b: np.ndarray) -> np.ndarray:
-    """A mixed 64-bit polynomial hash of each K-gram."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = h ^ h >> np.uint64(33)
+        h *= np.uint64(0xFF51AFD7ED558CCD)
+    return h ^ h >> np.uint64(33)
+
+
+def _joined(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    """``sampled`` for pieces (text, place in the text, bytes) of LENGTH bytes or more, hashed as one array."""
+    text, at, raw = zip(*pieces)
+    n = np.array([len(r) for r in raw])
+    start = np.cumsum(n) - n
+    stop = start + n - LENGTH + 1
+    b = np.frombuffer(b"".join(raw), np.uint8)
     up, down = _powers(len(b))
     with np.errstate(over="ignore"):
         sums = np.zeros(len(b) + 1, np.uint64)
         np.cumsum(_BYTE[b] * up[:len(b)], out=sums[1:])
-        h = (sums[K:] - sums[:-K]) * down[:len(b) - K + 1]
-        h ^= h >> np.uint64(33)
-        h *= np.uint64(0xFF51AFD7ED558CCD)
-        h ^= h >> np.uint64(33)
-    return h
+        h = _mixed((sums[K:] - sums[:-K]) * down[:len(b) - K + 1])
+    value, width = (h & ~PLACE) | np.arange(len(h), dtype=np.uint64), 1
+    goal = LENGTH - K + 1
+    while width < goal:  # sliding minimum by doubling, the left one at a tie
+        step = min(width, goal - width)
+        value = np.minimum(value[:-step], value[step:])
+        width += step
+    new = np.concatenate([[True], value[1:] != value[:-1]])
+    new[start] = True
+    new[stop[:-1]] = True  # strings from here on would cross into the next piece
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:] - 1, [len(value) - 1]])
+    of = np.searchsorted(start, first, "right") - 1
+    inside = first < stop[of]
+    first, last, of = first[inside], last[inside], of[inside]
+    where = (value[first] & PLACE).astype(np.int64)
+    distance = where - first
+    with np.errstate(over="ignore"):
+        block = (sums[last + LENGTH] - sums[first]) * down[first]
+        digest = _mixed(block ^ distance.astype(np.uint64) * np.uint64(_BASE))
+    shift = (np.array(at) - start)[of]
+    return np.array(text)[of], h[where].view(np.int64), digest.view(np.int64), first + shift, last + shift, distance
 
 
-def samples(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, position, first, last) of each sample position: the starts of the strings it samples."""
-    if len(raw) < LENGTH:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
-    parts = []
-    for at in range(0, len(raw) - LENGTH + 1, PIECE):
-        b = np.frombuffer(raw[at:at + PIECE + LENGTH - 1], np.uint8)
-        h = kgrams(b)
-        value, width = (h & ~PLACE) | np.arange(len(h), dtype=np.uint64), 1
-        goal = LENGTH - K + 1
-        while width < goal:  # sliding minimum by doubling, the left one at a tie
-            step = min(width, goal - width)
-            value = np.minimum(value[:-step], value[step:])
-            width += step
-        first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-        last = np.concatenate([first[1:] - 1, [len(value) - 1]])
-        where = (value[first] & PLACE).astype(np.int64)
-        parts.append((h[where], where + at, first + at, last + at))
+def sampled(raw: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(text, hash, digest, first, last, distance) of each sample position of each text.
+
+    first and last are the starts of the strings it samples; digest is a 64-bit polynomial hash of
+    their block, mixed with the distance from its start to the sample.
+    """
+    parts, held, size = [], [], 0
+    for i, r in enumerate(raw):
+        for at in range(0, len(r) - LENGTH + 1, PIECE):
+            held.append((i, at, r[at:at + PIECE + LENGTH - 1]))
+            size += len(held[-1][2])
+            if size >= JOIN:
+                parts.append(_joined(held))
+                held, size = [], 0
+    if held:
+        parts.append(_joined(held))
+    if not parts:
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def samples(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, position, first, last) of each sample position of one text."""
+    _, h, _, first, last, distance = sampled([raw])
+    return h, first + distance, first, last
+
+
 def _told(docs: DataFrame) -> DataFrame:
     """(hash, batch, several): sample K-grams of each batch, and whether several of its documents hold it."""
     schema = pa.schema([("hash", pa.int64()), ("batch", pa.int64()), ("several", pa.bool_())])
 
-    def tell(batch: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(parts), return_counts=True)
+    def tell(batch: int, raw: list[bytes]) -> pa.RecordBatch:
+        text, h, *_ = sampled(raw)
+        order = np.lexsort((text, h))
+        text, h = text[order], h[order]
+        at = np.flatnonzero(_changes(h))
+        end = np.append(at[1:], len(h))[:len(at)] - 1
         return pa.RecordBatch.from_arrays([
-            pa.array(h.view(np.int64)), pa.array(np.full(len(h), batch)), pa.array(n > 1)], schema=schema)
+            pa.array(h[at]), pa.array(np.full(len(at), batch)), pa.array(text[at] != text[end])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
+        held: dict[int, list[bytes]] = {}
         size = 0
         for b in batches:
             for batch, text in zip(*(c.to_pylist() for c in b.columns)):
                 raw = _bytes(text)
                 if len(raw) >= LENGTH:
-                    held.setdefault(batch, []).append(np.unique(samples(raw)[0]))
+                    held.setdefault(batch, []).append(raw)
                     size += len(raw)
                 if size > FLUSH:
-                    yield from (tell(k, parts) for k, parts in held.items())
+                    yield from (tell(k, raw) for k, raw in held.items())
                     held, size = {}, 0
-        yield from (tell(k, parts) for k, parts in held.items())
+        yield from (tell(k, raw) for k, raw in held.items())
 
     told = docs.where("doc_id is not null").select("batch", "text").mapInArrow(run, "hash long, batch long, several boolean")
     # one number beside the hash keeps the largest shuffle narrow
@@ -152,80 +193,141 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
-def _shared(raw: bytes, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(hash, first, last, distance, block) of the text's sample positions among ``hashes`` (sorted)."""
-    if len(raw) < LENGTH or not len(hashes):
-        return
-    h, position, first, last = samples(raw)
-    h = h.view(np.int64)
-    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-    for i in np.flatnonzero(hashes[at] == h).tolist():
-        lo, hi = int(first[i]), int(last[i])
-        yield int(h[i]), lo, hi, int(position[i]) - lo, raw[lo:hi + LENGTH]
+def _changes(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the row before; the first one does."""
+    out = np.zeros(len(sorted_columns[0]), bool)
+    out[:1] = True
+    for c in sorted_columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
-def _digest(distance: int, block: bytes) -> int:
-    """64 bits that, beside the hash of the K-gram, stand for a block and its distance."""
-    whole = hashlib.md5(distance.to_bytes(2, "big") + block, usedforsecurity=False).digest()
-    return int.from_bytes(whole[:8], "big", signed=True)
+def _slabs(texts: pd.Series) -> Iterator[tuple[int, list[bytes]]]:
+    """Neighbouring texts of about JOIN bytes, with the place of the first."""
+    held, size, at = [], 0, 0
+    for i, text in enumerate(texts):
+        raw = _bytes(text)
+        if held and size + len(raw) > JOIN:
+            yield at, held
+            held, size, at = [], 0, i
+        held.append(raw)
+        size += len(raw)
+    if held:
+        yield at, held
+
+
+class _Ranks:
+    """Ranks (hash, digest) in the order of their digests, looked up by arrays."""
+
+    def __init__(self, ranks: pd.DataFrame):
+        self.rows = ranks.sort_values("digest", ignore_index=True)
+        self.hash, self.digest = (self.rows[c].to_numpy(np.int64) for c in ("hash", "digest"))
+
+    def find(self, h: np.ndarray, digest: np.ndarray) -> np.ndarray:
+        """The row of each (hash, digest), -1 where there is none."""
+        out = np.full(len(h), -1)
+        at = np.searchsorted(self.digest, digest)
+        left = np.arange(len(h))
+        while len(left):  # once, unless two K-grams share a digest
+            left = left[at[left] < len(self.digest)]
+            left = left[self.digest[at[left]] == digest[left]]
+            hit = self.hash[at[left]] == h[left]
+            out[left[hit]] = at[left[hit]]
+            left = left[~hit]
+            at[left] += 1
+        return out
 
 
 def _ranks(texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
     """Distinct blocks of a batch at shared sample positions, by digest, with the smallest doc_id."""
     hashes = np.unique(shared["hash"].to_numpy(np.int64))
-    low: dict[tuple[int, int], int] = {}
+    parts = []
     texts = texts[texts["doc_id"].notna()]
-    for doc, text in zip(texts["doc_id"].tolist(), texts["text"]):
-        for h, _, _, distance, block in _shared(_bytes(text), hashes):
-            key = (h, _digest(distance, block))
-            if doc < low.get(key, doc + 1):
-                low[key] = doc
+    ids = texts["doc_id"].to_numpy(np.int64)
+    for start, raw in _slabs(texts["text"]) if len(hashes) else ():
+        text, h, digest, *_ = sampled(raw)
+        hit = hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h
+        parts.append((h[hit], digest[hit], ids[start + text[hit]]))
+    h, digest, low = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64) for _ in range(3))
+    order = np.lexsort((low, digest, h))
+    order = order[_changes(h[order], digest[order])]
     batch = shared["batch"].iloc[0] if len(shared) else 0
-    return pd.DataFrame([(batch, h, d, v) for (h, d), v in low.items()], columns=["batch", "hash", "digest", "low"])
+    return pd.DataFrame({"batch": np.full(len(order), batch, np.int64), "hash": h[order], "digest": digest[order], "low": low[order]})
 
 
 def _blocks(texts: pd.DataFrame, firsts: pd.DataFrame) -> pd.DataFrame:
     """The bytes of ranks whose first holder is in the batch."""
-    wanted = dict(zip(zip(firsts["hash"].tolist(), firsts["digest"].tolist()), firsts["first"].tolist()))
-    hashes = np.unique(firsts["hash"].to_numpy(np.int64)) if len(firsts) else np.zeros(0, np.int64)
-    out = {}
-    texts = texts[texts["doc_id"].isin(set(wanted.values()))]
-    for doc, text in zip(texts["doc_id"].tolist(), texts["text"]):
-        for h, _, _, distance, block in _shared(_bytes(text), hashes):
-            if (key := (h, _digest(distance, block))) not in out and wanted.get(key) == doc:
-                out[key] = (*key, int(doc), distance, block)
-    return pd.DataFrame(list(out.values()), columns=["hash", "digest", "first", "distance", "block"])
+    wanted = _Ranks(firsts)
+    holder = wanted.rows["first"].to_numpy(np.int64)
+    block: list[bytes | None] = [None] * len(holder)
+    distances = np.zeros(len(holder), np.int32)
+    texts = texts[texts["doc_id"].isin(set(holder.tolist()))]
+    ids = texts["doc_id"].to_numpy(np.int64)
+    for start, raw in _slabs(texts["text"]):
+        text, h, digest, first, last, distance = sampled(raw)
+        rank = wanted.find(h, digest)
+        own = np.flatnonzero(rank >= 0)
+        own = own[holder[rank[own]] == ids[start + text[own]]]
+        distances[rank[own]] = distance[own]
+        for r, t, lo, hi in zip(*(x[own].tolist() for x in (rank, text, first, last))):
+            if block[r] is None:
+                block[r] = raw[t][lo:hi + LENGTH]
+    out = wanted.rows[["hash", "digest", "first"]].assign(distance=distances, block=block)
+    return out[out["block"].notna()]
+
+
+def _covers(ids: np.ndarray, raw: list[bytes], ranks: _Ranks, low: np.ndarray, tied: np.ndarray, ties: list) -> tuple[np.ndarray, ...]:
+    """(text, start, stop) of the repeated stretches of texts with these ids."""
+    text, h, digest, first, last, _ = sampled(raw)
+    rank = ranks.find(h, digest)
+    at = np.flatnonzero(rank >= 0)
+    whole = low[rank[at]] < ids[text[at]]
+    at, rest = at[whole], at[~whole & tied[rank[at]]]
+    own = [ties[r] for r in rank[rest].tolist()]
+    n = [len(x) for x in own]
+    start = np.repeat(first[rest], n) + np.concatenate([*own, np.zeros(0, np.int64)]).astype(np.int64)
+    return (np.concatenate([text[at], np.repeat(text[rest], n)]), np.concatenate([first[at], start]),
+            np.concatenate([last[at], start]) + LENGTH)
 
 
 def _removed(texts: pd.DataFrame, ranks: pd.DataFrame, kept: bool) -> pd.DataFrame:
     """The digest columns of each document of a batch, and the bytes left if ``kept``."""
-    known = {(h, d): (low, ties) for h, d, low, ties in zip(*(ranks[c].tolist() for c in ("hash", "digest", "low", "ties")))}
-    hashes = np.unique(ranks["hash"].to_numpy(np.int64)) if len(ranks) else np.zeros(0, np.int64)
+    known = _Ranks(ranks)
+    low = known.rows["low"].to_numpy(np.int64)
+    ties = known.rows["ties"].tolist()
+    tied = known.rows["ties"].notna().to_numpy()
     out = []
-    for doc, text, copies in zip(texts["doc_id"].tolist(), texts["text"], texts["copies"].tolist()):
-        raw = _bytes(text)
-        covered: list[tuple[int, int]] = []
-        for h, first, last, distance, block in _shared(raw, hashes) if not pd.isna(doc) else ():
-            low, ties = known.get((h, _digest(distance, block)), (doc, None))
-            if low < doc:
-                covered.append((first, last + LENGTH))
-            elif ties is not None:
-                covered.extend((first + t, first + t + LENGTH) for t in ties)
-        left, spans = raw, 0
-        if covered:
-            edge = np.zeros(len(raw) + 1, np.int32)
-            start, stop = np.array(covered).T
-            np.add.at(edge, start, 1)
-            np.add.at(edge, stop, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-            left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-        out.append((None if pd.isna(doc) else int(doc), len(raw), len(raw) - len(left), spans, hashlib.sha256(left).hexdigest(),
-                    copies, *([left] if kept else [])))
+    for part in (texts[texts["doc_id"].notna()], texts[texts["doc_id"].isna()]):
+        named = part["doc_id"].notna().all()
+        ids, copies = part["doc_id"].fillna(0).to_numpy(np.int64), part["copies"].tolist()
+        for start, raw in _slabs(part["text"]):
+            size = np.array([len(r) for r in raw])
+            begin = np.cumsum(size) - size
+            gone = None
+            if named and len(low):
+                text, first, stop = _covers(ids[start:], raw, known, low, tied, ties)
+                if len(text):
+                    edge = np.zeros(size.sum() + 1, np.int32)
+                    np.add.at(edge, begin[text] + first, 1)
+                    np.add.at(edge, begin[text] + stop, -1)
+                    gone = np.cumsum(edge[:-1]) > 0
+                    cut = np.bincount(text, minlength=len(raw)) > 0
+            for i, r in enumerate(raw):
+                left, spans = r, 0
+                if gone is not None and cut[i]:
+                    own = gone[begin[i]:begin[i] + size[i]]
+                    spans = int(_starts(own))
+                    left = np.frombuffer(r, np.uint8)[~own].tobytes()
+                out.append((int(ids[start + i]) if named else None, len(r), len(r) - len(left), spans, hashlib.sha256(left).hexdigest(),
+                            copies[start + i], *([left] if kept else [])))
     frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "copies", *(["kept"] if kept else [])])
     return frame.astype({"doc_id": "Int64"})
 
 
+def _starts(gone: np.ndarray) -> int:
+    return gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kept: bool = True) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the bytes left).
 

@@ -236,6 +236,17 @@ def test_long_text_in_pieces(monkeypatch):
     assert where(whole) == where(cut) and len(where(whole)) == 5000 - suffixes.LENGTH + 1
 
 
+def test_texts_sampled_together_are_sampled_alone(monkeypatch):
+    rng = random.Random(5)
+    raw = [bytes(rng.choice(b"abc ") for _ in range(n)) for n in (0, 49, 50, 51, 700, 3, 4000, 50, 120)]
+    alone = [(i, *row[1:]) for i, r in enumerate(raw) for row in zip(*(c.tolist() for c in suffixes.sampled([r])))]
+    assert list(zip(*(c.tolist() for c in suffixes.sampled(raw)))) == alone
+    monkeypatch.setattr(suffixes, "JOIN", 60)
+    assert list(zip(*(c.tolist() for c in suffixes.sampled(raw)))) == alone
+    for _, h, digest, first, last, distance in alone[:3]:
+        assert last - first <= suffixes.LENGTH - suffixes.K and 0 <= distance
+
+
 def test_heavy_batches_are_cut_up(make, monkeypatch):
     """Null and repeated ids, equal rows and long neighbours form no large group, and results stay the same."""
     rng = random.Random(11)
