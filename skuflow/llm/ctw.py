@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,62 +37,101 @@ FOLDS = 10
 #: Neighbouring ids that are scored together, unless their texts are too long.
 BATCH = 4096
 #: Bytes whose grams are sorted at once.
-FLUSH = 1 << 22
+FLUSH = 1 << 21
+#: Grams and words that a task holds, summed by batch, before it writes them.
+HELD_GRAMS, HELD_WORDS = 1 << 20, 1 << 18
 #: Bytes of texts that are scored at once.
 PIECE = 1 << 20
 
 
-def _bytes(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "replace").lower()
+def _bytes(texts: pa.Array | pa.ChunkedArray) -> list[bytes]:
+    return [(t or b"").lower() for t in texts.cast(pa.binary()).to_pylist()]
 
 
 def grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Grams of several texts as integers, newest byte lowest, and where each text's begin."""
     pad = bytes(DEPTH)
-    flat = np.frombuffer(b"".join(pad + r + b"\0" for r in raw) + pad, np.uint8).astype(np.int64)
-    n = np.array([len(r) + 1 for r in raw], np.int64)
-    start = np.concatenate([[0], np.cumsum(n)])
-    at = np.repeat(np.cumsum(n + DEPTH) - (n + DEPTH) - start[:-1], n) + np.arange(start[-1])
-    out = np.zeros(len(at), np.int64)
-    for i in range(DEPTH + 1):
-        out = (out << 8) | flat[at + i]
-    return out, start
+    flat = np.frombuffer(pad + pad.join(r + b"\0" for r in raw), np.uint8)
+    start = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)])
+    out = flat[:len(flat) - DEPTH].astype(np.int64)
+    for i in range(1, DEPTH + 1):  # in place: a gram takes eight bytes
+        out <<= 8
+        out |= flat[i:len(flat) - DEPTH + i]
+    if len(raw) < 2:
+        return out, start
+    own = np.ones(len(out), bool)  # not those that begin in one text and end in the next
+    own[(start[1:-1] + DEPTH * np.arange(len(raw) - 1))[:, None] + np.arange(DEPTH)] = False
+    return out[own], start
+
+
+ASKED = pa.schema([("batch", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+
+
+class _Asked:
+    """Distinct grams and words of the texts of a batch so far, and how often training texts have them."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.words: Counter[bytes] = Counter()
+
+    def add(self, raw: list[bytes], train: int) -> None:
+        """``train``: how often the texts count."""
+        keys, n = np.unique(grams(raw)[0], return_counts=True)
+        self.parts.append((keys, n * train))
+        if len(self.parts) > 1:
+            keys, n = (np.concatenate(x) for x in zip(*self.parts))
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.parts = [(keys[first], np.add.reduceat(n, first))]
+        if train == 1:
+            for r in raw:
+                self.words.update(r.split())
+        else:
+            self.words.update({w: n * train for w, n in Counter(w for r in raw for w in r.split()).items()})
+
+    def rows(self, batch: int) -> Iterator[pa.RecordBatch]:
+        for keys, n in self.parts:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), batch)), pa.array(keys), pa.nulls(len(keys), pa.binary()),
+                                              pa.array(n)], schema=ASKED)
+        size = len(self.words)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(size, batch)), pa.nulls(size, pa.int64()), pa.array(list(self.words), pa.binary()),
+                                          pa.array(np.fromiter(self.words.values(), np.int64, size))], schema=ASKED)
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch's grams and words, told once by a task that holds no more than HELD_GRAMS and HELD_WORDS of them."""
+    texts: dict[tuple[int, int], list[bytes]] = {}
+    held: dict[int, _Asked] = {}
+    size = 0
+
+    def fold() -> None:
+        for (batch, train), raw in texts.items():
+            held.setdefault(batch, _Asked()).add(raw, train)
+        texts.clear()
+
+    for b in batches:
+        for batch, raw, train in zip(b.column(0).to_pylist(), _bytes(b.column(1)), b.column(2).to_pylist()):
+            texts.setdefault((batch, train), []).append(raw)
+            size += len(raw)
+            if size > FLUSH:
+                fold()
+                size = 0
+                if (sum(len(k) for a in held.values() for k, _ in a.parts) > HELD_GRAMS
+                        or sum(len(a.words) for a in held.values()) > HELD_WORDS):
+                    while held:
+                        k, a = held.popitem()
+                        yield from a.rows(k)
+    fold()
+    while held:
+        k, a = held.popitem()
+        yield from a.rows(k)
 
 
 def asked(docs: DataFrame) -> DataFrame:
     """(batch, gram, word, n): distinct grams and words of each batch with their training counts."""
-    schema = pa.schema([("batch", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
-
-    def tell(batch: int, parts: list[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
-        for train in sorted({t for _, t in parts}, reverse=True):  # how often the texts count
-            raw = [r for r, t in parts if t == train]
-            if not raw:
-                continue
-            keys, n = np.unique(grams(raw)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), batch)), pa.array(keys), pa.nulls(len(keys), pa.binary()),
-                                              pa.array(n * train)], schema=schema)
-            words = Counter(w for r in raw for w in r.split())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), batch)), pa.nulls(len(words), pa.int64()),
-                                              pa.array(list(words), pa.binary()),
-                                              pa.array(np.fromiter(words.values(), np.int64, len(words)) * train)], schema=schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[bytes, int]]] = {}
-        size = 0
-        for b in batches:
-            for batch, text, train in zip(*(c.to_pylist() for c in b.columns)):
-                raw = _bytes(text)
-                held.setdefault(batch, []).append((raw, train))
-                size += len(raw)
-                if size > FLUSH:
-                    for k, parts in held.items():
-                        yield from tell(k, parts)
-                    held, size = {}, 0
-        for k, parts in held.items():
-            yield from tell(k, parts)
-
     train = F.when(F.col("held_out"), 0).otherwise(F.col("copies"))
-    return docs.select("batch", "text", train.alias("train")).mapInArrow(run, "batch long, gram long, word binary, n long")
+    return docs.select("batch", "text", train.alias("train")).mapInArrow(_ask, "batch long, gram long, word binary, n long")
 
 
 def _log_gamma(x: Column) -> Column:
@@ -230,35 +270,35 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     told = grams_told.union(words_told.select("batch", F.lit(None).cast("long").alias("gram"), "word", "value"))
     whole = math.log10(n + 0.1 * (v + 1))
 
-    def add(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        is_gram = answers["gram"].notna()
-        keys = answers.loc[is_gram, "gram"].to_numpy(np.int64)
-        order = np.argsort(keys)
-        keys, values = keys[order], answers.loc[is_gram, "value"].to_numpy()[order]
-        words, known = answers.loc[~is_gram, "word"].tolist(), answers.loc[~is_gram, "value"].to_numpy()
-        logs, met = dict(zip(words, np.log10(known + 0.1).tolist())), dict(zip(words, (known > 0).tolist()))
-        raw = [_bytes(t) for t in texts["text"]]
-        total, sizes = [], [len(r) + 1 for r in raw]
+    def add(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        is_gram = answers["gram"].is_valid()
+        by_key, by_word = answers.filter(is_gram), answers.filter(pc.invert(is_gram))
+        keys, values = pd.Index(by_key["gram"].to_numpy()), by_key["value"].to_numpy()
+        known = by_word["value"].to_numpy()
+        logs = dict(zip(by_word["word"].to_pylist(), np.where(known > 0, np.log10(known + 0.1), -1.0).tolist()))  # log10(0.1) is -1
+        sizes = pc.add(pc.fill_null(pc.binary_length(texts["text"]), 0), 1).to_pylist()
+        n_tokens, n_known, base, total = [], [], [], []
         at = 0
-        while at < len(raw):  # some texts at a time, so that arrays stay small
+        while at < len(sizes):  # some texts at a time, so that arrays stay small
             to, held_bytes = at, 0
-            while to < len(raw) and (to == at or held_bytes + sizes[to] < PIECE):
+            while to < len(sizes) and (to == at or held_bytes + sizes[to] < PIECE):
                 held_bytes += sizes[to]
                 to += 1
-            g, start = grams(raw[at:to])
-            sums = np.concatenate([[0.0], np.cumsum(values[np.searchsorted(keys, g)])])
+            raw = _bytes(texts["text"].slice(at, to - at))
+            g, start = grams(raw)
+            sums = np.concatenate([[0.0], np.cumsum(values[keys.get_indexer(g)])])
             total.extend((sums[start[1:]] - sums[start[:-1]]).tolist())
+            for r in raw:
+                found = [logs[w] for w in r.split()]
+                n_tokens.append(len(found) + 1)
+                n_known.append(len(found) - found.count(-1.0) + (ends > 0))
+                base.append(math.fsum(found) + math.log10(ends + 0.1) - (len(found) + 1) * whole)
             at = to
-        out = []
-        for r in raw:
-            w = r.split()
-            out.append((len(w) + 1, sum(map(met.__getitem__, w)) + (ends > 0),
-                        math.fsum(map(logs.__getitem__, w)) + math.log10(ends + 0.1) - (len(w) + 1) * whole))
-        return pd.DataFrame({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "copies": texts["copies"], "n_tokens": [x[0] for x in out],
-            "n_known": [x[1] for x in out], "train_tokens": n, "base_score": [x[2] for x in out], "score": total,
-            "bits_per_byte": -np.array(total) / math.log10(2) / np.array(sizes)})
+        return pa.table({
+            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "copies": texts["copies"], "n_tokens": pa.array(n_tokens, pa.int64()),
+            "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(sizes), n, np.int64)), "base_score": pa.array(base, pa.float64()),
+            "score": pa.array(total, pa.float64()), "bits_per_byte": -np.array(total) / math.log10(2) / np.array(sizes)})
 
     kinds = ("doc_id long, held_out boolean, copies long, n_tokens long, n_known long, train_tokens long, base_score double, "
              "score double, bits_per_byte double")
-    return repeated(rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(add, kinds))
+    return repeated(rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(add, kinds))
