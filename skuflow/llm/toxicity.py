@@ -75,21 +75,22 @@ def _pieces(word: str) -> list[str]:
     return [word[i:i + PIECE] for i in range(0, len(word) - PIECE // 2, PIECE // 2)]
 
 
-def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Letter codes of words, padded by -1, and lengths."""
+def _codes(words: list[str], wide: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """Letter codes of words, padded by -1, and lengths; no subsequence starts at letter ``wide`` or later."""
     n = np.fromiter((len(w) for w in words), np.int64, len(words))
     flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) % CODES
-    out = np.full((len(words), PIECE + SPAN), -1, np.int64)
-    out[np.arange(PIECE + SPAN) < n[:, None]] = flat
+    out = np.full((len(words), wide + SPAN), -1, np.int64)
+    out[np.arange(wide + SPAN) < n[:, None]] = flat
     return out, n
 
 
 def _occurrences(codes: np.ndarray):
     """(subsequence index, present, weight) of all words for each pair of offsets."""
-    first = codes[:, :PIECE]
+    wide = codes.shape[1] - SPAN
+    first = codes[:, :wide]
     for i, j in OFFSETS:
-        third = codes[:, j:j + PIECE]
-        yield (first * CODES + codes[:, i:i + PIECE]) * CODES + third, third >= 0, DECAY ** (j + 1)
+        third = codes[:, j:j + wide]
+        yield (first * CODES + codes[:, i:i + wide]) * CODES + third, third >= 0, DECAY ** (j + 1)
 
 
 def _norms(n: np.ndarray) -> np.ndarray:
@@ -138,25 +139,36 @@ class Model:
         if not words:
             return np.zeros(0)
         parts = [(i, p) for i, w in enumerate(words) for p in _pieces(w)]
-        codes, n = _codes([p for _, p in parts])
-        total = np.zeros(len(parts))
-        for index, present, weight in _occurrences(codes):
-            total += weight * np.where(present, self.weights[np.where(present, index, 0)], 0).sum(axis=1)
+        owner = np.array([i for i, _ in parts])
+        starts = np.array([len(p) - ORDER + 1 for _, p in parts])
         out = np.full(len(words), -np.inf)
-        np.maximum.at(out, [i for i, _ in parts], total / _norms(n) + self.bias)
+        table = np.append(self.weights, 0.0)  # the last entry is for letters past the end
+        for wide in range(8, PIECE + 1, 8):  # short words have few starts; steps of 8 leave numpy's order of summation as it is
+            own = np.flatnonzero((starts <= wide) & ((starts > wide - 8) | (wide == 8)))
+            if not len(own):
+                continue
+            codes, n = _codes([parts[k][1] for k in own], wide)
+            total = np.zeros(len(own))
+            for index, present, weight in _occurrences(codes):
+                total += weight * table[np.where(present, index, -1)].sum(axis=1)
+            np.maximum.at(out, owner[own], total / _norms(n) + self.bias)
         return out
 
     def worst(self, texts: list[str | None], known: dict[str, float]) -> list[tuple[float, str]]:
         """Score and word of each text's worst sentence; the bias where there is no word."""
         sets = [text_words(t) for t in texts]
-        new = list(reduce(set.union, sets, set()) - known.keys())
+        new = list(set().union(*sets) - known.keys())
         if len(known) + len(new) > CACHE:
             known.clear()
-            new = list(reduce(set.union, sets, set()))
+            new = list(set().union(*sets))
         for at in range(0, len(new), 1 << 14):
             part = new[at:at + (1 << 14)]
             known.update(zip(part, self.word_scores(part).tolist()))
-        return [max(((known[w], w) for w in s), default=(self.bias, "")) for s in sets]
+        out = []
+        for words in sets:
+            top = max(map(known.__getitem__, words), default=self.bias)
+            out.append((top, max((w for w in words if known[w] == top), default="")))
+        return out
 
     def probability(self, raw: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.offset, -500, 500)))
